@@ -83,7 +83,12 @@ def _node_correlation(ddof: int) -> Column:
     return F.coalesce(ieee_div(F.col("cov"), spread), F.lit(NAN))
 
 
-def _mean_correlation(ddof: int) -> Column:
+def mean_correlation(ddof: int = 0) -> Column:
+    """Aggregate over ``node_moments`` rows; nodes with constant truth are skipped.
+
+    ``ddof=0`` is Pearson's. ``ddof=1`` divides the population covariance by
+    sample deviations, which is ``(n - 1) / n`` of it.
+    """
     varying = (F.col("var_y") != 0) & (F.col("n") > 0)
     return F.avg(F.when(varying, _node_correlation(ddof)))
 
@@ -91,16 +96,16 @@ def _mean_correlation(ddof: int) -> Column:
 def correlation(
     predictions: DataFrame, by: Sequence[str] = BY, node: str = NODE, ddof: int = 0
 ) -> DataFrame:
-    """Mean over nodes of the per-node correlation; nodes with constant truth are skipped.
-
-    ``ddof=0`` is Pearson's. ``ddof=1`` divides the population covariance by
-    sample deviations, which is ``(n - 1) / n`` of it.
-    """
+    """Mean over nodes of the per-node correlation."""
     return (
-        node_moments(predictions, by, node).groupBy(*by).agg(_mean_correlation(ddof).alias("corr"))
+        node_moments(predictions, by, node).groupBy(*by).agg(mean_correlation(ddof).alias("corr"))
     )
 
 
+def _rmse_w(weight: Column) -> Column:
+    return F.sqrt(F.sum(F.col("sum_sq") * weight) / F.sum("n"))
+
+
 def weighted_rmse(
     predictions: DataFrame,
     weights: DataFrame,
@@ -110,12 +115,10 @@ def weighted_rmse(
 ) -> DataFrame:
     """Root of the mean of weighted squared errors per group."""
     cells = node_moments(predictions, by, node).join(weights.select(node, weight), node)
-    return cells.groupBy(*by).agg(
-        F.sqrt(F.sum(F.col("sum_sq") * F.col(weight)) / F.sum("n")).alias("rmse_w")
-    )
+    return cells.groupBy(*by).agg(_rmse_w(F.col(weight)).alias("rmse_w"))
 
 
-def weighted_acc(
+def weighted_scores(
     predictions: DataFrame,
     weights: DataFrame,
     climatology: DataFrame,
@@ -124,50 +127,49 @@ def weighted_acc(
     weight: str = "lat_weight",
     clim: str = "clim",
 ) -> DataFrame:
-    """Weighted anomaly correlation per group.
+    """Weighted RMSE and weighted anomaly correlation per group, in one pass.
 
     Anomalies from the node climatology are centred on their unweighted mean
-    over the group; the weights enter the sums only.
+    over the group; the weights enter the sums only. Within a node, moments are
+    central; only the node means, which are anomalies themselves, are expanded
+    around the group mean.
     """
     n, w = F.col("n"), F.col(weight)
+    a, b = F.col("mean_p") - F.col(clim), F.col("mean_y") - F.col(clim)
+    wn = w * n
     cells = (
         node_moments(predictions, by, node)
         .join(weights.select(node, weight), node)
         .join(climatology.select(node, clim), node)
-        .select(
-            *by,
-            n,
-            w,
-            "cov",
-            "var_p",
-            "var_y",
-            (F.col("mean_p") - F.col(clim)).alias("a"),
-            (F.col("mean_y") - F.col(clim)).alias("b"),
-        )
     )
-    centre = cells.groupBy(*by).agg(
-        (F.sum(n * F.col("a")) / F.sum(n)).alias("_a"),
-        (F.sum(n * F.col("b")) / F.sum(n)).alias("_b"),
+    sums = cells.groupBy(*by).agg(
+        _rmse_w(w).alias("rmse_w"),
+        (F.sum(n * a) / F.sum(n)).alias("_a"),
+        (F.sum(n * b) / F.sum(n)).alias("_b"),
+        F.sum(wn).alias("_w"),
+        F.sum(wn * a).alias("_wa"),
+        F.sum(wn * b).alias("_wb"),
+        F.sum(wn * (F.col("cov") + a * b)).alias("_ab"),
+        F.sum(wn * (F.col("var_p") + a * a)).alias("_aa"),
+        F.sum(wn * (F.col("var_y") + b * b)).alias("_bb"),
     )
-    da, db = F.col("a") - F.col("_a"), F.col("b") - F.col("_b")
+    ca, cb = F.col("_a"), F.col("_b")
+    cross = F.col("_ab") - ca * F.col("_wb") - cb * F.col("_wa") + ca * cb * F.col("_w")
+    own_a = F.greatest(F.col("_aa") - ca * F.col("_wa") * 2 + ca * ca * F.col("_w"), F.lit(0.0))
+    own_b = F.greatest(F.col("_bb") - cb * F.col("_wb") * 2 + cb * cb * F.col("_w"), F.lit(0.0))
     # Fixed value: 1e-6 keeps the quotient finite for constant anomalies.
-    return (
-        cells.join(centre, [*by])
-        .groupBy(*by)
-        .agg(
-            F.sum(w * n * (F.col("cov") + da * db)).alias("_pb"),
-            F.sum(w * n * (F.col("var_p") + da * da)).alias("_pp"),
-            F.sum(w * n * (F.col("var_y") + db * db)).alias("_bb"),
-        )
-        .select(
-            *by, (F.col("_pb") / (F.sqrt(F.col("_pp") * F.col("_bb")) + 1e-6)).alias("acc_w")
-        )
-    )
+    acc = cross / (F.sqrt(own_a * own_b) + 1e-6)
+    return sums.select(*by, "rmse_w", acc.alias("acc_w"))
+
+
+def weighted_acc(predictions: DataFrame, weights: DataFrame, climatology: DataFrame, **options):
+    """The anomaly correlation of ``weighted_scores`` alone."""
+    return weighted_scores(predictions, weights, climatology, **options).drop("rmse_w")
 
 
-def horizon_mean(scores_by_horizon: DataFrame, col: str, name: str) -> DataFrame:
-    """Average of a per-horizon score, as reported for a run."""
-    return scores_by_horizon.agg(F.avg(col).alias(name))
+def horizon_mean(scores_by_horizon: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Averages of per-horizon scores, as reported for a run."""
+    return scores_by_horizon.agg(*[F.avg(c).alias(f"avg_{c}") for c in cols])
 
 
 def metrics_by(
@@ -206,34 +208,41 @@ def metric_bundle(
         F.sum(ratio).alias("sum_ratio"),
         F.count(ratio).alias("n_ratio"),
     )
-    n = F.col("k_n")
-    centre = cells.groupBy(*by).agg(F.try_divide(F.sum(n * F.col("k_mean_y")), F.sum(n)).alias("_y"))
-    side = {"truth": "y", "forecast": "p"}[variant]
-    off = F.col(f"k_mean_{side}") - F.col("_y")
-    spread = F.sum(n * (F.col(f"k_var_{side}") + off * off))
-    mse = F.try_divide(F.sum("k_sum_sq"), F.sum(n))
-    return (
-        cells.join(centre, [*by])
-        .groupBy(*by)
-        .agg(
-            mse.alias("mse"),
-            F.try_divide(F.sum("k_sum_abs"), F.sum(n)).alias("mae"),
-            F.sqrt(mse).alias("rmse"),
-            F.try_divide(F.sum("sum_ratio"), F.sum("n_ratio")).alias("mape"),
-            ieee_div(F.sqrt(F.sum("k_sum_sq")), F.sqrt(spread)).alias("rrse"),
-            _mean_correlation(ddof).alias("corr"),
-        )
+    n = F.sum("k_n")
+    mse = F.try_divide(F.sum("k_sum_sq"), n)
+    return cells.groupBy(*by).agg(
+        mse.alias("mse"),
+        F.try_divide(F.sum("k_sum_abs"), n).alias("mae"),
+        F.sqrt(mse).alias("rmse"),
+        F.try_divide(F.sum("sum_ratio"), F.sum("n_ratio")).alias("mape"),
+        _pooled_rrse(variant, "k_").alias("rrse"),
+        mean_correlation(ddof).alias("corr"),
     )
 
 
+def _pooled_rrse(variant: str, prefix: str = "") -> Column:
+    """RRSE from node moments: the spread within nodes plus that between them."""
+    n, y = F.col(f"{prefix}n"), F.col(f"{prefix}mean_y")
+    x = {"truth": y, "forecast": F.col(f"{prefix}mean_p")}[variant]
+    within = F.sum(n * F.col(f"{prefix}var_{'y' if variant == 'truth' else 'p'}"))
+    total = F.sum(n)
+    centre = F.try_divide(F.sum(n * y), total)
+    between = F.sum(n * x * x) - centre * F.sum(n * x) * 2 + centre * centre * total
+    if variant == "truth":
+        # Equal node means differ from their average by rounding only.
+        between = F.when(F.min(y) == F.max(y), F.lit(0.0)).otherwise(between)
+    spread = within + F.greatest(between, F.lit(0.0))
+    return ieee_div(F.sqrt(F.sum(f"{prefix}sum_sq")), F.sqrt(spread))
+
+
 def metric_pair(
     predictions: DataFrame, mask: float | None = None, by: Sequence[str] = BY, node: str = NODE
 ) -> DataFrame:
     """RRSE with the spread of the forecast, and CORR with sample deviations."""
-    spread = predictions.groupBy(*by).agg(
-        scores.rrse(mask=mask, variant="forecast").alias("rrse")
+    cells = predictions.groupBy(*by, node).agg(*_moment_aggs(None), *_moment_aggs(mask, "k_"))
+    return cells.groupBy(*by).agg(
+        _pooled_rrse("forecast", "k_").alias("rrse"), mean_correlation(1).alias("corr")
     )
-    return spread.join(correlation(predictions, by, node, ddof=1), [*by], "left")
 
 
 def nonzero_scores(predictions: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Columns: ``run_id, epoch, train_loss, val_loss, rmse_w, acc_w``; epochs of a run
 count from 1 without holes. Running values use range summaries (see
-``ordering``), so a run of any length is spread over tasks.
+``ordering``), so a run of any length is spread over tasks; they read their
+input twice, so pass a stored table.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stpanel.operators.ordering import with_position
 from stpanel.operators.panel import NODE, TIME
-from stpanel.operators.storage import attach
+from stpanel.operators.storage import attach, materialize
 
 WINDOW_RANGE = 4096
 
@@ -25,7 +25,7 @@ WINDOW_RANGE = 4096
 def split_panel(panel: DataFrame, split_dim: DataFrame) -> DataFrame:
     """Panel rows of the labelled steps, with ``split`` and ``pos`` within it."""
     steps = with_position(split_dim.select(TIME, "split"), TIME, ["split"])
-    return attach(panel, steps, TIME)
+    return attach(panel, materialize(steps, "steps"), TIME)
 
 
 def sliding_windows(
@@ -126,10 +126,6 @@ def sample_ids(split_dim: DataFrame, lag: int, horizon: int) -> DataFrame:
     )
 
 
-def sample_list(windows: DataFrame, keys: Sequence[str] = ("split",)) -> DataFrame:
-    return windows.select(*keys, "sample_id").distinct()
-
-
 def assign_batches(
     samples: DataFrame,
     batch_size: int,

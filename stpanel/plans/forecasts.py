@@ -154,10 +154,11 @@ CORR_SQL = """(SELECT horizon, node_id, covar_pop(pred, "true") AS c, stddev_pop
     FROM {CORR_SQL} GROUP BY horizon""",
 )
 def metric_corr(spark, sf):
-    predictions = fx.predictions(spark, sf)
-    pearson = S.correlation(predictions)
-    sample = S.correlation(predictions, ddof=1).withColumnRenamed("corr", "corr_sample")
-    return rounded(pearson.join(sample, "horizon"), ["corr", "corr_sample"])
+    moments = S.node_moments(fx.predictions(spark, sf))
+    out = moments.groupBy("horizon").agg(
+        S.mean_correlation(0).alias("corr"), S.mean_correlation(1).alias("corr_sample")
+    )
+    return rounded(out, ["corr", "corr_sample"])
 
 
 @query(
@@ -209,13 +210,10 @@ ACC_W_SQL = """SELECT horizon,
 
 @query("acc_weighted", f"SELECT horizon, {r('acc_w')} AS acc_w FROM ({ACC_W_SQL})")
 def acc_weighted(spark, sf):
-    return rounded(_acc(spark, sf), ["acc_w"])
-
-
-def _acc(spark, sf):
-    return S.weighted_acc(
+    acc = S.weighted_acc(
         fx.predictions(spark, sf), fx.weights(spark, sf), fx.train_climatology(spark, sf)
     )
+    return rounded(acc, ["acc_w"])
 
 
 @query(
@@ -225,11 +223,10 @@ def _acc(spark, sf):
 )
 def weighted_average(spark, sf):
     """Both weighted scores averaged over the horizons, as a run reports them."""
-    rmse = S.weighted_rmse(fx.predictions(spark, sf), fx.weights(spark, sf))
-    both = S.horizon_mean(rmse, "rmse_w", "avg_rmse_w").withColumn(
-        "avg_acc_w", S.horizon_mean(_acc(spark, sf), "acc_w", "avg_acc_w").scalar()
+    both = S.weighted_scores(
+        fx.predictions(spark, sf), fx.weights(spark, sf), fx.train_climatology(spark, sf)
     )
-    return rounded(both, ["avg_rmse_w", "avg_acc_w"])
+    return rounded(S.horizon_mean(both, ["rmse_w", "acc_w"]), ["avg_rmse_w", "avg_acc_w"])
 
 
 @query(

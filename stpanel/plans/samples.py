@@ -63,7 +63,7 @@ def tod_feature(spark, sf):
 
 
 def _samples(spark, sf, inputs=("f0",), targets=("f0",), **options):
-    panel = W.split_panel(fx.panel(spark, sf), fx.stored_splits(spark, sf))
+    panel = W.split_panel(fx.panel(spark, sf), fx.split_dim(spark, sf))
     return W.sliding_windows(panel, fx.LAG, fx.HORIZON, list(inputs), list(targets), **options)
 
 
@@ -136,7 +136,7 @@ def window_single(spark, sf):
     ),
 )
 def exog_target_slice(spark, sf):
-    panel = W.split_panel(fx.panel(spark, sf), fx.stored_splits(spark, sf))
+    panel = W.split_panel(fx.panel(spark, sf), fx.split_dim(spark, sf))
     windows = W.exog_target_windows(panel, fx.LAG, fx.HORIZON, ["f0", "f1", "f2"])
     return windows.select(
         "split",
@@ -183,8 +183,7 @@ def _sample_ids(spark, sf):
     WHERE sample_id // 16 < (SELECT count(*) // 16 FROM samples t WHERE t.split = s.split)""",
 )
 def batch_assign(spark, sf):
-    samples = W.sample_list(_samples(spark, sf))
-    return W.assign_batches(samples, 16, drop_last=True)
+    return W.assign_batches(_sample_ids(spark, sf), 16, drop_last=True)
 
 
 @query(

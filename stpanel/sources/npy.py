@@ -18,12 +18,14 @@ Options: ``path``; reading ``layout``, ``features`` (comma-separated names),
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -219,6 +221,8 @@ class NpyWriter(DataSourceArrowWriter):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the format known; executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(NpySource)
 
 
