@@ -8,6 +8,8 @@ input twice, so pass a stored table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,33 +43,40 @@ def best_two_epochs(runs: DataFrame, metric: str, best: str = "min") -> DataFram
     )
 
 
-def best_so_far(runs: DataFrame, metric: str, best: str = "min") -> DataFrame:
+def best_so_far(runs: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
     """Best and second-best distinct value after each epoch, with their epochs.
 
-    A value can first rank second in two ways: it is worse than the best so far,
-    or it was the best and is replaced. Both are candidates at one known epoch,
-    so the second best is a running minimum too.
+    ``metrics`` maps a metric to "min" or "max"; all are traced together. A value
+    can first rank second in two ways: it is worse than the best so far, or it
+    was the best and is replaced. Both are candidates at one known epoch, so the
+    second best is a running minimum too.
     """
-    sign = 1.0 if best == "min" else -1.0
-    cost = _cost(metric, best)
-    entry = F.when(cost.isNotNull(), F.struct(cost.alias("cost"), F.col(EPOCH).alias("at")))
-    rows = runs.select(RUN, EPOCH, entry.alias("_now"))
-    rows = running(rows, EPOCH, {"_before": ("min", F.col("_now"))}, [RUN], inclusive=False)
-    now, before = F.col("_now"), F.col("_before")
-    candidate = F.when(now["cost"] < before["cost"], before).when(
-        now["cost"] > before["cost"], now
-    )
-    rows = running(
-        rows, EPOCH, {"_best": ("min", F.col("_now")), "_second": ("min", candidate)}, [RUN]
-    )
-    return rows.select(
-        RUN,
-        EPOCH,
-        (F.col("_best.cost") * sign).alias("best"),
-        F.col("_best.at").alias("best_epoch"),
-        (F.col("_second.cost") * sign).alias("second"),
-        F.col("_second.at").alias("second_epoch"),
-    )
+    entries = {}
+    for metric, best in metrics.items():
+        cost = _cost(metric, best)
+        entries[f"_now_{metric}"] = F.when(
+            cost.isNotNull(), F.struct(cost.alias("cost"), F.col(EPOCH).alias("at"))
+        )
+    rows = runs.select(RUN, EPOCH, *[entry.alias(name) for name, entry in entries.items()])
+    earlier = {f"_before_{m}": ("min", F.col(f"_now_{m}")) for m in metrics}
+    rows = running(rows, EPOCH, earlier, [RUN], inclusive=False)
+    upto = {}
+    for m in metrics:
+        now, before = F.col(f"_now_{m}"), F.col(f"_before_{m}")
+        candidate = F.when(now["cost"] < before["cost"], before).when(
+            now["cost"] > before["cost"], now
+        )
+        upto |= {f"_best_{m}": ("min", now), f"_second_{m}": ("min", candidate)}
+    rows = running(rows, EPOCH, upto, [RUN])
+    out = []
+    for m, best in metrics.items():
+        sign = 1.0 if best == "min" else -1.0
+        for place in ("best", "second"):
+            out += [
+                (F.col(f"_{place}_{m}.cost") * sign).alias(f"{m}_{place}"),
+                F.col(f"_{place}_{m}.at").alias(f"{m}_{place}_epoch"),
+            ]
+    return rows.select(RUN, EPOCH, *out)
 
 
 def _losses(runs: DataFrame) -> DataFrame:

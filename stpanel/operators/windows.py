@@ -59,28 +59,35 @@ def sliding_windows(
         F.explode(ranges).alias("_range"),
     )
     ahead = Window.partitionBy(*keys, "_range").orderBy("sample_id")
-
-    def step(cols: Sequence[str], k: int) -> Column:
-        row = F.struct(*cols)
-        return row if k == 0 else F.lead(row, k).over(ahead)
-
+    x_steps = range(lag)
     y_steps = [span - 1] if single else range(lag, span)
+    wanted = {(c, k) for cols, steps in ((inputs, x_steps), (targets, y_steps))
+              for c in cols for k in steps if k}
+    # Leads of plain columns; the structs are built from them afterwards.
+    leads = {(c, k): F.lead(c, k).over(ahead) for c, k in sorted(wanted)}
+    names = {key: f"_{i}" for i, key in enumerate(leads)}
     out = rows.select(
         *keys,
         "sample_id",
         "_range",
-        F.array(*[step(inputs, k) for k in range(lag)]).alias("x"),
-        F.array(*[step(targets, k) for k in y_steps]).alias("y"),
-        F.array(*[step(["sample_id"], k) for k in range(span)]).alias("_at"),
+        *values,
+        *[leads[key].alias(name) for key, name in names.items()],
+        F.lead("sample_id", span - 1).over(ahead).alias("_end"),
     )
-    # Complete: the k-th row ahead is exactly k steps ahead. The copies of a
-    # row that only serve the range before are not samples of that range.
+    # Positions are unique and ascending, so the last step is span - 1 ahead
+    # only if none is missing. The copies of a row that only serve the range
+    # before are not samples of that range.
     first = F.col("sample_id")
-    complete = F.col("_at")[span - 1]["sample_id"] == first + (span - 1)
-    for k in range(1, span - 1):
-        complete = complete & (F.col("_at")[k]["sample_id"] == first + k)
-    return out.where(complete & (F.floor(first / F.lit(size)) == F.col("_range"))).drop(
-        "_range", "_at"
+    out = out.where(
+        (F.col("_end") == first + (span - 1)) & (F.floor(first / F.lit(size)) == F.col("_range"))
+    )
+
+    def steps(cols: Sequence[str], at) -> Column:
+        rows_at = (", ".join(f"`{names.get((c, k), c)}` AS `{c}`" for c in cols) for k in at)
+        return F.expr(f"array({', '.join(f'struct({row})' for row in rows_at)})")
+
+    return out.select(
+        *keys, "sample_id", steps(inputs, x_steps).alias("x"), steps(targets, y_steps).alias("y")
     )
 
 

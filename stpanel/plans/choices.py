@@ -48,28 +48,27 @@ def best_two_epochs(spark, sf):
 
 
 def _trace_sql(metric: str, way: str) -> str:
-    return f"""SELECT '{metric}' AS metric, run_id, epoch,
-      max(value) FILTER (place = 1) AS best,
-      CAST(max(seen) FILTER (place = 1) AS INTEGER) AS best_epoch,
-      max(value) FILTER (place = 2) AS second,
-      CAST(max(seen) FILTER (place = 2) AS INTEGER) AS second_epoch
+    return f"""(SELECT run_id, epoch,
+      max(value) FILTER (place = 1) AS {metric}_best,
+      CAST(max(seen) FILTER (place = 1) AS INTEGER) AS {metric}_best_epoch,
+      max(value) FILTER (place = 2) AS {metric}_second,
+      CAST(max(seen) FILTER (place = 2) AS INTEGER) AS {metric}_second_epoch
     FROM (
       SELECT run_id, epoch, value, seen,
              row_number() OVER (PARTITION BY run_id, epoch ORDER BY value {way} NULLS LAST) AS place
       FROM (SELECT a.run_id, a.epoch, b.{metric} AS value, min(b.epoch) AS seen
             FROM runs a JOIN runs b ON b.run_id = a.run_id AND b.epoch <= a.epoch
             GROUP BY a.run_id, a.epoch, b.{metric}))
-    GROUP BY run_id, epoch"""
+    GROUP BY run_id, epoch)"""
 
 
-@query("best_so_far", _trace_sql("rmse_w", "ASC") + " UNION ALL " + _trace_sql("acc_w", "DESC"))
+@query(
+    "best_so_far",
+    f"""SELECT * FROM {_trace_sql("rmse_w", "ASC")}
+    JOIN {_trace_sql("acc_w", "DESC")} USING (run_id, epoch)""",
+)
 def best_so_far(spark, sf):
-    runs = fx.runs(spark, sf)
-    parts = [
-        S.best_so_far(runs, metric, best).selectExpr(f"'{metric}' AS metric", "*")
-        for metric, best in (("rmse_w", "min"), ("acc_w", "max"))
-    ]
-    return parts[0].unionByName(parts[1])
+    return S.best_so_far(fx.runs(spark, sf), {"rmse_w": "min", "acc_w": "max"})
 
 
 @query("early_stop", LOSS_SQL + "SELECT run_id, stop_epoch, reason FROM stops")
