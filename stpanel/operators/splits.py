@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stpanel.operators.ordering import with_position
 from stpanel.operators.panel import TIME
+from stpanel.operators.storage import attach, materialize
 
 SPLITS = ("train", "val", "test")
 
@@ -95,6 +96,28 @@ def split_sizes(split_dim: DataFrame, lag: int, horizon: int) -> DataFrame:
     )
 
 
+def step_runs(split_dim: DataFrame) -> dict[str, tuple[int, int]] | None:
+    """First and last step of each split, or None if a split has gaps."""
+    ends = split_dim.groupBy("split").agg(
+        F.min(TIME).alias("start"), F.max(TIME).alias("end"), F.countDistinct(TIME).alias("n")
+    )
+    rows = ends.collect()  # one row per split
+    if any(row["end"] - row["start"] + 1 != row["n"] for row in rows):
+        return None
+    return {row["split"]: (row["start"], row["end"]) for row in rows}
+
+
+def split_rows(panel: DataFrame, split_dim: DataFrame, split: str) -> DataFrame:
+    """Panel rows of one split: a range filter on the step if the split has no gaps."""
+    steps = split_dim.where(F.col("split") == split).select(TIME, "split")
+    runs = step_runs(steps)
+    if runs is None:
+        return attach(panel, materialize(steps.select(TIME), "steps"), TIME, "left_semi")
+    if split not in runs:
+        return panel.where(F.lit(False))
+    return panel.where(F.col(TIME).between(*runs[split]))
+
+
 def require_splits(split_dim: DataFrame) -> None:
     """Raise if both the training and the test split are empty; others may be."""
     if split_dim.where(F.col("split").isin("train", "test")).isEmpty():

@@ -17,15 +17,32 @@ from pyspark.sql import functions as F
 
 from stpanel.operators.ordering import with_position
 from stpanel.operators.panel import NODE, TIME
+from stpanel.operators.splits import step_runs
 from stpanel.operators.storage import attach, materialize
 
 WINDOW_RANGE = 4096
 
 
 def split_panel(panel: DataFrame, split_dim: DataFrame) -> DataFrame:
-    """Panel rows of the labelled steps, with ``split`` and ``pos`` within it."""
-    steps = with_position(split_dim.select(TIME, "split"), TIME, ["split"])
-    return attach(panel, materialize(steps, "steps"), TIME)
+    """Panel rows of the labelled steps, with ``split`` and ``pos`` within it.
+
+    If every split is a gapless run of steps, label and position are arithmetic
+    on the step and the step bounds reach the scan. Otherwise the ranked steps
+    are stored and looked up.
+    """
+    runs = step_runs(split_dim)
+    if runs is None:
+        steps = with_position(split_dim.select(TIME, "split"), TIME, ["split"])
+        return attach(panel, materialize(steps, "steps"), TIME)
+    step, label, first, kept = F.col(TIME), F.lit(None), F.lit(None), F.lit(False)
+    for split, (start, end) in runs.items():
+        inside = step.between(start, end)
+        kept = kept | inside
+        label = F.when(inside, split).otherwise(label)
+        first = F.when(inside, start).otherwise(first)
+    return panel.where(kept).withColumns(
+        {"split": label.cast("string"), "pos": (step - first).cast("long")}
+    )
 
 
 def sliding_windows(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stpanel.operators.ordering import with_position
 from stpanel.operators.panel import NODE, TIME, flat_keys, flatten
-from stpanel.operators.splits import split_calendar
+from stpanel.operators.splits import split_calendar, split_rows
 from stpanel.operators.stats import climatology, lat_weights
 from stpanel.operators.storage import materialize
 from stpanel.operators.windows import sliding_windows
@@ -87,7 +87,7 @@ def predictions(spark: SparkSession, sf: str, target: str = "f0") -> DataFrame:
 
 
 def train_climatology(spark: SparkSession, sf: str) -> DataFrame:
-    train = panel(spark, sf).join(split_dim(spark, sf).where("split = 'train'"), TIME)
+    train = split_rows(panel(spark, sf), split_dim(spark, sf), "train")
     return climatology(train, node_dim(spark, sf), "f0")
 
 
