@@ -105,16 +105,17 @@ class NpySource(DataSource):
 
     def reader(self, schema: StructType) -> NpyReader:
         array = _mapped(self.options["path"])
-        return NpyReader(dict(self.options), self._layout(array))
+        return NpyReader(dict(self.options), self._layout(array), schema.names)
 
     def writer(self, schema: StructType, overwrite: bool) -> NpyWriter:
         return NpyWriter(dict(self.options), schema.names, overwrite)
 
 
 class NpyReader(DataSourceReader):
-    def __init__(self, options: dict, layout: str):
+    def __init__(self, options: dict, layout: str, names: list[str]):
         self.path = options["path"]
         self.layout = layout
+        self.names = names
         self.first = int(options.get("startStep", options.get("startstep", 0)))
         end = options.get("endStep", options.get("endstep"))
         self.end = None if end is None else int(end)
@@ -159,8 +160,7 @@ class NpyReader(DataSourceReader):
             block = np.asarray(cells[at:to], dtype="float64")
             cols = [pa.array((index // n).astype("int32")), pa.array((index % n).astype("int32"))]
             cols += [pa.array(block[:, f].copy()) for f in range(block.shape[1])]
-            names = ["time_step", "node_id", *[f"f{f}" for f in range(block.shape[1])]]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            yield pa.RecordBatch.from_arrays(cols, names=self.names)
 
 
 @dataclass
