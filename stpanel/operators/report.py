@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from stpanel.operators.panel import NODE, TIME
 from stpanel.operators.sampling import stride_sample
 from stpanel.operators.stats import step_evolution
+from stpanel.operators.storage import materialize
 
 
 def step_series(panel: DataFrame, col: str, points: int = 500) -> DataFrame:
-    """Average and maximum per step, thinned to about ``points`` steps."""
-    return stride_sample(step_evolution(panel, col), points)
+    """Average and maximum per step, thinned to about ``points`` steps.
+
+    The steps are stored once: thinning counts and ranks them before it picks.
+    """
+    return stride_sample(materialize(step_evolution(panel, col), "steps"), points)
 
 
 def time_slice(panel: DataFrame, step: int, cols: list[str]) -> DataFrame:

@@ -41,10 +41,15 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
     return flatten(table(spark, sf, "events"), "event_id", N_NODES, features)
 
 
+def n_steps(rows: DataFrame) -> int:
+    return rows.agg(F.max(TIME) + 1).first()[0]
+
+
 def time_dim(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored time coordinates: the first event of each step."""
     step, _ = flat_keys("event_id", N_NODES)
     first = table(spark, sf, "events").groupBy(step).agg(F.min("ts").alias("coord"))
-    return load_time_dim(first, TIME, "coord")
+    return materialize(load_time_dim(first, TIME, "coord"), "time")
 
 
 def node_dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,10 +142,11 @@ def order_batches(spark: SparkSession, sf: str) -> DataFrame:
         (F.year(day) * 12 + F.month(day)).alias("month"),
         F.sqrt("o_totalprice").alias("loss"),
     )
-    months = with_position(
-        rows.select("run_id", "month").distinct(), "month", ["run_id"], "epoch"
-    ).withColumn("epoch", (F.col("epoch") + 1).cast("int"))
-    return rows.join(months, ["run_id", "month"])
+    months = materialize(rows.select("run_id", "month").distinct(), "months")
+    epochs = with_position(months, "month", ["run_id"], "epoch").withColumn(
+        "epoch", (F.col("epoch") + 1).cast("int")
+    )
+    return rows.join(epochs, ["run_id", "month"])
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,8 +19,7 @@ PANEL_SQL = "SELECT time_step, node_id, f0, f1, f2, f3 FROM panel"
 def npy_scan(spark, sf):
     panel = fx.panel(spark, sf)
     path = scratch_path(spark, "x") + ".npy"
-    steps = panel.agg(F.max("time_step") + 1).first()[0]
-    npy.write_npy(panel, path, steps, fx.N_NODES, dtype="float64")
+    npy.write_npy(panel, path, fx.n_steps(panel), fx.N_NODES, dtype="float64")
     return npy.read_npy(spark, path, features="f0,f1,f2,f3")
 
 
@@ -119,8 +118,8 @@ def feature_view(spark, sf):
            {r("CAST(CAST(f3 AS FLOAT) AS DOUBLE)")} AS f3 FROM panel""",
 )
 def tensor_export(spark, sf):
-    path = scratch_path(spark, "tensor")
-    tables.export_tensor(fx.panel(spark, sf), fx.FEATURES, path)
+    panel, path = fx.panel(spark, sf), scratch_path(spark, "tensor")
+    tables.export_tensor(panel, fx.FEATURES, path, fx.n_steps(panel), fx.N_NODES)
     back = tables.read_tensor(spark, path, fx.FEATURES)
     return back.select(
         "time_step",
@@ -139,7 +138,7 @@ def tensor_export(spark, sf):
 )
 def roundtrip_maxdiff(spark, sf):
     panel, path = fx.panel(spark, sf), scratch_path(spark, "tensor")
-    tables.export_tensor(panel, fx.FEATURES, path)
+    tables.export_tensor(panel, fx.FEATURES, path, fx.n_steps(panel), fx.N_NODES)
     back = tables.read_tensor(spark, path, fx.FEATURES)
     diff = tables.max_abs_difference(panel, back, fx.FEATURES)
     return rounded(diff, [f"diff_{c}" for c in fx.FEATURES], 9)
@@ -161,7 +160,7 @@ def dim_load(spark, sf):
     nodes = materialize(fx.node_dim(spark, sf).join(degrees, "node_id"), "nodes")
     rows = P.time_join(
         fx.panel(spark, sf).select("time_step", "node_id"),
-        materialize(fx.time_dim(spark, sf), "time"),
+        fx.time_dim(spark, sf),
     )
     return attach(rows, nodes, "node_id")
 
@@ -210,7 +209,7 @@ def feature_slice(spark, sf):
     "SELECT time_step, node_id, f0, coord FROM panel JOIN time_dim USING (time_step)",
 )
 def time_join(spark, sf):
-    dim = materialize(fx.time_dim(spark, sf), "time")
+    dim = fx.time_dim(spark, sf)
     return P.time_join(fx.panel(spark, sf).select("time_step", "node_id", "f0"), dim)
 
 
@@ -229,7 +228,7 @@ def _gapped(spark, sf):
     EXCEPT SELECT time_step, node_id FROM {GAPPED}""",
 )
 def panel_gaps(spark, sf):
-    dim = materialize(fx.time_dim(spark, sf), "time")
+    dim = fx.time_dim(spark, sf)
     return P.panel_gaps(_gapped(spark, sf), dim, fx.node_dim(spark, sf))
 
 

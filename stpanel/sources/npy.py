@@ -5,7 +5,7 @@ Reading: an array ``(T, N, F)`` or ``(T, N)`` becomes panel rows, ``(n,)`` becom
 ``(src, dst)``. Each input partition maps one slice of the file and yields Arrow
 batches, so no task and no driver holds the array.
 
-Writing: rows of a dense panel, range-partitioned and sorted by step and node,
+Writing: rows of a dense panel, placed in row-major order (``in_tensor_order``),
 become one ``(T, N, F)`` array. Each task writes a gapless run of cells at their
 place in the file; the file gets its name only after the runs are seen to tile
 the whole array. A retried task writes the same bytes again.
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -43,6 +43,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from stpanel.operators.panel import in_tensor_order
+
 PARTITION_BYTES = 128 * 1024 * 1024
 BATCH_ROWS = 65_536
 
@@ -226,17 +228,15 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(NpySource)
 
 
-def read_npy(spark: SparkSession, path: str, **options):
+def read_npy(spark: SparkSession, path: str, **options) -> DataFrame:
     register(spark)
     return spark.read.format("npy").options(**options).load(path)
 
 
-def write_npy(panel, path: str, steps: int, nodes: int, dtype: str = "float32") -> None:
-    """Write a dense panel as one array file; tasks hold time-ordered rows."""
+def write_npy(panel: DataFrame, path: str, steps: int, nodes: int, dtype: str = "float32") -> None:
+    """Write a dense panel as one array file; each task writes one run of cells."""
     register(panel.sparkSession)
-    ordered = panel.repartitionByRange("time_step", "node_id").sortWithinPartitions(
-        "time_step", "node_id"
-    )
+    ordered = in_tensor_order(panel, steps, nodes)
     ordered.write.format("npy").mode("overwrite").options(
         steps=steps, nodes=nodes, dtype=dtype
     ).save(path)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stpanel.operators.panel import NODE, TIME
+from stpanel.operators.panel import NODE, TIME, in_tensor_order
 from stpanel.sources.npy import register
 
 # Names of the known datasets and the files to try for each, in
@@ -86,19 +86,22 @@ def load_edges(rows: DataFrame, src: str, dst: str) -> DataFrame:
     return rows.select(F.col(src).cast("long").alias("src"), F.col(dst).cast("long").alias("dst"))
 
 
-def write_panel(panel: DataFrame, path: str, bucket: int | None = None) -> None:
+def write_panel(
+    panel: DataFrame, path: str, bucket: int | None = None, tile: int = 4096
+) -> None:
     """Overwrite a Parquet panel, ordered by time inside each file.
 
     With ``bucket``, steps are also stored in folders of that many steps, so a
     filter on ``time_bucket`` skips whole folders and one on ``time_step`` skips
-    row groups.
+    row groups. Tasks get tiles of one bucket and ``tile`` nodes, which bounds
+    their rows whatever the number of steps or nodes.
     """
     if bucket is None:
         panel.write.mode("overwrite").parquet(path)
         return
     rows = panel.withColumn("time_bucket", F.floor(F.col(TIME) / F.lit(bucket)).cast("int"))
     (
-        rows.repartitionByRange("time_bucket", TIME, NODE)
+        rows.repartition(F.col("time_bucket"), F.floor(F.col(NODE) / F.lit(tile)))
         .sortWithinPartitions("time_bucket", TIME, NODE)
         .write.mode("overwrite")
         .partitionBy("time_bucket")
@@ -106,22 +109,16 @@ def write_panel(panel: DataFrame, path: str, bucket: int | None = None) -> None:
     )
 
 
-def tensor_rows(panel: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Cells of the tensor in row-major order, one FLOAT array per step and node.
+def export_tensor(
+    panel: DataFrame, features: Sequence[str], path: str, steps: int, nodes: int
+) -> None:
+    """Write the tensor as rows: one FLOAT array over features per step and node.
 
-    Range partitions follow the order, so the files read in name order are the
-    tensor; no time step and no file has to fit into one task's memory.
+    Cells are in row-major order, so the files read in name order are the tensor.
     """
     cell = F.array(*[F.col(c).cast("float") for c in features])
-    return (
-        panel.select(TIME, NODE, cell.alias("cell"))
-        .repartitionByRange(TIME, NODE)
-        .sortWithinPartitions(TIME, NODE)
-    )
-
-
-def export_tensor(panel: DataFrame, features: Sequence[str], path: str) -> None:
-    tensor_rows(panel, features).write.mode("overwrite").parquet(path)
+    rows = in_tensor_order(panel.select(TIME, NODE, cell.alias("cell")), steps, nodes)
+    rows.write.mode("overwrite").parquet(path)
 
 
 def read_tensor(spark: SparkSession, path: str, features: Sequence[str]) -> DataFrame:

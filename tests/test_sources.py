@@ -3,6 +3,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stpanel.operators.panel import in_tensor_order
 from stpanel.sources import npy, tables
 from tests.test_panel import cube, tensor
 
@@ -58,7 +59,10 @@ def test_bad_arrays_are_refused(spark, array, tmp_path):
 def test_write_is_the_array_file(spark, array, tmp_path):
     path = str(tmp_path / "out" / "x.npy")
     panel = cube(spark, array.astype("float64"), partitions=7)
-    npy.write_npy(panel, path, *array.shape[:2])
+    ordered = in_tensor_order(panel, *array.shape[:2], rows=20)
+    assert ordered.rdd.getNumPartitions() == 7  # 138 cells
+    npy.register(spark)
+    ordered.write.format("npy").mode("append").options(steps=23, nodes=6).save(path)
     got = np.load(path)
     assert got.dtype == np.float32
     np.testing.assert_array_equal(got, array)
@@ -103,7 +107,7 @@ def test_panel_and_tensor_files(spark, array, tmp_path):
     cols = ["f0", "f1", "f2"]
     np.testing.assert_array_equal(tensor(back, array.shape, cols), array)
 
-    tables.export_tensor(panel, cols, str(tmp_path / "t"))
+    tables.export_tensor(panel, cols, str(tmp_path / "t"), *array.shape[:2])
     tensor_back = tables.read_tensor(spark, str(tmp_path / "t"), cols)
     assert dict(tensor_back.dtypes)["f0"] == "float"
     diff = tables.max_abs_difference(panel, tensor_back, cols).first()
