@@ -97,14 +97,11 @@ def early_stop(runs: DataFrame, patience: int) -> DataFrame:
     patience when the last strict improvement is ``patience`` epochs back. At the
     same epoch divergence comes first. ``stop_epoch`` is NULL if neither happens.
     """
-    rows = running(
-        _losses(runs), EPOCH, {"_before": ("min", F.col("_loss"))}, [RUN], inclusive=False
-    )
-    improved = F.col("_loss").isNotNull() & (
-        F.col("_before").isNull() | (F.col("_loss") < F.col("_before"))
-    )
-    rows = running(rows, EPOCH, {"_last": ("max", F.when(improved, F.col(EPOCH)))}, [RUN])
-    stalled = F.col(EPOCH) - F.coalesce("_last", F.lit(0)) == patience
+    loss = F.col("_loss")
+    entry = F.when(loss.isNotNull(), F.struct(loss.alias("loss"), F.col(EPOCH).alias("at")))
+    # The last strict improvement is where the lowest loss so far first occurred.
+    rows = running(_losses(runs), EPOCH, {"_best": ("min", entry)}, [RUN])
+    stalled = F.col(EPOCH) - F.coalesce("_best.at", F.lit(0)) == patience
     ends = rows.groupBy(RUN).agg(
         F.min(F.when(F.col("_diverged"), F.col(EPOCH))).alias("_d"),
         F.min(F.when(stalled, F.col(EPOCH))).alias("_p"),

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stpanel.operators.ordering import with_position
 from stpanel.operators.panel import NODE, TIME, flat_keys, flatten
@@ -26,8 +27,15 @@ BOUNDS = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is read from the files once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,28 +142,35 @@ def node_vectors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as training batches: a run per priority, an epoch per month."""
+def _monthly_orders(spark: SparkSession, sf: str) -> DataFrame:
     day = F.col("o_orderdate")
-    rows = table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("run_id"),
         (F.year(day) * 12 + F.month(day)).alias("month"),
         F.sqrt("o_totalprice").alias("loss"),
     )
-    months = materialize(rows.select("run_id", "month").distinct(), "months")
-    epochs = with_position(months, "month", ["run_id"], "epoch").withColumn(
+
+
+def _with_epoch(months: DataFrame) -> DataFrame:
+    """Number the months of each run from 1."""
+    return with_position(months, "month", ["run_id"], "epoch").withColumn(
         "epoch", (F.col("epoch") + 1).cast("int")
     )
-    return rows.join(epochs, ["run_id", "month"])
+
+
+def order_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as training batches: a run per priority, an epoch per month."""
+    rows = _monthly_orders(spark, sf)
+    months = materialize(rows.select("run_id", "month").distinct(), "months")
+    return rows.join(_with_epoch(months), ["run_id", "month"])
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
     """Stored epoch metrics with ties; one run diverges, one has NaN losses."""
-    stats = (
-        order_batches(spark, sf)
-        .groupBy("run_id", "epoch")
-        .agg(F.avg("loss").alias("_t"), F.stddev_samp("loss").alias("_v"))
+    months = _monthly_orders(spark, sf).groupBy("run_id", "month").agg(
+        F.avg("loss").alias("_t"), F.stddev_samp("loss").alias("_v")
     )
+    stats = _with_epoch(materialize(months, "months"))
     diverged = (F.col("run_id").startswith("3")) & (F.col("epoch") == 4)
     broken = (F.col("run_id").startswith("2")) & (F.pmod("epoch", F.lit(4)) == 1)
     table = stats.select(
