@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,20 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a DataFrame in memory, spilling to disk, while the block runs.
+
+    For interactive reuse; a lost executor recomputes its part. Use
+    ``materialize`` where the lineage is long.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def attach(
     big: DataFrame,
     lookup: DataFrame,

@@ -28,8 +28,9 @@ def connect(sf_dir):
 
 
 def canonical(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else value + 0.0
+    """Comparable form; negative zero and NaN are told apart from 0.0."""
+    if isinstance(value, float) and (math.isnan(value) or str(value) == "-0.0"):
+        return str(value)
     return value
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stpanel.operators.ordering import running, with_position
 from stpanel.operators.sampling import hash_sample, hottest_cell, stride_sample
-from stpanel.operators.storage import attach, materialize, scratch_root
+from stpanel.operators.storage import attach, cached, materialize, scratch_root
 from stpanel.operators.windows import assign_batches, batches_per_epoch, shuffle_samples
 
 NAN = float("nan")
@@ -100,3 +100,10 @@ def test_attach_broadcasts_only_below_the_limit(spark):
 
 def test_scratch_is_the_checkpoint_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_cached_ends_with_the_block(spark):
+    with cached(spark.range(100)) as df:
+        assert df.count() == 100
+        assert df.storageLevel.useMemory and df.storageLevel.useDisk
+    assert not df.storageLevel.useMemory
