@@ -50,9 +50,9 @@ def best_two_epochs(spark, sf):
 def _trace_sql(metric: str, way: str) -> str:
     return f"""(SELECT run_id, epoch,
       max(value) FILTER (place = 1) AS {metric}_best,
-      CAST(max(seen) FILTER (place = 1) AS INTEGER) AS {metric}_best_epoch,
+      CAST(max(seen) FILTER (place = 1 AND value IS NOT NULL) AS INTEGER) AS {metric}_best_epoch,
       max(value) FILTER (place = 2) AS {metric}_second,
-      CAST(max(seen) FILTER (place = 2) AS INTEGER) AS {metric}_second_epoch
+      CAST(max(seen) FILTER (place = 2 AND value IS NOT NULL) AS INTEGER) AS {metric}_second_epoch
     FROM (
       SELECT run_id, epoch, value, seen,
              row_number() OVER (PARTITION BY run_id, epoch ORDER BY value {way} NULLS LAST) AS place

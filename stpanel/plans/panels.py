@@ -337,12 +337,12 @@ def partition_counts(spark, sf):
     SELECT count(DISTINCT time_step) AS n_steps, count(DISTINCT node_id) AS n_nodes,
            CAST(4 AS BIGINT) AS n_features, (SELECT max(v) FROM v) AS max_value,
            (SELECT min(v) FROM v) AS min_value,
-           {r("(SELECT avg(v) FROM v)")} AS mean_value,
-           {r("(SELECT median(v) FROM v)")} AS median_value FROM panel""",
+           {r("(SELECT avg(v) FROM v)", 9)} AS mean_value,
+           {r("(SELECT median(v) FROM v)", 9)} AS median_value FROM panel""",
 )
 def panel_profile(spark, sf):
     out = stats.panel_profile(fx.panel(spark, sf), fx.FEATURES)
-    return rounded(out, ["mean_value", "median_value"])
+    return rounded(out, ["mean_value", "median_value"], 9)
 
 
 @query("climatology", f"SELECT node_id, {r('clim')} AS clim FROM clim")
