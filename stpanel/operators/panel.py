@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,12 +71,13 @@ def matrix_to_panel(matrix: DataFrame, time: str, values: str, feature: str = "f
 def ingest_frame(spark: SparkSession, frame, max_rows: int = 1_000_000) -> DataFrame:
     """DataFrame from a small pandas frame held by the driver.
 
-    Meant for dimensions and tests. Larger inputs are refused: read them with
+    The frame goes through Arrow, which keeps its column types and turns NaN
+    into NULL. Meant for dimensions and tests. Larger inputs are refused: read them with
     the tensor or Parquet source, which never pass through the driver.
     """
     if len(frame) > max_rows:
         raise ValueError(f"{len(frame)} driver rows; read more than {max_rows} from files")
-    return spark.createDataFrame(frame)
+    return spark.createDataFrame(pa.Table.from_pandas(frame, preserve_index=False))
 
 
 def feature_view(

@@ -54,6 +54,15 @@ def test_matrix_to_panel(spark):
     assert got == [(0, 0, 1.0), (0, 1, 2.0), (1, 0, 3.0), (1, 1, 4.0)]
 
 
+def test_ingest_keeps_types(spark):
+    frame = pd.DataFrame(
+        {"k": np.arange(2, dtype="int32"), "x": np.array([1.5, NAN], dtype="float32")}
+    )
+    got = P.ingest_frame(spark, frame)
+    assert got.dtypes == [("k", "int"), ("x", "float")]
+    assert [tuple(r) for r in got.orderBy("k").collect()] == [(0, 1.5), (1, None)]
+
+
 def test_ingest_refuses_large_frames(spark):
     with pytest.raises(ValueError):
         P.ingest_frame(spark, pd.DataFrame({"x": range(11)}), max_rows=10)

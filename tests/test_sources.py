@@ -4,6 +4,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stpanel.operators.panel import in_tensor_order
+from stpanel.operators.splits import split_rows
 from stpanel.sources import npy, tables
 from tests.test_panel import cube, tensor
 
@@ -129,3 +130,17 @@ def test_journal_appends(spark, tmp_path):
         tables.append_journal(rows, str(tmp_path / "j"))
     got = spark.read.parquet(str(tmp_path / "j"))
     assert got.count() == 2 and got.where("logged_at IS NULL").isEmpty()
+
+
+def test_step_filters_reach_the_files(spark, array, tmp_path):
+    tables.write_panel(cube(spark, array.astype("float64")), str(tmp_path / "p"), bucket=5)
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    steps = spark.createDataFrame(
+        [(i, "train" if i < 15 else "test") for i in range(23)], "time_step int, split string"
+    )
+    train = split_rows(stored, steps, "train").where("time_bucket < 2").select("time_step", "f1")
+    plan = train._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time_step,0), LessThanOrEqual(time_step,14)" in plan
+    assert "PartitionFilters: [isnotnull(time_bucket" in plan
+    assert plan.split("ReadSchema: ")[1].split(">")[0] == "struct<time_step:int,f1:double"
+    assert train.count() == 10 * 6
