@@ -1,9 +1,10 @@
-"""Spark data source ``npy``: dense ``.npy`` arrays on a shared file system.
+"""Spark data source ``npy``: dense ``.npy`` arrays on shared storage.
 
 Reading: an array ``(T, N, F)`` or ``(T, N)`` becomes panel rows, ``(n,)`` becomes
 ``(position, value)``, and with ``layout=edges`` an array ``(2, E)`` becomes
-``(src, dst)``. Each input partition maps one slice of the file and yields Arrow
-batches, so no task and no driver holds the array.
+``(src, dst)``. Each input partition reads the byte ranges of one slice, from any
+file system Arrow can open, and yields Arrow batches, so no task and no driver
+holds the array.
 
 Writing: rows of a dense panel, placed in row-major order (``in_tensor_order``),
 become one ``(T, N, F)`` array. Each task writes a gapless run of cells at their
@@ -17,6 +18,7 @@ Options: ``path``; reading ``layout``, ``features`` (comma-separated names),
 
 from __future__ import annotations
 
+import math
 import os
 import sys
 import uuid
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
@@ -50,11 +53,49 @@ BATCH_ROWS = 65_536
 
 
 def _local(path: str) -> str:
+    """Path of a mounted file; the writer needs to write at any position."""
+    if "://" in path and not path.startswith("file://"):
+        raise ValueError(f"arrays are written to mounted file systems only, not {path}")
     return path.removeprefix("file://").removeprefix("file:")
 
 
-def _mapped(path: str) -> np.ndarray:
-    return np.load(_local(path), mmap_mode="r")
+def _open(path: str) -> pa.NativeFile:
+    if "://" in path and not path.startswith("file://"):
+        system, name = fs.FileSystem.from_uri(path)
+        return system.open_input_file(name)
+    return fs.LocalFileSystem().open_input_file(_local(path))
+
+
+@dataclass
+class Header:
+    """What the head of an array file says, and where its cells begin."""
+
+    shape: tuple[int, ...]
+    dtype: np.dtype
+    offset: int
+
+    @property
+    def ndim(self) -> int:
+        return len(self.shape)
+
+
+def _header(path: str) -> Header:
+    parsers = {
+        (1, 0): np.lib.format.read_array_header_1_0,
+        (2, 0): np.lib.format.read_array_header_2_0,
+    }
+    with _open(path) as file:
+        shape, by_column, dtype = parsers[np.lib.format.read_magic(file)](file)
+        if by_column and len(shape) > 1:
+            raise ValueError("arrays must be stored row by row")
+        return Header(shape, dtype, file.tell())
+
+
+def _values(file: pa.NativeFile, header: Header, start: int, stop: int) -> np.ndarray:
+    """Cells ``start`` to ``stop`` of the flat array."""
+    size = header.dtype.itemsize
+    file.seek(header.offset + start * size)
+    return np.frombuffer(file.read((stop - start) * size), dtype=header.dtype)
 
 
 @dataclass
@@ -68,7 +109,7 @@ class NpySource(DataSource):
     def name(cls) -> str:
         return "npy"
 
-    def _layout(self, array: np.ndarray) -> str:
+    def _layout(self, array: Header) -> str:
         layout = self.options.get("layout")
         if layout is None:
             layout = "vector" if array.ndim == 1 else "panel"
@@ -79,7 +120,7 @@ class NpySource(DataSource):
             raise ValueError(f"edges need shape (2, E), not {array.shape}")
         return layout
 
-    def _features(self, array: np.ndarray) -> list[str]:
+    def _features(self, array: Header) -> list[str]:
         n = array.shape[2] if array.ndim == 3 else 1
         given = self.options.get("features")
         names = [s.strip() for s in given.split(",")] if given else [f"f{i}" for i in range(n)]
@@ -88,7 +129,7 @@ class NpySource(DataSource):
         return names
 
     def schema(self) -> StructType:
-        array = _mapped(self.options["path"])
+        array = _header(self.options["path"])
         layout = self._layout(array)
         if layout == "panel":
             keys = [StructField("time_step", IntegerType()), StructField("node_id", IntegerType())]
@@ -106,7 +147,7 @@ class NpySource(DataSource):
         return StructType([StructField("position", LongType()), StructField("value", value)])
 
     def reader(self, schema: StructType) -> NpyReader:
-        array = _mapped(self.options["path"])
+        array = _header(self.options["path"])
         return NpyReader(dict(self.options), self._layout(array), schema.names)
 
     def writer(self, schema: StructType, overwrite: bool) -> NpyWriter:
@@ -126,43 +167,47 @@ class NpyReader(DataSourceReader):
         )
 
     def partitions(self) -> list[Slice]:
-        array = _mapped(self.path)
+        array = _header(self.path)
         length = array.shape[1] if self.layout == "edges" else array.shape[0]
         stop = length if self.end is None else min(self.end, length)
         start = max(self.first, 0)
-        per_item = max(1, array.nbytes // max(1, length))
-        count = max(1, self.bytes // per_item)
+        per_item = array.dtype.itemsize * math.prod(array.shape) // max(1, length)
+        count = max(1, self.bytes // max(1, per_item))
         return [Slice(i, min(i + count, stop)) for i in range(start, stop, count)]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
-        array = _mapped(self.path)
-        if self.layout == "panel":
-            yield from self._panel(array, partition)
-            return
-        for at in range(partition.start, partition.stop, BATCH_ROWS):
-            to = min(at + BATCH_ROWS, partition.stop)
-            if self.layout == "edges":
-                cols = {"src": array[0, at:to].astype("int64"), "dst": array[1, at:to].astype("int64")}
-            else:
-                values = array[at:to]
-                kind = {"M": "datetime64[us]", "i": "int64", "u": "int64"}
-                cols = {
-                    "position": np.arange(at, to, dtype="int64"),
-                    "value": values.astype(kind.get(values.dtype.kind, "float64")),
-                }
-            yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in cols.items()})
-
-    def _panel(self, array: np.ndarray, partition: Slice) -> Iterator[pa.RecordBatch]:
-        """Batches of at most BATCH_ROWS cells, also within one wide time step."""
-        n = array.shape[1]
-        cells = array.reshape(array.shape[0] * n, -1)
-        for at in range(partition.start * n, partition.stop * n, BATCH_ROWS):
-            to = min(at + BATCH_ROWS, partition.stop * n)
-            index = np.arange(at, to, dtype="int64")
-            block = np.asarray(cells[at:to], dtype="float64")
-            cols = [pa.array((index // n).astype("int32")), pa.array((index % n).astype("int32"))]
-            cols += [pa.array(block[:, f].copy()) for f in range(block.shape[1])]
-            yield pa.RecordBatch.from_arrays(cols, names=self.names)
+        """Batches of at most BATCH_ROWS rows, also within one wide time step."""
+        array = _header(self.path)
+        nodes = array.shape[1] if self.layout == "panel" else 1
+        make = {"panel": self._panel, "edges": self._edges, "vector": self._vector}[self.layout]
+        with _open(self.path) as file:
+            for at in range(partition.start * nodes, partition.stop * nodes, BATCH_ROWS):
+                to = min(at + BATCH_ROWS, partition.stop * nodes)
+                cols = make(file, array, at, to)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=self.names)
+
+    def _panel(self, file, array: Header, at: int, to: int) -> list[np.ndarray]:
+        nodes = array.shape[1]
+        width = array.shape[2] if array.ndim == 3 else 1
+        index = np.arange(at, to, dtype="int64")
+        cells = _values(file, array, at * width, to * width).reshape(-1, width)
+        by_feature = np.ascontiguousarray(cells.T, dtype="float64")
+        return [(index // nodes).astype("int32"), (index % nodes).astype("int32"), *by_feature]
+
+    def _edges(self, file, array: Header, at: int, to: int) -> list[np.ndarray]:
+        ends = [
+            _values(file, array, row * array.shape[1] + at, row * array.shape[1] + to)
+            for row in (0, 1)
+        ]
+        return [end.astype("int64") for end in ends]
+
+    def _vector(self, file, array: Header, at: int, to: int) -> list[np.ndarray]:
+        values = _values(file, array, at, to)
+        kinds = {"M": "datetime64[us]", "i": "int64", "u": "int64"}
+        return [
+            np.arange(at, to, dtype="int64"),
+            values.astype(kinds.get(values.dtype.kind, "float64")),
+        ]
 
 
 @dataclass

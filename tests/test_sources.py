@@ -49,6 +49,18 @@ def test_read_matrix_vectors_and_edges(spark, tmp_path):
     assert sorted(tuple(r) for r in edges.collect()) == [(0, 1), (1, 0), (1, 0)]
 
 
+def test_wide_steps_and_other_orders(spark, tmp_path):
+    """Batches end inside a step; column-major files are refused."""
+    wide = np.arange(2 * 70_000, dtype="int32").reshape(2, 70_000)
+    np.save(tmp_path / "w.npy", wide)
+    df = npy.read_npy(spark, "file://" + str(tmp_path / "w.npy"))
+    row = df.agg(F.count("f0"), F.sum(F.abs(F.col("f0") - F.col("time_step") * 70_000 - F.col("node_id"))))
+    assert tuple(row.first()) == (140_000, 0.0)
+    np.save(tmp_path / "f.npy", np.asfortranarray(np.ones((3, 2))))
+    with pytest.raises(PySparkException):
+        npy.read_npy(spark, str(tmp_path / "f.npy")).count()
+
+
 def test_bad_arrays_are_refused(spark, array, tmp_path):
     path = str(tmp_path / "x.npy")
     np.save(path, array)
