@@ -1,7 +1,8 @@
 """Normalizers: fit once, then transform and invert anywhere.
 
-Fitted statistics stay in a table. One-row statistics enter the plan as a
-scalar subquery; per-node statistics are stored once and joined on the node.
+Fitting reads its rows once and stores the statistics as a table. One-row
+statistics then enter a plan as a scalar subquery on that table, per-node
+statistics as a join on the node, so no later use reads the fitted rows again.
 """
 
 from __future__ import annotations
@@ -119,9 +120,7 @@ def fit(
             )
     else:
         stats = _ranges(grouped, names, pooled=scope == "global", unit_zero=kind == "cmax")
-    if scope == "column":
-        stats = materialize(stats, "scaler")
-    return Scaler(kind, scope, names, node, stats)
+    return Scaler(kind, scope, names, node, materialize(stats, "scaler"))
 
 
 def _pooled_std(grouped, names: Sequence[str], ddof: int) -> DataFrame:
