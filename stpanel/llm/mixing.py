@@ -89,26 +89,29 @@ def mix(
     doc_id: str = "doc_id",
     weights: Sequence[int] = (1, 2, 3),
     most: int = 3,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every row of ``docs``.
 
+    With ``keep``, those columns as the struct ``kept`` instead of ``doc_id``.
+
     ``taken`` counts words with repeats: ``taken div size`` whole copies and one
     cut copy. A source's taken words are its target, rounded down.
     """
-    sized = materialize(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.coalesce(F.col(source), F.lit("")).alias("source"),
-            F.col(source).isNull().alias("none"),
-            word_count(text).alias("size"),
-            random_key(doc_id).alias("key"),
-        ),
-        "mix-sizes",
+    keyed = docs.select(
+        F.struct(*(keep or [F.col(doc_id).alias("doc_id")])).alias("kept"),
+        F.col(doc_id).alias("doc_id"),
+        F.coalesce(F.col(source), F.lit("")).alias("source"),
+        F.col(source).isNull().alias("none"),
+        word_count(text).alias("size"),
+        random_key(doc_id).alias("key"),
     )
+    sized = materialize(keyed.drop("kept"), "mix-sizes")
     fine = max(1, sized.count() // (COARSE * ROWS))
     coarse = F.shiftright("key", KEY_BITS - 10)
     inner = F.col("key").bitwiseAND((1 << (KEY_BITS - 10)) - 1)
-    rows = sized.withColumns({"coarse": coarse, "fine": F.floor(inner / F.lit((1 << (KEY_BITS - 10)) / fine))})
+    ranges = {"coarse": coarse, "fine": F.floor(inner / F.lit((1 << (KEY_BITS - 10)) / fine))}
+    rows = sized.withColumns(ranges)
     by = ["none", "source", "coarse", "fine"]
     parts = materialize(rows.groupBy(*by).agg(F.sum("size").alias("words")), "mix-parts")
 
@@ -137,8 +140,31 @@ def mix(
     order = Window.partitionBy(*by).orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("offset")
     last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("cut") - F.col("before")))
+    if keep:
+        rows = keyed.withColumns(ranges)
     return (
         rows.join(offsets, by)
         .withColumn("before", before)
-        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs") + last).alias("taken"))
+        .select("kept" if keep else "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs") + last).alias("taken"))
     )
+
+
+def apply(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The mixed documents, with the columns of ``docs``.
+
+    A document comes once per whole copy the mix takes; the copy at a source's
+    budget is cut after its last word (and ``n_chars``, if there, follows).
+    Documents that the mix does not take are left out.
+    """
+    mixed = mix(docs, text, keep=docs.columns, **options).filter("taken > 0")
+    whole = F.expr("cast(taken div size as int)")
+    copies = F.explode(F.sequence(F.lit(1), whole + F.when(F.col("taken") % F.col("size") > 0, 1).otherwise(0)))
+    rows = mixed.select("kept", "size", "taken", copies.alias("copy"))
+    cut = F.col("copy") > whole
+    pieces = F.regexp_extract_all(F.col(f"kept.{text}"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    begin = F.array_join(F.slice(pieces, F.lit(1), (F.col("taken") % F.col("size")).cast("int")), "")
+    changed = {text: F.when(cut, begin).otherwise(F.col(f"kept.{text}"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(cut, F.length(begin).cast(kind)).otherwise(F.col("kept.n_chars"))
+    return rows.select(*[changed.get(c, F.col(f"kept.{c}")).alias(c) for c in docs.columns])

@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stpanel.llm import jaccard, langid, pii, pseudo
 from stpanel.llm.ann import nearest
 from stpanel.llm.bpe import encode, load_ranks
+from stpanel.llm.licenses import scan
 from stpanel.llm.mixing import mix
 from stpanel.llm.topk import exact_top_k
 from stpanel.llm.urls import judge, rule_table
@@ -85,6 +87,41 @@ FROM placed
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    filters = langid.learn(docs.filter(~langid.held_out()))
+    return langid.predict(docs, filters, keep=["doc_id", langid.held_out().alias("held_out")])
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train(pii.labelled_table(spark))
+    found = pii.find(table(spark, sf_dir, "documents"), field)
+    return found.select(
+        "doc_id",
+        *[_count(kind) for kind in pii.KINDS],
+        F.sha2(pii.digest("base"), 256).alias("base_sha256"),
+        pii.digest("spans").alias("spans"),
+    )
+
+
+def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    frequent = pseudo.frequent_words(docs)
+    return pseudo.score(docs, pseudo.fit(docs, frequent), frequent)
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), is_query())
 
@@ -142,6 +179,11 @@ QUERIES = {
     for fn in (
         op1_byte_bpe,
         op2_source_mix,
+        op3_language_id,
+        op4_jaccard_join,
+        op5_license_scan,
+        op6_personal_data,
+        op7_pseudo_likelihood,
         op8_exact_top_k,
         op9_url_rules,
         op10_cross_polytope,
