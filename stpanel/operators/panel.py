@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stpanel.operators.storage import MAX_BROADCAST_CELLS, attach
+from stpanel.operators.storage import attach
 
 TIME = "time_step"
 NODE = "node_id"
@@ -22,10 +22,13 @@ def flat_keys(index: str | Column, n_nodes: int) -> tuple[Column, Column]:
     """Time and node keys of a row-major flat index ``t * n_nodes + n``."""
     i = F.col(index) if isinstance(index, str) else index
     node = F.pmod(i, F.lit(n_nodes))
-    return (
-        ((i - node) / n_nodes).cast("int").alias(TIME),
-        node.cast("int").alias(NODE),
-    )
+    step = F.call_function("div", i - node, F.lit(n_nodes))
+    return step.cast("long").alias(TIME), node.cast("int").alias(NODE)
+
+
+def flat_range(index: str, n_nodes: int, first: int, last: int) -> Column:
+    """The flat indices of the steps ``first`` to ``last``."""
+    return F.col(index).between(first * n_nodes, (last + 1) * n_nodes - 1)
 
 
 def flatten(
@@ -34,11 +37,16 @@ def flatten(
     n_nodes: int,
     features: Mapping[str, Column | str],
     keep: Sequence[str] = (),
+    steps: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Panel from rows numbered by a row-major flat index. A plain projection.
 
-    Columns in ``keep`` are passed on as they are.
+    Columns in ``keep`` are passed on as they are. ``steps`` keeps a range of
+    steps (both ends included) by bounds on the flat index, which reach the scan;
+    a filter on the computed step would not.
     """
+    if steps is not None:
+        rows = rows.where(flat_range(index, n_nodes, *steps))
     time_step, node_id = flat_keys(index, n_nodes)
     cols = [
         (F.col(c) if isinstance(c, str) else c).cast("double").alias(name)
@@ -55,7 +63,7 @@ def in_tensor_order(
     The place of a cell follows from its key, so no sampling pass is needed,
     partitions are equal, and a retried task gets the same rows.
     """
-    index = F.col(TIME).cast("long") * nodes + F.col(NODE)
+    index = F.col(TIME) * nodes + F.col(NODE)
     place = F.floor(index / F.lit(rows)).cast("int")
     parts = max(1, -(-steps * nodes // rows))
     return panel.repartitionById(parts, place).sortWithinPartitions(TIME, NODE)
@@ -64,19 +72,17 @@ def in_tensor_order(
 def matrix_to_panel(matrix: DataFrame, time: str, values: str, feature: str = "f0") -> DataFrame:
     """One-feature panel from one row per time step holding an array over nodes."""
     return matrix.select(
-        F.col(time).cast("int").alias(TIME), F.posexplode(values).alias(NODE, feature)
+        F.col(time).cast("long").alias(TIME), F.posexplode(values).alias(NODE, feature)
     ).withColumn(feature, F.col(feature).cast("double"))
 
 
-def ingest_frame(spark: SparkSession, frame, max_rows: int = 1_000_000) -> DataFrame:
-    """DataFrame from a small pandas frame held by the driver.
+def ingest_frame(spark: SparkSession, frame) -> DataFrame:
+    """DataFrame from a pandas frame held by the driver.
 
     The frame goes through Arrow, which keeps its column types and turns NaN
-    into NULL. Meant for dimensions and tests. Larger inputs are refused: read them with
-    the tensor or Parquet source, which never pass through the driver.
+    into NULL. It has to fit the driver, as it already does; larger inputs are
+    read by the array or Parquet source, which never pass through the driver.
     """
-    if len(frame) > max_rows:
-        raise ValueError(f"{len(frame)} driver rows; read more than {max_rows} from files")
     return spark.createDataFrame(pa.Table.from_pandas(frame, preserve_index=False))
 
 
@@ -150,7 +156,7 @@ def panel_gaps(
     ).scalar()
     cells = node_dim.select(NODE, F.explode(extent).alias("_range"))
     cells = cells.join(seen, [NODE, "_range"], "left")
-    cells = attach(cells, wanted, "_range", max_cells=MAX_BROADCAST_CELLS // size)
+    cells = cells.join(wanted, "_range")
     absent = F.when(F.col("_seen").isNull(), F.col("_steps")).otherwise(
         F.array_except("_steps", "_seen")
     )

@@ -20,7 +20,11 @@ def step_series(panel: DataFrame, col: str, points: int = 500) -> DataFrame:
 
 
 def time_slice(panel: DataFrame, step: int, cols: list[str]) -> DataFrame:
-    """One step of the panel, ordered by node. The filter reaches the scan."""
+    """One step of the panel, ordered by node.
+
+    The filter reaches the scan of a stored panel. For a panel computed from a
+    flat index, ask ``flatten`` for the step as well.
+    """
     return panel.where(F.col(TIME) == step).select(NODE, *cols).orderBy(NODE)
 
 
@@ -62,7 +66,11 @@ def grid_cells(panel: DataFrame, shape: DataFrame, value: str) -> DataFrame:
 
 
 def grid_heatmap(panel: DataFrame, node_dim: DataFrame, value: str) -> DataFrame:
-    """One row per grid row (and step), one column ``c<i>`` per grid column."""
+    """One row per grid row (and step), one column ``c<i>`` per grid column.
+
+    For charts of narrow grids; ``grid_cells`` is the long form for any width.
+    Of cells that occur twice the largest value is shown.
+    """
     shape = grid_shape(node_dim)
     width = shape.first()["width"]
     cells = grid_cells(panel, shape, value)
@@ -72,5 +80,5 @@ def grid_heatmap(panel: DataFrame, node_dim: DataFrame, value: str) -> DataFrame
         cells.withColumn("_name", F.concat(F.lit("c"), F.col("grid_col")))
         .groupBy(*keys)
         .pivot("_name", names)
-        .agg(F.first("value"))
+        .agg(F.max("value"))
     )

@@ -45,11 +45,22 @@ def stride_sample(steps: DataFrame, points: int = 500, order: str = TIME) -> Dat
     return rows.where(F.pmod(F.col("_pos"), stride) == 0).drop("_pos", "_n")
 
 
-def partition_counts(df: DataFrame, partitions: int = 8) -> DataFrame:
-    """Rows per partition after an even repartition."""
+def place_evenly(panel: DataFrame, nodes: int, rows: int, partitions: int = 8) -> DataFrame:
+    """Deal a dense panel of ``rows`` cells into equal partitions by key.
+
+    A cell's partition follows from its key, so a retried task gets the same rows
+    and the counts per partition are known beforehand.
+    """
+    index = F.col(TIME) * nodes + F.col(NODE)
+    size = -(-rows // partitions) or 1
+    place = F.call_function("div", index, F.lit(size)).cast("int")
+    return panel.repartitionById(partitions, place)
+
+
+def partition_counts(df: DataFrame) -> DataFrame:
+    """Rows in each partition that has any."""
     return (
-        df.repartition(partitions)
-        .groupBy(F.spark_partition_id().alias("partition_id"))
+        df.groupBy(F.spark_partition_id().alias("partition_id"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .orderBy("partition_id")
     )

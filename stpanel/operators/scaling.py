@@ -160,37 +160,40 @@ def _ranges(grouped, names: Sequence[str], pooled: bool, unit_zero: bool) -> Dat
     )
 
 
-def one_hot(table: DataFrame, cols: Sequence[str], max_width: int = 1000) -> DataFrame:
-    """Indicator columns ``<col>_<value>`` for every integer from min to max.
+def one_hot(table: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Each integer column as an array of indicators for every value from min to max.
 
-    Only the two ends of each column reach the driver. Ranges wider than
-    ``max_width`` columns are refused; ``one_hot_long`` has no such bound.
+    The ends are a one-row subquery, so the plan has the same size for any range,
+    and an empty or all-NULL column is fine. A NULL value has a NULL array;
+    ``one_hot_long`` is the sparse form.
     """
-    ends = table.agg(
-        *[F.min(c).alias(f"{c}_lo") for c in cols], *[F.max(c).alias(f"{c}_hi") for c in cols]
-    ).first()
-    ranges = {c: range(ends[f"{c}_lo"], ends[f"{c}_hi"] + 1) for c in cols}
-    if sum(map(len, ranges.values())) > max_width:
-        raise ValueError("range too wide for columns; use one_hot_long")
-    rest = [c for c in table.columns if c not in cols]
-    return table.select(
-        *rest,
-        *[
-            (F.col(c) == v).cast("int").alias(f"{c}_{v}")
-            for c, values in ranges.items()
-            for v in values
-        ],
+    rows = table.withColumn("_e", _integer_ends(table, cols))
+    return rows.select(
+        *[_indicators(c).alias(c) if c in cols else F.col(c) for c in table.columns]
     )
 
 
-def one_hot_long(table: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Positions of the ones only: a row per key and column."""
-    ends = table.agg(
+def _integer_ends(table: DataFrame, cols: Sequence[str]) -> Column:
+    """Smallest and largest value of each column, as one struct."""
+    return table.agg(
         F.struct(
             *[F.min(c).cast("long").alias(f"{c}_lo") for c in cols],
             *[F.max(c).cast("long").alias(f"{c}_hi") for c in cols],
         )
     ).scalar()
+
+
+def _indicators(col: str) -> Column:
+    value = F.col(col).cast("long")
+    ones = F.transform(
+        F.sequence(F.col(f"_e.{col}_lo"), F.col(f"_e.{col}_hi")), lambda v: (v == value).cast("int")
+    )
+    return F.when(value.isNotNull(), ones)
+
+
+def one_hot_long(table: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Positions of the ones only: a row per key and column."""
+    ends = _integer_ends(table, cols)
     start: Column = F.lit(0).cast("long")
     entries = []
     for c in cols:

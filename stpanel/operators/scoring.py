@@ -4,12 +4,13 @@ Columns: ``sample_id, horizon, node_id, pred, true``. Scores that need node
 weights, climatology or per-node correlation first shrink the predictions to one
 row of central moments per (horizon, node); node tables are joined to that short
 table, never to the predictions. Constant shifts per node leave variances and
-covariances unchanged, so anomalies need no pass of their own.
+covariances unchanged, so anomalies need no pass of their own. Means are taken
+off before anything is squared, in a second look at the short, stored table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from stpanel.functions.scalar import NAN, ieee_div
 from stpanel.functions.scores import PRED, TRUE, kept
 from stpanel.operators.panel import NODE
 from stpanel.operators.scaling import Scaler
-from stpanel.operators.storage import attach
+from stpanel.operators.storage import attach, materialize
 
 BY = ("horizon",)
 
@@ -102,6 +103,46 @@ def correlation(
     )
 
 
+def require_nodes(cells: DataFrame, lookups: Sequence[tuple[DataFrame, str]], node: str = NODE) -> None:
+    """Raise if a node of ``cells`` lacks a value in one of ``(table, column)``.
+
+    ``cells`` is a short table, a row per group and node. A score over the nodes
+    that happen to match would look complete, so it is refused.
+    """
+    nodes = cells.select(node).distinct()
+    for table, column in lookups:
+        lost = nodes.join(table.where(F.col(column).isNotNull()).select(node), node, "left_anti")
+        missing = lost.agg(F.count(F.lit(1)).alias("n"), F.min(node).alias("first")).first()
+        if missing["n"]:
+            raise ValueError(f"{missing['n']} nodes without {column}, e.g. {missing['first']}")
+
+
+def _moments_with(
+    predictions: DataFrame, lookups: Sequence[tuple[DataFrame, str]], by: Sequence[str], node: str
+) -> DataFrame:
+    """Stored moments with the node columns of ``lookups``; all nodes must have them."""
+    cells = materialize(node_moments(predictions, by, node), "moments")
+    require_nodes(cells, lookups, node)
+    for table, column in lookups:
+        cells = cells.join(table.select(node, column), node)
+    return cells
+
+
+def _centred(
+    cells: DataFrame, by: Sequence[str], columns: Mapping[str, str], n: Column
+) -> DataFrame:
+    """Add ``<column>_c``: each column minus the mean over its group of another.
+
+    The means come from a first aggregate of the short table; only differences
+    from them are squared later.
+    """
+    means = cells.groupBy(*by).agg(
+        *[F.try_divide(F.sum(n * F.col(m)), F.sum(n)).alias(f"_mean_{c}") for c, m in columns.items()]
+    )
+    rows = cells.join(means, [*by]) if by else cells.crossJoin(means)
+    return rows.withColumns({f"{c}_c": F.col(c) - F.col(f"_mean_{c}") for c in columns})
+
+
 def _rmse_w(weight: Column) -> Column:
     return F.sqrt(F.sum(F.col("sum_sq") * weight) / F.sum("n"))
 
@@ -113,8 +154,8 @@ def weighted_rmse(
     node: str = NODE,
     weight: str = "lat_weight",
 ) -> DataFrame:
-    """Root of the mean of weighted squared errors per group."""
-    cells = node_moments(predictions, by, node).join(weights.select(node, weight), node)
+    """Root of the mean of weighted squared errors per group; every node needs a weight."""
+    cells = _moments_with(predictions, [(weights, weight)], by, node)
     return cells.groupBy(*by).agg(_rmse_w(F.col(weight)).alias("rmse_w"))
 
 
@@ -127,39 +168,25 @@ def weighted_scores(
     weight: str = "lat_weight",
     clim: str = "clim",
 ) -> DataFrame:
-    """Weighted RMSE and weighted anomaly correlation per group, in one pass.
+    """Weighted RMSE and weighted anomaly correlation per group.
 
-    Anomalies from the node climatology are centred on their unweighted mean
-    over the group; the weights enter the sums only. Within a node, moments are
-    central; only the node means, which are anomalies themselves, are expanded
-    around the group mean.
+    The predictions are read once and shrink to stored moments per group and
+    node. Anomalies from the node climatology are centred on their unweighted
+    mean over the group before anything is squared, so a large common offset
+    costs no digits; the weights enter the sums only. Every node of the
+    predictions needs a weight and a climatology (see ``require_nodes``).
     """
     n, w = F.col("n"), F.col(weight)
-    a, b = F.col("mean_p") - F.col(clim), F.col("mean_y") - F.col(clim)
-    wn = w * n
-    cells = (
-        node_moments(predictions, by, node)
-        .join(weights.select(node, weight), node)
-        .join(climatology.select(node, clim), node)
-    )
-    sums = cells.groupBy(*by).agg(
-        _rmse_w(w).alias("rmse_w"),
-        (F.sum(n * a) / F.sum(n)).alias("_a"),
-        (F.sum(n * b) / F.sum(n)).alias("_b"),
-        F.sum(wn).alias("_w"),
-        F.sum(wn * a).alias("_wa"),
-        F.sum(wn * b).alias("_wb"),
-        F.sum(wn * (F.col("cov") + a * b)).alias("_ab"),
-        F.sum(wn * (F.col("var_p") + a * a)).alias("_aa"),
-        F.sum(wn * (F.col("var_y") + b * b)).alias("_bb"),
-    )
-    ca, cb = F.col("_a"), F.col("_b")
-    cross = F.col("_ab") - ca * F.col("_wb") - cb * F.col("_wa") + ca * cb * F.col("_w")
-    own_a = F.greatest(F.col("_aa") - ca * F.col("_wa") * 2 + ca * ca * F.col("_w"), F.lit(0.0))
-    own_b = F.greatest(F.col("_bb") - cb * F.col("_wb") * 2 + cb * cb * F.col("_w"), F.lit(0.0))
+    cells = _moments_with(predictions, [(weights, weight), (climatology, clim)], by, node)
+    cells = cells.withColumns({"_a": F.col("mean_p") - F.col(clim), "_b": F.col("mean_y") - F.col(clim)})
+    centred = _centred(cells, by, {"_a": "_a", "_b": "_b"}, n)
+    wn, a, b = w * n, F.col("_a_c"), F.col("_b_c")
+    cross = F.sum(wn * (F.col("cov") + a * b))
+    own_a = F.sum(wn * (F.col("var_p") + a * a))
+    own_b = F.sum(wn * (F.col("var_y") + b * b))
     # Fixed value: 1e-6 keeps the quotient finite for constant anomalies.
     acc = cross / (F.sqrt(own_a * own_b) + 1e-6)
-    return sums.select(*by, "rmse_w", acc.alias("acc_w"))
+    return centred.groupBy(*by).agg(_rmse_w(w).alias("rmse_w"), acc.alias("acc_w"))
 
 
 def weighted_acc(predictions: DataFrame, weights: DataFrame, climatology: DataFrame, **options):
@@ -210,7 +237,7 @@ def metric_bundle(
     )
     n = F.sum("k_n")
     mse = F.try_divide(F.sum("k_sum_sq"), n)
-    return cells.groupBy(*by).agg(
+    return _rrse_cells(cells, by, variant, "k_").groupBy(*by).agg(
         mse.alias("mse"),
         F.try_divide(F.sum("k_sum_abs"), n).alias("mae"),
         F.sqrt(mse).alias("rmse"),
@@ -220,19 +247,22 @@ def metric_bundle(
     )
 
 
+def _rrse_cells(cells: DataFrame, by: Sequence[str], variant: str, prefix: str) -> DataFrame:
+    """Stored moments with the node means centred on the mean truth of their group."""
+    x = {"truth": f"{prefix}mean_y", "forecast": f"{prefix}mean_p"}[variant]
+    stored = materialize(cells, "moments").withColumn("_x", F.col(x))
+    return _centred(stored, by, {"_x": f"{prefix}mean_y"}, F.col(f"{prefix}n"))
+
+
 def _pooled_rrse(variant: str, prefix: str = "") -> Column:
-    """RRSE from node moments: the spread within nodes plus that between them."""
+    """RRSE over ``_rrse_cells``: the spread within nodes plus that between them."""
     n, y = F.col(f"{prefix}n"), F.col(f"{prefix}mean_y")
-    x = {"truth": y, "forecast": F.col(f"{prefix}mean_p")}[variant]
     within = F.sum(n * F.col(f"{prefix}var_{'y' if variant == 'truth' else 'p'}"))
-    total = F.sum(n)
-    centre = F.try_divide(F.sum(n * y), total)
-    between = F.sum(n * x * x) - centre * F.sum(n * x) * 2 + centre * centre * total
+    between = F.sum(n * F.col("_x_c") * F.col("_x_c"))
     if variant == "truth":
         # Equal node means differ from their average by rounding only.
         between = F.when(F.min(y) == F.max(y), F.lit(0.0)).otherwise(between)
-    spread = within + F.greatest(between, F.lit(0.0))
-    return ieee_div(F.sqrt(F.sum(f"{prefix}sum_sq")), F.sqrt(spread))
+    return ieee_div(F.sqrt(F.sum(f"{prefix}sum_sq")), F.sqrt(within + F.coalesce(between, F.lit(0.0))))
 
 
 def metric_pair(
@@ -240,7 +270,7 @@ def metric_pair(
 ) -> DataFrame:
     """RRSE with the spread of the forecast, and CORR with sample deviations."""
     cells = predictions.groupBy(*by, node).agg(*_moment_aggs(None), *_moment_aggs(mask, "k_"))
-    return cells.groupBy(*by).agg(
+    return _rrse_cells(cells, by, "forecast", "k_").groupBy(*by).agg(
         _pooled_rrse("forecast", "k_").alias("rrse"), mean_correlation(1).alias("corr")
     )
 
@@ -278,9 +308,10 @@ def pair_disagreement(
 def anomalies(predictions: DataFrame, climatology: DataFrame, clim: str = "clim") -> DataFrame:
     """Forecast and truth as departures from the node's climatology.
 
-    Pass a stored climatology; it is looked up by node (see ``attach``).
+    Pass a stored climatology; it is looked up by node (see ``attach``). Rows of
+    nodes without a climatology are kept, with NULL anomalies.
     """
-    return attach(predictions, climatology.select(NODE, clim), NODE).select(
+    return attach(predictions, climatology.select(NODE, clim), NODE, "left").select(
         *[c for c in predictions.columns if c not in (PRED, TRUE)],
         (F.col(PRED) - F.col(clim)).alias("pred_anom"),
         (F.col(TRUE) - F.col(clim)).alias("true_anom"),

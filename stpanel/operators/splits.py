@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stpanel.operators.ordering import with_position
-from stpanel.operators.panel import TIME
+from stpanel.operators.panel import TIME, flat_range
 from stpanel.operators.storage import attach, materialize
 
 SPLITS = ("train", "val", "test")
@@ -107,14 +107,23 @@ def step_runs(split_dim: DataFrame) -> dict[str, tuple[int, int]] | None:
     return {row["split"]: (row["start"], row["end"]) for row in rows}
 
 
-def split_rows(panel: DataFrame, split_dim: DataFrame, split: str) -> DataFrame:
-    """Panel rows of one split: a range filter on the step if the split has no gaps."""
+def split_rows(
+    panel: DataFrame, split_dim: DataFrame, split: str, flat: tuple[str, int] | None = None
+) -> DataFrame:
+    """Panel rows of one split: a range filter on the step if the split has no gaps.
+
+    A panel that is computed from a flat index cannot pass a filter on its step
+    to the scan. Keep the index as a column and name it, with the number of
+    nodes, as ``flat``: the same range then bounds the index.
+    """
     steps = split_dim.where(F.col("split") == split).select(TIME, "split")
     runs = step_runs(steps)
     if runs is None:
         return attach(panel, materialize(steps.select(TIME), "steps"), TIME, "left_semi")
     if split not in runs:
         return panel.where(F.lit(False))
+    if flat is not None:
+        return panel.where(flat_range(*flat, *runs[split]))
     return panel.where(F.col(TIME).between(*runs[split]))
 
 

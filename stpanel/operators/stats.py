@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stpanel.functions.scalar import is_missing
 from stpanel.operators.panel import NODE, TIME
+from stpanel.operators.storage import materialize
 
 
 def global_stats(panel: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -51,70 +52,101 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def kth_value(values: DataFrame, col: str, k: int, n: int, exact_limit: int = 1_000_000) -> float:
-    """The value of 0-based rank ``k`` among ``n`` non-missing values, exactly.
+GRID = 1000  # approximate quantiles read per column
+ACCURACY = 10_000
 
-    While more than ``exact_limit`` rows are left, approximate percentiles give
-    a narrow bracket around the rank, exact counts confirm it, and only the rows
-    strictly inside stay. A value that repeats, however often, ends up as a
-    bracket end and is settled by its count. Memory never depends on ``n``.
+
+def kth_value(rows: DataFrame, cols: Sequence[str], rank: int) -> float:
+    """The value of 0-based ``rank`` among the present values of all ``cols``, exactly.
+
+    Each round reads approximate quantiles of every column, brackets the rank
+    between two of them, confirms the bracket by exact counts, and stores the
+    values strictly inside, under one percent. A rank that falls on a bracket end
+    is settled by the counts. Once a few thousand values are left, the quantiles
+    are exact and the round ends the search, so the same steps serve any size and
+    memory never depends on it. Three scans of the rows: quantiles, counts, and
+    the values kept.
     """
-    x = F.col(col)
-    rows, rank, left, margin = values.select(col), k, n, 2e-4
-    while left > exact_limit:
-        at = (rank + 0.5) / left
-        probes = [max(at - margin, 0.0), min(at + margin, 1.0)]
-        lo, hi = rows.agg(F.percentile_approx(x, probes, 10_000).alias("p")).first()["p"]
-        below_lo, upto_lo, below_hi, upto_hi = rows.agg(
-            *[F.count(F.when(test, 1)) for test in (x < lo, x <= lo, x < hi, x <= hi)]
+    names = list(cols)
+    while True:
+        shares = [i / GRID for i in range(GRID + 1)]
+        probes = rows.agg(
+            *[F.struct(F.count(c), F.percentile_approx(c, shares, ACCURACY)) for c in names]
         ).first()
+        found = [(n, q) for n, q in probes if n]
+        marks = sorted(
+            (value, n / GRID) for n, q in found for value in q
+        )
+        slack = sum(n for n, _ in found) / GRID + 1
+        while True:
+            lo, hi = _bracket(marks, rank, slack)
+            below_lo, upto_lo, below_hi, upto_hi = _counts(rows, names, lo, hi)
+            if upto_lo <= rank < below_hi or below_lo <= rank < upto_lo or below_hi <= rank < upto_hi:
+                break
+            slack *= 4  # the bracket missed the rank: widen it and look again
         if below_lo <= rank < upto_lo:
             return lo
         if below_hi <= rank < upto_hi:
             return hi
-        if not upto_lo <= rank < below_hi:
-            margin *= 4  # the bracket missed the rank: widen it and look again
-            continue
-        rows, left, rank = rows.where((x > lo) & (x < hi)), below_hi - upto_lo, rank - upto_lo
-    upto = F.sum("_n").over(
-        Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counts = rows.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).select(col, upto.alias("_upto"))
-    return counts.where(F.col("_upto") > rank).agg(F.min(col)).first()[0]
-
-
-def exact_median(values: DataFrame, col: str, exact_limit: int = 1_000_000) -> float | None:
-    """Exact median; NaN if any value is NaN, None if there is no value."""
-    present = values.where(F.col(col).isNotNull())
-    n, n_nan = present.agg(
-        F.count(F.lit(1)), F.count(F.when(F.isnan(F.col(col)), 1))
+        inside = F.filter(F.array(*names), lambda v: (v > F.lit(lo)) & (v < F.lit(hi)))
+        rows = materialize(rows.select(F.explode(inside).alias("v")), "bracket")
+        names, rank = ["v"], rank - upto_lo
+
+
+def _bracket(marks, rank: int, slack: float) -> tuple[float, float]:
+    """Two of the quantile marks that hold ``rank``, give or take ``slack`` rows."""
+    lo, hi, seen = marks[0][0], marks[-1][0], 0.0
+    for value, weight in marks:
+        if seen <= rank - slack:
+            lo = value
+        if seen >= rank + slack:
+            hi = value
+            break
+        seen += weight
+    return lo, hi
+
+
+def _counts(rows: DataFrame, names: Sequence[str], lo: float, hi: float) -> list[int]:
+    """Values below and up to each end, over all columns."""
+    tests = [
+        lambda x: x < F.lit(lo), lambda x: x <= F.lit(lo), lambda x: x < F.lit(hi), lambda x: x <= F.lit(hi),
+    ]
+    sums = [sum((F.count(F.when(test(F.col(c)), 1)) for c in names), F.lit(0)) for test in tests]
+    return list(rows.agg(*[c.alias(f"n{i}") for i, c in enumerate(sums)]).first())
+
+
+def exact_median(rows: DataFrame, cols: str | Sequence[str]) -> float | None:
+    """Exact median over all columns; NaN if any value is NaN, None without values."""
+    names = [cols] if isinstance(cols, str) else list(cols)
+    n, n_nan = rows.agg(
+        sum((F.count(c) for c in names), F.lit(0)),
+        sum((F.count(F.when(F.isnan(F.col(c)), 1)) for c in names), F.lit(0)),
     ).first()
     if n == 0:
         return None
     if n_nan:
         return float("nan")
-    low = kth_value(present, col, (n - 1) // 2, n, exact_limit)
+    low = kth_value(rows, names, (n - 1) // 2)
     if n % 2:
         return low
-    upto, above = present.agg(
-        F.count(F.when(F.col(col) <= low, 1)), F.min(F.when(F.col(col) > low, F.col(col)))
+    above = [F.min(F.when(F.col(c) > F.lit(low), F.col(c))) for c in names]
+    upto, *nexts = rows.agg(
+        sum((F.count(F.when(F.col(c) <= F.lit(low), 1)) for c in names), F.lit(0)), *above
     ).first()
-    return low if upto > n // 2 else (low + above) / 2.0
+    return low if upto > n // 2 else (low + min(v for v in nexts if v is not None)) / 2.0
 
 
-def panel_profile(
-    panel: DataFrame, features: Sequence[str], exact: bool = True, exact_limit: int = 1_000_000
-) -> DataFrame:
+def panel_profile(panel: DataFrame, features: Sequence[str], exact: bool = True) -> DataFrame:
     """Shape, maximum, minimum, mean and median over all features together."""
-    values = panel.select(F.explode(F.array(*features)).alias("v"))
     highest = [F.max(c) for c in features]
     lowest = [F.min(c) for c in features]
     total = sum((F.coalesce(F.sum(c), F.lit(0.0)) for c in features), F.lit(0.0))
     number = sum((F.count(c) for c in features), F.lit(0))
     if exact:
-        median = F.lit(exact_median(values, "v", exact_limit)).cast("double")
+        median = F.lit(exact_median(panel, features)).cast("double")
     else:
-        median = values.agg(F.percentile_approx("v", 0.5, 10_000)).scalar()
+        values = panel.select(F.explode(F.array(*features)).alias("v"))
+        median = values.agg(F.percentile_approx("v", 0.5, ACCURACY)).scalar()
     return panel.agg(
         F.countDistinct(TIME).alias("n_steps"),
         F.countDistinct(NODE).alias("n_nodes"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,33 +10,43 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup table is broadcast only below this many cells (rows x columns),
-# about 64 MB of doubles. The number is compared with a real row count.
-MAX_BROADCAST_CELLS = 8_000_000
+# A lookup table is broadcast only below this size, computed from its real row
+# count and the widths of its columns.
+MAX_BROADCAST_BYTES = 64 << 20
+WIDTHS = {
+    "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4,
+    "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8,
+}
 
-_local_root: str | None = None
+_made: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would not be visible to the other executors.
+    Where that is unset, a folder of the session's warehouse, which all executors
+    share as well. Never a machine-local temporary folder.
     """
-    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="stpanel-")
-    return _local_root
+    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the scratch folder; never an existing one."""
-    return f"{scratch_root(spark)}/stpanel/{name}-{uuid.uuid4().hex}"
+    """A new path below the scratch folder; never an existing one.
+
+    It belongs to the query that asked for it and lives until ``release``.
+    """
+    path = f"{scratch_root(spark)}/stpanel/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the scratch tables made so far, once the results read from them are done."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while _made:
+        path = hadoop(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -71,16 +80,17 @@ def attach(
     lookup: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    max_cells: int = MAX_BROADCAST_CELLS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Equi-join a keyed lookup table to a large table.
 
-    The lookup is counted, reading at most one row beyond the limit, and is
-    broadcast only if it fits. Otherwise the join shuffles both sides and
-    leaves hot keys to the adaptive skew join. Pass a stored table: a derived
-    lookup would be computed once for the count and again for the join.
+    Pass a stored lookup: its rows are counted from the file footers. If all its
+    columns have a fixed width and the table fits, it is broadcast. Otherwise,
+    and always for strings, arrays and structs, whose width is not known, the
+    planner decides from the real sizes, and hot keys are left to the adaptive
+    skew join.
     """
-    max_rows = max_cells // max(1, len(lookup.columns))
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    widths = [WIDTHS.get(kind) for _, kind in lookup.dtypes]
+    if None not in widths and lookup.count() * sum(widths) <= max_bytes:
         lookup = F.broadcast(lookup)
     return big.join(lookup, on, how)

@@ -63,8 +63,9 @@ def sliding_windows(
     if every one of its steps does. Positions must be unique within ``keys``.
     """
     span = lag + horizon
-    if lag < 1 or horizon < 1 or size < span:
-        raise ValueError("need lag >= 1, horizon >= 1 and a range of at least lag + horizon")
+    if lag < 1 or horizon < 1:
+        raise ValueError("need lag >= 1 and horizon >= 1")
+    size = max(size, span)  # a row serves its own range and the one before at most
     p = F.col(pos)
     own = F.floor(p / F.lit(size))
     ranges = F.when(p - own * size < span - 1, F.array(own - 1, own)).otherwise(F.array(own))

@@ -5,9 +5,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from stpanel.operators.ordering import with_position
 from stpanel.operators.panel import NODE, TIME, flat_keys, flatten
@@ -21,24 +22,22 @@ N_NODES = 25
 LAG, HORIZON = 7, 4
 FEATURES = ["f0", "f1", "f2", "f3"]
 BOUNDS = {
-    "train": ("2024-01-01", "2024-01-21"),
+    "train": ("2024-01-02", "2024-01-21"),
     "val": ("2024-01-21", "2024-01-26"),
-    "test": ("2024-01-26", "2024-01-31"),
+    "test": ("2024-01-26", "2024-01-30"),
 }
 
 
-_schemas: dict[str, StructType] = {}
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table; its schema is read from the files once per process."""
-    path = f"{sf}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+FLAT = ("event_id", N_NODES)
 
 
-def panel(spark: SparkSession, sf: str) -> DataFrame:
+def panel(
+    spark: SparkSession, sf: str, steps: tuple[int, int] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """25 nodes, dense: value, user, a counter with zeros, and the hour."""
     features = {
         "f0": "value",
@@ -46,7 +45,7 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
         "f2": F.get_json_object("props", "$.k"),
         "f3": F.hour("ts"),
     }
-    return flatten(table(spark, sf, "events"), "event_id", N_NODES, features)
+    return flatten(table(spark, sf, "events"), *FLAT, features, keep, steps)
 
 
 def n_steps(rows: DataFrame) -> int:
@@ -74,7 +73,8 @@ def node_dim(spark: SparkSession, sf: str) -> DataFrame:
 def stations(spark: SparkSession, sf: str) -> DataFrame:
     """Grid of 50 columns with one node per customer."""
     key = F.col("c_custkey")
-    lat = F.pmod(F.floor(key / 50), F.lit(320)) * 0.5 - 80.0
+    row = F.call_function("div", key, F.lit(50)).cast("double")
+    lat = row * 160.0 / (row + 320.0) - 80.0  # rises with the row, for any number of rows
     return load_node_dim(table(spark, sf, "customer").withColumn("lat", lat), "c_custkey", "lat")
 
 
@@ -100,7 +100,8 @@ def predictions(spark: SparkSession, sf: str, target: str = "f0") -> DataFrame:
 
 
 def train_climatology(spark: SparkSession, sf: str) -> DataFrame:
-    train = split_rows(panel(spark, sf), split_dim(spark, sf), "train")
+    rows = panel(spark, sf, keep=["event_id"])
+    train = split_rows(rows, split_dim(spark, sf), "train", FLAT)
     return climatology(train, node_dim(spark, sf), "f0")
 
 
@@ -126,20 +127,18 @@ def grid_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Part-to-supplier edges folded onto the first 500 vectors, with repeats."""
-    rows = table(spark, sf, "lineitem").select(
-        F.pmod("l_partkey", F.lit(500)).alias("src"),
-        F.pmod(F.col("l_suppkey") * 7, F.lit(500)).alias("dst"),
-    )
-    return load_edges(rows, "src", "dst")
+    """Part-to-supplier edges, with repeats."""
+    return load_edges(table(spark, sf, "lineitem"), "l_partkey", "l_suppkey")
 
 
 def node_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias(NODE),
-        F.col("embedding").alias("a"),
-        F.reverse("embedding").alias("b"),
-    )
+    """A vector for every end of an edge: means over its lines, in both roles."""
+    lines = table(spark, sf, "lineitem")
+    parts = ["l_quantity", "l_discount", "l_tax"]
+    ends = [lines.select(F.col(key).alias(NODE), *parts) for key in ("l_partkey", "l_suppkey")]
+    means = ends[0].unionByName(ends[1]).groupBy(NODE).agg(*[F.avg(c).alias(c) for c in parts])
+    vector = F.array(F.col("l_quantity") / 50.0, F.col("l_discount") * 10.0, F.col("l_tax") * 10.0)
+    return means.select(NODE, vector.alias("a"), F.reverse(vector).alias("b"))
 
 
 def _monthly_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -185,7 +184,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CTES = """WITH panel AS (
-  SELECT CAST(event_id // 25 AS INTEGER) AS time_step,
+  SELECT CAST(event_id // 25 AS BIGINT) AS time_step,
          CAST(event_id % 25 AS INTEGER) AS node_id,
          value AS f0, CAST(user_id AS DOUBLE) AS f1,
          CAST(json_extract(props, '$.k') AS DOUBLE) AS f2,
@@ -199,13 +198,15 @@ node_dim AS (
   FROM nation),
 stations AS (
   SELECT CAST(c_custkey AS INTEGER) AS node_id,
-         CAST(((c_custkey // 50) % 320) * 0.5 - 80.0 AS DOUBLE) AS lat
+         CAST(c_custkey // 50 AS DOUBLE) * 160.0::DOUBLE
+           / (CAST(c_custkey // 50 AS DOUBLE) + 320.0::DOUBLE) - 80.0::DOUBLE AS lat
   FROM customer),
 split_dim AS (
   SELECT time_step, coord,
          CASE WHEN coord < TIMESTAMP '2024-01-21' THEN 'train'
               WHEN coord < TIMESTAMP '2024-01-26' THEN 'val' ELSE 'test' END AS split
-  FROM time_dim),
+  FROM time_dim
+  WHERE coord >= TIMESTAMP '2024-01-02' AND coord < TIMESTAMP '2024-01-30'),
 split_panel AS (
   SELECT p.*, s.split, s.pos
   FROM panel p JOIN (
@@ -230,7 +231,13 @@ grid_edges AS (
   FROM node_dim a, node_dim b
   WHERE abs(a.node_id // 5 - b.node_id // 5) + abs(a.node_id % 5 - b.node_id % 5) = 1),
 order_edges AS (
-  SELECT l_partkey % 500 AS src, (l_suppkey * 7) % 500 AS dst FROM lineitem),
+  SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem),
+vectors AS (
+  SELECT node_id, [avg(q) / 50.0, avg(d) * 10.0, avg(t) * 10.0] AS a,
+         [avg(t) * 10.0, avg(d) * 10.0, avg(q) / 50.0] AS b
+  FROM (SELECT l_partkey AS node_id, l_quantity AS q, l_discount AS d, l_tax AS t FROM lineitem
+        UNION ALL SELECT l_suppkey, l_quantity, l_discount, l_tax FROM lineitem)
+  GROUP BY node_id),
 adjacency AS (
   SELECT src, dst, CAST(count(*) AS DOUBLE) AS weight FROM order_edges GROUP BY src, dst),
 batches AS (

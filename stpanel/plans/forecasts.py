@@ -289,3 +289,29 @@ def pair_disagreement(spark, sf):
     both = attach(fx.predictions(spark, sf), clim, "node_id")
     out = S.pair_disagreement(both, "pred", "clim", beta=9.1, by=["horizon"])
     return rounded(out, ["disagreement", "score"])
+
+
+OFFSET = 1e6  # geopotential and pressure are stored with offsets of this order
+
+
+def _offset(spark, sf):
+    shift = {c: F.col(c) + F.lit(OFFSET) for c in ("pred", "true")}
+    return fx.predictions(spark, sf).withColumns(shift)
+
+
+@query(
+    "offset_scores",
+    f"""SELECT horizon, {r("any_value(acc_w)")} AS acc_w,
+           {r('sqrt(sum((pred - "true") ** 2)) / sqrt(sum(("true" - m) ** 2))')} AS rrse,
+           {r('sqrt(sum((pred - "true") ** 2)) / sqrt(sum((pred - m) ** 2))')} AS rrse_forecast
+    FROM (SELECT *, avg("true") OVER (PARTITION BY horizon) AS m FROM predictions)
+    JOIN ({ACC_W_SQL}) USING (horizon) GROUP BY horizon""",
+)
+def offset_scores(spark, sf):
+    """Scores that a common offset must not change, on values near a million."""
+    rows = _offset(spark, sf)
+    acc = S.weighted_acc(rows, fx.weights(spark, sf), fx.train_climatology(spark, sf))
+    truth = S.metric_bundle(rows).select("horizon", "rrse")
+    pair = S.metric_pair(rows).select("horizon", F.col("rrse").alias("rrse_forecast"))
+    out = acc.join(truth, "horizon").join(pair, "horizon")
+    return rounded(out, ["acc_w", "rrse", "rrse_forecast"])

@@ -17,9 +17,8 @@ DOT = "list_inner_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[]))"
 
 
 def _weights_sql(s: str) -> str:
-    return f""", v AS (SELECT vec_id, embedding AS a, list_reverse(embedding) AS b FROM embeddings)
-    SELECT src, dst, {r(f"greatest(0.0, tanh(0.2 * ({s}))) * weight")} AS weight
-    FROM adjacency JOIN v i ON i.vec_id = src JOIN v j ON j.vec_id = dst"""
+    return f"""SELECT src, dst, {r(f"greatest(0.0, tanh(0.2 * ({s}))) * weight")} AS weight
+    FROM adjacency JOIN vectors i ON i.node_id = src JOIN vectors j ON j.node_id = dst"""
 
 
 def _weights(spark, sf, mode):
@@ -56,7 +55,7 @@ def edge_weights_scaled(spark, sf):
     f"""SELECT "row", col, {r("sum(value)")} AS value
     FROM (SELECT src AS "row", src AS col, sum(weight) AS value FROM adjacency GROUP BY src
           UNION ALL SELECT dst, src, -weight FROM adjacency
-          UNION ALL SELECT vec_id, vec_id, 0.0 FROM embeddings)
+          UNION ALL SELECT node_id, node_id, 0.0 FROM vectors)
     GROUP BY "row", col""",
 )
 def laplacian(spark, sf):

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from stpanel.operators import panel as P
 from stpanel.operators import report, sampling, stats
 from stpanel.operators.scaling import fit
-from stpanel.operators.storage import attach, materialize, scratch_path
+from stpanel.operators.splits import split_rows
+from stpanel.operators.storage import attach, cached, materialize, scratch_path
 from stpanel.plans import fixtures as fx
 from stpanel.plans.registry import query, r, rounded
 from stpanel.sources import npy, tables
@@ -30,7 +31,7 @@ def tensor_flatten(spark, sf):
 
 @query(
     "matrix_to_panel",
-    f"""SELECT CAST(vec_id AS INTEGER) AS time_step, CAST(i AS INTEGER) AS node_id,
+    f"""SELECT CAST(vec_id AS BIGINT) AS time_step, CAST(i AS INTEGER) AS node_id,
            {r("CAST(embedding[i + 1] AS DOUBLE)")} AS f0
     FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM embeddings)""",
 )
@@ -190,7 +191,7 @@ def metrics_journal(spark, sf):
 
 @query("time_slice", "SELECT node_id, f0, f1 FROM panel WHERE time_step = 27")
 def time_slice(spark, sf):
-    return report.time_slice(fx.panel(spark, sf), 27, ["f0", "f1"])
+    return report.time_slice(fx.panel(spark, sf, steps=(27, 27)), 27, ["f0", "f1"])
 
 
 @query(
@@ -218,7 +219,7 @@ GAPPED = "(SELECT * FROM panel WHERE (time_step * 25 + node_id) % 101 <> 0)"
 
 def _gapped(spark, sf):
     """The panel with holes, so that the check has something to find."""
-    flat = F.col("time_step").cast("long") * fx.N_NODES + F.col("node_id")
+    flat = F.col("time_step") * fx.N_NODES + F.col("node_id")
     return fx.panel(spark, sf).where(F.pmod(flat, F.lit(101)) != 0)
 
 
@@ -308,7 +309,7 @@ def step_trend_top5(spark, sf):
     FROM counts""",
 )
 def missing_audit(spark, sf):
-    i = F.col("time_step").cast("long") * fx.N_NODES + F.col("node_id")
+    i = F.col("time_step") * fx.N_NODES + F.col("node_id")
     nan = F.lit(float("nan"))
     flawed = fx.panel(spark, sf).withColumns(
         {
@@ -325,10 +326,40 @@ def row_count(spark, sf):
     return stats.row_count(fx.panel(spark, sf))
 
 
-@query("partition_counts")
+@query(
+    "partition_counts",
+    """, n AS (SELECT count(*) AS n FROM panel)
+    SELECT CAST((time_step * 25 + node_id) // ((n + 7) // 8) AS INTEGER) AS partition_id,
+           count(*) AS n_rows FROM panel, n GROUP BY 1""",
+)
 def partition_counts(spark, sf):
-    """Row placement belongs to the engine, so there is no SQL twin."""
-    return sampling.partition_counts(fx.panel(spark, sf), 8)
+    panel = fx.panel(spark, sf)
+    return sampling.partition_counts(
+        sampling.place_evenly(panel, fx.N_NODES, panel.count(), partitions=8)
+    )
+
+
+@query("cached_fit", ZSCORE_SQL)
+def cached_fit(spark, sf):
+    """Fits on a cached panel, then scales the rows."""
+    view = P.feature_view(fx.panel(spark, sf), {"f0": "t2m", "f1": "rh"})
+    with cached(view) as rows:
+        scaler = fit(rows, ["t2m", "rh"], "std", "feature", ddof=1)
+    return rounded(scaler.transform(view), ["t2m_scaled", "rh_scaled"])
+
+
+@query(
+    "train_fit",
+    f"""SELECT time_step, node_id, {r("(f0 - m0) / s0")} AS f0_scaled
+    FROM panel, (SELECT avg(f0) AS m0, stddev_pop(f0) AS s0 FROM split_panel
+                 WHERE split = 'train')""",
+)
+def train_fit(spark, sf):
+    """Statistics of the training rows, applied to all rows."""
+    rows = fx.panel(spark, sf, keep=["event_id"])
+    scaler = fit(split_rows(rows, fx.split_dim(spark, sf), "train", fx.FLAT), ["f0"])
+    scaled = scaler.transform(fx.panel(spark, sf)).select("time_step", "node_id", "f0_scaled")
+    return rounded(scaled, ["f0_scaled"])
 
 
 @query(
@@ -373,7 +404,28 @@ def _hist_sql(x: str, source: str) -> str:
 def histogram60(spark, sf):
     """The value before and after scaling; scaled values are rounded so that
     both engines see the same bin edges."""
+    return _histograms(P.feature_view(fx.panel(spark, sf), {"f0": "x"}))
+
+
+@query(
+    "histogram_sample",
+    f""", sample AS (
+      SELECT f0 FROM panel
+      WHERE '0' || substr(md5('42:' || time_step || ':' || node_id), 1, 8) < '01999999a'),
+    scaled AS (
+      SELECT f0, (f0 - (SELECT avg(f0) FROM sample)) / (SELECT stddev_samp(f0) FROM sample) AS z
+      FROM sample)
+    SELECT 'raw' AS series, * FROM ({_hist_sql("f0", "scaled")})
+    UNION ALL SELECT 'scaled', * FROM ({_hist_sql("round(z, 9)", "scaled")})""",
+)
+def histogram_sample(spark, sf):
+    """The same on a repeatable tenth of the rows."""
     view = P.feature_view(fx.panel(spark, sf), {"f0": "x"})
+    key = F.concat_ws(":", "time_step", "node_id")
+    return _histograms(materialize(sampling.hash_sample(view, key, 0.1, seed=42), "sample"))
+
+
+def _histograms(view):
     scaled = fit(view, ["x"], "std", "feature", ddof=1).transform(view)
     scaled = scaled.withColumn("x_scaled", F.round("x_scaled", 9))
     both = [
@@ -454,6 +506,16 @@ def grid_shape(spark, sf):
     return report.grid_shape(fx.stations(spark, sf))
 
 
+@query(
+    "grid_cells",
+    """SELECT time_step, CAST(node_id // 5 AS INTEGER) AS grid_row,
+           CAST(node_id % 5 AS INTEGER) AS grid_col, f0 AS value FROM panel""",
+)
+def grid_cells(spark, sf):
+    shape = report.grid_shape(fx.node_dim(spark, sf))
+    return report.grid_cells(fx.panel(spark, sf), shape, "f0")
+
+
 @query(
     "grid_heatmap",
     "SELECT time_step, CAST(node_id // 5 AS INTEGER) AS grid_row, "

@@ -117,15 +117,20 @@ def minmax_columns(spark, sf):
 
 @query(
     "one_hot",
-    "SELECT o_orderkey, "
-    + ", ".join(f"CAST(substr(o_orderpriority, 1, 1) = '{v}' AS INTEGER) AS level_{v}"
-                for v in range(1, 6))
-    + ", "
-    + ", ".join(f"CAST(month(o_orderdate) = {v} AS INTEGER) AS month_{v}" for v in range(1, 13))
-    + " FROM orders",
+    """, codes AS (SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS level,
+                        CAST(month(o_orderdate) AS INTEGER) AS month FROM orders),
+    ends AS (SELECT min(level) AS a, max(level) AS b, min(month) AS c, max(month) AS d FROM codes)
+    SELECT o_orderkey,
+           array_to_string([CAST(v = level AS INTEGER) FOR v IN range(a, b + 1)], '') AS level,
+           array_to_string([CAST(v = month AS INTEGER) FOR v IN range(c, d + 1)], '') AS month
+    FROM codes, ends""",
 )
 def one_hot_columns(spark, sf):
-    return one_hot(_order_codes(spark, sf), ["level", "month"])
+    """Indicator arrays, joined to text so that both engines print them alike."""
+    made = one_hot(_order_codes(spark, sf), ["level", "month"])
+    return made.withColumns(
+        {c: F.array_join(F.col(c).cast("array<string>"), "") for c in ("level", "month")}
+    )
 
 
 @query(

@@ -12,7 +12,8 @@ place in the file; the file gets its name only after the runs are seen to tile
 the whole array. A retried task writes the same bytes again.
 
 Options: ``path``; reading ``layout``, ``features`` (comma-separated names),
-``startStep``, ``endStep`` (half-open), ``partitionBytes``; writing ``steps``,
+``columns`` (the features to return), ``startStep``, ``endStep`` (half-open),
+``partitionBytes``; writing ``steps``,
 ``nodes``, ``dtype``.
 """
 
@@ -34,7 +35,13 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
     InputPartition,
+    LessThan,
+    LessThanOrEqual,
     WriterCommitMessage,
 )
 from pyspark.sql.types import (
@@ -128,14 +135,21 @@ class NpySource(DataSource):
             raise ValueError(f"{len(names)} feature names for {n} features")
         return names
 
+    def _columns(self, features: list[str]) -> list[str]:
+        """The features to return, in the order of the array."""
+        given = self.options.get("columns")
+        chosen = [s.strip() for s in given.split(",")] if given else features
+        if not set(chosen) <= set(features):
+            raise ValueError(f"no such features: {sorted(set(chosen) - set(features))}")
+        return [f for f in features if f in chosen]
+
     def schema(self) -> StructType:
         array = _header(self.options["path"])
         layout = self._layout(array)
         if layout == "panel":
-            keys = [StructField("time_step", IntegerType()), StructField("node_id", IntegerType())]
-            return StructType(
-                keys + [StructField(c, DoubleType()) for c in self._features(array)]
-            )
+            keys = [StructField("time_step", LongType()), StructField("node_id", IntegerType())]
+            chosen = self._columns(self._features(array))
+            return StructType(keys + [StructField(c, DoubleType()) for c in chosen])
         if layout == "edges":
             return StructType([StructField("src", LongType()), StructField("dst", LongType())])
         if array.dtype.kind == "M":
@@ -148,17 +162,32 @@ class NpySource(DataSource):
 
     def reader(self, schema: StructType) -> NpyReader:
         array = _header(self.options["path"])
-        return NpyReader(dict(self.options), self._layout(array), schema.names)
+        layout = self._layout(array)
+        features = self._features(array) if layout == "panel" else []
+        return NpyReader(dict(self.options), layout, schema.names, features)
 
     def writer(self, schema: StructType, overwrite: bool) -> NpyWriter:
         return NpyWriter(dict(self.options), schema.names, overwrite)
 
 
+def _bounds(f: Filter) -> tuple[int, int]:
+    """Half-open step range of a filter; everything if it gives none."""
+    everything, v = (0, 1 << 62), f.value
+    return {
+        EqualTo: (v, v + 1),
+        GreaterThan: (v + 1, everything[1]),
+        GreaterThanOrEqual: (v, everything[1]),
+        LessThan: (0, v),
+        LessThanOrEqual: (0, v + 1),
+    }.get(type(f), everything)
+
+
 class NpyReader(DataSourceReader):
-    def __init__(self, options: dict, layout: str, names: list[str]):
+    def __init__(self, options: dict, layout: str, names: list[str], features: list[str]):
         self.path = options["path"]
         self.layout = layout
         self.names = names
+        self.all = features
         self.first = int(options.get("startStep", options.get("startstep", 0)))
         end = options.get("endStep", options.get("endstep"))
         self.end = None if end is None else int(end)
@@ -166,6 +195,15 @@ class NpyReader(DataSourceReader):
             options.get("partitionBytes", options.get("partitionbytes", PARTITION_BYTES))
         )
 
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Narrow the steps to read; Spark checks the rows again."""
+        for f in filters:
+            if getattr(f, "attribute", None) == ("time_step",) and isinstance(f.value, int):
+                first, stop = _bounds(f)
+                self.first = max(self.first, first)
+                self.end = stop if self.end is None else min(self.end, stop)
+            yield f
+
     def partitions(self) -> list[Slice]:
         array = _header(self.path)
         length = array.shape[1] if self.layout == "edges" else array.shape[0]
@@ -173,7 +211,8 @@ class NpyReader(DataSourceReader):
         start = max(self.first, 0)
         per_item = array.dtype.itemsize * math.prod(array.shape) // max(1, length)
         count = max(1, self.bytes // max(1, per_item))
-        return [Slice(i, min(i + count, stop)) for i in range(start, stop, count)]
+        slices = [Slice(i, min(i + count, stop)) for i in range(start, stop, count)]
+        return slices or [Slice(start, start)]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         """Batches of at most BATCH_ROWS rows, also within one wide time step."""
@@ -189,10 +228,11 @@ class NpyReader(DataSourceReader):
     def _panel(self, file, array: Header, at: int, to: int) -> list[np.ndarray]:
         nodes = array.shape[1]
         width = array.shape[2] if array.ndim == 3 else 1
+        wanted = [i for i, c in enumerate(self.all) if c in self.names]
         index = np.arange(at, to, dtype="int64")
         cells = _values(file, array, at * width, to * width).reshape(-1, width)
-        by_feature = np.ascontiguousarray(cells.T, dtype="float64")
-        return [(index // nodes).astype("int32"), (index % nodes).astype("int32"), *by_feature]
+        by_feature = np.ascontiguousarray(cells.T[wanted], dtype="float64")
+        return [(index // nodes).astype("int64"), (index % nodes).astype("int32"), *by_feature]
 
     def _edges(self, file, array: Header, at: int, to: int) -> list[np.ndarray]:
         ends = [
@@ -270,6 +310,7 @@ class NpyWriter(DataSourceArrowWriter):
 def register(spark: SparkSession) -> None:
     """Make the format known; executors need not have this package installed."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(NpySource)
 
 

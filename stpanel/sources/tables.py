@@ -20,27 +20,14 @@ DATASETS = {
     "GIS": ["X_GIS_spark", "X_GIS"],
 }
 
-# The weather features in the order of the raw array.
-WEATHER_FEATURES = [
-    "f0_T2M",
-    "f1_T850",
-    "f2_RH1000",
-    "f3_Q1000",
-    "f4_TP",
-    "f5_TISR",
-    "f6_Z500",
-    "f7_U10",
-    "f8_V10",
-    "f9_ORO",
-    "f10_LSM",
-]
-
 SUFFIXES = {"npy": ".npy", "parquet": ".parquet"}
 
 
 def _not_found(error: PySparkException) -> bool:
-    text = str(error)
-    return "PATH_NOT_FOUND" in text or "FileNotFoundError" in text
+    """Whether the file is absent, by Spark's error class or the Python source's own."""
+    condition = error.getCondition() or ""
+    python = "\nFileNotFoundError: " in str(error) and condition.startswith("PYTHON_DATA_SOURCE")
+    return condition == "PATH_NOT_FOUND" or python
 
 
 def resolve_source(
@@ -68,7 +55,7 @@ def resolve_source(
 def load_time_dim(rows: DataFrame, step: str, coord: str) -> DataFrame:
     """Time dimension ``(time_step, coord)`` from any step and time columns."""
     return rows.select(
-        F.col(step).cast("int").alias(TIME), F.col(coord).cast("timestamp_ntz").alias("coord")
+        F.col(step).cast("long").alias(TIME), F.col(coord).cast("timestamp_ntz").alias("coord")
     )
 
 
@@ -99,7 +86,7 @@ def write_panel(
     if bucket is None:
         panel.write.mode("overwrite").parquet(path)
         return
-    rows = panel.withColumn("time_bucket", F.floor(F.col(TIME) / F.lit(bucket)).cast("int"))
+    rows = panel.withColumn("time_bucket", F.floor(F.col(TIME) / F.lit(bucket)))
     (
         rows.repartition(F.col("time_bucket"), F.floor(F.col(NODE) / F.lit(tile)))
         .sortWithinPartitions("time_bucket", TIME, NODE)

@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from stpanel.operators.storage import release  # noqa: E402
 from tests.compare import TESTDATA, connect, differences  # noqa: E402
 
 
@@ -40,6 +41,7 @@ def main(scale="0.01", *names):
                 found = [] if df.count() else ["no rows"]
         except Exception as error:  # noqa: BLE001
             found = [f"{type(error).__name__}: {str(error)[:600]}"]
+        release(spark)
         failed += bool(found)
         print(f"{'FAIL' if found else 'ok  '} {name} {time.time() - start:.2f}s", *found, flush=True)
     print(f"{failed} failed")

@@ -37,12 +37,6 @@ def test_entry(spark):
     assert out.count() == 4
 
 
-def test_partition_counts_cover_the_panel(spark):
-    rows = QUERIES["partition_counts"](spark, SF).collect()
-    assert len(rows) == 8
-    assert sum(row["n_rows"] for row in rows) == 10_000
-
-
 def test_bernoulli_sample_size(spark):
     n = QUERIES["bernoulli_sample"](spark, SF).count()
     assert 50 < n < 160  # 100 expected

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stpanel.operators.ordering import running, with_position
 from stpanel.operators.sampling import hash_sample, hottest_cell, stride_sample
-from stpanel.operators.storage import attach, cached, materialize, scratch_root
+from stpanel.operators.storage import attach, cached, materialize, release, scratch_root
 from stpanel.operators.windows import assign_batches, batches_per_epoch, shuffle_samples
 
 NAN = float("nan")
@@ -91,11 +91,22 @@ def test_attach_broadcasts_only_below_the_limit(spark):
     big = spark.range(100).withColumnRenamed("id", "k")
     lookup = materialize(spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("v")))
     hinted = attach(big, lookup, "k")
-    plain = attach(big, lookup, "k", max_cells=10)
+    plain = attach(big, lookup, "k", max_bytes=10)
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(hinted).lower()
     assert "broadcast" not in plan(plain).lower()
     assert hinted.count() == plain.count() == 10
+    vectors = materialize(lookup.withColumn("v", F.array_repeat(F.col("v"), 64)))
+    assert "broadcast" not in plan(attach(big, vectors, "k")).lower()
+
+
+def test_release_deletes_scratch_tables(spark):
+    import os
+
+    path = materialize(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    release(spark)
+    assert not os.path.exists(path)
 
 
 def test_scratch_is_the_checkpoint_folder(spark):

@@ -63,9 +63,26 @@ def test_ingest_keeps_types(spark):
     assert [tuple(r) for r in got.orderBy("k").collect()] == [(0, 1.5), (1, None)]
 
 
-def test_ingest_refuses_large_frames(spark):
-    with pytest.raises(ValueError):
-        P.ingest_frame(spark, pd.DataFrame({"x": range(11)}), max_rows=10)
+def test_keys_of_large_indices(spark):
+    df = spark.createDataFrame([(10**13 + 7,), (2**53 + 3,), (60_000_000_000,)], "i long")
+    got = sorted(tuple(r) for r in df.select(*P.flat_keys("i", 25)).collect())
+    assert got == sorted((i // 25, i % 25) for i in (10**13 + 7, 2**53 + 3, 60_000_000_000))
+
+
+@pytest.mark.parametrize("name", ["time_slice", "climatology", "train_fit"])
+def test_step_bounds_reach_the_scan(spark, name):
+    from stpanel.plans import fixtures as fx
+    from stpanel.plans.registry import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    if name == "time_slice":
+        df = QUERIES[name](spark, sf)
+    else:
+        from stpanel.operators.splits import split_rows
+
+        df = split_rows(fx.panel(spark, sf, keep=["event_id"]), fx.split_dim(spark, sf), "train", fx.FLAT)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_id" in plan and "LessThanOrEqual(event_id" in plan
 
 
 @pytest.mark.parametrize("size", [4, 1024])
@@ -105,10 +122,22 @@ def test_missing_audit_counts_null_and_nan(spark):
     list(np.random.default_rng(2).integers(0, 9, 400).astype(float)),
     [0.0] * 300 + list(np.random.default_rng(3).normal(size=200)) + [1e300],
 ])
-@pytest.mark.parametrize("limit", [1, 20, 10_000])
-def test_exact_median(spark, values, limit):
+@pytest.mark.parametrize("grid, accuracy", [(3, 20), (1000, 10_000)])
+def test_exact_median(spark, monkeypatch, values, grid, accuracy):
+    monkeypatch.setattr(stats, "GRID", grid)
+    monkeypatch.setattr(stats, "ACCURACY", accuracy)
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
-    assert stats.exact_median(df, "v", limit) == np.median(values)
+    assert stats.exact_median(df, "v") == np.median(values)
+
+
+def test_exact_median_over_columns(spark):
+    r = np.random.default_rng(5)
+    table = np.stack([r.normal(0, 1, 999), r.normal(50, 9, 999), r.integers(0, 3, 999)], axis=1)
+    df = spark.createDataFrame([tuple(map(float, row)) for row in table], "a double, b double, c double")
+    assert stats.exact_median(df, ["a", "b", "c"]) == np.median(table)
+    assert stats.panel_profile(
+        df.selectExpr("1L AS time_step", "2 AS node_id", "*"), ["a", "b", "c"]
+    ).first()["median_value"] == np.median(table)
 
 
 def test_median_of_nothing_and_nan(spark):
@@ -223,13 +252,17 @@ def test_one_hot(spark):
     cols = ["a", "b", "c", "d"]
     df = spark.createDataFrame([(i, *map(int, row)) for i, row in enumerate(table)],
                                "id int, a int, b int, c int, d int")
-    wide = one_hot(df, cols).orderBy("id").toPandas()
+    rows = one_hot(df, cols).orderBy("id").collect()
+    wide = np.array([[x for c in cols for x in r[c]] for r in rows])
     want = np.hstack([np.eye(int(np.ptp(v)) + 1, dtype=int)[v - v.min()] for v in table.T])
-    np.testing.assert_array_equal(wide.drop(columns="id").to_numpy(), want)
+    np.testing.assert_array_equal(wide, want)
     ones = {(r["id"], r["position"]) for r in one_hot_long(df, ["id"], cols).collect()}
     assert ones == {(i, j) for i in range(3) for j in np.flatnonzero(want[i])}
-    with pytest.raises(ValueError):
-        one_hot(df, cols, max_width=5)
+    none = spark.createDataFrame([(1, None), (2, None)], "id int, a int")
+    assert [r["a"] for r in one_hot(none, ["a"]).collect()] == [None, None]
+    assert one_hot(none.limit(0), ["a"]).collect() == []
+    wide = spark.createDataFrame([(0,), (5000,)], "a int")
+    assert [len(r["a"]) for r in one_hot(wide, ["a"]).collect()] == [5001, 5001]
 
 
 # --- grids --------------------------------------------------------------------

@@ -87,6 +87,43 @@ def test_correlation_and_bundle(case):
         assert row["mape"] == pytest.approx(np.abs((true - pred) / true)[:, h].mean())
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e6, 1e8])
+def test_scores_keep_their_digits_on_large_offsets(spark, offset):
+    """Against the plain formulas, which take the means off first."""
+    rng = np.random.default_rng(3)
+    true = rng.normal(0, 1, (100, 2, 10)) + np.sin(np.arange(10))
+    pred = true + rng.normal(0, 1.2, true.shape)
+    w = rng.uniform(0.5, 1.5, 10)
+    shifted = [(b, h + 1, n, float(pred[b, h, n] + offset), float(true[b, h, n] + offset)) for b, h, n in np.ndindex(*true.shape)]
+    df = spark.createDataFrame(shifted, "sample_id long, horizon int, node_id int, pred double, true double")
+    nodes = spark.createDataFrame([(n, float(w[n]), 0.0) for n in range(10)], "node_id int, lat_weight double, clim double")
+    p, y = (np.array([r[i] for r in shifted]).reshape(true.shape) - offset for i in (3, 4))
+    a, b = (x - x.mean(axis=(0, 2), keepdims=True) for x in (p, y))
+    total = lambda x: (x * w).sum(axis=(0, 2))
+    acc = total(a * b) / (np.sqrt(total(a * a) * total(b * b)) + 1e-6)
+    error = np.sqrt(((p - y) ** 2).sum(axis=(0, 2)))
+    centre = y.mean(axis=(0, 2), keepdims=True)
+    rrse = {name: error / np.sqrt(((x - centre) ** 2).sum(axis=(0, 2))) for name, x in (("truth", y), ("forecast", p))}
+    assert by_horizon(S.weighted_acc(df, nodes, nodes), "acc_w") == pytest.approx(acc.tolist(), rel=1e-6)
+    assert by_horizon(S.metric_bundle(df), "rrse") == pytest.approx(rrse["truth"].tolist(), rel=1e-6)
+    assert by_horizon(S.metric_pair(df), "rrse") == pytest.approx(rrse["forecast"].tolist(), rel=1e-6)
+
+
+def test_lost_nodes_are_reported(case):
+    _, _, _, _, df, nodes = case
+    some = nodes.where("node_id <> 2")
+    for score in (
+        lambda: S.weighted_rmse(df, some),
+        lambda: S.weighted_scores(df, some, nodes),
+        lambda: S.weighted_acc(df, nodes, some),
+    ):
+        with pytest.raises(ValueError, match="1 nodes without"):
+            score()
+    kept = S.anomalies(df, some)
+    assert kept.count() == df.count()
+    assert kept.where("pred_anom IS NULL").count() == df.where("node_id = 2").count()
+
+
 def test_anomalies_and_two_forecasts(case, spark):
     pred, true, _, clim, df, nodes = case
     got = S.anomalies(df, nodes).where("sample_id = 3 AND horizon = 2 AND node_id = 4").first()

@@ -18,7 +18,7 @@ def test_read_panel(spark, array, tmp_path):
     path = str(tmp_path / "x.npy")
     np.save(path, array)
     df = npy.read_npy(spark, path, features="t2m,rh,tp", partitionBytes=5 * 6 * 3 * 4)
-    assert df.dtypes == [("time_step", "int"), ("node_id", "int")] + [
+    assert df.dtypes == [("time_step", "bigint"), ("node_id", "int")] + [
         (c, "double") for c in ("t2m", "rh", "tp")
     ]
     assert df.rdd.getNumPartitions() == 5
@@ -27,6 +27,19 @@ def test_read_panel(spark, array, tmp_path):
     assert sorted({r[0] for r in part.select("time_step").collect()}) == [4, 5, 6, 7, 8]
 
 
+def test_filters_and_columns_reach_the_array(spark, array, tmp_path):
+    path = str(tmp_path / "x.npy")
+    np.save(path, array)
+    df = npy.read_npy(spark, path, features="t2m,rh,tp", columns="tp,t2m", partitionBytes=2 * 6 * 3 * 4)
+    assert df.columns == ["time_step", "node_id", "t2m", "tp"] and df.rdd.getNumPartitions() == 12
+    part = df.where("time_step >= 3 AND time_step < 7")
+    assert part.rdd.getNumPartitions() == 2
+    got = {(r["time_step"], r["node_id"]): (r["t2m"], r["tp"]) for r in part.collect()}
+    assert got == {(t, n): (array[t, n, 0], array[t, n, 2]) for t in range(3, 7) for n in range(6)}
+    assert df.where("time_step = 40").collect() == []
+    assert df.where("time_step = 5 OR node_id = 1").count() == 6 + 22
+
+
 def test_read_matrix_vectors_and_edges(spark, tmp_path):
     matrix = np.arange(12.0).reshape(4, 3)
     np.save(tmp_path / "m.npy", matrix)
