@@ -19,8 +19,8 @@ is joined again, until each region's rest is one component. No link is lost.
 
 Equal sets are one class and never pairs. The order of shingles needs how many
 documents share them: shingles are counted over all documents, and the counts of
-shared ones become levels in a table of fixed size. Levels only steer the work;
-any level gives the same result.
+shared ones become levels in bit tables of fixed size. Levels only steer the work;
+any level gives the same result, and a full table only costs time.
 
 Documents without words are linked with nothing. NULL ids are members without a
 say in the smallest id; a component with no other id has a NULL one. Repeated
@@ -44,8 +44,8 @@ from stpanel.operators.storage import materialize
 
 PERCENT = 80  # least similarity
 WORDS = 5
-SHARED = 8  # documents above which a shingle is put back in the order
-SLOT_BITS = 22  # size of the tables of levels and of chosen rows
+LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
+SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
 PIVOTS = (1, 4, 16)  # document pivots of a region by round; the last repeats
 
 
@@ -54,12 +54,28 @@ def window(n: int, percent: int = PERCENT) -> int:
     return n + (-n * percent // 100) + 1 if n else 0
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+def _bit_tables(rows: DataFrame, column: str, tests: Sequence[Column]) -> list[np.ndarray]:
+    """For each test, a packed bit table of the slots of the rows that pass it."""
+    slot = F.col(column).bitwiseAND((1 << SLOT_BITS) - 1)
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    words = (
+        rows.select(slot.alias("slot"), *[t.alias(f"t{i}") for i, t in enumerate(tests)])
+        .groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
+        .agg(*[F.bit_or(F.when(F.col(f"t{i}"), bit).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in range(len(tests))])
+        .toArrow()
+    )
+    tables = []
+    for i in range(len(tests)):
+        table = np.zeros(1 << (SLOT_BITS - 6), np.int64)
+        table[words["word"].to_numpy()] = words[f"b{i}"].to_numpy()
+        tables.append(table.view(np.uint8))
+    return tables
 
 
-def _slot(column: str) -> Column:
-    return F.col(column).bitwiseAND((1 << SLOT_BITS) - 1).cast("int")
+def _marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the slots of the hashes are set."""
+    slot = (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
 def _rows(docs: DataFrame, text: str, doc_id: str, keep: Sequence[str | Column] = ()) -> DataFrame:
@@ -67,8 +83,8 @@ def _rows(docs: DataFrame, text: str, doc_id: str, keep: Sequence[str | Column]
     return docs.select(*keep, F.xxhash64(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
 
 
-def _shared_levels(docs: DataFrame, k: int, percent: int) -> np.ndarray:
-    """Level of each slot: 0 for shingles of few documents, more for common ones.
+def _shared_levels(docs: DataFrame, k: int, percent: int) -> list[np.ndarray]:
+    """Bit tables of the shingles that at least 2, 8, ... documents share.
 
     Counts the shingles near the head of the hash order (half as many again as
     a window), over all documents; others cannot get into a window easily.
@@ -82,31 +98,23 @@ def _shared_levels(docs: DataFrame, k: int, percent: int) -> np.ndarray:
                 yield pa.RecordBatch.from_pydict({"shingle": found.view(np.int64), "n": n.astype(np.int32)})
 
     counts = docs.mapInArrow(count, "shingle long, n int").groupBy("shingle").agg(F.sum("n").alias("n"))
-    level = F.least(F.lit(255), F.ceil(2 * F.log2(F.col("n") / SHARED))).cast("int")
-    found = (
-        counts.filter(F.col("n") > SHARED)
-        .groupBy(_slot("shingle").alias("slot"))
-        .agg(F.max(level).alias("level"))
-        .toArrow()
-    )
-    table = np.zeros(1 << SLOT_BITS, np.uint8)
-    table[found["slot"].to_numpy()] = found["level"].to_numpy()
-    return table
+    return _bit_tables(counts.filter(F.col("n") >= LEVELS[0]), "shingle", [F.col("n") >= t for t in LEVELS])
 
 
-def _windows(docs: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataFrame:
+def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) -> DataFrame:
     """``doc_id, row, n, class, head, window``: the class is a hash of the set, ``head`` its first half."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     names = ["doc_id", "row", "n", "class", "head", "window"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
                 n, digests, heads, found = [], [], [], []
                 for s in shingle_sets(part.column("text").to_pylist(), k):
                     size = window(len(s), percent)
-                    level = shared.value[_slots(s)]
-                    first = s if not level.any() else s[np.argsort(level, kind="stable")]
+                    level = sum(_marked(t, s).astype(np.int8) for t in tables)
+                    first = s[np.argsort(level, kind="stable")]
                     digest = xxhash.xxh3_128_digest(s.tobytes())
                     n.append(len(s))
                     digests.append(digest)
@@ -128,15 +136,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     A bit table of fixed size lets most other rows pass by unread; the join
     makes the choice exact.
     """
-    found = wanted.select(_slot("row").alias("slot")).distinct().toArrow()
-    bits = np.zeros(1 << SLOT_BITS, bool)
-    bits[found["slot"].to_numpy()] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_tables(wanted, "row", [F.lit(True)])[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            at = np.flatnonzero(chosen[_slots(batch.column("row").to_numpy().view(np.uint64))])
+            at = np.flatnonzero(_marked(shared.value, batch.column("row").to_numpy().view(np.uint64)))
             for part in slices(batch.take(pa.array(at)), "text"):
                 sets = [s.view(np.int64) for s in shingle_sets(part.column("text").to_pylist(), k)]
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(sets, pa.list_(pa.int64()))], ["row", "shingles"])
@@ -146,11 +150,27 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def _regions(stored: DataFrame) -> DataFrame:
-    """``region, class, n``: the first-level regions that hold more than one class."""
+    """``region, class, n``: the first-level regions that hold more than one class.
+
+    Most shingles of the windows stand alone. A bit table of the others lets the
+    windows shrink before they are exploded; the join makes the choice exact.
+    """
     heads = stored.select("head", F.explode("window").alias("region"))
-    shared = heads.groupBy("region").agg(F.min("head").alias("low"), F.max("head").alias("high")).filter("low <> high")
-    members = stored.select("class", "n", F.explode("window").alias("region"))
-    return members.join(shared.select("region"), "region").distinct()
+    ends = heads.groupBy("region").agg(F.min("head").alias("low"), F.max("head").alias("high"))
+    several = materialize(ends.filter("low <> high").select("region"), "jaccard-shared")
+    shared = stored.sparkSession.sparkContext.broadcast(_bit_tables(several, "region", [F.lit(True)])[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column("window").flatten()
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("window").offsets.to_numpy()))
+            at = np.flatnonzero(_marked(shared.value, flat.to_numpy().view(np.uint64)))
+            own = pa.array(owner[at])
+            columns = [flat.take(pa.array(at)), batch.column("class").take(own), batch.column("n").take(own)]
+            yield pa.RecordBatch.from_arrays(columns, ["region", "class", "n"])
+
+    members = stored.select("class", "n", "window").mapInArrow(run, "region long, class binary, n long")
+    return members.join(several, "region").distinct()
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:

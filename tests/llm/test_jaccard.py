@@ -87,7 +87,7 @@ def test_groups_and_passages(spark, seed):
 
 def test_rounds_of_pivots(spark, monkeypatch):
     """With nothing put back and one pivot at a time, regions need many rounds."""
-    monkeypatch.setattr(jaccard, "SHARED", 10**9)
+    monkeypatch.setattr(jaccard, "LEVELS", (10**9,))
     monkeypatch.setattr(jaccard, "PIVOTS", (1, 2))
     r = random.Random(9)
     chain = [f"c{i}" for i in range(120)]
