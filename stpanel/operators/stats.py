@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,35 +178,55 @@ def histogram(df: DataFrame, col: str, bins: int = 60) -> DataFrame:
     Empty bins are listed with count 0. If all values are equal, the range is
     half a unit to each side. Missing values are left out.
     """
-    x = F.col(col).cast("double")
-    rows = df.select(x.alias("x")).where(~is_missing("x"))
-    lo, hi = F.min("x"), F.max("x")
+    return histograms(df, {"": col}, bins).drop("series")
+
+
+def histograms(df: DataFrame, cols: Mapping[str, str], bins: int = 60) -> DataFrame:
+    """Histograms of several columns, labelled by ``series``: one scan for all
+    ranges and one for all counts."""
+    names = {name: f"x{i}" for i, name in enumerate(cols)}
+    rows = df.select(*[F.col(c).cast("double").alias(names[name]) for name, c in cols.items()])
+    present = {name: F.when(~is_missing(x), F.col(x)) for name, x in names.items()}
+
+    def ends_of(x: Column) -> list[Column]:
+        lo, hi = F.min(x), F.max(x)
+        return [F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi)]
+
     ends = rows.agg(
         F.struct(
-            F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"),
-            F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"),
+            *[
+                end.alias(f"{side}_{names[name]}")
+                for name, x in present.items()
+                for side, end in zip(("lo", "hi"), ends_of(x), strict=True)
+            ]
         ).alias("ends")
     ).scalar()
+
+    def bin_of(name: str) -> Column:
+        x = names[name]
+        bucket = F.width_bucket(present[name], f"_e.lo_{x}", f"_e.hi_{x}", F.lit(bins))
+        return (F.least(bucket, F.lit(bins)) - 1).cast("int")
+
+    placed = F.array(*[F.struct(F.lit(n).alias("series"), bin_of(n).alias("bin")) for n in names])
     counts = (
         rows.withColumn("_e", ends)
-        .select(
-            (F.least(F.width_bucket("x", "_e.lo", "_e.hi", F.lit(bins)), F.lit(bins)) - 1)
-            .cast("int")
-            .alias("bin")
-        )
-        .groupBy("bin")
+        .select(F.inline(placed))
+        .where("bin IS NOT NULL")
+        .groupBy("series", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (F.col("_e.hi") - F.col("_e.lo")) / bins
+    series = F.explode(F.array(*[F.lit(n) for n in names])).alias("series")
+    frame = df.sparkSession.range(bins).select(series, F.col("id").cast("int").alias("bin"))
+
+    def edge(name: str) -> Column:
+        lo, hi = F.col(f"_e.lo_{names[name]}"), F.col(f"_e.hi_{names[name]}")
+        return lo + F.col("bin") * ((hi - lo) / bins)
+
+    left = F.coalesce(*[F.when(F.col("series") == n, edge(n)) for n in names])
     return (
-        frame.join(counts, "bin", "left")
+        frame.join(counts, ["series", "bin"], "left")
         .withColumn("_e", ends)
-        .select(
-            "bin",
-            (F.col("_e.lo") + F.col("bin") * width).alias("left_edge"),
-            F.coalesce("n", F.lit(0)).alias("n"),
-        )
+        .select("series", "bin", left.alias("left_edge"), F.coalesce("n", F.lit(0)).alias("n"))
     )
 
 

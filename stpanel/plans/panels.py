@@ -428,11 +428,7 @@ def histogram_sample(spark, sf):
 def _histograms(view):
     scaled = fit(view, ["x"], "std", "feature", ddof=1).transform(view)
     scaled = scaled.withColumn("x_scaled", F.round("x_scaled", 9))
-    both = [
-        stats.histogram(scaled, c).select(F.lit(name).alias("series"), "*")
-        for name, c in (("raw", "x"), ("scaled", "x_scaled"))
-    ]
-    return rounded(both[0].unionByName(both[1]), ["left_edge"])
+    return rounded(stats.histograms(scaled, {"raw": "x", "scaled": "x_scaled"}), ["left_edge"])
 
 
 @query(
