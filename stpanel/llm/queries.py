@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stpanel.llm import jaccard, langid, pii, pseudo
 from stpanel.llm.ann import nearest
 from stpanel.llm.bpe import encode, load_ranks
-from stpanel.llm.licenses import scan
+from stpanel.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, scan
 from stpanel.llm.mixing import mix
 from stpanel.llm.topk import exact_top_k
 from stpanel.llm.urls import judge, rule_table
@@ -97,10 +97,74 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents")).drop("row")
 
 
+ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op4_jaccard_join"] = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS low FROM sets
+  UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.doc_id
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.low) AS component_id
+FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
+"""
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def _license_sql() -> str:
+    phrases = ", ".join(f"({t.split()}, '{label}')" for t, label in PHRASES.items())
+    needed = [(t.split(), label, -(-len(set(t.split())) * round(100 * THRESHOLD) // 100)) for t, label in TEMPLATES.items()]
+    templates = ", ".join(f"({i}, {t}, '{label}', {n})" for i, (t, label, n) in enumerate(needed))
+    return rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, i - 1 AS pos, label, 1.0::DOUBLE AS share
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+  JOIN (VALUES {phrases}) AS p(phrase, label) ON w[i:i + len(phrase) - 1] = phrase
+), templates AS (
+  SELECT *, unnest(list_distinct(wanted)) AS word, len(list_distinct(wanted)) AS size, len(wanted) - 1 AS reach
+  FROM (VALUES {templates}) AS t(id, wanted, label, needed)
+), hits AS (
+  SELECT * FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM words)
+  WHERE word IN (SELECT word FROM templates)
+), blocks AS (
+  SELECT h.doc_id, t.label, count(DISTINCT o.word) / t.size AS share
+  FROM hits h JOIN templates t ON t.word = h.word
+  JOIN hits o ON o.doc_id = h.doc_id AND abs(o.pos - h.pos) <= t.reach
+  JOIN templates u ON u.id = t.id AND u.word = o.word
+  GROUP BY h.doc_id, h.pos, t.id, t.label, t.size, t.needed HAVING count(DISTINCT o.word) >= t.needed
+), base AS (
+  SELECT doc_id, count(*) AS n, min(pos) AS lowest, max(pos) AS highest, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places GROUP BY doc_id
+), every AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM (SELECT doc_id, label, share FROM places UNION ALL SELECT * FROM blocks) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lowest::BIGINT AS first_word,
+       highest::BIGINT AS last_word, coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
+"""
+
+
+ORACLES["op5_license_scan"] = _license_sql()
+
+
 def _count(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
