@@ -33,7 +33,8 @@ from stpanel.operators.storage import materialize
 
 TABLES = 8
 PROBES = 16  # of twice the (padded) dimension, per table
-PART = 4096  # vectors in one part of a bucket
+PART = 1024  # vectors in one part of a bucket
+BLOCK = 4096  # queries of one bucket that meet a part together
 SEED = 20
 
 
@@ -106,13 +107,14 @@ def _search(filed: DataFrame, looked: DataFrame, dim: int, k: int, part: int, li
     by = ["table", "bucket"]
     sizes = filed.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     parts = sizes.select(*by, F.ceil(F.col("n") / F.lit(part)).cast("int").alias("parts"))
-    c = filed.join(parts, by).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    q = looked.join(parts, by).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     # Queries of one bucket are dealt out as well: a common vector may be asked for very often.
-    deal = F.pmod(F.xxhash64("vec_id", F.lit("deal")), F.greatest(F.lit(1), F.col("parts"))).cast("int")
+    asked = looked.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("deals"))
+    grid = parts.join(asked, by)  # buckets that hold vectors and are asked for
+    salt, deal = F.pmod(F.xxhash64("vec_id"), F.col("parts")), F.pmod(F.xxhash64("vec_id", F.lit("deal")), F.col("deals"))
     keys = [*by, "salt", "deal"]
-    c = c.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*keys, "vec_id", "v")
-    q = q.withColumn("deal", deal).select(*keys, "vec_id", "v")
+    c = filed.join(grid, by).withColumns({"salt": salt.cast("int"), "deal": F.explode(F.sequence(F.lit(0), F.col("deals") - 1))})
+    q = looked.join(grid, by).withColumns({"deal": deal.cast("int"), "salt": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    c, q = c.select(*keys, "vec_id", "v"), q.select(*keys, "vec_id", "v")
 
     def bucket(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -154,13 +156,13 @@ def nearest(
     longest = float(np.sqrt(high)) if n and high - low > 1e-5 * high else None
     filed = materialize(file_vectors(rows.withColumn("q", F.lit(False)), dim, longest, 0, tables, seed).drop("q"), "ann-filed")
     queries = rows.filter("q")
-    looked = file_vectors(queries, dim, longest, probes, tables, seed).drop("q")
+    looked = materialize(file_vectors(queries, dim, longest, probes, tables, seed).drop("q"), "ann-looked")
     # Lists of a query are merged in groups once a query may meet many parts.
     groups = max(1, -(-n // (part * 16)))
     found = materialize(merge(_search(filed, looked, dim, k, part, groups), k, groups), "ann-found")
     short = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(k, max(n - 1, 0)))
     rest = queries.join(short, F.col("query_id") == F.col("vec_id"), "left_anti")
     every = 2 * (1 << (dim + (longest is not None) - 1).bit_length())
-    rest_looked = file_vectors(rest, dim, longest, every, 1, seed).drop("q")
+    rest_looked = materialize(file_vectors(rest, dim, longest, every, 1, seed).drop("q"), "ann-rest")
     more = merge(_search(filed.filter("table = 0"), rest_looked, dim, k, part, groups), k, groups)
     return found.join(more.select("query_id").distinct(), "query_id", "left_anti").unionByName(more)

@@ -10,7 +10,7 @@ replicating each document into the regions of its first ``n - ceil(t n) + 1``
 shingles (its window) makes every linked pair meet in a region.
 
 Further levels: a region whose documents are not yet one component chooses
-document pivots, at first one, then more. The exact distances to them link
+document pivots, at first a few, then more. The exact distances to them link
 documents, and open windows: by the triangle inequality two documents can only
 be linked if their distances to the region's first pivot differ by at most
 ``1 - t`` (and if their sizes, their distances to the empty set, agree within a
@@ -34,7 +34,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stpanel.llm.bpe import slices
@@ -46,7 +46,7 @@ PERCENT = 80  # least similarity
 WORDS = 5
 LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
 SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
-PIVOTS = (1, 4, 16)  # document pivots of a region by round; the last repeats
+PIVOTS = (8, 128, 1024)  # document pivots of a region by round; the last repeats
 
 
 def window(n: int, percent: int = PERCENT) -> int:
@@ -183,26 +183,29 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """``node, component`` of the classes with links; None if there are none."""
+    """``class, component, size`` of the classes with links; None if there are none."""
     far = 1 - percent / 100 + 1e-9
-    nodes, links, turn = None, None, 0
+    nodes, links, first, known, turn = None, None, None, None, 0
     members = members.withColumn("near", F.lit(None).cast("double"))
     while True:
-        if nodes is None:
-            placed = members.withColumn("component", F.col("class"))
-        else:
-            placed = members.join(nodes.withColumnRenamed("node", "class"), "class", "left")
-            placed = placed.withColumn("component", F.coalesce("component", "class"))
-        kinds = placed.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"))
-        open_regions = kinds.groupBy("region").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("region")
-        rest = materialize(placed.join(open_regions, "region").join(kinds, ["region", "component"]), "jaccard-members")
+        rest = _open_regions(members, nodes)
+        if turn == 1:
+            # The distance to a region's first pivot; unknown where the sizes ruled a link out.
+            near = (1 - F.col("common") / F.col("total")).alias("near")
+            kept = [c for c in rest.columns if c != "near"]
+            rest = rest.join(first, "region", "left")
+            rest = rest.withColumns({"a": F.least("class", "p_class"), "b": F.greatest("class", "p_class")})
+            rest = rest.join(known, ["a", "b"], "left").select(*kept, near)
+        # Of the documents without a link yet, and of all, this many become pivots;
+        # drawn by hash, so no task ever sorts a region.
+        wanted = PIVOTS[min(turn, len(PIVOTS) - 1)]
+        draw = F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        pool = F.when(F.col("size") == 1, F.col("single")).otherwise(F.col("all"))
+        rest = materialize(rest.withColumn("pivot", draw * pool < wanted), "jaccard-members")
         if rest.isEmpty():
             return nodes
-        # Pivots come from the smallest components, which may still miss their links.
-        order = F.row_number().over(Window.partitionBy("region").orderBy("size", F.xxhash64("class")))
-        pivots = rest.withColumn("place", order).filter(F.col("place") <= PIVOTS[min(turn, len(PIVOTS) - 1)])
-        pivots = materialize(pivots.select("region", *[F.col(c).alias(f"p_{c}") for c in ("class", "n", "near", "component", "place")]), "jaccard-pivots")
-        met = rest.join(pivots, "region").filter((F.col("component") != F.col("p_component")) & (F.col("class") != F.col("p_class")))
+        pivots = rest.filter("pivot").select("region", *[F.col(c).alias(f"p_{c}") for c in ("class", "n", "near", "component")])
+        met = rest.join(pivots, "region").filter(F.col("component") != F.col("p_component"))
         met = met.filter(
             (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n"))
             & (F.abs(F.col("near") - F.col("p_near")).isNull() | (F.abs(F.col("near") - F.col("p_near")) <= far))
@@ -211,19 +214,35 @@ def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
         known = materialize(_distances(pairs, sets), "jaccard-distances")
         new = known.filter(100 * F.col("common") >= percent * F.col("total")).select(F.col("a").alias("u"), F.col("b").alias("v"))
         if not new.isEmpty():
-            nodes = materialize(components(new if links is None else links.unionByName(new)), "jaccard-components")
-            links = nodes.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        members = rest.join(pivots.select("region", F.col("p_class").alias("class")), ["region", "class"], "left_anti")
+            found = components(new if links is None else links.unionByName(new)).withColumnRenamed("node", "class")
+            sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+            nodes = materialize(found.join(sizes, "component"), "jaccard-components")
+            links = nodes.select(F.col("class").alias("u"), F.col("component").alias("v"))
         if turn == 0:
-            # The distance to a region's first pivot; unknown where the sizes ruled a link out.
-            anchor = pivots.select("region", "p_class").join(members.select("region", "class"), "region")
-            anchor = anchor.withColumns({"a": F.least("class", "p_class"), "b": F.greatest("class", "p_class")})
-            near = anchor.join(known, ["a", "b"]).select("region", "class", (1 - F.col("common") / F.col("total")).alias("near"))
-            members = members.drop("near").join(near, ["region", "class"], "left")
-        members = materialize(members.select("region", "class", "n", "near"), "jaccard-rest")
+            first = pivots.groupBy("region").agg(F.min("p_class").alias("p_class"))
+        # Pivots have met everybody in their region; the rest goes on without them.
+        members = rest.filter("not pivot").select("region", "class", "n", "near")
         turn += 1
 
 
+def _open_regions(members: DataFrame, nodes: DataFrame | None) -> DataFrame:
+    """Members of the regions that are not one component yet, with their component
+    and its size, and how many documents (``all``, ``single``) the region holds."""
+    if nodes is None:
+        placed = members.withColumns({"component": F.col("class"), "size": F.lit(1).cast("long")})
+    else:
+        placed = members.join(nodes, "class", "left").withColumns(
+            {"component": F.coalesce("component", "class"), "size": F.coalesce("size", F.lit(1))}
+        )
+    ends = placed.groupBy("region").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count(F.lit(1)).alias("all"),
+        F.count_if(F.col("size") == 1).alias("single"),
+    )
+    return placed.join(ends.filter("low <> high").drop("low", "high"), "region")
+
+
 def link(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, k: int = WORDS
 ) -> DataFrame:
@@ -241,7 +260,7 @@ def link(
     nodes = _joined(members, sets, percent)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     if nodes is not None:
-        classes = classes.join(nodes.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        classes = classes.join(nodes.drop("size"), "class", "left").withColumn("component", F.coalesce("component", "class"))
         lowest = classes.groupBy("component").agg(F.min("low").alias("lowest"))
         classes = classes.join(lowest, "component").select("class", F.col("lowest").alias("low"))
     classes = classes.withColumn("known", F.lit(True))
@@ -268,7 +287,8 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     empty = found.filter("n_shingles = 0").select(F.col("row").alias("_kept_row")).distinct()
     twice = real.join(kept, real["row"] == kept["_kept_row"]).groupBy("_kept_row").agg(F.count(F.lit(1)).alias("_copies"))
     chosen = twice.unionByName(empty.withColumn("_copies", F.lit(0).cast("long")))
-    joined = keyed.join(materialize(chosen, "jaccard-kept"), "_kept_row")
-    once = joined.filter("_copies <= 1")
-    several = joined.filter("_copies > 1").dropDuplicates(["_kept_row"])
-    return once.unionByName(several).drop("_kept_row", "_copies")
+    chosen = materialize(chosen, "jaccard-kept")
+    once = keyed.join(materialize(chosen.filter("_copies <= 1"), "jaccard-once"), "_kept_row")
+    # Repeated rows are few or none: a table of their own is small enough to broadcast.
+    several = keyed.join(materialize(chosen.filter("_copies > 1"), "jaccard-several"), "_kept_row")
+    return once.unionByName(several.dropDuplicates(["_kept_row"])).drop("_kept_row", "_copies")

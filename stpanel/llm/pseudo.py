@@ -39,7 +39,7 @@ HASHED = 64  # classes shared by all other words
 SPAN = 2  # neighbours to either side
 WIDTH = 16
 TRAIN_SHARE = 0.02  # of the documents, by a hash of the id
-SHARD_WORDS = 100_000  # words aimed at in a training shard
+SHARD_WORDS = 20_000  # words aimed at in a training shard
 ROUNDS = 3
 FAN = 64  # weight sets averaged at once
 EDGE = FREQUENT + HASHED  # class of a missing neighbour
@@ -172,9 +172,9 @@ def _average(weights: DataFrame, shards: int) -> np.ndarray | None:
 
     def mean(table: pa.Table) -> pa.Table:
         n = table["n"].to_numpy().astype(float)
-        stack = np.stack([np.frombuffer(w.as_py(), np.float64) for w in table["weights"]])
+        stack = np.stack([np.frombuffer(w.as_py(), np.float32) for w in table["weights"]])
         group = table["shard"][0].as_py()
-        return pa.table({"shard": pa.array([group], pa.int32()), "n": [int(n.sum())], "weights": [(stack * (n / n.sum())[:, None]).sum(0).tobytes()]})
+        return pa.table({"shard": pa.array([group], pa.int32()), "n": [int(n.sum())], "weights": [(stack * (n / n.sum())[:, None]).sum(0).astype(np.float32).tobytes()]})
 
     while True:
         shards = -(-shards // FAN)
@@ -182,7 +182,7 @@ def _average(weights: DataFrame, shards: int) -> np.ndarray | None:
         weights = weights.groupBy("shard").applyInArrow(mean, "shard int, n long, weights binary")
         if shards == 1:
             row = weights.first()
-            return None if row is None else np.frombuffer(row["weights"], np.float64)
+            return None if row is None else np.frombuffer(row["weights"], np.float32)
 
 
 def _trainer(shared, rate: float):
@@ -196,7 +196,7 @@ def _trainer(shared, rate: float):
         words, near = windows([classes.number(split(t)) for _, t in texts])
         order = np.random.default_rng(1).permutation(len(words))
         net.train(words[order], near[:, order], rate)
-        weights = net.flat().astype(np.float64).tobytes()
+        weights = net.flat().tobytes()
         return pa.table({"shard": table["shard"].slice(0, 1), "n": [max(1, len(words))], "weights": [weights]})
 
     return train
@@ -211,7 +211,7 @@ def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: st
     draw = F.pmod(F.xxhash64(F.lit("train"), "id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     shards = max(1, round(share * (chars or 0) / 6 / SHARD_WORDS))
     dealt = F.pmod(F.xxhash64(F.lit("shard"), "id", F.length("text")), F.lit(shards)).cast("int")
-    sample = materialize(sized.filter(draw < share).select(dealt.alias("shard"), "id", "text").repartition("shard"), "lm-sample")
+    sample = materialize(sized.filter(draw < share).select(dealt.alias("shard"), "id", "text"), "lm-sample")
     network = Network.start()
     if not n:
         return network
