@@ -1,4 +1,4 @@
-"""Exact Jaccard join of documents in metric space, recursive by regions.
+"""Exact Jaccard join of documents in metric space, by regions within regions.
 
 Documents are sets of word shingles, and one minus the Jaccard similarity is a
 metric. The join finds the components of all links of at most ``1 - t``.
@@ -9,13 +9,15 @@ puts shared shingles last. Two linked documents differ in few shingles, so
 replicating each document into the regions of its first ``n - ceil(t n) + 1``
 shingles (its window) makes every linked pair meet in a region.
 
-Further levels: a region whose documents are not yet one component chooses
-document pivots, at first a few, then more. The exact distances to them link
-documents, and open windows: by the triangle inequality two documents can only
-be linked if their distances to the region's first pivot differ by at most
-``1 - t`` (and if their sizes, their distances to the empty set, agree within a
-factor ``t``). Pivots leave the region, having met everybody, and what remains
-is joined again, until each region's rest is one component. No link is lost.
+Second level: overlapping regions form a group, whose pivot is the document
+shared most. The documents in its ball (at most ``1 - t`` away) are linked to it
+and so to each other's component. By the triangle inequality, only documents in
+the boundary, up to twice as far, can be linked to the ball; they are replicated
+to it. The ball and its boundary, and the documents outside the ball among
+themselves, are cut into tiles of bounded size, and each tile is joined exactly
+by a matrix product over its shingles, within the window of distances to the
+pivot that the inequality leaves. A tile returns a spanning forest of its links,
+so a dense group never becomes all its pairs. No link is lost.
 
 Equal sets are one class and never pairs. The order of shingles needs how many
 documents share them: shingles are counted over all documents, and the counts of
@@ -46,7 +48,7 @@ PERCENT = 80  # least similarity
 WORDS = 5
 LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
 SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
-PIVOTS = (8, 128, 1024)  # document pivots of a region by round; the last repeats
+BLOCK = 128  # classes of a group that enter a tile together
 
 
 def window(n: int, percent: int = PERCENT) -> int:
@@ -173,74 +175,113 @@ def _regions(stored: DataFrame) -> DataFrame:
     return members.join(several, "region").distinct()
 
 
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, common, total`` of pairs of classes."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
+def _placed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``class, n, group, pivot, near, inside``: each class against its group's pivot.
+
+    Groups are the regions that overlap, joined. The pivot is the document whose
+    window is shared most: what others were copied from holds little of its own.
+    """
+    low = members.groupBy("region").agg(F.min("class").alias("v"))
+    edges = members.join(low, "region").select(F.col("class").alias("u"), "v").distinct()
+    groups = components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
+    shared = members.groupBy("class").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"))
+    size = F.expr(f"n - ceil(n * {percent} / 100) + 1")
+    placed = shared.join(groups, "class").select("class", "n", "group", (F.col("shared") / size).alias("share"))
+    placed = materialize(placed, "jaccard-groups")
+    pivots = placed.groupBy("group").agg(F.max(F.struct("share", "class")).alias("top"))
+    paired = placed.join(pivots.select("group", F.col("top.class").alias("pivot")), "group").drop("share")
+    left = sets.select("class", F.col("shingles").alias("left"))
+    right = sets.select(F.col("class").alias("pivot"), F.col("shingles").alias("right"))
     common = F.size(F.array_intersect("left", "right"))
-    total = F.size("left") + F.size("right")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("common"), (total - common).alias("total"))
+    total = F.size("left") + F.size("right") - common
+    return materialize(
+        paired.join(left, "class")
+        .join(right, "pivot")
+        .select("class", "n", "group", "pivot", (1 - common / total).alias("near"), (100 * common >= percent * total).alias("inside")),
+        "jaccard-placed",
+    )
 
 
-def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """``class, component, size`` of the classes with links; None if there are none."""
+def _tiles(placed: DataFrame, percent: int) -> DataFrame:
+    """``group, kind, i, j, class, near, side``: where each class meets others.
+
+    Documents inside a pivot's ball are one component already. Those outside are
+    dealt into blocks; each two blocks meet in a tile ("out"). Those in the
+    boundary, up to twice the radius, are replicated into the tiles of the ball
+    as well ("edge"); by the triangle inequality no others can be linked to it.
+    """
     far = 1 - percent / 100 + 1e-9
-    nodes, links, first, known, turn = None, None, None, None, 0
-    members = members.withColumn("near", F.lit(None).cast("double"))
-    while True:
-        rest = _open_regions(members, nodes)
-        if turn == 1:
-            # The distance to a region's first pivot; unknown where the sizes ruled a link out.
-            near = (1 - F.col("common") / F.col("total")).alias("near")
-            kept = [c for c in rest.columns if c != "near"]
-            rest = rest.join(first, "region", "left")
-            rest = rest.withColumns({"a": F.least("class", "p_class"), "b": F.greatest("class", "p_class")})
-            rest = rest.join(known, ["a", "b"], "left").select(*kept, near)
-        # Of the documents without a link yet, and of all, this many become pivots;
-        # drawn by hash, so no task ever sorts a region.
-        wanted = PIVOTS[min(turn, len(PIVOTS) - 1)]
-        draw = F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        pool = F.when(F.col("size") == 1, F.col("single")).otherwise(F.col("all"))
-        rest = materialize(rest.withColumn("pivot", draw * pool < wanted), "jaccard-members")
-        if rest.isEmpty():
-            return nodes
-        pivots = rest.filter("pivot").select("region", *[F.col(c).alias(f"p_{c}") for c in ("class", "n", "near", "component")])
-        met = rest.join(pivots, "region").filter(F.col("component") != F.col("p_component"))
-        met = met.filter(
-            (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n"))
-            & (F.abs(F.col("near") - F.col("p_near")).isNull() | (F.abs(F.col("near") - F.col("p_near")) <= far))
-        )
-        pairs = met.select(F.least("class", "p_class").alias("a"), F.greatest("class", "p_class").alias("b")).distinct()
-        known = materialize(_distances(pairs, sets), "jaccard-distances")
-        new = known.filter(100 * F.col("common") >= percent * F.col("total")).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if not new.isEmpty():
-            found = components(new if links is None else links.unionByName(new)).withColumnRenamed("node", "class")
-            sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-            nodes = materialize(found.join(sizes, "component"), "jaccard-components")
-            links = nodes.select(F.col("class").alias("u"), F.col("component").alias("v"))
-        if turn == 0:
-            first = pivots.groupBy("region").agg(F.min("p_class").alias("p_class"))
-        # Pivots have met everybody in their region; the rest goes on without them.
-        members = rest.filter("not pivot").select("region", "class", "n", "near")
-        turn += 1
-
-
-def _open_regions(members: DataFrame, nodes: DataFrame | None) -> DataFrame:
-    """Members of the regions that are not one component yet, with their component
-    and its size, and how many documents (``all``, ``single``) the region holds."""
-    if nodes is None:
-        placed = members.withColumns({"component": F.col("class"), "size": F.lit(1).cast("long")})
-    else:
-        placed = members.join(nodes, "class", "left").withColumns(
-            {"component": F.coalesce("component", "class"), "size": F.coalesce("size", F.lit(1))}
-        )
-    ends = placed.groupBy("region").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.count(F.lit(1)).alias("all"),
-        F.count_if(F.col("size") == 1).alias("single"),
+    edge = ~F.col("inside") & (F.col("near") <= 2 * far)
+    blocks = lambda test: F.ceil(F.count_if(test) / F.lit(BLOCK)).cast("int")
+    counts = placed.groupBy("group").agg(
+        blocks(~F.col("inside")).alias("outs"), blocks(F.col("inside")).alias("ins"), blocks(edge).alias("edges")
     )
-    return placed.join(ends.filter("low <> high").drop("low", "high"), "region")
+    rows = placed.join(counts.filter("outs > 0"), "group").withColumn("edge", edge)
+
+    def block(of: str) -> Column:
+        return F.pmod(F.xxhash64("class"), F.greatest(F.col(of), F.lit(1))).cast("int")
+
+    def upto(of: str) -> Column:
+        return F.when(F.col(of) > 0, F.sequence(F.lit(0), F.col(of) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def tile(kind: str, i: Column, j: Column, side: int) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+
+    out = F.transform(upto("outs"), lambda o: tile("out", F.least(o, block("outs")), F.greatest(o, block("outs")), 0))
+    at_edge = F.transform(upto("ins"), lambda i: tile("edge", i, block("edges"), 0))
+    ball = F.transform(upto("edges"), lambda e: tile("edge", block("ins"), e, 1))
+    none = F.array().cast("array<struct<kind: string, i: int, j: int, side: int>>")
+    where = F.when(F.col("inside"), ball).otherwise(F.concat(out, F.when(F.col("edge"), at_edge).otherwise(none)))
+    return rows.select("group", "class", "near", F.inline(where))
+
+
+def _tile_links(percent: int):
+    """Links between the classes of one tile, as few as tie the linked ones together."""
+    far = 1 - percent / 100 + 1e-9
+
+    def run(table: pa.Table) -> pa.Table:
+        names = table["class"].to_pylist()
+        near, side = table["near"].to_numpy(), table["side"].to_numpy()
+        column = table["shingles"].combine_chunks()
+        sizes = np.diff(column.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(names)), sizes)
+        _, token, n = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        shared = n[token] > 1
+        _, token = np.unique(token[shared], return_inverse=True)
+        owner = owner[shared]
+        common = np.zeros((len(names), len(names)), np.float32)
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        for first in range(0, int(token[-1]) + 1 if len(token) else 0, 4096):
+            a, b = np.searchsorted(token, [first, first + 4096])
+            part = np.zeros((len(names), 4096), np.float32)
+            part[owner[a:b], token[a:b] - first] = 1
+            common += part @ part.T
+        common = np.rint(common.astype(np.float64)).astype(np.int64)
+        linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+        linked &= np.abs(near[:, None] - near[None, :]) <= far
+        if table["kind"][0].as_py() == "edge":
+            linked &= side[:, None] != side[None, :]
+        found, root = [], np.arange(len(names))
+        for u, v in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+            if root[u] != root[v]:
+                root[root == root[u]] = root[v]
+                found.append((names[u], names[v]))
+        return pa.table({"u": pa.array([x for x, _ in found], pa.binary()), "v": pa.array([x for _, x in found], pa.binary())})
+
+    return run
+
+
+def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """``class, component`` of the classes with links; None if there are none."""
+    placed = _placed(members, sets, percent)
+    tiles = _tiles(placed, percent).join(sets, "class")
+    met = tiles.groupBy("group", "kind", "i", "j").applyInArrow(_tile_links(percent), "u binary, v binary")
+    inside = placed.filter("inside and class <> pivot").select(F.col("class").alias("u"), F.col("pivot").alias("v"))
+    links = materialize(met.unionByName(inside), "jaccard-found")
+    if links.isEmpty():
+        return None
+    return components(links).withColumnRenamed("node", "class")
 
 
 def link(
@@ -260,7 +301,7 @@ def link(
     nodes = _joined(members, sets, percent)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     if nodes is not None:
-        classes = classes.join(nodes.drop("size"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        classes = classes.join(nodes, "class", "left").withColumn("component", F.coalesce("component", "class"))
         lowest = classes.groupBy("component").agg(F.min("low").alias("lowest"))
         classes = classes.join(lowest, "component").select("class", F.col("lowest").alias("low"))
     classes = classes.withColumn("known", F.lit(True))
