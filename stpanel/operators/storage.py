@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -49,6 +50,16 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of results that are stored and out of use.
+
+    Its cleaner acts when the driver collects garbage, which a driver with little
+    to do does rarely while executors' disks fill.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a result once and read it back.
 
