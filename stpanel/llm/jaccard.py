@@ -42,13 +42,15 @@ from pyspark.sql import functions as F
 from stpanel.llm.bpe import slices
 from stpanel.llm.graph import components
 from stpanel.llm.shingles import shingle_sets
-from stpanel.operators.storage import materialize
+from stpanel.operators.storage import free_shuffles, materialize
 
 PERCENT = 80  # least similarity
 WORDS = 5
 LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
 SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
-BLOCK = 128  # classes of a group that enter a tile together
+BLOCK = 128  # classes of a group that enter a tile together,
+BLOCKS = 8  # as long as these are that few;
+LARGE = 1024  # then blocks grow up to this size
 
 
 def window(n: int, percent: int = PERCENT) -> int:
@@ -133,7 +135,7 @@ def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) ->
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``class, shingles`` of the rows in ``wanted`` (``row, class``).
+    """``wanted`` (with a unique ``row``) and the ``shingles`` of its rows.
 
     A bit table of fixed size lets most other rows pass by unread; the join
     makes the choice exact.
@@ -148,7 +150,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(sets, pa.list_(pa.int64()))], ["row", "shingles"])
 
     rows = docs.select("row", "text").mapInArrow(run, "row long, shingles array<long>")
-    return rows.join(wanted, "row").groupBy("class").agg(F.first("shingles").alias("shingles"))
+    return rows.dropDuplicates(["row"]).join(wanted, "row").drop("row")
 
 
 def _regions(stored: DataFrame) -> DataFrame:
@@ -175,35 +177,34 @@ def _regions(stored: DataFrame) -> DataFrame:
     return members.join(several, "region").distinct()
 
 
-def _placed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``class, n, group, pivot, near, inside``: each class against its group's pivot.
+def _groups(members: DataFrame, percent: int) -> DataFrame:
+    """``class, group, pivot``: overlapping regions joined, and each group's pivot.
 
-    Groups are the regions that overlap, joined. The pivot is the document whose
-    window is shared most: what others were copied from holds little of its own.
+    The pivot is the document whose window is shared most: what others were
+    copied from holds little of its own.
     """
     low = members.groupBy("region").agg(F.min("class").alias("v"))
     edges = members.join(low, "region").select(F.col("class").alias("u"), "v").distinct()
     groups = components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
     shared = members.groupBy("class").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"))
     size = F.expr(f"n - ceil(n * {percent} / 100) + 1")
-    placed = shared.join(groups, "class").select("class", "n", "group", (F.col("shared") / size).alias("share"))
+    placed = shared.join(groups, "class").select("class", "group", (F.col("shared") / size).alias("share"))
     placed = materialize(placed, "jaccard-groups")
     pivots = placed.groupBy("group").agg(F.max(F.struct("share", "class")).alias("top"))
-    paired = placed.join(pivots.select("group", F.col("top.class").alias("pivot")), "group").drop("share")
-    left = sets.select("class", F.col("shingles").alias("left"))
-    right = sets.select(F.col("class").alias("pivot"), F.col("shingles").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    total = F.size("left") + F.size("right") - common
-    return materialize(
-        paired.join(left, "class")
-        .join(right, "pivot")
-        .select("class", "n", "group", "pivot", (1 - common / total).alias("near"), (100 * common >= percent * total).alias("inside")),
-        "jaccard-placed",
-    )
+    return placed.join(pivots.select("group", F.col("top.class").alias("pivot")), "group").drop("share")
+
+
+def _placed(sets: DataFrame, percent: int) -> DataFrame:
+    """Add ``near``, the distance to the group's pivot, and ``inside``, if that is a link."""
+    right = sets.filter(F.col("class") == F.col("pivot")).select("group", F.col("shingles").alias("right"))
+    common = F.size(F.array_intersect("shingles", "right"))
+    total = F.size("shingles") + F.size("right") - common
+    near, inside = (1 - common / total).alias("near"), (100 * common >= percent * total).alias("inside")
+    return materialize(sets.join(right, "group").select(*sets.columns, near, inside), "jaccard-placed")
 
 
 def _tiles(placed: DataFrame, percent: int) -> DataFrame:
-    """``group, kind, i, j, class, near, side``: where each class meets others.
+    """``group, kind, i, j, class, near, side, shingles``: where each class meets others.
 
     Documents inside a pivot's ball are one component already. Those outside are
     dealt into blocks; each two blocks meet in a tile ("out"). Those in the
@@ -212,7 +213,13 @@ def _tiles(placed: DataFrame, percent: int) -> DataFrame:
     """
     far = 1 - percent / 100 + 1e-9
     edge = ~F.col("inside") & (F.col("near") <= 2 * far)
-    blocks = lambda test: F.ceil(F.count_if(test) / F.lit(BLOCK)).cast("int")
+
+    def blocks(test: Column) -> Column:
+        # Replication stays bounded: small blocks up to BLOCKS of them, then larger ones.
+        n = F.count_if(test)
+        small, large = F.ceil(n / F.lit(BLOCK)), F.ceil(n / F.lit(LARGE))
+        return F.least(small, F.greatest(large, F.lit(BLOCKS))).cast("int")
+
     counts = placed.groupBy("group").agg(
         blocks(~F.col("inside")).alias("outs"), blocks(F.col("inside")).alias("ins"), blocks(edge).alias("edges")
     )
@@ -232,7 +239,7 @@ def _tiles(placed: DataFrame, percent: int) -> DataFrame:
     ball = F.transform(upto("edges"), lambda e: tile("edge", block("ins"), e, 1))
     none = F.array().cast("array<struct<kind: string, i: int, j: int, side: int>>")
     where = F.when(F.col("inside"), ball).otherwise(F.concat(out, F.when(F.col("edge"), at_edge).otherwise(none)))
-    return rows.select("group", "class", "near", F.inline(where))
+    return rows.select("group", "class", "near", "shingles", F.inline(where))
 
 
 def _tile_links(percent: int):
@@ -272,11 +279,10 @@ def _tile_links(percent: int):
     return run
 
 
-def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def _joined(sets: DataFrame, percent: int) -> DataFrame | None:
     """``class, component`` of the classes with links; None if there are none."""
-    placed = _placed(members, sets, percent)
-    tiles = _tiles(placed, percent).join(sets, "class")
-    met = tiles.groupBy("group", "kind", "i", "j").applyInArrow(_tile_links(percent), "u binary, v binary")
+    placed = _placed(sets, percent)
+    met = _tiles(placed, percent).groupBy("group", "kind", "i", "j").applyInArrow(_tile_links(percent), "u binary, v binary")
     inside = placed.filter("inside and class <> pivot").select(F.col("class").alias("u"), F.col("pivot").alias("v"))
     links = materialize(met.unionByName(inside), "jaccard-found")
     if links.isEmpty():
@@ -295,10 +301,14 @@ def link(
     rows = _rows(docs, text, doc_id, [F.col(doc_id).alias("doc_id")])
     texts = rows.select("row", "text")
     stored = materialize(_windows(rows, _shared_levels(texts, k, percent), k, percent), "jaccard-windows")
+    free_shuffles(docs.sparkSession)
     members = materialize(_regions(stored), "jaccard-regions")
-    wanted = members.select("class").distinct().join(stored.select("class", "row"), "class").groupBy("class").agg(F.min("row").alias("row"))
-    sets = materialize(_sets(texts, materialize(wanted, "jaccard-wanted"), k), "jaccard-sets")
-    nodes = _joined(members, sets, percent)
+    first = stored.join(members.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("row").alias("row"))
+    wanted = materialize(first.join(_groups(members, percent), "class"), "jaccard-wanted")
+    free_shuffles(docs.sparkSession)
+    sets = materialize(_sets(texts, wanted, k), "jaccard-sets")
+    nodes = _joined(sets, percent)
+    free_shuffles(docs.sparkSession)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     if nodes is not None:
         classes = classes.join(nodes, "class", "left").withColumn("component", F.coalesce("component", "class"))
