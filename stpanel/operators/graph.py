@@ -84,13 +84,14 @@ def diffusion_term(panel: DataFrame, lap: DataFrame, features: Sequence[str]) ->
     """``-L x`` per time step and feature: what flows in minus what flows out.
 
     Inflow and outflow are both Laplacian entries, so one lookup by node and one
-    aggregate do. Pass a stored Laplacian (see ``attach``).
+    aggregate do. A node without an entry exchanges nothing and keeps a row of
+    zeros. Pass a stored Laplacian (see ``attach``).
     """
     entries = lap.select(
         F.col("col").alias(NODE), F.col("row").alias("_to"), F.col("value").alias("_l")
     )
     return (
-        attach(panel.select(TIME, NODE, *features), entries, NODE)
-        .groupBy(TIME, F.col("_to").alias(NODE))
-        .agg(*[F.sum(-F.col("_l") * F.col(c)).alias(c) for c in features])
+        attach(panel.select(TIME, NODE, *features), entries, NODE, "left")
+        .groupBy(TIME, F.coalesce("_to", NODE).alias(NODE))
+        .agg(*[F.sum(F.coalesce(-F.col("_l"), F.lit(0.0)) * F.col(c)).alias(c) for c in features])
     )

@@ -205,7 +205,7 @@ def histograms(df: DataFrame, cols: Mapping[str, str], bins: int = 60) -> DataFr
     def bin_of(name: str) -> Column:
         x = names[name]
         bucket = F.width_bucket(present[name], f"_e.lo_{x}", f"_e.hi_{x}", F.lit(bins))
-        return (F.least(bucket, F.lit(bins)) - 1).cast("int")
+        return F.when(bucket.isNotNull(), F.least(bucket, F.lit(bins)) - 1).cast("int")
 
     placed = F.array(*[F.struct(F.lit(n).alias("series"), bin_of(n).alias("bin")) for n in names])
     counts = (

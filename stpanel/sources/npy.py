@@ -6,10 +6,16 @@ Reading: an array ``(T, N, F)`` or ``(T, N)`` becomes panel rows, ``(n,)`` becom
 file system Arrow can open, and yields Arrow batches, so no task and no driver
 holds the array.
 
+Steps are pruned by ``startStep`` and ``endStep``, not by pushed filters: Spark
+keeps a reader whose steps a filter has narrowed for later queries of the same
+DataFrame that push nothing, which would lose rows.
+
 Writing: rows of a dense panel, placed in row-major order (``in_tensor_order``),
 become one ``(T, N, F)`` array. Each task writes a gapless run of cells at their
 place in the file; the file gets its name only after the runs are seen to tile
-the whole array. A retried task writes the same bytes again.
+the whole array. A retried task writes the same bytes again. On storage that is
+not mounted (or with ``runs=true``) each task writes a file of its own, and a
+manifest, written last, lists them; such a folder is read like an array file.
 
 Options: ``path``; reading ``layout``, ``features`` (comma-separated names),
 ``columns`` (the features to return), ``startStep``, ``endStep`` (half-open),
@@ -19,6 +25,7 @@ Options: ``path``; reading ``layout``, ``features`` (comma-separated names),
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import sys
@@ -35,13 +42,7 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
     InputPartition,
-    LessThan,
-    LessThanOrEqual,
     WriterCommitMessage,
 )
 from pyspark.sql.types import (
@@ -66,11 +67,64 @@ def _local(path: str) -> str:
     return path.removeprefix("file://").removeprefix("file:")
 
 
+def _mounted(path: str) -> bool:
+    return "://" not in path or path.startswith("file://")
+
+
+def _system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and the path within it."""
+    return (fs.LocalFileSystem(), _local(path)) if _mounted(path) else fs.FileSystem.from_uri(path)
+
+
 def _open(path: str) -> pa.NativeFile:
-    if "://" in path and not path.startswith("file://"):
-        system, name = fs.FileSystem.from_uri(path)
-        return system.open_input_file(name)
-    return fs.LocalFileSystem().open_input_file(_local(path))
+    system, name = _system(path)
+    return system.open_input_file(name)
+
+
+MANIFEST = "manifest.json"
+
+
+class Runs:
+    """The cells of an array stored as one file per run, read like a single file."""
+
+    def __init__(self, path: str, manifest: dict):
+        self.path, self.at = path, 0
+        size = np.dtype(manifest["dtype"]).itemsize * manifest["shape"][-1]
+        self.runs = [(first * size, stop * size, name) for first, stop, name in manifest["runs"]]
+
+    def __enter__(self) -> Runs:
+        return self
+
+    def __exit__(self, *_) -> None:
+        pass
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, n: int) -> bytes:
+        out = []
+        for first, stop, name in self.runs:
+            start, end = max(first, self.at), min(stop, self.at + n)
+            if start < end:
+                with _open(f"{self.path}/{name}") as file:
+                    file.seek(start - first)
+                    out.append(file.read(end - start))
+        self.at += n
+        return b"".join(out)
+
+
+def _manifest(path: str) -> dict | None:
+    """The manifest of an array stored in runs; None for an array file."""
+    system, name = _system(path)
+    if system.get_file_info(name).type != fs.FileType.Directory:
+        return None
+    with _open(f"{path}/{MANIFEST}") as file:
+        return json.loads(file.read())
+
+
+def _array(path: str) -> pa.NativeFile | Runs:
+    manifest = _manifest(path)
+    return _open(path) if manifest is None else Runs(path, manifest)
 
 
 @dataclass
@@ -91,6 +145,9 @@ def _header(path: str) -> Header:
         (1, 0): np.lib.format.read_array_header_1_0,
         (2, 0): np.lib.format.read_array_header_2_0,
     }
+    manifest = _manifest(path)
+    if manifest is not None:
+        return Header(tuple(manifest["shape"]), np.dtype(manifest["dtype"]), 0)
     with _open(path) as file:
         shape, by_column, dtype = parsers[np.lib.format.read_magic(file)](file)
         if by_column and len(shape) > 1:
@@ -167,19 +224,10 @@ class NpySource(DataSource):
         return NpyReader(dict(self.options), layout, schema.names, features)
 
     def writer(self, schema: StructType, overwrite: bool) -> NpyWriter:
-        return NpyWriter(dict(self.options), schema.names, overwrite)
-
-
-def _bounds(f: Filter) -> tuple[int, int]:
-    """Half-open step range of a filter; everything if it gives none."""
-    everything, v = (0, 1 << 62), f.value
-    return {
-        EqualTo: (v, v + 1),
-        GreaterThan: (v + 1, everything[1]),
-        GreaterThanOrEqual: (v, everything[1]),
-        LessThan: (0, v),
-        LessThanOrEqual: (0, v + 1),
-    }.get(type(f), everything)
+        options = dict(self.options)
+        if _mounted(options["path"]) and options.get("runs") != "true":
+            return NpyWriter(options, schema.names, overwrite)
+        return RunsWriter(options, schema.names, overwrite)
 
 
 class NpyReader(DataSourceReader):
@@ -195,15 +243,6 @@ class NpyReader(DataSourceReader):
             options.get("partitionBytes", options.get("partitionbytes", PARTITION_BYTES))
         )
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Narrow the steps to read; Spark checks the rows again."""
-        for f in filters:
-            if getattr(f, "attribute", None) == ("time_step",) and isinstance(f.value, int):
-                first, stop = _bounds(f)
-                self.first = max(self.first, first)
-                self.end = stop if self.end is None else min(self.end, stop)
-            yield f
-
     def partitions(self) -> list[Slice]:
         array = _header(self.path)
         length = array.shape[1] if self.layout == "edges" else array.shape[0]
@@ -219,7 +258,7 @@ class NpyReader(DataSourceReader):
         array = _header(self.path)
         nodes = array.shape[1] if self.layout == "panel" else 1
         make = {"panel": self._panel, "edges": self._edges, "vector": self._vector}[self.layout]
-        with _open(self.path) as file:
+        with _array(self.path) as file:
             for at in range(partition.start * nodes, partition.stop * nodes, BATCH_ROWS):
                 to = min(at + BATCH_ROWS, partition.stop * nodes)
                 cols = make(file, array, at, to)
@@ -254,52 +293,117 @@ class NpyReader(DataSourceReader):
 class Written(WriterCommitMessage):
     first: int
     stop: int
+    name: str = ""
 
 
-class NpyWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict, names: list[str], overwrite: bool):
-        self.path = _local(options["path"])
+class CellsWriter(DataSourceArrowWriter):
+    """Checks that every task gets a gapless run of cells, and all runs the array."""
+
+    def __init__(self, options: dict, names: list[str]):
         self.steps, self.nodes = int(options["steps"]), int(options["nodes"])
         self.features = [c for c in names if c not in ("time_step", "node_id")]
-        if os.path.exists(self.path) and not overwrite:
-            raise ValueError(f"{self.path} exists")
-        self.part = f"{self.path}.{uuid.uuid4().hex}.part"
-        os.makedirs(os.path.dirname(self.path) or ".", exist_ok=True)
-        shape = (self.steps, self.nodes, len(self.features))
-        dtype = np.dtype(options.get("dtype", "float32"))
-        np.lib.format.open_memmap(self.part, mode="w+", dtype=dtype, shape=shape).flush()
+        self.dtype = np.dtype(options.get("dtype", "float32"))
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        array = np.lib.format.open_memmap(self.part, mode="r+")
-        cells = array.reshape(self.steps * self.nodes, len(self.features))
-        first = stop = -1
+    def _cells(self, iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        """First cell and values (cell, feature) of each batch."""
+        stop = -1
         for batch in iterator:
             if batch.num_rows == 0:
                 continue
             steps = batch.column("time_step").to_numpy(zero_copy_only=False).astype("int64")
             nodes = batch.column("node_id").to_numpy(zero_copy_only=False).astype("int64")
             index = steps * self.nodes + nodes
-            first = int(index[0]) if stop < 0 else first
-            at = first if stop < 0 else stop
+            at = int(index[0]) if stop < 0 else stop
             if nodes.max() >= self.nodes or not np.array_equal(
                 index, np.arange(at, at + len(index))
             ):
                 raise ValueError(f"missing, repeated or unordered cells after cell {at}")
             stop = at + len(index)
-            for f, name in enumerate(self.features):
-                cells[at:stop, f] = batch.column(name).to_numpy(zero_copy_only=False)
-        array.flush()
-        return Written(first, stop)
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in self.features]
+            yield at, np.stack(columns, axis=1).astype(self.dtype)
 
-    def commit(self, messages: list[Written | None]) -> None:
+    def _tiling(self, messages: list[Written | None]) -> list[Written]:
+        """The runs in order, seen to hold every cell once."""
+        runs = sorted((m for m in messages if m and m.stop >= 0), key=lambda m: m.first)
         end = 0
-        for run in sorted((m.first, m.stop) for m in messages if m is not None and m.stop >= 0):
-            if run[0] != end:
+        for run in runs:
+            if run.first != end:
                 break
-            end = run[1]
+            end = run.stop
         if end != self.steps * self.nodes:
-            os.remove(self.part)
+            self.abort(messages)
             raise ValueError(f"the panel is not dense: no single row for cell {end}")
+        return runs
+
+
+class RunsWriter(CellsWriter):
+    """One file per task and a manifest, on any storage Arrow can open."""
+
+    def __init__(self, options: dict, names: list[str], overwrite: bool):
+        super().__init__(options, names)
+        self.path, self.job = options["path"], uuid.uuid4().hex
+        system, name = _system(self.path)
+        if system.get_file_info(name).type != fs.FileType.NotFound and not overwrite:
+            raise ValueError(f"{self.path} exists")
+        system.create_dir(name, recursive=True)
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        first = stop = -1
+        name, file = f"{self.job}-{uuid.uuid4().hex}.run", None
+        system, folder = _system(self.path)
+        for at, cells in self._cells(iterator):
+            if file is None:
+                first, file = at, system.open_output_stream(f"{folder}/{name}")
+            file.write(cells.tobytes())
+            stop = at + len(cells)
+        if file is not None:
+            file.close()
+        return Written(first, stop, name)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        manifest = {
+            "shape": [self.steps, self.nodes, len(self.features)],
+            "dtype": self.dtype.str,
+            "runs": [[m.first, m.stop, m.name] for m in self._tiling(messages)],
+        }
+        system, folder = _system(self.path)
+        with system.open_output_stream(f"{folder}/{MANIFEST}") as file:
+            file.write(json.dumps(manifest).encode())
+
+    def abort(self, messages: list[Written | None]) -> None:
+        """Runs without a manifest are never read; those that are known go."""
+        system, folder = _system(self.path)
+        for m in messages:
+            if m is not None and m.stop >= 0:
+                system.delete_file(f"{folder}/{m.name}")
+
+
+class NpyWriter(CellsWriter):
+    """One array file on a mounted file system; each task writes its place in it."""
+
+    def __init__(self, options: dict, names: list[str], overwrite: bool):
+        super().__init__(options, names)
+        self.path = _local(options["path"])
+        if os.path.exists(self.path) and not overwrite:
+            raise ValueError(f"{self.path} exists")
+        self.part = f"{self.path}.{uuid.uuid4().hex}.part"
+        os.makedirs(os.path.dirname(self.path) or ".", exist_ok=True)
+        shape = (self.steps, self.nodes, len(self.features))
+        np.lib.format.open_memmap(self.part, mode="w+", dtype=self.dtype, shape=shape).flush()
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        array = np.lib.format.open_memmap(self.part, mode="r+")
+        flat = array.reshape(self.steps * self.nodes, len(self.features))
+        first = stop = -1
+        for at, cells in self._cells(iterator):
+            first = at if first < 0 else first
+            stop = at + len(cells)
+            flat[at:stop] = cells
+        array.flush()
+        return Written(first, stop)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        self._tiling(messages)
         os.replace(self.part, self.path)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -310,7 +414,6 @@ class NpyWriter(DataSourceArrowWriter):
 def register(spark: SparkSession) -> None:
     """Make the format known; executors need not have this package installed."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(NpySource)
 
 
@@ -319,10 +422,12 @@ def read_npy(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.format("npy").options(**options).load(path)
 
 
-def write_npy(panel: DataFrame, path: str, steps: int, nodes: int, dtype: str = "float32") -> None:
-    """Write a dense panel as one array file; each task writes one run of cells."""
+def write_npy(
+    panel: DataFrame, path: str, steps: int, nodes: int, dtype: str = "float32", runs: bool = False
+) -> None:
+    """Write a dense panel as one array; each task writes one run of cells."""
     register(panel.sparkSession)
     ordered = in_tensor_order(panel, steps, nodes)
     ordered.write.format("npy").mode("overwrite").options(
-        steps=steps, nodes=nodes, dtype=dtype
+        steps=steps, nodes=nodes, dtype=dtype, runs=str(runs).lower()
     ).save(path)

@@ -72,6 +72,7 @@ def test_keys_of_large_indices(spark):
 @pytest.mark.parametrize("name", ["time_slice", "climatology", "train_fit"])
 def test_step_bounds_reach_the_scan(spark, name):
     from stpanel.plans import fixtures as fx
+    from stpanel.plans import panels  # noqa: F401
     from stpanel.plans.registry import QUERIES
 
     sf = "/root/testdata/sf0.001"

@@ -169,5 +169,3 @@ def test_window_arguments(spark):
     panel = cube(spark, np.zeros((4, 1, 1)))
     with pytest.raises(ValueError):
         W.sliding_windows(panel, 0, 1, ["f0"], ["f0"])
-    with pytest.raises(ValueError):
-        W.sliding_windows(panel, 3, 2, ["f0"], ["f0"], size=4)

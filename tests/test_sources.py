@@ -27,15 +27,17 @@ def test_read_panel(spark, array, tmp_path):
     assert sorted({r[0] for r in part.select("time_step").collect()}) == [4, 5, 6, 7, 8]
 
 
-def test_filters_and_columns_reach_the_array(spark, array, tmp_path):
+def test_steps_and_columns_are_chosen_at_the_array(spark, array, tmp_path):
     path = str(tmp_path / "x.npy")
     np.save(path, array)
-    df = npy.read_npy(spark, path, features="t2m,rh,tp", columns="tp,t2m", partitionBytes=2 * 6 * 3 * 4)
+    options = {"features": "t2m,rh,tp", "columns": "tp,t2m", "partitionBytes": 2 * 6 * 3 * 4}
+    df = npy.read_npy(spark, path, **options)
     assert df.columns == ["time_step", "node_id", "t2m", "tp"] and df.rdd.getNumPartitions() == 12
-    part = df.where("time_step >= 3 AND time_step < 7")
+    part = npy.read_npy(spark, path, startStep=3, endStep=7, **options)
     assert part.rdd.getNumPartitions() == 2
     got = {(r["time_step"], r["node_id"]): (r["t2m"], r["tp"]) for r in part.collect()}
     assert got == {(t, n): (array[t, n, 0], array[t, n, 2]) for t in range(3, 7) for n in range(6)}
+    assert npy.read_npy(spark, path, startStep=40, **options).collect() == []
     assert df.where("time_step = 40").collect() == []
     assert df.where("time_step = 5 OR node_id = 1").count() == 6 + 22
 
@@ -95,6 +97,21 @@ def test_write_is_the_array_file(spark, array, tmp_path):
     assert [p.name for p in (tmp_path / "out").iterdir()] == ["x.npy"]
 
 
+def test_runs_read_like_an_array(spark, array, tmp_path):
+    path = str(tmp_path / "runs")
+    panel = cube(spark, array.astype("float64"), partitions=7)
+    for _ in range(2):  # written again, the old runs are no longer listed
+        ordered = in_tensor_order(panel, *array.shape[:2], rows=20)
+        npy.register(spark)
+        ordered.write.format("npy").mode("overwrite").options(
+            steps=23, nodes=6, dtype="float32", runs="true"
+        ).save(path)
+    df = npy.read_npy(spark, path, partitionBytes=3 * 6 * 3 * 4)
+    np.testing.assert_array_equal(tensor(df, array.shape, ["f0", "f1", "f2"]), array)
+    with pytest.raises(PySparkException):
+        npy.write_npy(panel.where("time_step <> 4"), str(tmp_path / "gap"), 23, 6, runs=True)
+
+
 @pytest.mark.parametrize("broken", ["missing", "repeated", "swapped", "outside"])
 def test_write_refuses_a_panel_that_is_not_dense(spark, array, tmp_path, broken):
     panel = cube(spark, array.astype("float64"))
