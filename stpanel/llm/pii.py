@@ -31,6 +31,7 @@ from stpanel.llm.bpe import slices
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 48
+LONGEST = 80  # characters of an added span
 
 # The contract's patterns, written so that no text makes them backtrack far: a
 # number is entered at its first digit only, and an address at its "@".
@@ -252,6 +253,8 @@ def pad(rows: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 def plausible(kind: str, text: str) -> bool:
     """The exact check of an added span."""
+    if len(text) > LONGEST:
+        return False
     digits = _digits(text)
     if kind == "email":
         return bool(re.fullmatch(r"\S+ ?(?:@|\(at\)|\[at\]) ?\S+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+", text))
