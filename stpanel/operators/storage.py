@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -44,20 +45,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Delete the scratch tables made so far, once the results read from them are done."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
     while _made:
-        path = hadoop(_made.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _made.pop())
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of results that are stored and out of use.
 
     Its cleaner acts when the driver collects garbage, which a driver with little
-    to do does rarely while executors' disks fill.
+    to do does rarely while executors' disks fill. Python's references to the JVM
+    are dropped by a thread that wakes every second, hence the pauses. A session
+    without executors is left alone.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    if spark.sparkContext.master.startswith("local["):
+        return
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1.2)
+        spark._jvm.System.gc()
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table made by ``materialize`` that nothing will read again."""
+    _delete(table.sparkSession, table._scratch_path)
+    _made.remove(table._scratch_path)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -69,7 +85,9 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
 
 
 @contextmanager
