@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from stpanel.llm.bpe import slices
 from stpanel.llm.graph import components
 from stpanel.llm.shingles import shingle_sets
-from stpanel.operators.storage import free_shuffles, materialize
+from stpanel.operators.storage import discard, free_shuffles, materialize
 
 PERCENT = 80  # least similarity
 WORDS = 5
@@ -279,9 +279,8 @@ def _tile_links(percent: int):
     return run
 
 
-def _joined(sets: DataFrame, percent: int) -> DataFrame | None:
+def _joined(placed: DataFrame, percent: int) -> DataFrame | None:
     """``class, component`` of the classes with links; None if there are none."""
-    placed = _placed(sets, percent)
     met = _tiles(placed, percent).groupBy("group", "kind", "i", "j").applyInArrow(_tile_links(percent), "u binary, v binary")
     inside = placed.filter("inside and class <> pivot").select(F.col("class").alias("u"), F.col("pivot").alias("v"))
     links = materialize(met.unionByName(inside), "jaccard-found")
@@ -307,7 +306,10 @@ def link(
     wanted = materialize(first.join(_groups(members, percent), "class"), "jaccard-wanted")
     free_shuffles(docs.sparkSession)
     sets = materialize(_sets(texts, wanted, k), "jaccard-sets")
-    nodes = _joined(sets, percent)
+    placed = _placed(sets, percent)
+    discard(sets)
+    free_shuffles(docs.sparkSession)
+    nodes = _joined(placed, percent)
     free_shuffles(docs.sparkSession)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     if nodes is not None:

@@ -6,7 +6,7 @@ block matches if it holds at least ``THRESHOLD`` of the template's words.
 
 Words are ordered by how often they occur in all texts, rare ones first. A block
 that matches must hold one of the template's first words in this order (the
-prefix), so blocks are laid around prefix words only. A block with too few words
+prefix), so only blocks near prefix words are looked at. A place with too few words
 of any template (length filter), or with too few words before and after the
 shared word in the order (positional filter), is dropped before its words are
 compared. The filters lose no match.
@@ -153,25 +153,27 @@ def _prefixes(stored: DataFrame, all_templates: Sequence, rank: Mapping[str, int
 
 def _join(stored: DataFrame, prefixes: DataFrame, rank: Mapping[str, int], longest: int) -> DataFrame:
     """``row, base, label, places, share`` of the blocks that match."""
+    around = 2 * (longest - 1)  # a block that holds a word reaches this far from it
     hits = stored.select("row", "hits", F.posexplode("hits").alias("at", "hit")).select(
         "row",
         F.col("hit.pos").alias("pos"),
         F.col("hit.word").alias("word"),
-        # A block of positions holds at most as many hits to either side.
-        F.slice("hits", F.greatest(F.col("at") - (longest - 1), F.lit(0)) + 1, F.lit(2 * longest - 1)).alias("near"),
+        # A stretch of positions holds at most as many hits.
+        F.slice("hits", F.greatest(F.col("at") - around, F.lit(0)) + 1, F.lit(2 * around + 1)).alias("near"),
     )
     ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
     reach = F.size("ordered") - 1
-    block = F.filter("near", lambda h: (F.abs(h["pos"] - F.col("pos")) <= reach) & F.array_contains("ordered", h["word"]))
-    pairs = hits.join(F.broadcast(prefixes), "word").withColumn("block", block)
-    pairs = pairs.withColumn("shared", F.array_distinct(F.transform("block", lambda h: h["word"])))
+    wide = F.filter("near", lambda h: (F.abs(h["pos"] - F.col("pos")) <= 2 * reach) & F.array_contains("ordered", h["word"]))
+    pairs = hits.join(F.broadcast(prefixes), "word").withColumn("wide", wide)
+    pairs = pairs.withColumn("shared", F.array_distinct(F.transform("wide", lambda h: h["word"])))
     own = ranks[F.col("word")]
     after = F.size(F.filter("shared", lambda w: ranks[w] > own))
     before = F.size("shared") - after - 1
     bound = F.least(before, F.col("place")) + 1 + F.least(after, F.col("size") - F.col("place") - 1)
+    centres = F.filter("wide", lambda h: F.abs(h["pos"] - F.col("pos")) <= reach)
     start = F.col("pos") - F.col("offset")
     inside = F.filter(
-        "block",
+        "wide",
         lambda h: (h["pos"] >= start)
         & (h["pos"] <= start + reach)
         & (F.get("ordered", h["pos"] - start) == h["word"]),
@@ -180,10 +182,16 @@ def _join(stored: DataFrame, prefixes: DataFrame, rank: Mapping[str, int], longe
         F.array().cast("array<int>")
     )
     return (
-        pairs.filter((F.size("block") >= F.col("needed")) & (bound >= F.col("needed")))
-        .withColumn("overlap", F.size(F.array_intersect("shared", "ordered")))
+        pairs.filter((F.size("shared") >= F.col("needed")) & (bound >= F.col("needed")))
+        .withColumn("overlap", F.array_max(F.transform(centres, _block_size)))
         .filter(F.col("overlap") >= F.col("needed"))
         .withColumn("places", places)
         .filter(~F.col("base") | (F.size("places") > 0))
         .select("row", "base", "label", "places", (F.col("overlap") / F.col("size")).alias("share"))
     )
+
+
+def _block_size(centre: Column) -> Column:
+    """Distinct template words in the block around a hit."""
+    block = F.filter("wide", lambda h: F.abs(h["pos"] - centre["pos"]) <= F.size("ordered") - 1)
+    return F.size(F.array_distinct(F.transform(block, lambda h: h["word"])))
