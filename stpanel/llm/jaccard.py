@@ -195,16 +195,27 @@ def _groups(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _placed(sets: DataFrame, percent: int) -> DataFrame:
-    """Add ``near``, the distance to the group's pivot, and ``inside``, if that is a link."""
+    """Each class against its group's pivot.
+
+    ``near`` is the distance, ``inside`` tells if it is a link, ``common`` and
+    ``base`` are the sizes of what they share and of the pivot. Of the set itself
+    only ``differs`` goes on, its symmetric difference with the pivot: within a
+    group that is a small part of the set.
+    """
     right = sets.filter(F.col("class") == F.col("pivot")).select("group", F.col("shingles").alias("right"))
     common = F.size(F.array_intersect("shingles", "right"))
-    total = F.size("shingles") + F.size("right") - common
-    near, inside = (1 - common / total).alias("near"), (100 * common >= percent * total).alias("inside")
-    return materialize(sets.join(right, "group").select(*sets.columns, near, inside), "jaccard-placed")
+    n, base = F.size("shingles"), F.size("right")
+    differs = F.concat(F.array_except("shingles", "right"), F.array_except("right", "shingles"))
+    rows = sets.join(right, "group").select(
+        "class", "group", "pivot",
+        (1 - common / (n + base - common)).alias("near"), (100 * common >= percent * (n + base - common)).alias("inside"),
+        n.alias("n"), common.alias("common"), base.alias("base"), differs.alias("differs"),
+    )
+    return materialize(rows, "jaccard-placed")
 
 
 def _tiles(placed: DataFrame, percent: int) -> DataFrame:
-    """``group, kind, i, j, class, near, side, shingles``: where each class meets others.
+    """``group, kind, i, j, side`` and the columns of the class: where each class meets others.
 
     Documents inside a pivot's ball are one component already. Those outside are
     dealt into blocks; each two blocks meet in a tile ("out"). Those in the
@@ -239,19 +250,23 @@ def _tiles(placed: DataFrame, percent: int) -> DataFrame:
     ball = F.transform(upto("edges"), lambda e: tile("edge", block("ins"), e, 1))
     none = F.array().cast("array<struct<kind: string, i: int, j: int, side: int>>")
     where = F.when(F.col("inside"), ball).otherwise(F.concat(out, F.when(F.col("edge"), at_edge).otherwise(none)))
-    return rows.select("group", "class", "near", "shingles", F.inline(where))
+    return rows.select("group", "class", "near", "n", "common", "base", "differs", F.inline(where))
 
 
 def _tile_links(percent: int):
-    """Links between the classes of one tile, as few as tie the linked ones together."""
+    """Links between the classes of one tile, as few as tie the linked ones together.
+
+    With a pivot of ``base`` shingles, two sets that share ``c`` and ``d`` shingles
+    with it have ``c + d - base`` plus their common differences in common.
+    """
     far = 1 - percent / 100 + 1e-9
 
     def run(table: pa.Table) -> pa.Table:
         names = table["class"].to_pylist()
         near, side = table["near"].to_numpy(), table["side"].to_numpy()
-        column = table["shingles"].combine_chunks()
-        sizes = np.diff(column.offsets.to_numpy())
-        owner = np.repeat(np.arange(len(names)), sizes)
+        sizes, own = (table[c].to_numpy().astype(np.int64) for c in ("n", "common"))
+        column = table["differs"].combine_chunks()
+        owner = np.repeat(np.arange(len(names)), np.diff(column.offsets.to_numpy()))
         _, token, n = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
         shared = n[token] > 1
         _, token = np.unique(token[shared], return_inverse=True)
@@ -265,6 +280,7 @@ def _tile_links(percent: int):
             part[owner[a:b], token[a:b] - first] = 1
             common += part @ part.T
         common = np.rint(common.astype(np.float64)).astype(np.int64)
+        common += own[:, None] + own[None, :] - int(table["base"][0].as_py())
         linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
         linked &= np.abs(near[:, None] - near[None, :]) <= far
         if table["kind"][0].as_py() == "edge":
