@@ -308,10 +308,11 @@ def _joined(placed: DataFrame, percent: int) -> DataFrame | None:
 def link(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, k: int = WORDS
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, row`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, row, component`` for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable by links, ``row`` a hash of id
-    and text.
+    and text. Ids may be NULL or shared by unlinked documents; ``component``, the
+    smallest class hash, belongs to one component only. It is NULL without words.
     """
     rows = _rows(docs, text, doc_id, [F.col(doc_id).alias("doc_id")])
     texts = rows.select("row", "text")
@@ -328,17 +329,19 @@ def link(
     nodes = _joined(placed, percent)
     free_shuffles(docs.sparkSession)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
-    if nodes is not None:
+    if nodes is None:
+        classes = classes.withColumn("component", F.col("class"))
+    else:
         classes = classes.join(nodes, "class", "left").withColumn("component", F.coalesce("component", "class"))
         lowest = classes.groupBy("component").agg(F.min("low").alias("lowest"))
-        classes = classes.join(lowest, "component").select("class", F.col("lowest").alias("low"))
+        classes = classes.join(lowest, "component").select("class", "component", F.col("lowest").alias("low"))
     classes = classes.withColumn("known", F.lit(True))
     own = F.when(F.col("known"), F.col("low")).otherwise(F.col("doc_id"))
     ids = F.when(F.col("n") > 0, F.col("class"))  # empty sets match no class
     return (
         stored.select("doc_id", "row", "n", ids.alias("class"))
         .join(classes, "class", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "row")
+        .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "row", "component")
     )
 
 
@@ -350,7 +353,7 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     found = materialize(link(docs, text, doc_id, percent, k), "jaccard-links")
     real = found.filter("n_shingles > 0")
-    first = real.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    first = real.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
     kept = first.select(F.col("first.row").alias("_kept_row")).distinct()
     keyed = docs.withColumn("_kept_row", F.xxhash64(F.col(doc_id), F.col(text)))
     empty = found.filter("n_shingles = 0").select(F.col("row").alias("_kept_row")).distinct()

@@ -140,6 +140,20 @@ def test_representatives(spark):
     assert got == sorted([*filled, *(i for i, n in groups if not n)])
 
 
+def test_representatives_of_unrelated_documents_without_own_ids(spark):
+    """A NULL or shared id ties no documents together; links still do."""
+    long = [f"w{i}" for i in range(50)]
+    lost = ["alpha beta gamma delta epsilon", "one two three four five"]
+    rows = [(None, t) for t in lost] + [(7, "six seven eight nine ten"), (7, "red green blue white black")]
+    rows += [(None, " ".join(long)), (None, " ".join([*long, "more"])), (7, "Alpha beta gamma delta epsilon")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in jaccard.representatives(docs).collect()]
+    pair = [r for r in kept if r[1].startswith("w0 ")]
+    assert len(pair) == 1
+    rest = [(7, "six seven eight nine ten"), (7, "red green blue white black"), (None, lost[1]), (7, "Alpha beta gamma delta epsilon")]
+    assert sorted((r for r in kept if r not in pair), key=str) == sorted(rest, key=str)
+
+
 def test_components_of_chains(spark):
     edges = [(f"{i:04}", f"{i + 1:04}") for i in range(300) if i % 50 != 49] + [("0000", "0000")]
     df = spark.createDataFrame(edges, "u string, v string")
