@@ -8,10 +8,10 @@ words add up to its score.
 Word classes are the most frequent words of the whole corpus, one class each, and
 hashed classes that share the other words.
 
-The network is trained in numpy on a share of all documents, so the training
-rows grow with the corpus. Documents are dealt into shards of even size; each
-round, every shard trains from the current weights, and a tree of bounded fan-in
-averages the results. Only one set of weights (about 60 kB) reaches the driver.
+The network is trained in numpy on all documents, one byte for each word.
+Documents are dealt into shards of even size; each round, every shard trains from
+the current weights, each task adds up its shards' results, and a tree of bounded
+fan-in averages them. Only one set of weights (about 80 kB) reaches the driver.
 
 NULL and empty texts have no words: 0 words, log-probability 0, score NULL.
 Texts are taken whole; repeated rows give repeated results; only the named
@@ -32,13 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stpanel.llm.bpe import slices
-from stpanel.operators.storage import materialize
+from stpanel.operators.storage import discard, materialize
 
 FREQUENT = 191  # words with a class of their own
 HASHED = 64  # classes shared by all other words
 SPAN = 2  # neighbours to either side
 WIDTH = 16
-TRAIN_SHARE = 0.02  # of the documents, by a hash of the id
 SHARD_WORDS = 20_000  # words aimed at in a training shard
 ROUNDS = 3
 FAN = 64  # weight sets averaged at once
@@ -82,31 +81,40 @@ class Network:
             total = total + self.near[i][context[i]]
         return np.tanh(total + self.bias)
 
-    def log_probabilities(self, words: np.ndarray, context: np.ndarray, rows: int = 8192) -> np.ndarray:
+    def scores(self, hidden: np.ndarray) -> np.ndarray:
+        scores = hidden @ self.out
+        scores += self.prior
+        # Hidden values are at most 1, so weights this small leave nothing to clip.
+        if not (np.abs(self.out).sum(0) + np.abs(self.prior)).max() < 60:
+            np.clip(scores, -60, 60, out=scores)
+        return scores
+
+    def log_probabilities(self, words: np.ndarray, context: np.ndarray, rows: int = 512) -> np.ndarray:
         """log p(word | neighbours) of each word."""
         out = np.empty(len(words), np.float64)
         for s in range(0, len(words), rows):
             e = slice(s, s + rows)
-            scores = self.hidden(context[:, e]) @ self.out
-            scores += self.prior
+            scores = self.scores(self.hidden(context[:, e]))
             own = scores[np.arange(len(scores)), words[e]]
-            np.clip(scores, -60, 60, out=scores)
-            out[e] = np.minimum(own - np.log(np.exp(scores).sum(1)), 0.0)
+            np.exp(scores, out=scores)
+            out[e] = np.minimum(own - np.log(scores.sum(1)), 0.0)
         return out
 
     def train(self, words: np.ndarray, context: np.ndarray, rate: float, rows: int = 256) -> None:
         """One pass of gradient ascent with momentum-free Adagrad steps, in order."""
         sums = [np.full_like(w, 1e-2) for w in (self.near, self.bias, self.out, self.prior)]
+        sets = (CLASSES + 1) * np.arange(2 * SPAN)[:, None]
         for s in range(0, len(words), rows):
             w, c = words[s : s + rows], context[:, s : s + rows]
             h = self.hidden(c)
-            p = np.exp(np.clip(h @ self.out + self.prior, -60, 60))
-            p /= p.sum(1, keepdims=True)
+            p = self.scores(h)
+            np.exp(p, out=p)
+            p *= 1 / p.sum(1, keepdims=True)
             p[np.arange(len(w)), w] -= 1.0
             back = (p @ self.out.T) * (1 - h * h)
-            near = np.zeros_like(self.near)
-            for i in range(2 * SPAN):
-                np.add.at(near[i], c[i], back)
+            cells = ((c + sets)[:, :, None] * WIDTH + np.arange(WIDTH)).ravel()
+            added = np.broadcast_to(back, (2 * SPAN, *back.shape)).ravel()
+            near = np.bincount(cells, added, self.near.size).reshape(self.near.shape).astype(np.float32)
             for weight, total, slope in zip(
                 (self.near, self.bias, self.out, self.prior), sums, (near, back.sum(0), h.T @ p, p.sum(0)), strict=True
             ):
@@ -167,15 +175,35 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = FREQUENT) ->
     return [r["word"] for r in top.collect()]
 
 
+def _weights(table: pa.Table) -> tuple[int, np.ndarray]:
+    """Words of all rows, and the mean of their weights by words."""
+    n = table["n"].to_numpy().astype(float)
+    total = np.zeros(len(table["weights"][0].as_py()) // 4)
+    for w, share in zip(table["weights"], n / n.sum(), strict=True):
+        total += np.frombuffer(w.as_py(), np.float32) * share
+    return int(n.sum()), total.astype(np.float32)
+
+
 def _average(weights: DataFrame, shards: int) -> np.ndarray | None:
     """Mean of the shards' weights, weighted by words, over a tree of groups."""
 
     def mean(table: pa.Table) -> pa.Table:
-        n = table["n"].to_numpy().astype(float)
-        stack = np.stack([np.frombuffer(w.as_py(), np.float32) for w in table["weights"]])
-        group = table["shard"][0].as_py()
-        return pa.table({"shard": pa.array([group], pa.int32()), "n": [int(n.sum())], "weights": [(stack * (n / n.sum())[:, None]).sum(0).astype(np.float32).tobytes()]})
+        n, flat = _weights(table)
+        return pa.table({"shard": table["shard"].slice(0, 1), "n": [n], "weights": [flat.tobytes()]})
 
+    def mean_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, words, total = None, 0, 0.0
+        for batch in batches:
+            if batch.num_rows:
+                n, flat = _weights(pa.Table.from_batches([batch]))
+                first = batch["shard"][0].as_py() if first is None else first
+                words, total = words + n, total + flat.astype(float) * n
+        if first is not None:
+            flat = (total / words).astype(np.float32).tobytes()
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([first], pa.int32()), "n": [words], "weights": [flat]})
+
+    # A task's shards are added up before anything is shuffled.
+    weights = weights.mapInArrow(mean_of_task, "shard int, n long, weights binary")
     while True:
         shards = -(-shards // FAN)
         weights = weights.withColumn("shard", (F.col("shard") % shards).cast("int"))
@@ -189,11 +217,10 @@ def _trainer(shared, rate: float):
     """Trains the broadcast weights on one shard; rows are put in order first, so reruns agree."""
 
     def train(table: pa.Table) -> pa.Table:
-        flat, known = shared.value
-        net, classes = Network.of(flat), Classes(known)
-        rows = zip(table["id"].to_pylist(), table["text"].to_pylist(), strict=True)
+        net = Network.of(shared.value)
+        rows = zip(table["id"].to_pylist(), table["classes"].to_pylist(), strict=True)
         texts = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        words, near = windows([classes.number(split(t)) for _, t in texts])
+        words, near = windows([np.frombuffer(c, np.uint8).astype(np.int64) for _, c in texts])
         order = np.random.default_rng(1).permutation(len(words))
         net.train(words[order], near[:, order], rate)
         weights = net.flat().tobytes()
@@ -202,26 +229,41 @@ def _trainer(shared, rate: float):
     return train
 
 
-def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: str = "doc_id", share: float = TRAIN_SHARE, rounds: int = ROUNDS) -> Network:
-    """Train on ``share`` of the documents, at least one shard's worth of words if there are so many."""
-    sized = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("length(text) > 0")
-    # At least as many documents as make one shard, so that small corpora train too.
-    n, chars = sized.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
-    share = min(1.0, max(share, SHARD_WORDS * 6 / max(chars or 1, 1)))
-    draw = F.pmod(F.xxhash64(F.lit("train"), "id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    shards = max(1, round(share * (chars or 0) / 6 / SHARD_WORDS))
-    dealt = F.pmod(F.xxhash64(F.lit("shard"), "id", F.length("text")), F.lit(shards)).cast("int")
-    sample = materialize(sized.filter(draw < share).select(dealt.alias("shard"), "id", "text"), "lm-sample")
+def _coded(docs: DataFrame, frequent: Sequence[str], text: str, doc_id: str) -> DataFrame:
+    """``id, key, classes`` of all documents with words: one byte for the class of each word."""
+    rows = docs.select(
+        F.col(doc_id).alias("id"), F.xxhash64(F.lit("shard"), F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text")
+    )
+    shared = docs.sparkSession.sparkContext.broadcast(list(frequent))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = Classes(shared.value)
+        for batch in batches:
+            for part in slices(batch, "text", 2 << 20):
+                coded = [classes.number(split(t)).astype(np.uint8).tobytes() for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(coded, pa.binary())], ["id", "key", "classes"])
+
+    schema = T.StructType([rows.schema["id"], T.StructField("key", T.LongType()), T.StructField("classes", T.BinaryType())])
+    return rows.mapInArrow(run, schema).filter("octet_length(classes) > 0")
+
+
+def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> Network:
+    """Train on all documents, ``rounds`` times."""
     network = Network.start()
-    if not n:
+    coded = materialize(_coded(docs, frequent, text, doc_id), "lm-classes")
+    words = coded.agg(F.sum(F.octet_length("classes"))).first()[0]
+    if not words:
         return network
+    shards = max(1, round(words / SHARD_WORDS))
+    dealt = coded.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "id", "classes")
     context = docs.sparkSession.sparkContext
     for turn in range(rounds):
-        shared = context.broadcast((network.flat(), list(frequent)))
+        shared = context.broadcast(network.flat())
         train = _trainer(shared, 0.1 / (1 + turn))
-        mean = _average(sample.groupBy("shard").applyInArrow(train, "shard int, n long, weights binary"), shards)
+        mean = _average(dealt.groupBy("shard").applyInArrow(train, "shard int, n long, weights binary"), shards)
         if mean is not None:
             network = Network.of(mean)
+    discard(coded)
     return network
 
 
@@ -241,7 +283,7 @@ def score(docs: DataFrame, network: Network, frequent: Sequence[str], text: str
                 words, near = windows(numbered)
                 logs = net.log_probabilities(words, near)
                 n = np.array([len(x) for x in numbered], np.int64)
-                total = np.bincount(np.repeat(np.arange(len(n)), n), weights=logs, minlength=len(n))
+                total = np.bincount(np.repeat(np.arange(len(n)), n), weights=logs, minlength=len(n)).astype(float)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("kept"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)],
                     ["kept", *(name for name, _ in names)],

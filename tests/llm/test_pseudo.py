@@ -59,6 +59,14 @@ def test_training_beats_chance_and_shuffled_text(spark):
     assert score(good) > score(mixed)
 
 
+def test_every_document_trains(spark, monkeypatch):
+    monkeypatch.setattr(pseudo, "SHARD_WORDS", 50)
+    rows = [(i if i % 2 else None, " ".join([f"w{i:02}"] * 50)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = pseudo.fit(docs, [f"w{i:02}" for i in range(30)])
+    assert network.prior[:30].min() > network.prior[30:].max()
+
+
 def test_frequent_words_count_everything(spark):
     docs = spark.createDataFrame([(1, "b b a"), (2, "A c"), (3, None)], "doc_id long, text string")
     assert pseudo.frequent_words(docs) == ["a", "b", "c"]
