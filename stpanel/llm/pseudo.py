@@ -2,11 +2,13 @@
 
 Every word is predicted from the words on both sides of it, never from itself:
 the vectors of the neighbours, one set per position, are added up, squashed, and
-turned into probabilities of all word classes. The logarithms over a document's
-words add up to its score.
+turned into probabilities of all word classes, which are multiplied by the share
+of the word in its class. The logarithms over a document's words add up to its score.
 
 Word classes are the most frequent words of the whole corpus, one class each, and
-hashed classes that share the other words.
+hashed classes that share the other words. All words of the corpus are counted; the
+counts stay distributed and are joined to the words of the documents. Words that
+were not counted are taken as met once.
 
 The network is trained in numpy on all documents, one byte for each word.
 Documents are dealt into shards of even size; each round, every shard trains from
@@ -152,8 +154,8 @@ def windows(numbered: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[where], np.stack([line[where + o] for o in offsets])
 
 
-def frequent_words(docs: DataFrame, text: str = "text", most: int = FREQUENT) -> list[str]:
-    """The most frequent words of all texts; ties by the word."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``word, n`` of every word of all texts, stored."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
@@ -171,8 +173,17 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = FREQUENT) ->
         yield rows()
 
     counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(most)
-    return [r["word"] for r in top.collect()]
+    return materialize(counts.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+
+
+def most_frequent(counts: DataFrame, most: int = FREQUENT) -> list[str]:
+    """The most frequent of the counted words; ties by the word."""
+    return [r["word"] for r in counts.orderBy(F.col("n").desc(), "word").limit(most).collect()]
+
+
+def frequent_words(docs: DataFrame, text: str = "text", most: int = FREQUENT) -> list[str]:
+    """The most frequent words of all texts; ties by the word."""
+    return most_frequent(word_counts(docs, text), most)
 
 
 def _weights(table: pa.Table) -> tuple[int, np.ndarray]:
@@ -267,26 +278,68 @@ def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: st
     return network
 
 
-def score(docs: DataFrame, network: Network, frequent: Sequence[str], text: str = "text", keep: Sequence[str | Column] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``n_words``, ``log_prob`` (sum over the words) and ``score`` (their mean)."""
-    rows = docs.select(F.struct(*keep).alias("kept"), F.col(text).alias("text"))
-    names = [("n_words", T.LongType()), ("log_prob", T.DoubleType()), ("score", T.DoubleType())]
-    schema = T.StructType([rows.schema["kept"], *(T.StructField(n, t) for n, t in names)])
+def _shares(rare: DataFrame, counts: DataFrame, frequent: Sequence[str]) -> DataFrame:
+    """``row, inner``: the sum of log p(word | class) over the words in hashed classes."""
+    others = counts.filter(~F.col("word").isin(list(frequent))) if frequent else counts
+    kind = (F.crc32(F.col("word").cast("binary")) % HASHED).alias("class")
+    totals = others.groupBy(kind).agg(F.sum("n").alias("total"))
+    words = rare.join(others, "word", "left").select("row", "times", F.coalesce("n", F.lit(1)).alias("n"), kind)
+    known = words.join(F.broadcast(totals), "class", "left")
+    share = F.col("n") / F.greatest(F.col("n"), F.coalesce("total", F.lit(0)))
+    return known.groupBy("row").agg(F.sum(F.col("times") * F.log(share)).alias("inner"))
+
+
+def score(
+    docs: DataFrame,
+    network: Network,
+    frequent: Sequence[str],
+    text: str = "text",
+    keep: Sequence[str | Column] = ("doc_id",),
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """``keep`` columns, ``n_words``, ``log_prob`` (sum over the words) and ``score`` (their mean).
+
+    ``counts`` (``word_counts`` of the corpus) makes them probabilities of words;
+    without it they are those of word classes.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast((network, list(frequent)))
+    rare_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("times", T.IntegerType())]))
+    schema = T.StructType(
+        [*rows.schema.fields[:2], T.StructField("n_words", T.LongType()), T.StructField("classes", T.DoubleType()), T.StructField("rare", rare_type)]
+    )
+    inner_words = counts is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, known = shared.value
-        classes = Classes(known)
+        classes, fixed = Classes(known), set(known)
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                numbered = [classes.number(split(t)) for t in part.column("text").to_pylist()]
+                texts = [split(t) for t in part.column("text").to_pylist()]
+                numbered = [classes.number(t) for t in texts]
                 words, near = windows(numbered)
                 logs = net.log_probabilities(words, near)
                 n = np.array([len(x) for x in numbered], np.int64)
                 total = np.bincount(np.repeat(np.arange(len(n)), n), weights=logs, minlength=len(n)).astype(float)
+                met = [Counter(t) if inner_words else {} for t in texts]
+                rare = [[(w, k) for w, k in m.items() if w not in fixed] for m in met]
+                ends = np.cumsum([0, *map(len, rare)])
+                pairs = [pair for m in rare for pair in m]
+                items = pa.StructArray.from_arrays(
+                    [pa.array([w for w, _ in pairs], pa.string()), pa.array([k for _, k in pairs], pa.int32())], ["word", "times"]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("kept"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)],
-                    ["kept", *(name for name, _ in names)],
+                    [part.column("row"), part.column("kept"), pa.array(n), pa.array(total), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
+                    ["row", "kept", "n_words", "classes", "rare"],
                 )
 
-    return rows.mapInArrow(run, schema).select("kept.*", *(name for name, _ in names))
+    scored = rows.mapInArrow(run, schema)
+    log_prob = F.col("classes")
+    if counts is not None:
+        scored = materialize(scored, "lm-scored")
+        inner = _shares(scored.select("row", F.inline("rare")), counts, frequent)
+        scored = scored.drop("rare").join(inner, "row", "left")
+        log_prob = log_prob + F.coalesce("inner", F.lit(0.0))
+    scored = scored.select("kept", "n_words", log_prob.alias("log_prob"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
+    return scored.select("kept.*", "n_words", "log_prob", mean.alias("score"))

@@ -182,8 +182,9 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    frequent = pseudo.frequent_words(docs)
-    return pseudo.score(docs, pseudo.fit(docs, frequent), frequent)
+    counts = pseudo.word_counts(docs)
+    frequent = pseudo.most_frequent(counts)
+    return pseudo.score(docs, pseudo.fit(docs, frequent), frequent, counts=counts)
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,6 @@
 import math
+import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -35,6 +37,32 @@ def test_scores_against_plain(spark):
         assert by_id[i]["score"] == (by_id[i]["log_prob"] / n if n else None)
 
 
+def test_rare_words_have_a_share_of_their_class(spark):
+    """Sums over tokens: log p(class) + log p(word | class), with counts of the whole corpus."""
+    texts = [(1, "the plain words here plain words"), (2, "zxqv the"), (None, "plain " * 500), (None, None), (5, "words " * 90 + "Été")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    network, frequent, counts = pseudo.Network.start(), ["the"], pseudo.word_counts(docs)
+    met = Counter(w for _, t in texts for w in pseudo.split(t))
+    totals = Counter()
+    for w, n in met.items():
+        totals[zlib.crc32(w.encode()) % pseudo.HASHED] += n if w != "the" else 0
+    rows = pseudo.score(docs, network, frequent, counts=counts).collect()
+    wanted = []
+    for i, t in texts:
+        n, total = plain(network, frequent, t)
+        inner = [met[w] / totals[zlib.crc32(w.encode()) % pseudo.HASHED] for w in pseudo.split(t) if w != "the"]
+        wanted.append((i, n, total + sum(map(math.log, inner))))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    for got, (i, n, total) in zip(sorted(map(tuple, rows), key=key), sorted(wanted, key=key), strict=True):
+        assert got[:2] == (i, n)
+        assert math.isclose(got[2], total, rel_tol=1e-4, abs_tol=1e-4)
+        assert got[3] == (got[2] / n if n else None)
+    other = spark.createDataFrame([(1, "plain"), (2, "zxqv"), (3, "neverseen")], "doc_id long, text string")
+    one, two, three = (r["log_prob"] for r in pseudo.score(other, network, frequent, counts=spark.createDataFrame(
+        [("plain", 500), ("zxqv", 1), *((f"w{i}", 100) for i in range(2000))], "word string, n long")).orderBy("doc_id").collect())
+    assert one > two + 5 and one > three + 5
+
+
 def test_a_word_never_predicts_itself():
     words, near = pseudo.windows([np.array([5, 6, 7]), np.array([], int), np.array([8])])
     assert words.tolist() == [5, 6, 7, 8]
