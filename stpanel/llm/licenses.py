@@ -40,7 +40,8 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Distinctive words of well-known license texts and the labels they add.
+#: Distinctive words of well-known license texts and the labels they add. Where these
+#: stand further apart in the original than a block reaches, its full wording follows.
 TEMPLATES = {
     "licensed cc by nc": "cc-by-nc",
     "licensed cc by sa": "cc-by-sa",
@@ -54,6 +55,10 @@ TEMPLATES = {
     "licensed apache license version except compliance obtain copy": "apache",
     "free software redistribute modify terms gnu general public license published foundation": "gpl",
     "released public domain": "public-domain",
+    "released into the public domain": "public-domain",
+    "creative commons attribution 4 0 international license": "cc-by",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+    "with the license you may obtain a copy of the license": "apache",
 }
 
 
@@ -158,13 +163,15 @@ def _join(stored: DataFrame, prefixes: DataFrame, rank: Mapping[str, int], longe
         "row",
         F.col("hit.pos").alias("pos"),
         F.col("hit.word").alias("word"),
-        # A stretch of positions holds at most as many hits.
-        F.slice("hits", F.greatest(F.col("at") - around, F.lit(0)) + 1, F.lit(2 * around + 1)).alias("near"),
+        "hits",
+        "at",
     )
     ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
     reach = F.size("ordered") - 1
     wide = F.filter("near", lambda h: (F.abs(h["pos"] - F.col("pos")) <= 2 * reach) & F.array_contains("ordered", h["word"]))
-    pairs = hits.join(F.broadcast(prefixes), "word").withColumn("wide", wide)
+    # A stretch of positions holds at most as many hits.
+    near = F.slice("hits", F.greatest(F.col("at") - around, F.lit(0)) + 1, F.lit(2 * around + 1))
+    pairs = hits.join(F.broadcast(prefixes), "word").withColumn("near", near).drop("hits", "at").withColumn("wide", wide)
     pairs = pairs.withColumn("shared", F.array_distinct(F.transform("wide", lambda h: h["word"])))
     own = ranks[F.col("word")]
     after = F.size(F.filter("shared", lambda w: ranks[w] > own))

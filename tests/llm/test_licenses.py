@@ -71,6 +71,37 @@ def test_random_blocks(spark, seed):
     check(spark, [(i, text()) for i in range(120)])
 
 
+ORIGINALS = {
+    "This work is licensed under CC BY-NC 4.0.": "cc-by-nc",
+    "This work is licensed under CC BY-SA 4.0.": "cc-by-sa",
+    "under a Creative Commons Attribution 4.0 International License.": "cc-by",
+    "the GNU Lesser General Public License": "lgpl",
+    "the GNU Affero General Public License": "agpl",
+    "the Mozilla Public License, v. 2.0": "mpl",
+    "the Eclipse Public License 2.0": "epl",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the Software), to deal": "mit",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:": "bsd",
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+    "the License. You may obtain a copy of the License at": "apache",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation": "gpl",
+    "It is hereby released into the public domain.": "public-domain",
+}
+
+
+def test_original_sentences(spark):
+    rows = [(i, f"some words before {t} and some words after") for i, t in enumerate(ORIGINALS)]
+    check(spark, rows)
+    # The Apache header names no phrase here, so only the template can find it.
+    header = next(t for t in ORIGINALS if "Apache" in t).replace("Apache License,", "Apache 2.0 License,")
+    docs = spark.createDataFrame([*rows, (len(rows), header)], "doc_id long, text string")
+    found = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(docs).collect()}
+    for i, label in enumerate([*ORIGINALS.values(), "apache"]):
+        assert label in found[i]
+
+
 def test_empty(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
