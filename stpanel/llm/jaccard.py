@@ -226,7 +226,8 @@ def _tiles(placed: DataFrame, percent: int) -> DataFrame:
     edge = ~F.col("inside") & (F.col("near") <= 2 * far)
 
     def blocks(test: Column) -> Column:
-        # Replication stays bounded: small blocks up to BLOCKS of them, then larger ones.
+        # Small blocks up to BLOCKS of them, then larger ones up to LARGE. Beyond BLOCKS * LARGE
+        # classes their number, and so the copies of each class, grows with the group.
         n = F.count_if(test)
         small, large = F.ceil(n / F.lit(BLOCK)), F.ceil(n / F.lit(LARGE))
         return F.least(small, F.greatest(large, F.lit(BLOCKS))).cast("int")
