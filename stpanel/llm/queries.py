@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stpanel.llm import jaccard, langid, pii, pseudo
+from stpanel.llm import exact, jaccard, langid, pii, pseudo
 from stpanel.llm.ann import nearest
 from stpanel.llm.bpe import encode, load_ranks
 from stpanel.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, scan
@@ -239,6 +239,20 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), is_query())
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.mark(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_exact_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM texts
+"""
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -252,5 +266,6 @@ QUERIES = {
         op8_exact_top_k,
         op9_url_rules,
         op10_cross_polytope,
+        op12_exact_dedup,
     )
 }
