@@ -12,6 +12,7 @@ from stpanel.llm.bpe import encode, load_ranks
 from stpanel.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, scan
 from stpanel.llm.mixing import mix
 from stpanel.llm.topk import exact_top_k
+from stpanel.llm.trie import trie
 from stpanel.llm.urls import judge, rule_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -253,6 +254,54 @@ FROM texts
 """
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH RECURSIVE ids AS (
+  SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS k, 4294967295::BIGINT AS c FROM ids
+  UNION ALL
+  SELECT conv_id, s, k + 1,
+         list_reduce(list_concat([xor(c, ord(s[k + 1])::BIGINT)], range(8)), lambda x, i:
+           CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+  FROM crc WHERE k < length(s)
+), heads AS (
+  SELECT conv_id, xor(c, 4294967295) % 4 AS h FROM crc WHERE k = length(s)
+), told AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), coded AS (
+  SELECT *, sha256(octet_length(encode(role)) || ':' || role || text) AS d,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS words FROM told
+), own AS (
+  SELECT conv_id, list(struct_pack(d := d, words := words) ORDER BY turn NULLS FIRST, d) AS p FROM coded GROUP BY conv_id
+), built AS (
+  SELECT o.conv_id, list_concat(coalesce(b.p[1:h.h], []), o.p[h.h + 1:]) AS p
+  FROM own o JOIN heads h USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, d, len(p) AS size, list_transform(p[1:d], lambda e: e.d) AS path,
+         CASE WHEN d = 0 THEN 0 ELSE p[d].words END AS words
+  FROM (SELECT *, unnest(range(len(p) + 1)) AS d FROM built)
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, d
+), children AS (
+  SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), subtrees AS (
+  SELECT path[1:up] AS path, sum((n_convs - 1) * words)::BIGINT AS saved_tokens, count(*) FILTER (leaf)::BIGINT AS n_leaves
+  FROM (SELECT n.*, c.n IS NULL AS leaf, unnest(range(n.d + 1)) AS up FROM nodes n LEFT JOIN children c ON c.path = n.path)
+  GROUP BY 1
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+       s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s ON s.path = n.path LEFT JOIN children c ON c.path = n.path
+LEFT JOIN nodes u ON n.d > 0 AND u.path = n.path[1:n.d - 1]
+"""
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -267,5 +316,6 @@ QUERIES = {
         op9_url_rules,
         op10_cross_polytope,
         op12_exact_dedup,
+        op13_prefix_trie,
     )
 }
