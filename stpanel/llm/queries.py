@@ -11,6 +11,7 @@ from stpanel.llm.ann import nearest
 from stpanel.llm.bpe import encode, load_ranks
 from stpanel.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, scan
 from stpanel.llm.mixing import mix
+from stpanel.llm.phrases import collocations
 from stpanel.llm.topk import exact_top_k
 from stpanel.llm.trie import trie
 from stpanel.llm.urls import judge, rule_table
@@ -240,6 +241,45 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), is_query())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({ASCII_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), counts AS (
+  SELECT lang, phrase, k, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM words, (SELECT unnest([1, 2, 3, 4]) AS k))
+  GROUP BY ALL
+), candidates AS (
+  SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30
+), cuts AS (
+  SELECT *, unnest(range(1, k)) AS cut FROM candidates
+), scores AS (
+  SELECT c.lang, c.phrase, c.k, c.a, x.f AS l, y.f AS r, cut, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')
+), least AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, a AS f, array_to_string(w[i:i + j - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(2, k)) AS j FROM candidates), (SELECT unnest([1, 2, 3]) AS i) WHERE i + j - 1 <= k
+), around AS (
+  SELECT lang, phrase, max(f) AS most FROM inside GROUP BY ALL
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+       s.phrase, a, l, r, n, score
+FROM least s JOIN sizes USING (lang) LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+WHERE coalesce(100::HUGEINT * most < 80::HUGEINT * a, true) QUALIFY rank <= 2000
+"""
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark(table(spark, sf_dir, "documents"))
 
@@ -315,6 +355,7 @@ QUERIES = {
         op8_exact_top_k,
         op9_url_rules,
         op10_cross_polytope,
+        op11_collocations,
         op12_exact_dedup,
         op13_prefix_trie,
     )
