@@ -3,9 +3,10 @@
 A sample is ``lag`` consecutive input steps and the ``horizon`` steps after them,
 per node, within one split. Series are cut into overlapping ranges of positions:
 each row goes to its own range, and the first rows of a range also go to the
-range before. A task then meets one range of one node, however long the series,
-and rows are copied ``1 + (lag + horizon) / size`` times rather than once per
-window they belong to.
+range before. A range becomes one sorted array, from which samples are slices: the
+plan has the same size for any lag and any number of features. A task then meets
+one range of one node, however long the series, and rows are copied
+``1 + (lag + horizon) / size`` times rather than once per window they belong to.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from stpanel.operators.panel import NODE, TIME
 from stpanel.operators.splits import step_runs
 from stpanel.operators.storage import attach, materialize
 
-WINDOW_RANGE = 4096
+WINDOW_RANGE = 1024  # positions in a range
 
 
 def split_panel(panel: DataFrame, split_dim: DataFrame) -> DataFrame:
@@ -66,47 +67,33 @@ def sliding_windows(
     if lag < 1 or horizon < 1:
         raise ValueError("need lag >= 1 and horizon >= 1")
     size = max(size, span)  # a row serves its own range and the one before at most
-    p = F.col(pos)
+    p = F.col(pos).cast("long")
     own = F.floor(p / F.lit(size))
     ranges = F.when(p - own * size < span - 1, F.array(own - 1, own)).otherwise(F.array(own))
-    values = list(dict.fromkeys([*inputs, *targets]))
-    rows = panel.select(
-        *keys,
-        p.cast("long").alias("sample_id"),
-        *values,
-        F.explode(ranges).alias("_range"),
-    )
-    ahead = Window.partitionBy(*keys, "_range").orderBy("sample_id")
-    x_steps = range(lag)
-    y_steps = [span - 1] if single else range(lag, span)
-    wanted = {(c, k) for cols, steps in ((inputs, x_steps), (targets, y_steps))
-              for c in cols for k in steps if k}
-    # Leads of plain columns; the structs are built from them afterwards.
-    leads = {(c, k): F.lead(c, k).over(ahead) for c, k in sorted(wanted)}
-    names = {key: f"_{i}" for i, key in enumerate(leads)}
-    out = rows.select(
-        *keys,
-        "sample_id",
-        "_range",
-        *values,
-        *[leads[key].alias(name) for key, name in names.items()],
-        F.lead("sample_id", span - 1).over(ahead).alias("_end"),
-    )
-    # Positions are unique and ascending, so the last step is span - 1 ahead
-    # only if none is missing. The copies of a row that only serve the range
-    # before are not samples of that range.
-    first = F.col("sample_id")
-    out = out.where(
-        (F.col("_end") == first + (span - 1)) & (F.floor(first / F.lit(size)) == F.col("_range"))
-    )
-
-    def steps(cols: Sequence[str], at) -> Column:
-        rows_at = (", ".join(f"`{names.get((c, k), c)}` AS `{c}`" for c in cols) for k in at)
-        return F.expr(f"array({', '.join(f'struct({row})' for row in rows_at)})")
-
-    return out.select(
-        *keys, "sample_id", steps(inputs, x_steps).alias("x"), steps(targets, y_steps).alias("y")
+    step = F.struct(p.alias("at"), F.struct(*inputs).alias("x"), F.struct(*targets).alias("y"))
+    chunks = (
+        panel.select(*keys, step.alias("_step"), F.explode(ranges).alias("_range"))
+        .groupBy(*keys, "_range")
+        .agg(F.sort_array(F.collect_list("_step")).alias("_chunk"))
     )
+    chunk = F.col("_chunk")
+
+    def complete(i: Column) -> Column:
+        # Positions are unique and ascending, so the last step is span - 1 ahead
+        # only if none is missing. Rows copied from the next range begin no sample.
+        first = F.get(chunk, i - 1)["at"]
+        ends = F.get(chunk, i + (span - 2))["at"] == first + (span - 1)
+        return ends & (F.floor(first / F.lit(size)) == F.col("_range"))
+
+    def sample(i: Column) -> Column:
+        past = F.transform(F.slice(chunk, i, F.lit(lag)), lambda s: s["x"])
+        ahead = F.slice(chunk, i + (span - 1), F.lit(1)) if single else F.slice(chunk, i + lag, F.lit(horizon))
+        return F.struct(
+            F.get(chunk, i - 1)["at"].alias("sample_id"), past.alias("x"), F.transform(ahead, lambda s: s["y"]).alias("y")
+        )
+
+    starts = F.filter(F.sequence(F.lit(1), F.size(chunk)), complete)
+    return chunks.select(*keys, F.inline(F.transform(starts, sample)))
 
 
 def long_inputs(windows: DataFrame, keys: Sequence[str] = ("split", NODE)) -> DataFrame:

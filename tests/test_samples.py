@@ -118,6 +118,23 @@ def test_windows_equal_slicing(spark, sizes, lag, horizon, single, size):
         assert [list(s) for s in r["y"]] == y
 
 
+def test_plan_does_not_grow_with_the_lag(spark):
+    """A week of hourly inputs of eleven features, planned like seven steps of one."""
+    columns = [f"f{i}" for i in range(11)]
+    panel = cube(spark, np.random.default_rng(8).normal(size=(400, 2, 11)))
+    plans = []
+    for lag in (7, 168):
+        df = W.sliding_windows(panel, lag, 24, columns, columns[:1], keys=["node_id"], pos="time_step")
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert abs(len(plans[1]) - len(plans[0])) < 100
+    assert "Window" not in plans[1]
+    assert df.count() == 2 * (400 - 168 - 24 + 1)
+    row = df.where("node_id = 1 AND sample_id = 3").first()
+    values = {r["time_step"]: r for r in panel.where("node_id = 1").collect()}
+    assert [s["f10"] for s in row["x"]] == [values[t]["f10"] for t in range(3, 171)]
+    assert [s["f0"] for s in row["y"]] == [values[t]["f0"] for t in range(171, 195)]
+
+
 def test_missing_step_removes_the_windows_over_it(spark):
     array = np.arange(30.0).reshape(15, 2, 1)
     panel = cube(spark, array).where("NOT (node_id = 1 AND time_step = 6)")
