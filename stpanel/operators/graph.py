@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stpanel.functions.scalar import dot, relu
 from stpanel.operators.panel import NODE, TIME
+from stpanel.operators.skew import BOUND, hub_join
 from stpanel.operators.storage import attach
 
 MODES = ("diff", "adv", "pre", "k")
@@ -25,25 +26,25 @@ def edge_weights(
     mode: str = "pair",
     alpha: float = 0.2,
     coefficient: float = 1.0,
+    bound: int = BOUND,
 ) -> DataFrame:
     """Scale an adjacency by node vectors ``(node_id, a, b)``.
 
     The factor is ``relu(tanh(alpha * s))`` with ``s`` the product ``a_i a_j``
     ("diff"), ``a_i b_j - b_i a_j`` ("adv") or ``a_i b_j`` (any other mode).
     "pre" keeps the adjacency and "k" multiplies it by ``coefficient``. Only
-    listed edges are scored; all node pairs are never formed.
+    listed edges are scored; all node pairs are never formed. The edges of a node
+    with more than ``bound`` of them are spread over several tasks.
     """
     if mode == "pre":
         return adjacency
     if mode == "k":
         return adjacency.withColumn("weight", F.col("weight") * F.lit(float(coefficient)))
-    ends = adjacency.join(
-        vectors.select(F.col(NODE).alias("src"), F.col("a").alias("a_i"), F.col("b").alias("b_i")),
-        "src",
-    ).join(
-        vectors.select(F.col(NODE).alias("dst"), F.col("a").alias("a_j"), F.col("b").alias("b_j")),
-        "dst",
-    )
+    side = {
+        end: vectors.select(F.col(NODE).alias(end), F.col("a").alias(f"a_{i}"), F.col("b").alias(f"b_{i}"))
+        for end, i in (("src", "i"), ("dst", "j"))
+    }
+    ends = hub_join(hub_join(adjacency, side["src"], "src", bound), side["dst"], "dst", bound)
     if mode == "diff":
         s = dot("a_i", "a_j")
     elif mode == "adv":

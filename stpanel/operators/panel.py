@@ -11,7 +11,9 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
+from stpanel.operators.bitmaps import BITS, bit_range, bitmaps, extent, members_without
 from stpanel.operators.storage import attach
 
 TIME = "time_step"
@@ -115,11 +117,7 @@ def time_join(panel: DataFrame, time_dim: DataFrame) -> DataFrame:
 
 def shape_check(panel: DataFrame, time_dim: DataFrame, node_dim: DataFrame) -> DataFrame:
     """One row comparing the panel's extents with its two dimension tables."""
-    sizes = panel.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct(TIME).alias("n_steps"),
-        F.countDistinct(NODE).alias("n_nodes"),
-    )
+    sizes = extent(panel, TIME, NODE).withColumnsRenamed({f"n_{TIME}": "n_steps", f"n_{NODE}": "n_nodes"})
     out = sizes.select(
         "*",
         time_dim.agg(F.count(F.lit(1))).scalar().alias("n_coords"),
@@ -140,27 +138,22 @@ def require_shapes(panel: DataFrame, time_dim: DataFrame, node_dim: DataFrame) -
         raise ValueError(f"panel does not match its dimensions: {row.asDict()}")
 
 
-def panel_gaps(
-    panel: DataFrame, time_dim: DataFrame, node_dim: DataFrame, size: int = 1024
-) -> DataFrame:
+def panel_gaps(panel: DataFrame, time_dim: DataFrame, node_dim: DataFrame) -> DataFrame:
     """Every ``(time_step, node_id)`` the dimensions call for and the panel lacks.
 
-    Steps are compared as sets per node and range of ``size`` steps, so no
-    step-by-node product is built row by row and no set exceeds ``size``.
+    Steps are compared as bitmaps per node and range, so no step-by-node product is
+    built row by row; only bytes that differ are taken apart.
     """
-    in_range = F.floor(F.col(TIME) / F.lit(size))
-    wanted = time_dim.groupBy(in_range.alias("_range")).agg(F.collect_set(TIME).alias("_steps"))
-    seen = panel.groupBy(NODE, in_range.alias("_range")).agg(F.collect_set(TIME).alias("_seen"))
-    extent = time_dim.agg(
-        F.sequence(F.min(in_range), F.max(in_range)).alias("_ranges")
-    ).scalar()
-    cells = node_dim.select(NODE, F.explode(extent).alias("_range"))
-    cells = cells.join(seen, [NODE, "_range"], "left")
-    cells = cells.join(wanted, "_range")
-    absent = F.when(F.col("_seen").isNull(), F.col("_steps")).otherwise(
-        F.array_except("_steps", "_seen")
+    wanted = bitmaps(time_dim, TIME, name="_wanted")
+    seen = bitmaps(panel, TIME, [NODE], "_seen")
+    ends = time_dim.agg(F.sequence(F.min(bit_range(TIME)), F.max(bit_range(TIME)))).scalar()
+    cells = node_dim.select(NODE, F.explode(ends).alias("_range")).join(wanted, "_range")
+    differing = cells.join(seen, [NODE, "_range"], "left").where(
+        F.col("_seen").isNull() | (F.col("_seen") != F.col("_wanted"))
     )
-    return cells.select(F.explode(absent).alias(TIME), NODE)
+    absent = members_without(F.col("_wanted"), F.col("_seen"), F.col("_range") * BITS)
+    steps = absent.cast(ArrayType(time_dim.schema[TIME].dataType))
+    return differing.select(F.explode(steps).alias(TIME), NODE)
 
 
 def panel_duplicates(panel: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stpanel.operators.bitmaps import count_distinct
 from stpanel.operators.ordering import with_position
 from stpanel.operators.panel import TIME, flat_range
 from stpanel.operators.storage import attach, materialize
@@ -87,7 +88,7 @@ def split_sizes(split_dim: DataFrame, lag: int, horizon: int) -> DataFrame:
     frame = spark.range(len(SPLITS)).select(
         F.element_at(F.array(*map(F.lit, SPLITS)), (F.col("id") + 1).cast("int")).alias("split")
     )
-    steps = split_dim.groupBy("split").agg(F.countDistinct(TIME).alias("_n"))
+    steps = count_distinct(split_dim, TIME, ["split"], "_n")
     n = F.coalesce("_n", F.lit(0))
     return frame.join(steps, "split", "left").select(
         "split",

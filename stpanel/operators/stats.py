@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stpanel.functions.scalar import is_missing
+from stpanel.operators.bitmaps import extent
 from stpanel.operators.panel import NODE, TIME
 from stpanel.operators.storage import materialize
 
@@ -52,88 +54,85 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-GRID = 1000  # approximate quantiles read per column
+SKETCH = 8192  # size of the quantile sketches: about 0.07 % error in rank
+SLACK = 0.003  # share of the values looked at on each side of a rank
 ACCURACY = 10_000
 
 
-def kth_value(rows: DataFrame, cols: Sequence[str], rank: int) -> float:
-    """The value of 0-based ``rank`` among the present values of all ``cols``, exactly.
+def _brackets(rows: DataFrame, names: Sequence[str], slack: float) -> tuple[int, int, DataFrame]:
+    """Numbers of values and of NaN, and a row with a bracket around the middle.
 
-    Each round reads approximate quantiles of every column, brackets the rank
-    between two of them, confirms the bracket by exact counts, and stores the
-    values strictly inside, under one percent. A rank that falls on a bracket end
-    is settled by the counts. Once a few thousand values are left, the quantiles
-    are exact and the round ends the search, so the same steps serve any size and
-    memory never depends on it. Three scans of the rows: quantiles, counts, and
-    the values kept.
+    One pass gives each column a mergeable sketch; the merged sketch has the
+    quantiles of all columns together.
     """
-    names = list(cols)
-    while True:
-        shares = [i / GRID for i in range(GRID + 1)]
-        probes = rows.agg(
-            *[F.struct(F.count(c), F.percentile_approx(c, shares, ACCURACY)) for c in names]
-        ).first()
-        found = [(n, q) for n, q in probes if n]
-        marks = sorted(
-            (value, n / GRID) for n, q in found for value in q
-        )
-        slack = sum(n for n, _ in found) / GRID + 1
-        while True:
-            lo, hi = _bracket(marks, rank, slack)
-            below_lo, upto_lo, below_hi, upto_hi = _counts(rows, names, lo, hi)
-            if upto_lo <= rank < below_hi or below_lo <= rank < upto_lo or below_hi <= rank < upto_hi:
+    found = rows.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
+        *[F.count(F.when(F.isnan(F.col(c).cast("double")), 1)).alias(f"x{i}") for i, c in enumerate(names)],
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(SKETCH)).alias(f"s{i}") for i, c in enumerate(names)],
+    )
+    found = materialize(found, "sketch")
+    row = found.drop(*[f"s{i}" for i in range(len(names))]).first()
+    n = sum(row[f"n{i}"] for i in range(len(names)))
+    merged = [F.col(f"s{i}") for i in range(len(names)) if row[f"n{i}"]]
+    sketch = reduce(F.kll_sketch_merge_double, merged) if merged else F.lit(None).cast("binary")
+    middle = [max(0.0, 0.5 - slack - 1 / max(n, 1)), min(1.0, 0.5 + slack + 1 / max(n, 1))]
+    ends = [F.kll_sketch_get_quantile_double(sketch, F.lit(q)).alias(e) for q, e in zip(middle, ("lo", "hi"), strict=True)]
+    return n, sum(row[f"x{i}"] for i in range(len(names))), found.select(*ends)
+
+
+def _ranked(rows: DataFrame, names: Sequence[str], lo: float, hi: float) -> DataFrame:
+    """Values inside the bracket with their counts, ordered into ranges; all others as two rows."""
+
+    def placed(c: str) -> Column:
+        x = F.col(c).cast("double")
+        side = F.when(x < lo, -1).when(x > hi, 1).otherwise(0)
+        return F.when(x.isNotNull(), F.struct(side.alias("side"), F.when(side == 0, x).alias("v")))
+
+    counts = rows.select(F.inline(F.array_compact(F.array(*[placed(c) for c in names])))).groupBy("side", "v").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return materialize(counts.repartitionByRange("side", "v").withColumn("part", F.spark_partition_id()), "bracket")
+
+
+def _at_ranks(counts: DataFrame, ranks: Sequence[int]) -> list[tuple[int, float | None]]:
+    """Side and value at each 0-based rank, from the ranges' totals and one range each."""
+    totals = counts.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
+    out = []
+    for rank in ranks:
+        before = 0
+        for part, n in totals:
+            if rank < before + n:
                 break
-            slack *= 4  # the bracket missed the rank: widen it and look again
-        if below_lo <= rank < upto_lo:
-            return lo
-        if below_hi <= rank < upto_hi:
-            return hi
-        inside = F.filter(F.array(*names), lambda v: (v > F.lit(lo)) & (v < F.lit(hi)))
-        rows = materialize(rows.select(F.explode(inside).alias("v")), "bracket")
-        names, rank = ["v"], rank - upto_lo
-
-
-def _bracket(marks, rank: int, slack: float) -> tuple[float, float]:
-    """Two of the quantile marks that hold ``rank``, give or take ``slack`` rows."""
-    lo, hi, seen = marks[0][0], marks[-1][0], 0.0
-    for value, weight in marks:
-        if seen <= rank - slack:
-            lo = value
-        if seen >= rank + slack:
-            hi = value
-            break
-        seen += weight
-    return lo, hi
-
-
-def _counts(rows: DataFrame, names: Sequence[str], lo: float, hi: float) -> list[int]:
-    """Values below and up to each end, over all columns."""
-    tests = [
-        lambda x: x < F.lit(lo), lambda x: x <= F.lit(lo), lambda x: x < F.lit(hi), lambda x: x <= F.lit(hi),
-    ]
-    sums = [sum((F.count(F.when(test(F.col(c)), 1)) for c in names), F.lit(0)) for test in tests]
-    return list(rows.agg(*[c.alias(f"n{i}") for i, c in enumerate(sums)]).first())
+            before += n
+        order = Window.partitionBy("part").orderBy("side", "v")
+        upto = counts.where(F.col("part") == part).withColumn("upto", F.sum("n").over(order) + before)
+        hit = upto.where(F.col("upto") > rank).agg(F.min(F.struct("side", "v"))).first()[0]
+        out.append((hit["side"], hit["v"]))
+    return out
 
 
 def exact_median(rows: DataFrame, cols: str | Sequence[str]) -> float | None:
-    """Exact median over all columns; NaN if any value is NaN, None without values."""
+    """Exact median over all columns; NaN if any value is NaN, None without values.
+
+    Two passes over the rows: mergeable quantile sketches bracket the middle rank,
+    then values inside the bracket are counted one by one, all others as two rows.
+    Memory does not depend on the number of rows. A bracket that misses the rank,
+    which the counts show, is widened.
+    """
     names = [cols] if isinstance(cols, str) else list(cols)
-    n, n_nan = rows.agg(
-        sum((F.count(c) for c in names), F.lit(0)),
-        sum((F.count(F.when(F.isnan(F.col(c)), 1)) for c in names), F.lit(0)),
-    ).first()
-    if n == 0:
-        return None
-    if n_nan:
-        return float("nan")
-    low = kth_value(rows, names, (n - 1) // 2)
-    if n % 2:
-        return low
-    above = [F.min(F.when(F.col(c) > F.lit(low), F.col(c))) for c in names]
-    upto, *nexts = rows.agg(
-        sum((F.count(F.when(F.col(c) <= F.lit(low), 1)) for c in names), F.lit(0)), *above
-    ).first()
-    return low if upto > n // 2 else (low + min(v for v in nexts if v is not None)) / 2.0
+    slack = SLACK
+    while True:
+        n, n_nan, ends = _brackets(rows, names, slack)
+        if n == 0:
+            return None
+        if n_nan:
+            return float("nan")
+        lo, hi = ends.first()
+        ranks = sorted({(n - 1) // 2, n // 2})
+        found = _at_ranks(_ranked(rows, names, lo, hi), ranks)
+        if all(side == 0 for side, _ in found):
+            return sum(v for _, v in found) / len(found)
+        slack *= 8
 
 
 def panel_profile(panel: DataFrame, features: Sequence[str], exact: bool = True) -> DataFrame:
@@ -147,9 +146,10 @@ def panel_profile(panel: DataFrame, features: Sequence[str], exact: bool = True)
     else:
         values = panel.select(F.explode(F.array(*features)).alias("v"))
         median = values.agg(F.percentile_approx("v", 0.5, ACCURACY)).scalar()
+    sizes = extent(panel, TIME, NODE)
     return panel.agg(
-        F.countDistinct(TIME).alias("n_steps"),
-        F.countDistinct(NODE).alias("n_nodes"),
+        sizes.select(f"n_{TIME}").scalar().alias("n_steps"),
+        sizes.select(f"n_{NODE}").scalar().alias("n_nodes"),
         F.lit(len(features)).cast("long").alias("n_features"),
         (F.greatest(*highest) if len(features) > 1 else highest[0]).alias("max_value"),
         (F.least(*lowest) if len(features) > 1 else lowest[0]).alias("min_value"),

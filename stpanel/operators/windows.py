@@ -160,18 +160,3 @@ def assign_batches(
 
 def batches_per_epoch(batches: DataFrame, keys: Sequence[str] = ("split",)) -> DataFrame:
     return batches.groupBy(*keys).agg(F.countDistinct("batch_id").alias("n_batches"))
-
-
-def shuffle_samples(
-    samples: DataFrame, seed: int, keys: Sequence[str] = ("split",), name: str = "shuffled"
-) -> DataFrame:
-    """Dense pseudo-random positions, the same for any partitioning.
-
-    Samples are ranked by a hash of seed and id. The first hash digits cut the
-    ranking into 65,536 even parts, so no task sorts all samples.
-    """
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("sample_id").cast("string")))
-    hashed = samples.withColumn("_hash", digest)
-    return with_position(
-        hashed, "_hash", keys, name, part=F.substring("_hash", 1, 4)
-    ).drop("_hash")

@@ -183,7 +183,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(table, "runs")
 
 
-CTES = """WITH panel AS (
+CTES = """WITH RECURSIVE panel AS (
   SELECT CAST(event_id // 25 AS BIGINT) AS time_step,
          CAST(event_id % 25 AS INTEGER) AS node_id,
          value AS f0, CAST(user_id AS DOUBLE) AS f1,

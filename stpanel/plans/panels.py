@@ -12,6 +12,7 @@ from stpanel.operators.storage import attach, cached, materialize, scratch_path
 from stpanel.plans import fixtures as fx
 from stpanel.plans.registry import query, r, rounded
 from stpanel.sources import npy, tables
+from stpanel.sources.appends import read_appends
 
 PANEL_SQL = "SELECT time_step, node_id, f0, f1, f2, f3 FROM panel"
 
@@ -189,6 +190,19 @@ def metrics_journal(spark, sf):
     return rounded(spark.read.parquet(path).drop("logged_at"), ["train_loss"])
 
 
+@query(
+    "journal_retry",
+    f"SELECT run_id, epoch, {r('train_loss')} AS train_loss, CAST(epoch % 3 AS VARCHAR) AS batch FROM runs",
+)
+def journal_retry(spark, sf):
+    """Three batches, two of them written twice: every row counts once."""
+    path = scratch_path(spark, "journal")
+    rows = fx.runs(spark, sf).select("run_id", "epoch", "train_loss")
+    for batch in (0, 1, 1, 2, 0):
+        tables.append_journal(rows.where(F.col("epoch") % 3 == batch), path, str(batch))
+    return rounded(read_appends(spark, path).drop("logged_at"), ["train_loss"])
+
+
 @query("time_slice", "SELECT node_id, f0, f1 FROM panel WHERE time_step = 27")
 def time_slice(spark, sf):
     return report.time_slice(fx.panel(spark, sf, steps=(27, 27)), 27, ["f0", "f1"])
@@ -341,11 +355,11 @@ def partition_counts(spark, sf):
 
 @query("cached_fit", ZSCORE_SQL)
 def cached_fit(spark, sf):
-    """Fits on a cached panel, then scales the rows."""
+    """Fits on a cached panel and scales the cached rows: the table is read once."""
     view = P.feature_view(fx.panel(spark, sf), {"f0": "t2m", "f1": "rh"})
     with cached(view) as rows:
         scaler = fit(rows, ["t2m", "rh"], "std", "feature", ddof=1)
-    return rounded(scaler.transform(view), ["t2m_scaled", "rh_scaled"])
+        return materialize(rounded(scaler.transform(rows), ["t2m_scaled", "rh_scaled"]), "scaled")
 
 
 @query(
@@ -476,6 +490,18 @@ def hash_sample(spark, sf):
     )
 
 
+@query(
+    "exact_sample",
+    """SELECT time_step, node_id, f0 FROM panel
+    QUALIFY row_number() OVER (ORDER BY md5('42:' || time_step || ':' || node_id)) <= count(*) OVER () // 100""",
+)
+def exact_sample(spark, sf):
+    """One row in a hundred, exactly."""
+    key = F.concat_ws(":", "time_step", "node_id")
+    rows = fx.panel(spark, sf).select("time_step", "node_id", "f0")
+    return sampling.exact_sample(rows, key, F.floor(F.count(F.lit(1)) / 100), seed=42)
+
+
 @query(
     "stride_sample",
     f""", steps AS (SELECT time_step, avg(f1) AS a, max(f1) AS m FROM panel GROUP BY time_step)

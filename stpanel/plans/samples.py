@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stpanel.operators import splits as S
 from stpanel.operators import windows as W
 from stpanel.operators.panel import time_join
+from stpanel.operators.shuffling import PRIME, ROUNDS, round_keys, shuffle_positions
 from stpanel.operators.storage import materialize
 from stpanel.plans import fixtures as fx
 from stpanel.plans.registry import query, r, rounded
@@ -186,16 +187,31 @@ def batch_assign(spark, sf):
     return W.assign_batches(_sample_ids(spark, sf), 16, drop_last=True)
 
 
-@query(
-    "batch_shuffle",
-    SAMPLES_SQL
-    + """SELECT split, sample_id, shuffled, shuffled // 16 AS batch_id
-    FROM (SELECT split, sample_id, CAST(row_number() OVER (
-            PARTITION BY split ORDER BY md5('7:' || sample_id)) - 1 AS BIGINT) AS shuffled
-          FROM samples)""",
-)
+def _shuffle_sql(seed: int) -> str:
+    """The rounds of the bijection one by one, and the walk back into the ids, as a recursion."""
+    keys = ", ".join(f"({i}, {k}, {v})" for i, (k, v) in enumerate(round_keys(seed)))
+    return f""", sizes AS (
+      SELECT split, count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM samples GROUP BY split),
+    grids AS (SELECT split, n, a, (n + a - 1) // a AS b FROM sizes),
+    keys AS (SELECT * FROM (VALUES {keys}) AS k(round, k, l)),
+    walk AS (
+      SELECT split, sample_id, n, 0 AS round, sample_id // b AS x, sample_id % b AS y, a AS m, b AS w
+      FROM samples JOIN grids USING (split)
+      UNION ALL
+      SELECT split, sample_id, n, CASE WHEN w.round + 1 = {ROUNDS} AND pos >= n THEN 0 ELSE w.round + 1 END,
+             CASE WHEN w.round + 1 = {ROUNDS} AND pos >= n THEN pos // m ELSE y END,
+             CASE WHEN w.round + 1 = {ROUNDS} AND pos >= n THEN pos % m ELSE z END, w, m
+      FROM (SELECT w.*, (x + (((y + k) * (y + k)) % {PRIME} + l) * (((y + k) * (y + k)) % {PRIME} + l) % {PRIME}) % m AS z,
+                   y * m + z AS pos
+            FROM walk w JOIN keys USING (round)) w)
+    SELECT split, sample_id, x * w + y AS shuffled, (x * w + y) // 16 AS batch_id FROM walk WHERE round = {ROUNDS}"""
+
+
+@query("batch_shuffle", SAMPLES_SQL + _shuffle_sql(7))
 def batch_shuffle(spark, sf):
-    shuffled = W.shuffle_samples(_sample_ids(spark, sf), seed=7)
+    samples = _sample_ids(spark, sf)
+    sizes = S.split_sizes(fx.split_dim(spark, sf), fx.LAG, fx.HORIZON).collect()  # one row per split
+    shuffled = shuffle_positions(samples, {r["split"]: r["n_windows"] for r in sizes}, seed=7)
     return W.assign_batches(shuffled, 16, order="shuffled")
 
 

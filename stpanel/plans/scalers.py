@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stpanel.operators import moments
 from stpanel.operators.scaling import fit, one_hot, one_hot_long
+from stpanel.operators.storage import scratch_path
 from stpanel.plans import fixtures as fx
 from stpanel.plans.registry import query, r, rounded
 
@@ -168,3 +170,45 @@ def inverse_roundtrip(spark, sf):
         scaler = fit(panel.select("node_id", c), [c], kind, scope)
         panel = scaler.inverse(scaler.transform(panel, suffix=""), {c: c})
     return rounded(panel, COLS)
+
+
+FAR = 1_000_000  # an offset that costs squares of raw values their digits
+FAR_SQL = ", ".join(f"{c} + {FAR} AS {c}" for c in COLS)
+
+
+def _far(spark, sf):
+    """The panel with all features a million higher."""
+    rows = fx.panel(spark, sf).select("time_step", "node_id", *COLS)
+    return rows.withColumns({c: F.col(c) + F.lit(float(FAR)) for c in COLS})
+
+
+@query(
+    "merged_fit",
+    f", far AS (SELECT time_step, node_id, {FAR_SQL} FROM panel) "
+    + _sql(STD, STD_AGGS, PER_NODE).replace("FROM panel", "FROM far"),
+)
+def merged_fit(spark, sf):
+    """Both time halves are fitted alone; their merged moments scale all rows."""
+    rows = _far(spark, sf)
+    cut = fx.n_steps(rows) // 2
+    halves = [moments.moments(rows.where(half), COLS, ["node_id"]) for half in (F.col("time_step") < cut, F.col("time_step") >= cut)]
+    scaler = moments.scaler(halves[0].unionByName(halves[1]), COLS, "std", "column")
+    return rounded(scaler.transform(rows, suffix=""), COLS)
+
+
+@query(
+    "appended_fit",
+    f""", far AS (SELECT node_id, unnest(['f0', 'f1', 'f2']) AS feature,
+                         unnest([{", ".join(f"{c} + {FAR}.0" for c in COLS)}])::DOUBLE AS v FROM panel)
+    SELECT node_id, feature, count(*) AS n, {r("avg(v)")} AS mean, {r("stddev_pop(v)")} AS deviation,
+           min(v) AS low, max(v) AS high FROM far GROUP BY node_id, feature""",
+)
+def appended_fit(spark, sf):
+    """Moments appended week by week, one week twice, read as if fitted at once."""
+    rows, path = _far(spark, sf), scratch_path(spark, "moments")
+    last = fx.n_steps(rows) // 7
+    for week in [*range(8), 3]:
+        batch = F.least(F.call_function("div", F.col("time_step"), F.lit(max(last, 1))), F.lit(7)) == week
+        moments.append_moments(rows.where(batch), COLS, path, f"week {week}")
+    found = moments.read_moments(spark, path).withColumn("deviation", F.sqrt(F.col("m2") / F.col("n"))).drop("m2")
+    return rounded(found, ["mean", "deviation"])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stpanel.operators.panel import NODE, TIME, in_tensor_order
+from stpanel.sources.appends import append_once
 from stpanel.sources.npy import register
 
 # Names of the known datasets and the files to try for each, in
@@ -135,6 +136,19 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     predictions.write.mode("overwrite").parquet(path)
 
 
-def append_journal(metrics: DataFrame, path: str) -> None:
-    """Append metric rows with the time of writing."""
-    metrics.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
+def append_predictions(predictions: DataFrame, path: str, batch: str) -> bool:
+    """Add the forecasts of one run; a batch that is there already adds nothing."""
+    return append_once(predictions, path, batch)
+
+
+def append_journal(metrics: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Append metric rows with the time of writing.
+
+    With a ``batch`` id the append may be repeated: the batch counts once, and the
+    journal is read with ``read_appends``. Without, every call adds its rows.
+    """
+    rows = metrics.withColumn("logged_at", F.current_timestamp())
+    if batch is not None:
+        return append_once(rows, path, batch)
+    rows.write.mode("append").parquet(path)
+    return True

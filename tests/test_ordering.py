@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from stpanel.operators.ordering import running, with_position
 from stpanel.operators.sampling import hash_sample, hottest_cell, stride_sample
 from stpanel.operators.storage import attach, cached, materialize, release, scratch_root
-from stpanel.operators.windows import assign_batches, batches_per_epoch, shuffle_samples
+from stpanel.operators.shuffling import shuffle_positions
+from stpanel.operators.windows import assign_batches, batches_per_epoch
 
 NAN = float("nan")
 
@@ -53,14 +54,35 @@ def test_stride_sample(spark, n, points):
     assert got == list(range(n))[:: max(1, n // points)]
 
 
-def test_shuffle_is_a_permutation_for_any_layout(spark):
-    df = spark.range(500).select(F.lit("train").alias("split"), F.col("id").alias("sample_id"))
-    one = {r["sample_id"]: r["shuffled"] for r in shuffle_samples(df, 3).collect()}
-    two = {r["sample_id"]: r["shuffled"] for r in shuffle_samples(df.repartition(7), 3).collect()}
-    other = {r["sample_id"]: r["shuffled"] for r in shuffle_samples(df, 4).collect()}
-    assert one == two != other
-    assert sorted(one.values()) == list(range(500))
-    assert one != {i: i for i in range(500)}
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 500, 4097])
+def test_shuffle_is_a_permutation_for_any_layout(spark, n):
+    df = spark.range(n).select(F.lit("train").alias("split"), F.col("id").alias("sample_id"))
+
+    def positions(rows, seed):
+        out = shuffle_positions(rows, {"train": n, "empty": 0}, seed)
+        return {r["sample_id"]: r["shuffled"] for r in out.collect()}
+
+    one, two, other = positions(df, 3), positions(df.repartition(7), 3), positions(df, 4)
+    assert one == two
+    assert sorted(one.values()) == sorted(other.values()) == list(range(n))
+    if n > 100:
+        assert one != other
+        moved = sum(abs(i - p) for i, p in one.items()) / n / n
+        assert 0.25 < moved < 0.42  # a third on average for a random permutation
+
+
+def test_shuffle_needs_no_exchange(spark):
+    df = spark.range(100).select(F.lit("train").alias("split"), F.col("id").alias("sample_id"))
+    plan = shuffle_positions(df, {"train": 100}, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+
+
+def test_shuffle_of_foreign_ids(spark):
+    rows = [("train", 0), ("train", 2), ("train", -1), ("train", None), ("other", 0), (None, 0)]
+    df = spark.createDataFrame(rows, "split string, sample_id long")
+    got = [r["shuffled"] for r in shuffle_positions(df, {"train": 2}, 1).collect()]
+    assert got[0] in (0, 1) and got[1:] == [None] * 5
+    assert shuffle_positions(df, {}, 1).where("shuffled IS NOT NULL").isEmpty()
 
 
 @pytest.mark.parametrize("drop_last, sizes", [(False, [4, 4, 2]), (True, [4, 4])])
