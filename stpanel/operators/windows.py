@@ -3,7 +3,7 @@
 A sample is ``lag`` consecutive input steps and the ``horizon`` steps after them,
 per node, within one split. Series are cut into overlapping ranges of positions:
 each row goes to its own range, and the first rows of a range also go to the
-range before. A range becomes one sorted array, from which samples are slices: the
+range before. A range becomes one sorted array, from which samples are cut by position: the
 plan has the same size for any lag and any number of features. A task then meets
 one range of one node, however long the series, and rows are copied
 ``1 + (lag + horizon) / size`` times rather than once per window they belong to.
@@ -86,11 +86,10 @@ def sliding_windows(
         return ends & (F.floor(first / F.lit(size)) == F.col("_range"))
 
     def sample(i: Column) -> Column:
-        past = F.transform(F.slice(chunk, i, F.lit(lag)), lambda s: s["x"])
-        ahead = F.slice(chunk, i + (span - 1), F.lit(1)) if single else F.slice(chunk, i + lag, F.lit(horizon))
-        return F.struct(
-            F.get(chunk, i - 1)["at"].alias("sample_id"), past.alias("x"), F.transform(ahead, lambda s: s["y"]).alias("y")
-        )
+        # Read by position: a slice would unpack the whole chunk for every sample.
+        past = F.transform(F.sequence(i - 1, i + (lag - 2)), lambda j: F.get(chunk, j)["x"])
+        ahead = F.transform(F.sequence(i + (span - 2 if single else lag - 1), i + (span - 2)), lambda j: F.get(chunk, j)["y"])
+        return F.struct(F.get(chunk, i - 1)["at"].alias("sample_id"), past.alias("x"), ahead.alias("y"))
 
     starts = F.filter(F.sequence(F.lit(1), F.size(chunk)), complete)
     return chunks.select(*keys, F.inline(F.transform(starts, sample)))
