@@ -47,7 +47,7 @@ NEAR = 80  # a phrase goes if a longer one has this percentage of its occurrence
 FIRST_RANK = 1.5  # the first floor is the pair score at this multiple of TOP
 LOWER = 4  # by how much the rank grows when a floor proves too high
 LANGS = 1024  # languages with a floor; any more are expanded in full
-CHUNK = 2 << 20  # bytes of text counted together
+CHUNK = 1 << 20  # bytes of text counted together
 CELL_BITS = 21
 SALTS = 64
 
@@ -76,7 +76,7 @@ _grown: dict[tuple[int, bool], np.ndarray] = {}
 
 def _powers(base: int, inverse: bool, n: int) -> np.ndarray:
     if len(_grown.get((base, inverse), ())) < n:
-        row = np.full(max(n, 2 * CHUNK), pow(base, -1, 1 << 64) if inverse else base, np.uint64)
+        row = np.full(max(n, CHUNK + 4096), pow(base, -1, 1 << 64) if inverse else base, np.uint64)
         row[0] = 1
         _grown[base, inverse] = np.multiply.accumulate(row)
     return _grown[base, inverse][:n]
