@@ -13,25 +13,31 @@ Second level: overlapping regions form a group, whose pivot is the document
 shared most. The documents in its ball (at most ``1 - t`` away) are linked to it
 and so to each other's component. By the triangle inequality, only documents in
 the boundary, up to twice as far, can be linked to the ball; they are replicated
-to it. The ball and its boundary, and the documents outside the ball among
-themselves, are cut into tiles of bounded size, and each tile is joined exactly
-by a matrix product over its shingles, within the window of distances to the
-pivot that the inequality leaves. A tile returns a spanning forest of its links,
-so a dense group never becomes all its pairs. No link is lost.
+to it. The documents outside the ball are joined among themselves: few of them at
+once; many form new groups by the regions that they still share, with pivots of
+their own, and so on. What ``DEPTH`` levels leave is joined in tiles of bounded
+size. A join looks at pairs that share a difference from the pivot, within the
+window of distances that the inequality leaves, and returns a spanning forest of
+its links, so a dense group never becomes all its pairs. No link is lost.
 
 Equal sets are one class and never pairs. The order of shingles needs how many
-documents share them: shingles are counted over all documents, and the counts of
-shared ones become levels in bit tables of fixed size. Levels only steer the work;
-any level gives the same result, and a full table only costs time.
+documents share them. Shingles whose hash is in the lowest ``COUNTED`` of all
+hashes are counted over all documents, and the counts of shared ones become
+levels in bit tables of fixed size; a counted shingle without a mark stands alone
+and opens no region. Shingles above that share are used, and taken for shared,
+where a document has too few others. Levels only steer the work; any level gives
+the same result, and a full table only costs time.
 
 Documents without words are linked with nothing. NULL ids are members without a
 say in the smallest id; a component with no other id has a NULL one. Repeated
-rows are members of one class. Sets are told apart by 128 bits, shingles by 64.
+rows are members of one class. Sets and rows are told
+apart by 128 bits, shingles by 64.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +48,19 @@ from pyspark.sql import functions as F
 from stpanel.llm.bpe import slices
 from stpanel.llm.graph import components
 from stpanel.llm.shingles import shingle_sets
-from stpanel.operators.storage import discard, free_shuffles, materialize
+from stpanel.operators.storage import discard, materialize
 
 PERCENT = 80  # least similarity
 WORDS = 5
 LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
 SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
-BLOCK = 128  # classes of a group that enter a tile together,
-BLOCKS = 8  # as long as these are that few;
-LARGE = 1024  # then blocks grow up to this size
+COUNTED = 0.3  # share of all shingles, by hash, that are counted
+BLOCK = 4096  # classes that enter a tile together,
+SHINGLES = 2_000_000  # with about so many shingles
+DEPTH = 4  # levels of document pivots
+
+
+_LIMIT = np.uint64(int(COUNTED * 2**64))
 
 
 def window(n: int, percent: int = PERCENT) -> int:
@@ -82,22 +92,20 @@ def _marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def _rows(docs: DataFrame, text: str, doc_id: str, keep: Sequence[str | Column] = ()) -> DataFrame:
-    """``row, text``: ``row`` hashes id and text, and is equal only for repeated rows."""
-    return docs.select(*keep, F.xxhash64(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
+def _row_keys(text: str, doc_id: str) -> list[Column]:
+    """Two hashes of id and text, equal only for repeated rows."""
+    values = [F.col(doc_id), F.col(text)]
+    return [F.xxhash64(*values).alias("row"), F.xxhash64(F.lit("second"), *reversed(values)).alias("row2")]
 
 
-def _shared_levels(docs: DataFrame, k: int, percent: int) -> list[np.ndarray]:
-    """Bit tables of the shingles that at least 2, 8, ... documents share.
-
-    Counts the shingles near the head of the hash order (half as many again as
-    a window), over all documents; others cannot get into a window easily.
-    """
+def _shared_levels(docs: DataFrame, k: int) -> list[np.ndarray]:
+    """Bit tables of the counted shingles that at least 2, 8, ... documents share."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                heads = [s[: window(len(s), percent) * 3 // 2 + 8] for s in shingle_sets(part.column("text").to_pylist(), k)]
+                sets = shingle_sets(part.column("text").to_pylist(), k)
+                heads = [s[: np.searchsorted(s, _LIMIT)] for s in sets]
                 found, n = np.unique(np.concatenate(heads), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"shingle": found.view(np.int64), "n": n.astype(np.int32)})
 
@@ -106,36 +114,36 @@ def _shared_levels(docs: DataFrame, k: int, percent: int) -> list[np.ndarray]:
 
 
 def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) -> DataFrame:
-    """``doc_id, row, n, class, head, window``: the class is a hash of the set, ``head`` its first half."""
+    """``doc_id, row, row2, n, class, window``: the class is a hash of the set.
+
+    Of the window only the shingles that others may share are kept. The order is
+    the same for all documents: counted and unmarked, uncounted, then by level.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
-    names = ["doc_id", "row", "n", "class", "head", "window"]
+    names = ["doc_id", "row", "row2", "n", "class", "window"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
-                n, digests, heads, found = [], [], [], []
+                n, digests, found = [], [], []
                 for s in shingle_sets(part.column("text").to_pylist(), k):
-                    size = window(len(s), percent)
-                    level = sum(_marked(t, s).astype(np.int8) for t in tables)
-                    first = s[np.argsort(level, kind="stable")]
-                    digest = xxhash.xxh3_128_digest(s.tobytes())
+                    level = 2 * sum(_marked(t, s).astype(np.int8) for t in tables)
+                    level[s >= _LIMIT] = 1
+                    order = np.argsort(level, kind="stable")[: window(len(s), percent)]
                     n.append(len(s))
-                    digests.append(digest)
-                    heads.append(int.from_bytes(digest[:8], "little", signed=True))
-                    found.append(first[:size].view(np.int64))
-                columns = [
-                    part.column("doc_id"), part.column("row"), pa.array(n, pa.int64()),
-                    pa.array(digests, pa.binary()), pa.array(heads, pa.int64()), pa.array(found, pa.list_(pa.int64())),
-                ]
+                    digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    found.append(s[order][level[order] > 0].view(np.int64))
+                columns = [part.column(c) for c in names[:3]]
+                columns += [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, row long, n long, class binary, head long, window array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, row long, row2 long, n long, class binary, window array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``wanted`` (with a unique ``row``) and the ``shingles`` of its rows.
+    """``wanted`` (with unique ``row, row2``) and the ``shingles`` of its rows.
 
     A bit table of fixed size lets most other rows pass by unread; the join
     makes the choice exact.
@@ -147,34 +155,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             at = np.flatnonzero(_marked(shared.value, batch.column("row").to_numpy().view(np.uint64)))
             for part in slices(batch.take(pa.array(at)), "text"):
                 sets = [s.view(np.int64) for s in shingle_sets(part.column("text").to_pylist(), k)]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(sets, pa.list_(pa.int64()))], ["row", "shingles"])
+                columns = [part.column("row"), part.column("row2"), pa.array(sets, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "row2", "shingles"])
 
-    rows = docs.select("row", "text").mapInArrow(run, "row long, shingles array<long>")
-    return rows.dropDuplicates(["row"]).join(wanted, "row").drop("row")
+    keys = ["row", "row2"]
+    rows = docs.select(*keys, "text").mapInArrow(run, "row long, row2 long, shingles array<long>")
+    return rows.dropDuplicates(keys).join(wanted, keys).drop(*keys)
 
 
 def _regions(stored: DataFrame) -> DataFrame:
-    """``region, class, n``: the first-level regions that hold more than one class.
-
-    Most shingles of the windows stand alone. A bit table of the others lets the
-    windows shrink before they are exploded; the join makes the choice exact.
-    """
-    heads = stored.select("head", F.explode("window").alias("region"))
-    ends = heads.groupBy("region").agg(F.min("head").alias("low"), F.max("head").alias("high"))
-    several = materialize(ends.filter("low <> high").select("region"), "jaccard-shared")
-    shared = stored.sparkSession.sparkContext.broadcast(_bit_tables(several, "region", [F.lit(True)])[0])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch.column("window").flatten()
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("window").offsets.to_numpy()))
-            at = np.flatnonzero(_marked(shared.value, flat.to_numpy().view(np.uint64)))
-            own = pa.array(owner[at])
-            columns = [flat.take(pa.array(at)), batch.column("class").take(own), batch.column("n").take(own)]
-            yield pa.RecordBatch.from_arrays(columns, ["region", "class", "n"])
-
-    members = stored.select("class", "n", "window").mapInArrow(run, "region long, class binary, n long")
-    return members.join(several, "region").distinct()
+    """``region, class, n``: the first-level regions that hold more than one class."""
+    members = stored.select(F.explode("window").alias("region"), "class", "n").distinct()
+    ends = members.groupBy("region").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return members.join(ends.filter("low <> high").select("region"), "region")
 
 
 def _groups(members: DataFrame, percent: int) -> DataFrame:
@@ -214,28 +207,58 @@ def _placed(sets: DataFrame, percent: int) -> DataFrame:
     return materialize(rows, "jaccard-placed")
 
 
-def _tiles(placed: DataFrame, percent: int) -> DataFrame:
-    """``group, kind, i, j, side`` and the columns of the class: where each class meets others.
+def _placed_again(outside: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Classes outside the ball of one pivot against the pivots of their new groups.
 
-    Documents inside a pivot's ball are one component already. Those outside are
-    dealt into blocks; each two blocks meet in a tile ("out"). Those in the
-    boundary, up to twice the radius, are replicated into the tiles of the ball
-    as well ("edge"); by the triangle inequality no others can be linked to it.
+    What two sets share, and differ in, follows from their differences from the
+    old pivot.
     """
-    far = 1 - percent / 100 + 1e-9
-    edge = ~F.col("inside") & (F.col("near") <= 2 * far)
+    rows = outside.drop("group", "pivot", "near", "inside").join(groups, "class")
+    right = rows.filter(F.col("class") == F.col("pivot")).select(
+        "group", F.col("differs").alias("theirs"), F.col("n").alias("size"), F.col("common").alias("own")
+    )
+    common = F.col("common") + F.col("own") - F.col("base") + F.size(F.array_intersect("differs", "theirs"))
+    moved = rows.join(right, "group").withColumn("both", common)
+    union = F.col("n") + F.col("size") - F.col("both")
+    differs = F.concat(F.array_except("differs", "theirs"), F.array_except("theirs", "differs"))
+    return moved.select(
+        "class", "group", "pivot", (1 - F.col("both") / union).alias("near"), (100 * F.col("both") >= percent * union).alias("inside"),
+        "n", F.col("both").alias("common"), F.col("size").alias("base"), differs.alias("differs"),
+    )
+
+
+def _sizes(placed: DataFrame, percent: int, block: int) -> DataFrame:
+    """Per group with documents outside its ball: in how many blocks its parts enter tiles."""
+    edge = ~F.col("inside") & (F.col("near") <= 2 * _radius(percent))
 
     def blocks(test: Column) -> Column:
-        # Small blocks up to BLOCKS of them, then larger ones up to LARGE. Beyond BLOCKS * LARGE
-        # classes their number, and so the copies of each class, grows with the group.
-        n = F.count_if(test)
-        small, large = F.ceil(n / F.lit(BLOCK)), F.ceil(n / F.lit(LARGE))
-        return F.least(small, F.greatest(large, F.lit(BLOCKS))).cast("int")
+        shingles = F.sum(F.when(test, F.size("differs")).otherwise(0))
+        return F.greatest(F.ceil(F.count_if(test) / F.lit(block)), F.ceil(shingles / F.lit(SHINGLES)), F.lit(0)).cast("int")
 
     counts = placed.groupBy("group").agg(
-        blocks(~F.col("inside")).alias("outs"), blocks(F.col("inside")).alias("ins"), blocks(edge).alias("edges")
+        blocks(~F.col("inside")).alias("outs"), blocks(F.col("inside")).alias("ins"), blocks(edge).alias("edges"),
+        F.count_if(~F.col("inside")).alias("outside"), F.count_if(edge).alias("at_edge"),
+    )
+    counts = counts.filter("outside > 0").withColumns(
+        {"outs": F.greatest("outs", F.lit(1)), "ins": F.greatest("ins", F.lit(1)), "edges": F.when(F.col("at_edge") > 0, F.greatest("edges", F.lit(1))).otherwise(0)}
     )
-    rows = placed.join(counts.filter("outs > 0"), "group").withColumn("edge", edge)
+    return counts.drop("outside", "at_edge")
+
+
+def _radius(percent: int) -> float:
+    return 1 - percent / 100 + 1e-9
+
+
+def _tiles(placed: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``group, kind, i, j, side`` and the columns of the class: where each class meets others.
+
+    Documents inside a pivot's ball are one component already. Those outside are
+    dealt into blocks, one if they are few; each two blocks meet in a tile ("out",
+    none if ``outs`` is 0). Those in the boundary, up to twice the radius, meet the
+    ball as well ("edge"); by the triangle inequality no others can be linked to it.
+    """
+    edge = ~F.col("inside") & (F.col("near") <= 2 * _radius(percent))
+    rows = placed.join(sizes, "group").withColumn("edge", edge)
 
     def block(of: str) -> Column:
         return F.pmod(F.xxhash64("class"), F.greatest(F.col(of), F.lit(1))).cast("int")
@@ -258,77 +281,96 @@ def _tile_links(percent: int):
     """Links between the classes of one tile, as few as tie the linked ones together.
 
     With a pivot of ``base`` shingles, two sets that share ``c`` and ``d`` shingles
-    with it have ``c + d - base`` plus their common differences in common.
+    with it have ``c + d - base`` plus their common differences in common. The
+    differences are counted from lists of the classes that have each.
     """
-    far = 1 - percent / 100 + 1e-9
+    far = _radius(percent)
 
     def run(table: pa.Table) -> pa.Table:
         names = table["class"].to_pylist()
+        m = len(names)
         near, side = table["near"].to_numpy(), table["side"].to_numpy()
         sizes, own = (table[c].to_numpy().astype(np.int64) for c in ("n", "common"))
+        base, at_edge = int(table["base"][0].as_py()), table["kind"][0].as_py() == "edge"
         column = table["differs"].combine_chunks()
-        owner = np.repeat(np.arange(len(names)), np.diff(column.offsets.to_numpy()))
+        owner = np.repeat(np.arange(m), np.diff(column.offsets.to_numpy()))
         _, token, n = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
         shared = n[token] > 1
-        _, token = np.unique(token[shared], return_inverse=True)
-        owner = owner[shared]
-        common = np.zeros((len(names), len(names)), np.float32)
-        order = np.argsort(token, kind="stable")
-        token, owner = token[order], owner[order]
-        for first in range(0, int(token[-1]) + 1 if len(token) else 0, 4096):
-            a, b = np.searchsorted(token, [first, first + 4096])
-            part = np.zeros((len(names), 4096), np.float32)
-            part[owner[a:b], token[a:b] - first] = 1
-            common += part @ part.T
-        common = np.rint(common.astype(np.float64)).astype(np.int64)
-        common += own[:, None] + own[None, :] - int(table["base"][0].as_py())
-        linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-        linked &= np.abs(near[:, None] - near[None, :]) <= far
-        if table["kind"][0].as_py() == "edge":
-            linked &= side[:, None] != side[None, :]
-        found, root = [], np.arange(len(names))
-        for u, v in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-            if root[u] != root[v]:
-                root[root == root[u]] = root[v]
-                found.append((names[u], names[v]))
-        return pa.table({"u": pa.array([x for x, _ in found], pa.binary()), "v": pa.array([x for _, x in found], pa.binary())})
+        owner, token = owner[shared], token[shared]
+        having = owner[np.argsort(token, kind="stable")]
+        first, count = np.r_[0, np.cumsum(np.bincount(token, minlength=len(n)))], np.bincount(token, minlength=len(n))
+        bounds = np.searchsorted(owner, np.arange(m + 1))
+        root, found = np.arange(m), []
+        asked = np.flatnonzero(side == (0 if (side == 0).sum() <= (side == 1).sum() else 1)) if at_edge else np.arange(m)
+        for x in asked:
+            others = (root != root[x]) & (np.abs(near - near[x]) <= far)
+            if at_edge:
+                others &= side != side[x]
+            if not others.any():
+                continue
+            mine = token[bounds[x] : bounds[x + 1]]
+            each = count[mine]
+            at = np.repeat(first[mine] - np.r_[0, np.cumsum(each)[:-1]] if len(mine) else mine, each) + np.arange(each.sum())
+            common = np.bincount(having[at], minlength=m) + own + (own[x] - base)
+            linked = np.flatnonzero(others & (100 * common >= percent * (sizes + sizes[x] - common)))
+            roots, some = np.unique(root[linked], return_index=True)
+            for old, y in zip(roots, linked[some], strict=True):
+                root[root == old] = root[x]
+                found.append((names[x], names[y]))
+        return pa.table({"u": pa.array([x for x, _ in found], pa.binary()), "v": pa.array([y for _, y in found], pa.binary())})
 
     return run
 
 
-def _joined(placed: DataFrame, percent: int) -> DataFrame | None:
+def _joined(placed: DataFrame, members: DataFrame, percent: int, block: int = BLOCK, depth: int = DEPTH) -> DataFrame | None:
     """``class, component`` of the classes with links; None if there are none."""
-    met = _tiles(placed, percent).groupBy("group", "kind", "i", "j").applyInArrow(_tile_links(percent), "u binary, v binary")
-    inside = placed.filter("inside and class <> pivot").select(F.col("class").alias("u"), F.col("pivot").alias("v"))
-    links = materialize(met.unionByName(inside), "jaccard-found")
+    found = []
+    for level in range(depth):
+        sizes = materialize(_sizes(placed, percent, block), "jaccard-sizes")
+        again = (F.col("outs") > 1) & F.lit(level + 1 < depth)
+        here = sizes.withColumn("outs", F.when(again, 0).otherwise(F.col("outs")))
+        met = _tiles(placed, here, percent).groupBy("group", "kind", "i", "j").applyInArrow(_tile_links(percent), "u binary, v binary")
+        inside = placed.filter("inside and class <> pivot").select(F.col("class").alias("u"), F.col("pivot").alias("v"))
+        found.append(materialize(met.unionByName(inside), "jaccard-found"))
+        large = sizes.filter(again).select("group")
+        if large.isEmpty():
+            break
+        outside = materialize(placed.filter("NOT inside").join(large, "group", "left_semi"), "jaccard-outside")
+        left = members.join(outside.select("class"), "class", "left_semi")
+        placed = materialize(_placed_again(outside, _groups(materialize(left, "jaccard-left"), percent), percent), "jaccard-placed")
+    links = reduce(DataFrame.unionByName, found)
     if links.isEmpty():
         return None
     return components(links).withColumnRenamed("node", "class")
 
 
 def link(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, k: int = WORDS
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    percent: int = PERCENT,
+    k: int = WORDS,
+    block: int = BLOCK,
+    depth: int = DEPTH,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, row, component`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, row, row2, component`` for every row of ``docs``.
 
-    ``component_id`` is the smallest id reachable by links, ``row`` a hash of id
-    and text. Ids may be NULL or shared by unlinked documents; ``component``, the
-    smallest class hash, belongs to one component only. It is NULL without words.
+    ``component_id`` is the smallest id reachable by links, ``row`` and ``row2``
+    hashes of id and text. Ids may be NULL or shared by unlinked documents;
+    ``component``, the smallest class hash, belongs to one component only. It is
+    NULL without words.
     """
-    rows = _rows(docs, text, doc_id, [F.col(doc_id).alias("doc_id")])
-    texts = rows.select("row", "text")
-    stored = materialize(_windows(rows, _shared_levels(texts, k, percent), k, percent), "jaccard-windows")
-    free_shuffles(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), *_row_keys(text, doc_id), F.col(text).alias("text"))
+    texts = rows.select("row", "row2", "text")
+    stored = materialize(_windows(rows, _shared_levels(texts, k), k, percent), "jaccard-windows")
     members = materialize(_regions(stored), "jaccard-regions")
-    first = stored.join(members.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("row").alias("row"))
+    first = stored.join(members.select("class").distinct(), "class", "left_semi").groupBy("class")
+    first = first.agg(F.min(F.struct("row", "row2")).alias("first")).select("class", "first.row", "first.row2")
     wanted = materialize(first.join(_groups(members, percent), "class"), "jaccard-wanted")
-    free_shuffles(docs.sparkSession)
     sets = materialize(_sets(texts, wanted, k), "jaccard-sets")
     placed = _placed(sets, percent)
     discard(sets)
-    free_shuffles(docs.sparkSession)
-    nodes = _joined(placed, percent)
-    free_shuffles(docs.sparkSession)
+    nodes = _joined(placed, members, percent, block, depth)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     if nodes is None:
         classes = classes.withColumn("component", F.col("class"))
@@ -340,9 +382,9 @@ def link(
     own = F.when(F.col("known"), F.col("low")).otherwise(F.col("doc_id"))
     ids = F.when(F.col("n") > 0, F.col("class"))  # empty sets match no class
     return (
-        stored.select("doc_id", "row", "n", ids.alias("class"))
+        stored.select("doc_id", "row", "row2", "n", ids.alias("class"))
         .join(classes, "class", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "row", "component")
+        .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "row", "row2", "component")
     )
 
 
@@ -352,16 +394,16 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Of repeated rows one stays; documents without words all stay, NULL ids
     belong to the component of their text.
     """
+    keys = ["row", "row2"]
     found = materialize(link(docs, text, doc_id, percent, k), "jaccard-links")
     real = found.filter("n_shingles > 0")
-    first = real.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    kept = first.select(F.col("first.row").alias("_kept_row")).distinct()
-    keyed = docs.withColumn("_kept_row", F.xxhash64(F.col(doc_id), F.col(text)))
-    empty = found.filter("n_shingles = 0").select(F.col("row").alias("_kept_row")).distinct()
-    twice = real.join(kept, real["row"] == kept["_kept_row"]).groupBy("_kept_row").agg(F.count(F.lit(1)).alias("_copies"))
-    chosen = twice.unionByName(empty.withColumn("_copies", F.lit(0).cast("long")))
-    chosen = materialize(chosen, "jaccard-kept")
-    once = keyed.join(materialize(chosen.filter("_copies <= 1"), "jaccard-once"), "_kept_row")
+    first = real.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *keys)).alias("first"))
+    kept = first.select("first.row", "first.row2").distinct()
+    keyed = docs.select(*_row_keys(text, doc_id), F.struct(*docs.columns).alias("doc"))
+    empty = found.filter("n_shingles = 0").select(*keys).distinct()
+    twice = real.join(kept, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    chosen = materialize(twice.unionByName(empty.withColumn("copies", F.lit(0).cast("long"))), "jaccard-kept")
+    once = keyed.join(materialize(chosen.filter("copies <= 1").select(*keys), "jaccard-once"), keys)
     # Repeated rows are few or none: a table of their own is small enough to broadcast.
-    several = keyed.join(materialize(chosen.filter("_copies > 1"), "jaccard-several"), "_kept_row")
-    return once.unionByName(several.dropDuplicates(["_kept_row"])).drop("_kept_row", "_copies")
+    several = keyed.join(materialize(chosen.filter("copies > 1").select(*keys), "jaccard-several"), keys)
+    return once.unionByName(several.dropDuplicates(keys)).select("doc.*")

@@ -96,7 +96,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.link(table(spark, sf_dir, "documents")).drop("row", "component")
+    return jaccard.link(table(spark, sf_dir, "documents")).drop("row", "row2", "component")
 
 
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

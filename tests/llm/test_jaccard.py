@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stpanel.llm import graph, jaccard, shingles
@@ -85,17 +86,49 @@ def test_groups_and_passages(spark, seed):
     check(spark, list(enumerate(texts)))
 
 
-def test_many_tiles(spark, monkeypatch):
-    """With nothing put back in the order and tiny blocks, groups become many tiles."""
-    monkeypatch.setattr(jaccard, "LEVELS", (10**9,))
-    monkeypatch.setattr(jaccard, "BLOCK", 3)
+@pytest.mark.parametrize(("block", "depth"), [(3, 1), (3, 5), (20, 3)])
+def test_many_tiles_and_levels(spark, monkeypatch, block, depth):
+    """With all shared shingles alike and tiny blocks, groups take new pivots or many tiles."""
+    monkeypatch.setattr(jaccard, "LEVELS", (2,))
     r = random.Random(9)
     chain = [f"c{i}" for i in range(120)]
     texts = [" ".join(chain[i : i + 60]) for i in range(0, 60, 3)]
     passage = [f"p{i}" for i in range(30)]
     texts += [" ".join([*passage, *(f"q{r.randrange(10**6)}" for _ in range(10))]) for _ in range(15)]
     texts += copies(r, [f"b{i}" for i in range(80)], 40, 6)
-    check(spark, list(enumerate(texts)))
+    check(spark, list(enumerate(texts)), block=block, depth=depth)
+
+
+def test_links_of_a_tile_are_counted_from_differences():
+    """Sets around a pivot, joined from what they lack of it and add to it."""
+    r = np.random.default_rng(3)
+    pivot = set(range(100))
+    sets = []
+    for _ in range(60):
+        s = set(r.choice(100, 100 - r.integers(0, 25), replace=False).tolist()) | set(r.integers(200, 260, r.integers(0, 20)).tolist())
+        sets.append(s)
+    near = [1 - len(s & pivot) / len(s | pivot) for s in sets]
+    table = pa.table(
+        {
+            "class": pa.array([bytes([i]) for i in range(60)], pa.binary()), "kind": ["out"] * 60, "side": pa.array([0] * 60, pa.int32()),
+            "near": near, "n": [len(s) for s in sets], "common": [len(s & pivot) for s in sets], "base": [100] * 60,
+            "differs": pa.array([sorted(s ^ pivot) for s in sets], pa.list_(pa.int64())),
+        }
+    )
+    found = jaccard._tile_links(80)(table)
+    parent = list(range(60))
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    for u, v in zip(found["u"].to_pylist(), found["v"].to_pylist(), strict=True):
+        a, b = sets[u[0]], sets[v[0]]
+        assert 100 * len(a & b) >= 80 * len(a | b) and root(u[0]) != root(v[0])
+        parent[root(u[0])] = root(v[0])
+    for i in range(60):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                assert root(i) == root(j)
 
 
 def test_table(spark):
