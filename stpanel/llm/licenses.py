@@ -110,7 +110,7 @@ def scan(
         for r in stored.select(F.explode("hits.word").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
-    matches = _join(stored, _prefixes(stored, all_templates, rank), rank, max(len(t[2]) for t in all_templates))
+    matches = _join(stored, all_templates, rank)
     labels = matches.groupBy("row").agg(
         F.sum(F.size("places")).alias("n_base"),
         F.min(F.array_min("places")).alias("first_word"),
@@ -135,18 +135,24 @@ def scan(
     )
 
 
+def _prefix(ordered: Sequence[str], needed: int, rank: Mapping[str, int]) -> list[str]:
+    """The rarest words of a template, of which any block that matches holds one."""
+    by_rank = sorted(set(ordered), key=rank.__getitem__)
+    return by_rank[: len(by_rank) - needed + 1]
+
+
 def _prefixes(stored: DataFrame, all_templates: Sequence, rank: Mapping[str, int]) -> DataFrame:
     """One row per prefix word of each template: a table as small as the templates."""
     rows = []
     for base, label, ordered, needed in all_templates:
-        by_rank = sorted(set(ordered), key=rank.__getitem__)
-        for i, word in enumerate(by_rank[: len(by_rank) - needed + 1]):
+        size = len(set(ordered))
+        for i, word in enumerate(_prefix(ordered, needed, rank)):
             rows.append(
                 F.struct(
                     F.lit(base).alias("base"),
                     F.lit(label).alias("label"),
                     F.array(*map(F.lit, ordered)).alias("ordered"),
-                    F.lit(len(by_rank)).alias("size"),
+                    F.lit(size).alias("size"),
                     F.lit(needed).alias("needed"),
                     F.lit(word).alias("word"),
                     F.lit(i).alias("place"),
@@ -156,22 +162,27 @@ def _prefixes(stored: DataFrame, all_templates: Sequence, rank: Mapping[str, int
     return stored.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
-def _join(stored: DataFrame, prefixes: DataFrame, rank: Mapping[str, int], longest: int) -> DataFrame:
+def _join(stored: DataFrame, all_templates: Sequence, rank: Mapping[str, int]) -> DataFrame:
     """``row, base, label, places, share`` of the blocks that match."""
-    around = 2 * (longest - 1)  # a block that holds a word reaches this far from it
-    hits = stored.select("row", "hits", F.posexplode("hits").alias("at", "hit")).select(
-        "row",
-        F.col("hit.pos").alias("pos"),
-        F.col("hit.word").alias("word"),
-        "hits",
-        "at",
-    )
+    prefixes = _prefixes(stored, all_templates, rank)
+    prefix_words = [_prefix(ordered, needed, rank) for _, _, ordered, needed in all_templates]
+    around = 2 * (max(len(t[2]) for t in all_templates) - 1)  # a block that holds a word reaches this far from it
+    starters = sorted({w for words_ in prefix_words for w in words_})
+    at_hit = lambda i: F.get("hits", i)
+
+    # The neighbourhood is cut out before rows are made: no row carries all hits
+    # of its document. A stretch of positions holds at most as many hits.
+    def surroundings(i: Column) -> Column:
+        first, last = F.greatest(i - around, F.lit(0)), F.least(i + around, F.size("hits") - 1)
+        near = F.transform(F.sequence(first, last), at_hit)
+        return F.struct(at_hit(i)["pos"].alias("pos"), at_hit(i)["word"].alias("word"), near.alias("near"))
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("hits")), lambda i: at_hit(i)["word"].isin(starters))
+    hits = stored.select("row", F.inline(F.transform(starts, surroundings)))
     ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
     reach = F.size("ordered") - 1
     wide = F.filter("near", lambda h: (F.abs(h["pos"] - F.col("pos")) <= 2 * reach) & F.array_contains("ordered", h["word"]))
-    # A stretch of positions holds at most as many hits.
-    near = F.slice("hits", F.greatest(F.col("at") - around, F.lit(0)) + 1, F.lit(2 * around + 1))
-    pairs = hits.join(F.broadcast(prefixes), "word").withColumn("near", near).drop("hits", "at").withColumn("wide", wide)
+    pairs = hits.join(F.broadcast(prefixes), "word").withColumn("wide", wide).drop("near")
     pairs = pairs.withColumn("shared", F.array_distinct(F.transform("wide", lambda h: h["word"])))
     own = ranks[F.col("word")]
     after = F.size(F.filter("shared", lambda w: ranks[w] > own))

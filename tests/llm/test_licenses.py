@@ -102,6 +102,18 @@ def test_original_sentences(spark):
         assert label in found[i]
 
 
+def test_long_texts(spark):
+    """Prose with common template words, and a text of almost nothing else."""
+    r = random.Random(3)
+    prose = " ".join(r.choice(["the", "of", "a", "in", "you", "not"]) if r.random() < 0.15 else f"w{r.randrange(9000)}" for _ in range(100_000))
+    vocabulary = sorted({w for t in [*licenses.PHRASES, *licenses.TEMPLATES] for w in t.split()})
+    dense = " ".join(r.choice(vocabulary) if r.random() < 9 / 14 else "x" for _ in range(16_000))
+    docs = spark.createDataFrame([(1, prose + " mit license"), (2, dense), (3, "the " * 50_000)], "doc_id long, text string")
+    found = {x["doc_id"]: x for x in licenses.scan(docs).collect()}
+    assert (found[1]["n_base"], found[1]["first_word"], found[1]["labels"]) == (1, 100_000, "mit")
+    assert found[2]["n_words"] == 16_000 and found[3]["labels"] == ""
+
+
 def test_empty(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
