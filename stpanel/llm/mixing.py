@@ -26,11 +26,17 @@ from stpanel.operators.storage import materialize
 COARSE = 1024  # key ranges of a source at the first level
 ROWS = 1000  # rows aimed at in a range of the second level, for a source that holds all rows
 KEY_BITS = 60
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def word_count(text: str = "text") -> Column:
-    """Number of runs without ASCII white space; 0 for NULL."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    """Number of runs without ASCII white space; 0 for NULL.
+
+    Each run, with the blanks before it, becomes one character; the words are never
+    collected.
+    """
+    runs = F.regexp_replace(F.rtrim(F.col(text), F.lit(BLANKS)), r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++", "x")
+    return F.coalesce(F.length(runs), F.lit(0)).cast("long")
 
 
 def random_key(id_col: str = "doc_id") -> Column:
