@@ -31,6 +31,7 @@ from stpanel.llm.bpe import slices
 SIZES = (3, 4)  # characters in an n-gram, word edges included
 DOCS = 2000  # labelled documents read per language, on average
 SHARE = 0.01  # an n-gram belongs to a language if this share of its documents has it
+BLOCK = 1 << 18  # characters whose n-grams are hashed together
 SLOT_BITS = 20
 HASHES = 3
 UND = "und"
@@ -42,37 +43,70 @@ def _letters() -> np.ndarray:
     return np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)), bool, 0x110000)
 
 
-def grams(texts: Sequence[str | None], sizes: Sequence[int] = SIZES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all n-grams, the position of each one's text, and which texts have letters.
+def normalised(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letters and single spaces of all texts, the position of each one's text, and which texts have letters.
 
     Texts are lower-cased; runs of other characters than letters are one space,
     and every text starts and ends with a space.
     """
-    points = [np.frombuffer(f" {t.lower()} ".encode("utf-32-le", "replace"), np.uint32) for t in (x or "" for x in texts)]
-    owner = np.repeat(np.arange(len(points)), [len(p) for p in points])
-    chars = np.concatenate(points) if points else np.zeros(0, np.uint32)
-    letter = _letters()[chars]
-    lettered = np.bincount(owner[letter], minlength=len(points)) > 0
-    edge = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
-    keep = letter | edge | np.r_[False, letter[:-1]][: len(letter)]
-    chars, owner = np.where(letter, chars, 32)[keep].astype(np.uint64), owner[keep]
-    hashes, owners = [], []
+    parts, owners, lettered = [], [], np.zeros(len(texts), bool)
+    known = _letters()
+    for i, text in enumerate(texts):
+        points = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "replace"), np.uint32)
+        letter = known[points]
+        lettered[i] = letter.any()
+        keep = letter.copy()
+        keep[0] = True
+        keep[1:] |= letter[:-1]
+        parts.append(np.where(letter[keep], points[keep], np.uint32(32)).astype(np.uint32))
+        owners.append(len(parts[-1]))
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), owners)
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint32), owner, lettered
+
+
+def gram_blocks(chars: np.ndarray, owner: np.ndarray, sizes: Sequence[int] = SIZES, block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of all n-grams and the positions of their texts, of ``block`` characters at a time."""
     for n in sizes:
-        if len(chars) < n:
-            continue
-        m = len(chars) - n + 1
-        h = np.full(m, n, np.uint64)
-        for i in range(n):
-            h = (h ^ chars[i : i + m]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-        inside = owner[:m] == owner[n - 1 :]
-        hashes.append(h[inside])
-        owners.append(owner[:m][inside])
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), lettered
-    return np.concatenate(hashes), np.concatenate(owners), lettered
+        for at in range(0, len(chars) - n + 1, block):
+            part = chars[at : at + block + n - 1].astype(np.uint64)
+            m = len(part) - n + 1
+            h = np.full(m, n, np.uint64)
+            for i in range(n):
+                h = (h ^ part[i : i + m]) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            inside = owner[at : at + m] == owner[at + n - 1 : at + n - 1 + m]
+            yield h[inside], owner[at : at + m][inside]
+
+
+def grams(texts: Sequence[str | None], sizes: Sequence[int] = SIZES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all n-grams, the position of each one's text, and which texts have letters."""
+    chars, owner, lettered = normalised(texts)
+    found = list(gram_blocks(chars, owner, sizes))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), lettered
+    return np.concatenate([h for h, _ in found]), np.concatenate([o for _, o in found]), lettered
+
+
+def distinct_grams(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of each text (hash, text), reduced block by block."""
+    chars, owner, _ = normalised(texts)
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    for hashes, of in gram_blocks(chars, owner):
+        kept.append(_distinct(hashes, of))
+        if len(kept) == 16:
+            kept = [_distinct(*(np.concatenate(x) for x in zip(*kept, strict=True)))]
+    if not kept:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    return _distinct(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+
+
+def _distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    first = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])][: len(hashes)]
+    return hashes[first], owner[first]
 
 
 def slots(hashes: np.ndarray, bits: int = SLOT_BITS, count: int = HASHES) -> list[np.ndarray]:
@@ -91,17 +125,19 @@ class Filters:
 
     def shares(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Corrected share of known n-grams (text, language), and which texts have letters."""
-        hashes, owner, lettered = grams(texts)
-        total = np.bincount(owner, minlength=len(texts))
+        chars, owners, lettered = normalised(texts)
+        total = np.zeros(len(texts))
         counts = np.zeros((len(texts), len(self.langs)))
-        where = slots(hashes)
-        for i, masks in enumerate(self.slices):
-            known = masks[where[0]]
-            for w in where[1:]:
-                known &= masks[w]
-            for bit in range(min(64, len(self.langs) - 64 * i)):
-                has = (known >> masks.dtype.type(bit)) & masks.dtype.type(1)
-                counts[:, 64 * i + bit] = np.bincount(owner, weights=has, minlength=len(texts))
+        for hashes, owner in gram_blocks(chars, owners):
+            total += np.bincount(owner, minlength=len(texts))
+            where = slots(hashes)
+            for i, masks in enumerate(self.slices):
+                known = masks[where[0]]
+                for w in where[1:]:
+                    known &= masks[w]
+                for bit in range(min(64, len(self.langs) - 64 * i)):
+                    has = (known >> masks.dtype.type(bit)) & masks.dtype.type(1)
+                    counts[:, 64 * i + bit] += np.bincount(owner, weights=has, minlength=len(texts))
         expected = total[:, None] * self.false
         corrected = (counts - expected) / (1 - self.false) / np.maximum(total, 1)[:, None]
         return np.clip(corrected, 0.0, 1.0), lettered
@@ -152,13 +188,10 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     def collect_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                hashes, owner, _ = grams(part.column("text").to_pylist())
-                order = np.lexsort((hashes, owner))
-                hashes, owner = hashes[order], owner[order]
-                first = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])][: len(hashes)]
-                of = part.column("lang").to_numpy()[owner[first]]
+                hashes, owner = distinct_grams(part.column("text").to_pylist())
+                of = part.column("lang").to_numpy()[owner]
                 for each in np.unique(of):
-                    gram, n = np.unique(hashes[first][of == each], return_counts=True)
+                    gram, n = np.unique(hashes[of == each], return_counts=True)
                     yield pa.RecordBatch.from_pydict(
                         {"lang": pa.array(np.full(len(gram), each), pa.int32()), "gram": gram.view(np.int64), "n": n}
                     )
@@ -187,19 +220,41 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", keep: Sequenc
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                shares, lettered = model.shares(part.column("text").to_pylist())
-                if model.langs:
-                    at = shares.argmax(1)
-                    names = [model.langs[i] if ok else UND for i, ok in zip(at, lettered, strict=True)]
-                    score = np.where(lettered, shares[np.arange(len(at)), at], 0.0)
-                else:
-                    names, score = [UND] * part.num_rows, np.zeros(part.num_rows)
+            for part in slices(batch, "text", 1 << 20):
+                names, score = _judge(shared.value, part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("kept"), pa.array(names, pa.string()), pa.array(score, pa.float64())],
                     ["kept", "lang_pred", "score"],
                 )
 
     return rows.mapInArrow(run, schema).select("kept.*", "lang_pred", "score")
+
+
+def _judge(model: Filters, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
+    """The language and score of each text."""
+    shares, lettered = model.shares(texts)
+    if not model.langs:
+        return [UND] * len(texts), np.zeros(len(texts))
+    at = shares.argmax(1)
+    names = [model.langs[i] if ok else UND for i, ok in zip(at, lettered, strict=True)]
+    return names, np.where(lettered, shares[np.arange(len(at)), at], 0.0)
+
+
+def select(docs: DataFrame, filters: Filters, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in a learned language, known to at least the share ``least`` of their n-grams.
+
+    Each row travels to Python once, and back only if it stays.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("kept"))
+    at = docs.columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "kept", 1 << 20):
+                names, score = _judge(shared.value, part.column("kept").field(at).to_pylist())
+                stays = (np.array(names) != UND) & (score >= least)
+                yield part.filter(pa.array(stays))
+
+    return rows.mapInArrow(run, rows.schema).select("kept.*")

@@ -64,3 +64,44 @@ def test_nothing_learned(spark):
     filters = langid.learn(docs)
     assert [tuple(r) for r in langid.predict(docs, filters).collect()] == [(1, "und", 0.0)]
     assert langid.predict(docs.limit(0), filters).collect() == []
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 1000])
+def test_blocks_lose_no_gram(block):
+    texts = ["the  cat, sat!", "", None, "a", "ABC déf " * 9, "12"]
+    chars, owner, _ = langid.normalised(texts)
+    parts = list(langid.gram_blocks(chars, owner, block=block))
+    whole = list(langid.gram_blocks(chars, owner, block=10**6))
+    for i in (0, 1):
+        assert np.array_equal(np.concatenate([p[i] for p in parts]), np.concatenate([w[i] for w in whole]))
+
+
+def test_distinct_grams_are_reduced_in_steps(monkeypatch):
+    texts = [" ".join(f"w{i % 37}x" for i in range(3000)), "the cat"]
+    hashes, owner, _ = langid.grams(texts)
+    want = sorted(set(zip(owner.tolist(), hashes.tolist(), strict=True)))
+    monkeypatch.setattr(langid.gram_blocks, "__defaults__", (langid.SIZES, 100))
+    got = langid.distinct_grams(texts)
+    assert list(zip(got[1].tolist(), got[0].tolist(), strict=True)) == want
+
+
+def test_memory_of_a_long_text():
+    """Eight million letters need no more than a few bytes each."""
+    import tracemalloc
+
+    filters = langid.Filters(["x"], [np.zeros(1 << langid.SLOT_BITS, np.uint8)], np.zeros(1))
+    text = "lorem ipsum " * 700_000
+    langid.normalised(["warm"])
+    tracemalloc.start()
+    filters.shares([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+
+
+def test_select_keeps_rows_whole(spark):
+    rows = [(1, "the cat sat", "en", "k"), (2, None, "en", None), (3, "123", None, "x"), (4, "xqzjk", None, "y"), (5, "the cat", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, kept string")
+    kept = langid.select(docs, langid.learn(docs.limit(1)), 0.2)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[4]]
