@@ -6,7 +6,8 @@ turned into probabilities of all word classes, which are multiplied by the share
 of the word in its class. The logarithms over a document's words add up to its score.
 
 Word classes are the most frequent words of the whole corpus, one class each, and
-hashed classes that share the other words. All words of the corpus are counted; the
+hashed classes that share the other words by their endings, which neighbours can
+predict. All words of the corpus are counted; the
 counts stay distributed and are joined to the words of the documents. Words that
 were not counted are taken as met once.
 
@@ -38,6 +39,7 @@ from stpanel.operators.storage import discard, materialize
 
 FREQUENT = 191  # words with a class of their own
 HASHED = 64  # classes shared by all other words
+ENDING = 2  # last characters of a word that choose its hashed class
 SPAN = 2  # neighbours to either side
 WIDTH = 16
 SHARD_WORDS = 20_000  # words aimed at in a training shard
@@ -137,7 +139,7 @@ class Classes:
         if len(known) > 400_000:
             known = self.known = dict(self.fixed)
         for w in set(words).difference(known):
-            known[w] = FREQUENT + zlib.crc32(w.encode("utf-8", "replace")) % HASHED
+            known[w] = FREQUENT + zlib.crc32(w[-ENDING:].encode("utf-8", "replace")) % HASHED
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
@@ -281,7 +283,7 @@ def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: st
 def _shares(rare: DataFrame, counts: DataFrame, frequent: Sequence[str]) -> DataFrame:
     """``row, inner``: the sum of log p(word | class) over the words in hashed classes."""
     others = counts.filter(~F.col("word").isin(list(frequent))) if frequent else counts
-    kind = (F.crc32(F.col("word").cast("binary")) % HASHED).alias("class")
+    kind = (F.crc32(F.right("word", F.lit(ENDING)).cast("binary")) % HASHED).alias("class")
     totals = others.groupBy(kind).agg(F.sum("n").alias("total"))
     words = rare.join(others, "word", "left").select("row", "times", F.coalesce("n", F.lit(1)).alias("n"), kind)
     known = words.join(F.broadcast(totals), "class", "left")

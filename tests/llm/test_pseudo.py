@@ -83,8 +83,32 @@ def test_training_beats_chance_and_shuffled_text(spark):
     rng = np.random.default_rng(1)
     mixed = [" ".join(rng.permutation(t.split())) for t in good]
     mixed = ["".join(rng.permutation(list(t))) for t in mixed]
-    score = lambda ts: network.log_probabilities(*pseudo.windows([pseudo.Classes(frequent).number(pseudo.split(t)) for t in ts])).mean()
-    assert score(good) > score(mixed)
+    counts = pseudo.word_counts(docs)
+
+    def score(texts):
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        found = pseudo.score(rows, network, frequent, counts=counts).agg({"log_prob": "sum", "n_words": "sum"}).first()
+        return found["sum(log_prob)"] / found["sum(n_words)"]
+
+    assert score(good) > score(mixed) + 1
+
+
+def test_neighbours_help(spark):
+    """Held-out words are likelier given their neighbours than by their frequency, and less so among others."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(4000)
+    seen, unseen = docs.filter("doc_id % 10 <> 3"), docs.filter("doc_id % 10 = 3")
+    frequent = pseudo.frequent_words(seen)
+    network = pseudo.fit(seen, frequent)
+    classes = pseudo.Classes(frequent)
+    numbered = [[classes.number(pseudo.split(r["text"])) for r in d.select("text").collect()] for d in (seen, unseen)]
+    share = np.bincount(np.concatenate(numbered[0]), minlength=pseudo.CLASSES) + 1.0
+    plain = np.log(share / share.sum())[np.concatenate(numbered[1])].mean()
+    rng = np.random.default_rng(2)
+    everything = rng.permutation(np.concatenate(numbered[1]))
+    cuts = np.cumsum([len(n) for n in numbered[1]])[:-1]
+    given = network.log_probabilities(*pseudo.windows(numbered[1])).mean()
+    assert given > plain + 0.3
+    assert given > network.log_probabilities(*pseudo.windows(np.split(everything, cuts))).mean() + 0.3
 
 
 def test_every_document_trains(spark, monkeypatch):
