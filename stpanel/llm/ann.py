@@ -6,34 +6,39 @@ signed axis. A query looks up the signed axes nearest to it in every table, and
 the candidates met there are ranked by their exact inner product. Rotations are
 the whole index: every row is filed in every table.
 
-Large buckets are dealt into salted parts of bounded size, and a query visits all
-parts of a bucket. Queries that met fewer than ``k`` candidates look up every
-bucket of the first table, which holds every vector once.
+Vectors are filed by direction alone, so lengths do not blur the angles. They are
+also kept in bands of similar length. After the search, a band whose longest vector
+could still beat a query's last neighbour at a small cosine, where hashing may miss
+it, is compared with the query in full; so is everything for queries that met fewer
+than ``k`` candidates.
 
-Vectors that are NULL, zero, or hold a NULL, NaN or infinite component take no
-part. Rows with equal ids are separate candidates unless their scores are equal
-too; a query never meets rows of its own id. NULL ids come last among ties. An empty table gives an empty result.
+Large buckets and bands are dealt into salted parts of bounded size, and a query
+visits all parts.
 
-Inner products order by angle only if lengths agree. If they do not, vectors get
-one more component that makes all lengths equal to the largest one (queries get
-0 there), so that the nearest angle is the largest inner product again.
+Vectors that are NULL, zero, or hold a NULL, NaN or infinite component take no
+part. Every row is a candidate of its own, repeated or not; a query never meets rows
+of its own id, and queries of one id share one list. NULL ids come last among ties.
+Scores beyond the range of doubles are infinite. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stpanel.llm.topk import id_array, matrix, merge, search_tile, spread, usable
+from stpanel.llm.topk import FAN, best, first_k, id_array, matrix, merge, spread, usable
 from stpanel.operators.storage import materialize
 
 TABLES = 8
-PROBES = 16  # of twice the (padded) dimension, per table
+PROBES = 16  # of twice the padded dimension, per table; a quarter of the dimension if that is more
+SURE = 0.3  # cosine from which a vector is met in one of the tables with a chance of 95 %
 PART = 1024  # vectors in one part of a bucket
+BANDS = 3  # bands of length per factor of two
 BLOCK = 4096  # queries of one bucket that meet a part together
 SEED = 20
 
@@ -73,59 +78,73 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def file_vectors(rows: DataFrame, dim: int, longest: float | None, probes: int, tables: int, seed: int) -> DataFrame:
-    """``vec_id, v, q, table, bucket``: each row in its bucket, or a query in its probed buckets.
-
-    ``rows`` has ``vec_id, v, q``; q tells whether the row is looked up or filed.
-    """
-    width = 1 << (dim + (longest is not None) - 1).bit_length()
+def file_vectors(rows: DataFrame, dim: int, probes: int, tables: int, seed: int) -> DataFrame:
+    """``row, vec_id, v, band, table, bucket``: each row in its bucket or, with ``probes``, in its nearest ones."""
+    width = 1 << (dim - 1).bit_length()
     signs = rotations(width, tables, seed)
+    names = ["row", "vec_id", "v", "band"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v, q = matrix(batch.column("v"), dim), batch.column("q").to_numpy(zero_copy_only=False).astype(bool)
+            v = matrix(batch.column("v"), dim)
             x = np.zeros((len(v), width))
-            x[:, :dim] = v
-            if longest is not None:
-                x[:, dim] = np.where(q, 0.0, np.sqrt(np.maximum(longest**2 - (v**2).sum(1), 0.0)))
+            x[:, :dim] = v / np.abs(v).max(1, keepdims=True) if len(v) else v
             for table in range(tables):
                 near = signed_axes(rotate(x, signs[table]))
-                looked = np.argsort(-near[q], axis=1, kind="stable")[:, :probes]
-                at = np.r_[np.flatnonzero(~q), np.repeat(np.flatnonzero(q), looked.shape[1])]
-                bucket = np.r_[near[~q].argmax(1), looked.ravel()]
-                part = batch.take(pa.array(at))
+                if probes:
+                    looked = np.argsort(-near, axis=1, kind="stable")[:, :probes]
+                    at, bucket = np.repeat(np.arange(len(v)), looked.shape[1]), looked.ravel()
+                else:
+                    at, bucket = np.arange(len(v)), near.argmax(1) if len(v) else np.zeros(0)
+                part = batch.select(names).take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(np.full(len(at), table), pa.int32()), pa.array(bucket, pa.int32())],
-                    ["vec_id", "v", "q", "table", "bucket"],
+                    [*part.columns, pa.array(np.full(len(at), table), pa.int32()), pa.array(bucket.astype(np.int32))],
+                    [*names, "table", "bucket"],
                 )
 
-    return rows.mapInArrow(run, "vec_id long, v array<double>, q boolean, table int, bucket int")
+    kind = rows.schema["v"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row long, vec_id long, v {kind}, band int, table int, bucket int")
 
 
-def _search(filed: DataFrame, looked: DataFrame, dim: int, k: int, part: int, lists_per_query: int) -> DataFrame:
-    """Top lists from the buckets: stored filed vectors against looked-up queries."""
-    by = ["table", "bucket"]
+def _search(filed: DataFrame, looked: DataFrame, on: list[str], dim: int, k: int, part: int) -> DataFrame:
+    """``query, query_id, row, vec_id, score``: top lists of each part of the buckets, ``on`` which both sides agree."""
+    by = ["table", "band", "bucket"]
     sizes = filed.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     parts = sizes.select(*by, F.ceil(F.col("n") / F.lit(part)).cast("int").alias("parts"))
     # Queries of one bucket are dealt out as well: a common vector may be asked for very often.
-    asked = looked.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("deals"))
-    grid = parts.join(asked, by)  # buckets that hold vectors and are asked for
-    salt, deal = F.pmod(F.xxhash64("vec_id"), F.col("parts")), F.pmod(F.xxhash64("vec_id", F.lit("deal")), F.col("deals"))
+    asked = looked.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("deals"))
+    grid = materialize(parts.join(asked, on), "ann-grid")  # buckets that hold vectors and are asked for
+    salt, deal = F.pmod(F.xxhash64("row"), F.col("parts")), F.pmod(F.xxhash64("row", F.lit("deal")), F.col("deals"))
     keys = [*by, "salt", "deal"]
     c = filed.join(grid, by).withColumns({"salt": salt.cast("int"), "deal": F.explode(F.sequence(F.lit(0), F.col("deals") - 1))})
-    q = looked.join(grid, by).withColumns({"deal": deal.cast("int"), "salt": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
-    c, q = c.select(*keys, "vec_id", "v"), q.select(*keys, "vec_id", "v")
+    q = looked.select("row", "vec_id", "v", *on).join(grid, on)
+    q = q.withColumns({"deal": deal.cast("int"), "salt": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    c, q = (x.select(*keys, "row", "vec_id", "v") for x in (c, q))
 
     def bucket(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return search_tile([], [], np.zeros(0, np.int64), [], k)
-        a, b = matrix(left["v"], dim), matrix(right["v"], dim)
-        slack = 1e-12 * max(1e-300, np.abs(a).max() * np.abs(b).max() * dim)
-        return search_tile(id_array(left["vec_id"]), a, id_array(right["vec_id"]), b, k, product, slack)
-
-    lists = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(bucket, "query_id long, vec_id long, score double")
-    # A candidate met in several tables has the same exact score in each.
-    return lists.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("shard", spread(lists_per_query))
+        found = []
+        if left.num_rows and right.num_rows:
+            a, b = matrix(left["v"], dim), matrix(right["v"], dim)
+            own, ids = id_array(left["vec_id"]), id_array(right["vec_id"])
+            high = [max(np.abs(x).max(), 1e-300) for x in (a, b)]
+            for start in range(0, len(a), 128):
+                block = a[start : start + 128]
+                scores = (block / high[0]) @ (b / high[1]).T
+                at, to = best(scores, ids, own[start : start + 128], k, 1e-12 * dim)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = product(block[at], b[to])
+                keep = first_k(at, score, ids[to], k)
+                found.append((at[keep] + start, to[keep], score[keep]))
+        at, to, score = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 3
+        at, to = pa.array(at), pa.array(to)
+        return pa.table(
+            {
+                "query": left["row"].take(at), "query_id": left["vec_id"].take(at), "row": right["row"].take(to),
+                "vec_id": right["vec_id"].take(to), "score": pa.array(score, pa.float64()),
+            }
+        )
+
+    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(bucket, "query long, query_id long, row long, vec_id long, score double")
 
 
 def nearest(
@@ -138,31 +157,63 @@ def nearest(
     probes: int = PROBES,
     part: int = PART,
     seed: int = SEED,
+    sure: float = SURE,
 ) -> DataFrame:
     """Each query's ``k`` largest inner products among the candidates it meets.
 
     ``query_id, rank, vec_id, score``.
     """
-    rows = vectors.select(
-        F.col(vec_id).cast("long").alias("vec_id"),
-        F.col(embedding).cast("array<double>").alias("v"),
-        F.coalesce(is_query, F.lit(False)).alias("q"),
-    ).filter(usable("v") & F.exists("v", lambda x: x != 0))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    n, dim, low, high, asked = rows.agg(
-        F.count(F.lit(1)), F.max(F.size("v")), F.min(square), F.max(square), F.count_if("q")
-    ).first()
+    high = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    scaled = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("high")) * (x / F.col("high")))
+    rows = (
+        vectors.select(
+            F.col(vec_id).cast("long").alias("vec_id"),
+            F.col(embedding).alias("v"),
+            F.coalesce(is_query, F.lit(False)).alias("q"),
+        )
+        .filter(usable("v") & F.exists("v", lambda x: x != 0))
+        .withColumn("high", high)
+        .withColumn("length", F.log2("high") + 0.5 * F.log2(scaled))  # of any size without overflow
+        .select(
+            F.monotonically_increasing_id().alias("row"), "vec_id", "v", "q", "length",
+            F.floor(F.col("length") * BANDS + 0.5).cast("int").alias("band"),
+        )
+    )
+    rows = materialize(rows, "ann-rows")
+    n, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     dim = dim or 1
-    longest = float(np.sqrt(high)) if n and high - low > 1e-5 * high else None
-    filed = materialize(file_vectors(rows.withColumn("q", F.lit(False)), dim, longest, 0, tables, seed).drop("q"), "ann-filed")
+    probes = max(probes, (1 << (dim - 1).bit_length()) // 4)
+    filed = materialize(file_vectors(rows, dim, 0, tables, seed), "ann-filed")
     queries = rows.filter("q")
-    looked = materialize(file_vectors(queries, dim, longest, probes, tables, seed).drop("q"), "ann-looked")
+    looked = materialize(file_vectors(queries, dim, probes, tables, seed), "ann-looked")
     # Lists of a query are merged in groups once a query may meet many parts.
     groups = max(1, -(-n // (part * 16)))
-    found = materialize(merge(_search(filed, looked, dim, k, part, groups), k, groups), "ann-found")
-    short = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(k, max(n - 1, 0)))
-    rest = queries.join(short, F.col("query_id") == F.col("vec_id"), "left_anti")
-    every = 2 * (1 << (dim + (longest is not None) - 1).bit_length())
-    rest_looked = materialize(file_vectors(rest, dim, longest, every, 1, seed).drop("q"), "ann-rest")
-    more = merge(_search(filed.filter("table = 0"), rest_looked, dim, k, part, groups), k, groups)
-    return found.join(more.select("query_id").distinct(), "query_id", "left_anti").unionByName(more)
+    found = materialize(_lists([_search(filed, looked, ["table", "bucket"], dim, k, part)], groups, k), "ann-found")
+    # What each band can still hold for each query, in logarithms: lengths and the k-th score.
+    bands = [tuple(r) for r in rows.groupBy("band").agg(F.max("length")).collect()]
+    reach = F.explode(F.array(*[F.struct(F.lit(b).alias("of"), F.lit(h).alias("longest")) for b, h in bands] or [F.lit(None).cast("struct<of: int, longest: double>")]))
+    last = found.groupBy("query").agg(F.count(F.lit(1)).alias("met"), F.min("score").alias("last"))
+    few = (F.col("met") < k) | F.col("met").isNull() | (F.col("last") <= 0)
+    cosine = F.log2("last") - F.col("length") - F.col("reach.longest")
+    open_bands = (
+        queries.join(last, F.col("row") == F.col("query"), "left")
+        .withColumn("reach", reach)
+        .filter(few | ((cosine < F.log2(F.lit(sure))) & (F.lit(sure) < 1)))
+    )
+    rest = open_bands.select("row", "vec_id", "v", F.col("reach.of").alias("band"), F.lit(0).alias("table"), F.lit(-1).alias("bucket"))
+    rest = materialize(rest, "ann-rest")
+    whole = filed.filter("table = 0").withColumn("bucket", F.lit(-1))
+    lists = [found, _search(whole, rest, ["table", "band", "bucket"], dim, k, part)]
+    return merge(_lists(lists, groups, k).withColumn("shard", spread(groups)), k, groups)
+
+
+def _lists(lists: list[DataFrame], groups: int, k: int) -> DataFrame:
+    """The best ``k`` rows that each query met; a row met in several tables is one candidate."""
+    rows = reduce(DataFrame.unionByName, lists).dropDuplicates(["query", "row"])
+    order = [F.col("score").desc(), F.col("vec_id").asc_nulls_last()]
+    while groups > FAN:
+        groups = -(-groups // FAN)
+        rank = F.row_number().over(Window.partitionBy("query", F.pmod(F.xxhash64("row"), F.lit(groups))).orderBy(*order))
+        rows = rows.withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(*order))
+    return rows.withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank")

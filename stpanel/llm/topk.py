@@ -14,6 +14,9 @@ Without candidates a query has no row; without rows the result is empty.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -60,26 +63,58 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, slack: fl
 
 def first_k(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the first ``k`` of each query by score, then id."""
-    order = np.lexsort((ids, -score, query))
+    falling = ~score if score.dtype.kind == "i" else -score
+    order = np.lexsort((ids, falling, query))
     start = np.r_[True, query[order][1:] != query[order][:-1]]
     rank = np.arange(len(order)) - np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))
     return order[rank < k]
 
 
-def search_tile(q_ids, queries, c_ids, candidates, k, exact=None, slack=0.0, rows=128) -> pa.Table:
-    """Best candidates of each query; ``exact`` scores the chosen pairs anew."""
+EXACT = 2**53  # whole numbers up to here are exact as doubles
+MOST = 2**63 - 1
+
+
+def whole(x: float, factor: int) -> int:
+    """floor(factor * x) exactly, for any finite x."""
+    return math.floor(Fraction(x) * factor)
+
+
+def integer_products(a: np.ndarray, b: np.ndarray, factor: int) -> np.ndarray:
+    """Exact inner products of rows of whole parts; beyond BIGINT they stop at its ends."""
+    whole_rows = [[[whole(x, factor) for x in row] for row in side] for side in (a, b)]
+    sums = (sum(x * y for x, y in zip(u, v, strict=True)) for u, v in zip(*whole_rows, strict=True))
+    return np.array([max(-MOST - 1, min(MOST, s)) for s in sums], np.int64)
+
+
+def search_tile(q_ids, queries, c_ids, candidates, k, factor=1, rows=128) -> pa.Table:
+    """Best candidates of each query by the integer product of ``floor(factor * x)``.
+
+    Products of doubles are exact while their sums stay below EXACT. Larger ones
+    only choose pairs, with room for rounding, that are then scored exactly.
+    """
+    with np.errstate(over="ignore"):
+        a, b = np.floor(factor * queries), np.floor(factor * candidates)
+    high = [max(1.0, np.abs(x).max(initial=1.0)) for x in (a, b)]
+    exact = high[0] * high[1] * a.shape[1] < EXACT if len(a) else True
+    slack = 0.0
+    if not exact:
+        high = [max(1.0, np.abs(x).max(initial=1.0)) for x in (queries, candidates)]
+        a, b, slack = queries / high[0], candidates / high[1], 1e-12 * a.shape[1] + (1 / high[0] + 1 / high[1]) * a.shape[1] / factor
     found = []
     for start in range(0, len(q_ids), rows):
-        block, own = queries[start : start + rows], q_ids[start : start + rows]
-        scores = block @ candidates.T
+        block, own = a[start : start + rows], q_ids[start : start + rows]
+        scores = block @ b.T
         at, to = best(scores, c_ids, own, k, slack)
-        score = scores[at, to] if exact is None else exact(block[at], candidates[to])
+        if exact:
+            score = scores[at, to].astype(np.int64)
+        else:
+            score = integer_products(queries[start : start + rows][at], candidates[to], factor)
         keep = first_k(at, score, c_ids[to], k)
         found.append((own[at[keep]], c_ids[to[keep]], score[keep]))
     q, c, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else ([], [], [])
     c = np.asarray(c, np.int64)
     return pa.table(
-        {"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64(), mask=c == _NO_ID), "score": pa.array(s, pa.float64())}
+        {"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64(), mask=c == _NO_ID), "score": pa.array(s, pa.int64())}
     )
 
 
@@ -110,14 +145,11 @@ def exact_top_k(
 ) -> DataFrame:
     """Each query's ``k`` highest integer inner products: ``query_id, rank, vec_id, score``.
 
-    Components become ``floor(factor * x)``. Products are exact as long as they
-    stay below 2**53, which bounds components to about 10**7 at 64 dimensions.
+    Components become ``floor(factor * x)``. Products are exact at any size; a
+    score beyond the range of BIGINT is its largest or smallest number.
     """
-    rows = (
-        vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"), is_query.alias("q"))
-        .filter(usable("v"))
-        .select("vec_id", F.transform("v", lambda x: F.floor(F.lit(factor) * x.cast("double")).cast("double")).alias("v"), "q")
-    )
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"), is_query.alias("q"))
+    rows = rows.filter(usable("v"))
     n, width, asked = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count_if("q")).first()
     shards, blocks, width = max(1, -(-n // SHARD)), max(1, -(-asked // BLOCK)), width or 1
     # A candidate goes to its shard's tile of every block, a query to its block's tile of every shard.
@@ -127,12 +159,12 @@ def exact_top_k(
     def tile(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return search_tile([], [], np.zeros(0, np.int64), [], k).append_column("shard", pa.array([], pa.int32()))
-        out = search_tile(id_array(left["query_id"]), matrix(left["w"], width), id_array(right["vec_id"]), matrix(right["v"], width), k)
+        out = search_tile(id_array(left["query_id"]), matrix(left["w"], width), id_array(right["vec_id"]), matrix(right["v"], width), k, factor)
         return out.append_column("shard", pa.array(np.full(out.num_rows, key[0].as_py()), pa.int32()))
 
     lists = (
         q.groupBy("shard", "block")
         .cogroup(c.groupBy("shard", "block"))
-        .applyInArrow(tile, "query_id long, vec_id long, score double, shard int")
+        .applyInArrow(tile, "query_id long, vec_id long, score long, shard int")
     )
-    return merge(lists, k, shards).withColumn("score", F.col("score").cast("long"))
+    return merge(lists, k, shards)

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -98,6 +99,66 @@ def test_unequal_lengths(spark):
     assert len(got & {(q, v) for q, _, v, _ in true}) >= 0.9 * len(true)
 
 
+def test_large_components_are_exact(spark):
+    """Beyond 2**53 the sums are whole numbers still; beyond BIGINT they stop."""
+    r = random.Random(8)
+    rows = [(i, [float(r.choice([1, -1]) * r.randint(0, 2**e)) + 0.3 for e in (3, 20, 24, 18)]) for i in range(120)]
+    rows += [(200 + i, [float(2**26 + i), 1.0, 2.0**26, -3.5]) for i in range(30)] + [(300, [1e20, -1e20, 0.0, 1.0]), (301, [1e308, 1e300, 0.0, 0.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    score = lambda v, w: sum(topk.whole(a, 64) * topk.whole(b, 64) for a, b in zip(v, w, strict=True))
+    want = []
+    for i, v in rows:
+        if i % 20 == 0:
+            found = sorted((-max(-(2**63), min(2**63 - 1, score(v, w))), j) for j, w in rows if j != i)[:20]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(found)]
+    assert sorted(tuple(x) for x in topk.exact_top_k(docs, query()).collect()) == want
+
+
+def clustered(kind, n=4000, dim=64):
+    r = np.random.default_rng(12)
+    centres = r.normal(size=(80, dim))
+    x = centres[r.integers(0, 80, n)] + 0.5 * r.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "one long":
+        x[7] *= 10
+    elif kind == "some long":
+        x[r.choice(n, n // 100, replace=False)] *= 10
+    elif kind == "spread":
+        x *= np.exp(0.5 * r.normal(size=(n, 1)))
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("kind", ["equal", "one long", "some long", "spread"])
+def test_recall_at_unequal_lengths(spark, kind):
+    x = clustered(kind)
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in ann.nearest(docs, query()).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = total = 0
+    for i in range(0, len(x), 20):
+        scores = x.astype(float) @ x[i].astype(float)
+        scores[i] = -np.inf
+        hits, total = hits + len(got[i] & set(np.argsort(-scores)[:20].tolist())), total + 20
+    assert hits >= 0.9 * total
+
+
+def test_repeated_rows_are_candidates_of_their_own(spark):
+    rows = [(0, [1.0, 0.5]), (3, [1.0, 1.0]), (3, [1.0, 1.0]), (4, [0.5, 0.5]), (20, [1.0, 0.0]), (20, [1.0, 0.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    exact = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in topk.exact_top_k(docs, query()).collect())
+    near = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(docs, query()).collect())
+    assert exact == near
+    assert [v for q, _, v in near if q == 0] == [3, 3, 20, 20, 4]
+
+
+def test_enormous_and_tiny_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [1e-200, 1e-200]), (3, [1.0, 1.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in ann.nearest(docs, query()).orderBy("rank").collect()]
+    assert got == [(1, INF), (3, 2e200), (2, 2.0)]
+
+
 def test_hadamard_is_orthogonal():
     h = ann.hadamard(np.eye(16))
     assert np.allclose(h @ h.T, np.eye(16)) and math.isclose(abs(h[3, 5]), 0.25)
