@@ -29,14 +29,16 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stpanel.llm.bpe import slices
 from stpanel.operators.storage import materialize
 
 LEAST = 30  # occurrences of a candidate
@@ -47,8 +49,9 @@ NEAR = 80  # a phrase goes if a longer one has this percentage of its occurrence
 FIRST_RANK = 1.5  # the first floor is the pair score at this multiple of TOP
 LOWER = 4  # by how much the rank grows when a floor proves too high
 LANGS = 1024  # languages with a floor; any more are expanded in full
-CHUNK = 1 << 20  # bytes of text counted together
-CELL_BITS = 21
+CHUNK = 1 << 19  # bytes of text counted together
+ROWS = 1000  # documents that travel to Python together
+CELL_BITS = 20
 SALTS = 64
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", b"abcdefghijklmnopqrstuvwxyz ")
@@ -297,15 +300,32 @@ def _floors(chunk: Chunk, floors: Mapping[str, int]) -> np.ndarray:
 # --- counting ------------------------------------------------------------------
 
 
+def _chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    for batch in batches:
+        for part in slices(batch, "text", 2 * CHUNK):
+            yield from chunks(part.column("text").cast(pa.binary()).to_pylist(), part.column("lang").to_pylist())
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = ROWS) -> Iterator[None]:
+    """Jobs run inside send texts to Python in batches of a few megabytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """``lang, phrase, n`` of frequent words; the empty phrase counts all words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in chunks(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
-                yield table(chunk, 1, np.flatnonzero(chunk.counts))
-                n = np.bincount(chunk.lang[chunk.counts], minlength=len(chunk.names))
-                yield pa.RecordBatch.from_pydict({"lang": chunk.names, "phrase": [""] * len(n), "n": n.astype(np.int64)})
+        for chunk in _chunks_of(batches):
+            yield table(chunk, 1, np.flatnonzero(chunk.counts))
+            n = np.bincount(chunk.lang[chunk.counts], minlength=len(chunk.names))
+            yield pa.RecordBatch.from_pydict({"lang": chunk.names, "phrase": [""] * len(n), "n": n.astype(np.int64)})
 
     return _sums(docs, run).filter(f"n >= {LEAST} OR phrase = ''")
 
@@ -315,9 +335,8 @@ def count(docs: DataFrame, k: int, rule: Callable[..., np.ndarray], *bounds) ->
     shared = docs.sparkSession.sparkContext.broadcast(bounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in chunks(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
-                yield table(chunk, k, rule(chunk, *shared.value))
+        for chunk in _chunks_of(batches):
+            yield table(chunk, k, rule(chunk, *shared.value))
 
     return _sums(docs, run).filter(f"n >= {LEAST}")
 
@@ -389,14 +408,20 @@ def floors_at(scores: DataFrame, ranks: Mapping[str, int]) -> dict[str, int]:
     return dict.fromkeys(ranks, 0) | {r[0]: r[1] for r in reached.collect()}
 
 
+def _stored(spark: SparkSession, counts: DataFrame, name: str) -> DataFrame:
+    with small_batches(spark):
+        return materialize(counts, name)
+
+
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP, first_rank: float = FIRST_RANK) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's best ``top`` phrases."""
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    words = materialize(count_words(rows), "phrases-1")
+    stored = lambda counts, name: _stored(docs.sparkSession, counts, name)
+    words = stored(count_words(rows), "phrases-1")
     totals = words.filter("phrase = ''").select("lang", F.col("n").alias("total"))
     single = words.filter(f"phrase <> '' AND n >= {LEAST}")
     one = sketch(single, 1)
-    two = materialize(count(rows, 2, pairs, one), "phrases-2")
+    two = stored(count(rows, 2, pairs, one), "phrases-2")
     second = sketch(two, 2)
     pair_scores = materialize(scored(two, single, 2), "phrases-pairs")
     sizes = pair_scores.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGS)
@@ -406,8 +431,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
         floors = floors_at(pair_scores, open_langs) if open_langs else {}
         expanding = F.col("lang").isin(list(floors)) | others if floors else others
         texts = rows.filter(expanding)
-        three = materialize(count(texts, 3, triples, one, second, floors), "phrases-3")
-        four = materialize(count(texts, 4, fours, one, second, sketch(three, 3), floors), "phrases-4")
+        three = stored(count(texts, 3, triples, one, second, floors), "phrases-3")
+        four = stored(count(texts, 4, fours, one, second, sketch(three, 3), floors), "phrases-4")
         parts = single.unionByName(two).unionByName(three)
         found = pair_scores.unionByName(scored(three, parts, 3)).unionByName(scored(four, parts, 4)).filter(expanding)
         if floors:
