@@ -29,8 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     filters = langid.learn(labelled)
     if not filters.langs:
         return docs
-    judged = langid.predict(docs, filters, keep=[F.struct(*docs.columns).alias("doc")])
-    return judged.filter((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
+    return langid.select(docs, filters, LEAST_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
