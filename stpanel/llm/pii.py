@@ -8,8 +8,10 @@ at a time. An added span must pass an exact check of its kind and may not touch
 a base span.
 
 Every span needs a digit or an "@", so chains are laid around those characters:
-``REACH`` characters to either side, up to white space, joined where they meet.
-The whole text is searched for them.
+``REACH`` characters to either side and on to white space, joined where they meet.
+The whole text is searched for them; neither a chain nor a span has a longest
+length. A run of labelled tokens that is no whole span is tried in its parts between
+white space.
 
 NULL and empty texts have no spans. Texts are taken whole. Rows are independent,
 repeated rows give repeated results, and only the named columns are read.
@@ -18,8 +20,10 @@ repeated rows give repeated results, and only the named columns are read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,6 @@ from stpanel.llm.bpe import slices
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 48
-LONGEST = 80  # characters of an added span
 
 # The contract's patterns, written so that no text makes them backtrack far: a
 # number is entered at its first digit only, and an address at its "@".
@@ -93,6 +96,7 @@ def base_spans(text: str) -> list[Span]:
 # --- chains -----------------------------------------------------------------
 
 _ANCHOR = re.compile(r"[0-9@]+")
+_BLANK = re.compile(r"\s")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\W\d_]+|[^\sA-Za-z0-9]")
 
 #: Words that announce a kind of personal data.
@@ -136,16 +140,45 @@ WINDOW = 4  # shapes to either side that a label sees
 
 
 def chains(text: str) -> list[tuple[int, int]]:
-    """The parts of a text around its digits and "@" signs."""
+    """The parts of a text around its digits and "@" signs; they begin and end at white space.
+
+    A word that the reach would cut is taken whole, with REACH characters beyond it.
+    """
     out: list[tuple[int, int]] = []
+    done = 0
     for m in _ANCHOR.finditer(text):
-        if out and m.start() - REACH <= out[-1][1]:
-            out[-1] = (out[-1][0], min(len(text), m.end() + REACH))
+        if out and m.end() + REACH <= done:
+            continue
+        end = _word_end(text, m.end() + REACH)
+        if end > m.end() + REACH:
+            end = _word_end(text, end + REACH)
+        start = _word_start(text, m.start() - REACH, done)
+        if start < m.start() - REACH:
+            start = _word_start(text, start - REACH, done)
+        if out and start <= done:
+            out[-1] = (out[-1][0], max(done, end))
         else:
-            out.append((max(0, m.start() - REACH), min(len(text), m.end() + REACH)))
+            out.append((start, end))
+        done = out[-1][1]
     return out
 
 
+def _word_end(text: str, at: int) -> int:
+    """The end of the word that ``at`` falls into."""
+    if at >= len(text) or text[at - 1].isspace():
+        return min(at, len(text))
+    blank = _BLANK.search(text, at)
+    return blank.start() if blank else len(text)
+
+
+def _word_start(text: str, at: int, least: int) -> int:
+    """The start of the word that ``at`` falls into, but not before ``least``."""
+    at = max(at, 0)
+    while at > least and not text[at - 1].isspace():
+        at -= 1
+    return at
+
+
 def tokens(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int]]]:
     """Shape numbers and spans of the tokens that lie in a part of a text."""
     numbers, spans, last = [], [], start
@@ -251,13 +284,15 @@ def pad(rows: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
     return out, lengths
 
 
+# Possessive, so that no text makes them backtrack.
+_ADDRESS = re.compile(r"[\w.%+-]++ ?@ ?[\w-]++(?: ?\. ?[\w-]++)++")
+
+
 def plausible(kind: str, text: str) -> bool:
     """The exact check of an added span."""
-    if len(text) > LONGEST:
-        return False
-    digits = _digits(text)
     if kind == "email":
-        return bool(re.fullmatch(r"[\w.%+-]+ ?@ ?[\w-]+(?: ?\. ?[\w-]+)+", text))
+        return bool(_ADDRESS.fullmatch(text))
+    digits = _digits(text)
     if kind == "ip":
         parts = re.split(r"\D+", text)
         return len(parts) == 4 and all(p and _octet(p) for p in parts)
@@ -269,6 +304,8 @@ def plausible(kind: str, text: str) -> bool:
 def added_spans(texts: Sequence[str], base: Sequence[Sequence[Span]], field: Field, cells: int = 400_000) -> list[list[Span]]:
     """Spans that the field adds to each text."""
     found: list[list[Span]] = [[] for _ in texts]
+    starts = [[s for s, _, _ in spans] for spans in base]
+    reach = [list(accumulate((e for _, _, e in spans), max)) for spans in base]
     work = []
     for i, text in enumerate(texts):
         for start, end in chains(text):
@@ -287,15 +324,28 @@ def added_spans(texts: Sequence[str], base: Sequence[Sequence[Span]], field: Fie
         for row in busy:
             n, i, _, spans = work[first + row]
             for kind, a, b in _runs(paths[row, :n]):
-                start, end = spans[a][0], spans[b][1]
-                if any(s < end and start < e for s, _, e in base[i]):
-                    continue
-                if plausible(kind, texts[i][start:end]):
-                    found[i].append((start, kind, end))
+                for start, end in _parts(kind, texts[i], spans[a : b + 1]):
+                    at = bisect_left(starts[i], end)
+                    if not at or reach[i][at - 1] <= start:  # no base span is touched
+                        found[i].append((start, kind, end))
         first = last
     return found
 
 
+def _parts(kind: str, text: str, spans: Sequence[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The whole run of tokens if it is a span of its kind, else its parts between white space that are."""
+    if plausible(kind, text[spans[0][0] : spans[-1][1]]):
+        yield spans[0][0], spans[-1][1]
+        return
+    first = 0
+    for i in range(1, len(spans) + 1):
+        if i == len(spans) or text[spans[i - 1][1] : spans[i][0]].strip() != text[spans[i - 1][1] : spans[i][0]]:
+            part = spans[first][0], spans[i - 1][1]
+            if (first or i < len(spans)) and plausible(kind, text[part[0] : part[1]]):
+                yield part
+            first = i
+
+
 def _runs(path: np.ndarray) -> Iterator[tuple[str, int, int]]:
     """Labelled runs of a path: kind, first and last token."""
     kind, start = None, 0

@@ -101,6 +101,31 @@ def test_nothing_new_on_the_corpus(spark, field):
     assert added <= 0.01 * len(texts)
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("write to anna.müller" + 70 * "ü" + "@example.org soon", "anna.müller" + 70 * "ü" + "@example.org"),
+        ("write to " + 90 * "x" + " @ example . org today", 90 * "x" + " @ example . org"),
+    ],
+)
+def test_long_spans_are_whole(field, text, want):
+    _, spans = pii.scan_texts([text], field)
+    assert [text[s:e] for s, k, e in spans[0] if k == "email"] == [want]
+
+
+def test_chains_end_at_white_space():
+    r = random.Random(1)
+    for _ in range(500):
+        text = "".join(r.choice("ab1@ \n") * r.choice([1, 1, 9, 60]) for _ in range(r.randint(0, 30)))
+        found = pii.chains(text)
+        assert all(b[0] > a[1] for a, b in itertools.pairwise(found))
+        for start, end in found:
+            assert start == 0 or text[start - 1].isspace() or text[start].isspace()
+            assert end == len(text) or text[end].isspace()
+        inside = lambda i: any(s <= i < e for s, e in found)
+        assert all(inside(i) for i, c in enumerate(text) if c in "1@")
+
+
 def test_find_and_redact(spark, field):
     text = "Mail a.b@c.de or +1 (212) 555-0187 now, 10.0.0.1 too."
     docs = spark.createDataFrame([(1, text, "k", [1]), (2, None, None, None), (None, "", "", []), (1, text, "k", [1])], "doc_id long, text string, kept string, base array<int>")
