@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,11 +24,19 @@ _made: list[str] = []
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder of the session's warehouse, which all executors
-    share as well. Never a machine-local temporary folder.
+    Where that is unset: a folder of the session's warehouse if there is only this
+    machine, else one of the user's home on the cluster's default file system.
+    Never a machine-local folder on a cluster.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    system = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    if system.getUri().getScheme() == "file":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{system.getHomeDirectory().toString()}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -54,22 +60,6 @@ def _delete(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of results that are stored and out of use.
-
-    Its cleaner acts when the driver collects garbage, which a driver with little
-    to do does rarely while executors' disks fill. Python's references to the JVM
-    are dropped by a thread that wakes every second, hence the pauses. A session
-    without executors is left alone.
-    """
-    if spark.sparkContext.master.startswith("local["):
-        return
-    for _ in range(2):
-        gc.collect()
-        time.sleep(1.2)
-        spark._jvm.System.gc()
-
-
 def discard(table: DataFrame) -> None:
     """Delete a table made by ``materialize`` that nothing will read again."""
     _delete(table.sparkSession, table._scratch_path)

@@ -11,7 +11,7 @@ from stpanel.operators.splits import split_rows
 from stpanel.operators.storage import attach, cached, materialize, scratch_path
 from stpanel.plans import fixtures as fx
 from stpanel.plans.registry import query, r, rounded
-from stpanel.sources import npy, tables
+from stpanel.sources import blocks, npy, tables
 from stpanel.sources.appends import read_appends
 
 PANEL_SQL = "SELECT time_step, node_id, f0, f1, f2, f3 FROM panel"
@@ -25,6 +25,15 @@ def npy_scan(spark, sf):
     return npy.read_npy(spark, path, features="f0,f1,f2,f3")
 
 
+@query("array_blocks", PANEL_SQL + " WHERE time_step >= 11")
+def array_blocks(spark, sf):
+    """The panel stored in blocks by Spark's own writer, and read from the twelfth step on."""
+    panel = fx.panel(spark, sf)
+    path = scratch_path(spark, "blocks")
+    blocks.write_blocks(panel, path, fx.n_steps(panel), fx.N_NODES, dtype="float64")
+    return blocks.read_blocks(spark, path, start=11)
+
+
 @query("tensor_flatten", PANEL_SQL)
 def tensor_flatten(spark, sf):
     return fx.panel(spark, sf)

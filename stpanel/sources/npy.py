@@ -15,7 +15,8 @@ become one ``(T, N, F)`` array. Each task writes a gapless run of cells at their
 place in the file; the file gets its name only after the runs are seen to tile
 the whole array. A retried task writes the same bytes again. On storage that is
 not mounted (or with ``runs=true``) each task writes a file of its own, and a
-manifest, written last, lists them; such a folder is read like an array file.
+manifest, written last, lists them; such a folder is read like an array file. What
+Spark's configuration places elsewhere is stored in blocks (``blocks.py``).
 
 Options: ``path``; reading ``layout``, ``features`` (comma-separated names),
 ``columns`` (the features to return), ``startStep``, ``endStep`` (half-open),
@@ -30,6 +31,7 @@ import math
 import os
 import sys
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,6 +57,7 @@ from pyspark.sql.types import (
 )
 
 from stpanel.operators.panel import in_tensor_order
+from stpanel.sources.blocks import is_blocks, qualified, read_blocks, write_blocks
 
 PARTITION_BYTES = 128 * 1024 * 1024
 BATCH_ROWS = 65_536
@@ -90,7 +93,8 @@ class Runs:
     def __init__(self, path: str, manifest: dict):
         self.path, self.at = path, 0
         size = np.dtype(manifest["dtype"]).itemsize * manifest["shape"][-1]
-        self.runs = [(first * size, stop * size, name) for first, stop, name in manifest["runs"]]
+        self.runs = sorted((first * size, stop * size, name) for first, stop, name in manifest["runs"])
+        self.ends = [stop for _, stop, _ in self.runs]
 
     def __enter__(self) -> Runs:
         return self
@@ -103,12 +107,13 @@ class Runs:
 
     def read(self, n: int) -> bytes:
         out = []
-        for first, stop, name in self.runs:
+        for first, stop, name in self.runs[bisect_right(self.ends, self.at) :]:
             start, end = max(first, self.at), min(stop, self.at + n)
-            if start < end:
-                with _open(f"{self.path}/{name}") as file:
-                    file.seek(start - first)
-                    out.append(file.read(end - start))
+            if start >= end:
+                break
+            with _open(f"{self.path}/{name}") as file:
+                file.seek(start - first)
+                out.append(file.read(end - start))
         self.at += n
         return b"".join(out)
 
@@ -417,7 +422,21 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(NpySource)
 
 
+def _shared(spark: SparkSession, path: str) -> str | None:
+    """The full path, if Spark does not take it for a mounted folder's."""
+    full = qualified(spark, path)
+    return None if full.startswith("file:") else full
+
+
 def read_npy(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Panel, vector or edges of an array; see the options at the top.
+
+    Arrays stored in blocks take ``features``, ``columns``, ``startStep`` and ``endStep``.
+    """
+    if is_blocks(spark, path):
+        names = {k: [s.strip() for s in options[k].split(",")] for k in ("features", "columns") if options.get(k)}
+        end = options.get("endStep")
+        return read_blocks(spark, path, **names, start=int(options.get("startStep", 0)), end=None if end is None else int(end))
     register(spark)
     return spark.read.format("npy").options(**options).load(path)
 
@@ -425,9 +444,18 @@ def read_npy(spark: SparkSession, path: str, **options) -> DataFrame:
 def write_npy(
     panel: DataFrame, path: str, steps: int, nodes: int, dtype: str = "float32", runs: bool = False
 ) -> None:
-    """Write a dense panel as one array; each task writes one run of cells."""
+    """Write a dense panel as one array; each task writes one run of cells.
+
+    A path on a mounted file system becomes one array file (or, with ``runs``, a
+    file per task). Any other path, also one without a scheme where the cluster's
+    default file system is not the local one, is written in blocks by Spark.
+    """
+    full = _shared(panel.sparkSession, path)
+    if full is not None and not runs:
+        write_blocks(panel, full, steps, nodes, dtype)
+        return
     register(panel.sparkSession)
     ordered = in_tensor_order(panel, steps, nodes)
     ordered.write.format("npy").mode("overwrite").options(
         steps=steps, nodes=nodes, dtype=dtype, runs=str(runs).lower()
-    ).save(path)
+    ).save(full or path)

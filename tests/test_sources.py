@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from stpanel.operators.panel import in_tensor_order
 from stpanel.operators.splits import split_rows
-from stpanel.sources import npy, tables
+from stpanel.operators.storage import scratch_root
+from stpanel.sources import blocks, npy, tables
 from tests.test_panel import cube, tensor
 
 
@@ -186,3 +187,81 @@ def test_step_filters_reach_the_files(spark, array, tmp_path):
     assert "PartitionFilters: [isnotnull(time_bucket" in plan
     assert plan.split("ReadSchema: ")[1].split(">")[0] == "struct<time_step:int,f1:double"
     assert train.count() == 10 * 6
+
+
+@pytest.fixture
+def remote(spark, tmp_path):
+    """A default file system that is not the local one, over a folder of this test."""
+    (tmp_path / "store").mkdir()
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.remote.link./data", f"file://{tmp_path}/store")
+    conf.set("fs.defaultFS", "viewfs://remote/")
+    yield tmp_path / "store"
+    conf.set("fs.defaultFS", before)
+
+
+def test_paths_without_scheme_follow_the_default_file_system(spark, array, remote):
+    panel = cube(spark, array.astype("float64"))
+    npy.write_npy(panel, "/data/x", 23, 6)
+    assert (remote / "x" / blocks.HEAD).exists()
+    back = npy.read_npy(spark, "/data/x", features="t2m,rh,tp", columns="t2m,tp", startStep="4", endStep="9")
+    assert back.columns == ["time_step", "node_id", "t2m", "tp"]
+    np.testing.assert_array_equal(tensor(back, (5, 6, 2), ["t2m", "tp"]), array[4:9][:, :, [0, 2]])
+    assert scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_blocks_across_their_size(spark, tmp_path):
+    """More cells than a block holds, read whole and from within a block."""
+    steps, nodes = 70, 2000
+    cells = spark.range(steps * nodes).selectExpr("id div 2000 AS time_step", "cast(id % 2000 AS int) AS node_id", "cast(id AS double) AS v")
+    path = str(tmp_path / "a")
+    blocks.write_blocks(cells.repartition(5), path, steps, nodes, "float64")
+    rows = spark.read.parquet(f"{path}/blocks")
+    assert rows.agg({"cells": "max"}).first()[0] <= blocks.BLOCK_CELLS
+    got = blocks.read_blocks(spark, path, start=33, end=34).agg({"v": "sum", "time_step": "min", "node_id": "count"}).first()
+    assert set(got) == {float(sum(range(66_000, 68_000))), 33, 2000}
+    assert blocks.read_blocks(spark, path).where("v = time_step * 2000 + node_id").count() == steps * nodes
+    assert blocks.read_blocks(spark, path, start=70).count() == 0
+    plan = blocks.read_blocks(spark, path, start=60)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(first" in plan and "LessThan(first" in plan
+
+
+def test_blocks_refuse_panels_with_holes(spark, array, tmp_path):
+    panel, path = cube(spark, array.astype("float64")), str(tmp_path / "b")
+    for flawed in (panel.where("time_step <> 5 OR node_id <> 2"), panel.where("time_step < 22"), panel.unionByName(panel.where("time_step = 3"))):
+        with pytest.raises(Exception, match="cells"):
+            blocks.write_blocks(flawed, path, 23, 6)
+        assert not blocks.is_blocks(spark, path)
+    blocks.write_blocks(panel, path, 23, 6)
+    with pytest.raises(ValueError, match="no such features"):
+        blocks.read_blocks(spark, path, columns=["none"])
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class System:
+        def getUri(self):
+            return self
+
+        def getScheme(self):
+            return "file"
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host"})
+        _jsc = type("J", (), {"hadoopConfiguration": staticmethod(lambda: None)})
+
+        class _jvm:
+            class org:
+                class apache:
+                    class hadoop:
+                        class fs:
+                            class FileSystem:
+                                get = staticmethod(lambda conf: System())
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Cluster)
