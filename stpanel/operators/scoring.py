@@ -104,17 +104,24 @@ def correlation(
 
 
 def require_nodes(cells: DataFrame, lookups: Sequence[tuple[DataFrame, str]], node: str = NODE) -> None:
-    """Raise if a node of ``cells`` lacks a value in one of ``(table, column)``.
+    """Raise unless each node of ``cells`` has one row with a value in every ``(table, column)``.
 
     ``cells`` is a short table, a row per group and node. A score over the nodes
-    that happen to match would look complete, so it is refused.
+    that happen to match would look complete, and a node that is listed twice
+    would weigh twice, so both are refused.
     """
     nodes = cells.select(node).distinct()
     for table, column in lookups:
-        lost = nodes.join(table.where(F.col(column).isNotNull()).select(node), node, "left_anti")
-        missing = lost.agg(F.count(F.lit(1)).alias("n"), F.min(node).alias("first")).first()
-        if missing["n"]:
-            raise ValueError(f"{missing['n']} nodes without {column}, e.g. {missing['first']}")
+        rows = table.groupBy(node).agg(F.count(F.lit(1)).alias("_rows"), F.count(column).alias("_values"))
+        found = nodes.join(rows, node, "left")
+        absent = F.coalesce("_values", F.lit(0)) == 0
+        flaws = found.agg(
+            F.count_if(absent), F.min(F.when(absent, F.col(node))),
+            F.count_if(F.col("_rows") > 1), F.min(F.when(F.col("_rows") > 1, F.col(node))),
+        ).first()
+        for count, first, what in ((*flaws[:2], f"without {column}"), (*flaws[2:], f"with several rows for {column}")):
+            if count:
+                raise ValueError(f"{count} nodes {what}, e.g. {first}")
 
 
 def _moments_with(

@@ -55,6 +55,20 @@ def release(spark: SparkSession) -> None:
         _delete(spark, _made.pop())
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside the block when it ends, and no others.
+
+    Write or collect the result inside: what it reads is gone afterwards.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        while len(_made) > before:
+            _delete(spark, _made.pop())
+
+
 def _delete(spark: SparkSession, name: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

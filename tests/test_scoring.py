@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from stpanel.operators import graph as G
 from stpanel.operators import scoring as S
 from stpanel.operators.scaling import fit
+from stpanel.operators.skew import hub_blocks, hub_join
+from stpanel.operators.storage import discard, materialize, scratch
 from tests.test_panel import cube
 
 
@@ -203,3 +205,47 @@ def test_edge_weights_laplacian_and_diffusion(spark, graph, mode):
     )
     # What leaves one node arrives at another.
     np.testing.assert_allclose(got.reshape(x.shape).sum(axis=1), 0, atol=1e-9)
+
+
+@pytest.mark.parametrize("bound", [1, 7, 1000])
+def test_hub_join(spark, bound):
+    """A node with a third of all edges, and edges that occur twice."""
+    r = np.random.default_rng(6)
+    edges = [(0 if i % 3 == 0 else int(r.integers(1, 30)), int(r.integers(0, 30)), float(i)) for i in range(300)]
+    edges += edges[:5] + [(None, 3, 1.0), (99, 3, 1.0)]
+    big = spark.createDataFrame(edges, "src long, dst long, weight double")
+    lookup = spark.createDataFrame([(i, float(i * i)) for i in range(40)], "src long, value double")
+    got = sorted(tuple(x) for x in hub_join(big, lookup, "src", bound).select("src", "dst", "weight", "value").collect())
+    assert got == sorted((s, d, w, float(s * s)) for s, d, w in edges if s is not None and s < 40)
+    hubs = {x["src"]: x["_blocks"] for x in hub_blocks(big, "src", bound).collect()}
+    n = sum(s == 0 for s, _, _ in edges)
+    assert hubs.get(0) == (-(-n // bound) if n > bound else None)
+    assert sum(hubs.values()) <= len(edges) / bound + len(hubs)
+
+
+def test_hubs_do_not_change_weights(spark, graph):
+    _, _, _, adjacency, vectors = graph
+    one = {tuple(x)[:2]: x["weight"] for x in G.edge_weights(adjacency, vectors, "pair").collect()}
+    two = {tuple(x)[:2]: x["weight"] for x in G.edge_weights(adjacency, vectors, "pair", bound=1).collect()}
+    assert one == pytest.approx(two)
+
+
+def test_lookups_must_be_unique(spark):
+    cells = spark.createDataFrame([(0,), (1,)], "node_id int")
+    for rows, told in (([(0, 1.0)], "1 nodes without w, e.g. 1"), ([(0, 1.0), (1, 2.0), (1, 2.0)], "1 nodes with several rows for w, e.g. 1"), ([(0, 1.0), (1, None)], "without w")):
+        with pytest.raises(ValueError, match=told):
+            S.require_nodes(cells, [(spark.createDataFrame(rows, "node_id int, w double"), "w")])
+    S.require_nodes(cells, [(spark.createDataFrame([(0, 1.0), (1, 2.0), (5, None), (5, None)], "node_id int, w double"), "w")])
+
+
+def test_scratch_blocks_delete_their_own_tables(spark):
+    kept = materialize(spark.range(3), "kept")
+    with scratch(spark):
+        inner = materialize(spark.range(4), "inner")
+        with scratch(spark):
+            assert materialize(spark.range(5), "most").count() == 5
+        assert inner.count() == 4
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="FILE|exist"):
+        inner.count()
+    discard(kept)
