@@ -42,8 +42,9 @@ HASHED = 64  # classes shared by all other words
 ENDING = 2  # last characters of a word that choose its hashed class
 SPAN = 2  # neighbours to either side
 WIDTH = 16
-SHARD_WORDS = 20_000  # words aimed at in a training shard
-ROUNDS = 3
+SHARD_WORDS = 200_000  # words aimed at in a training shard: fewer do not reach the neighbours' part
+ROUNDS = 1
+RATE = 0.3
 FAN = 64  # weight sets averaged at once
 EDGE = FREQUENT + HASHED  # class of a missing neighbour
 CLASSES = EDGE  # classes that can be predicted
@@ -272,7 +273,7 @@ def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: st
     context = docs.sparkSession.sparkContext
     for turn in range(rounds):
         shared = context.broadcast(network.flat())
-        train = _trainer(shared, 0.1 / (1 + turn))
+        train = _trainer(shared, RATE / (1 + turn))
         mean = _average(dealt.groupBy("shard").applyInArrow(train, "shard int, n long, weights binary"), shards)
         if mean is not None:
             network = Network.of(mean)
