@@ -25,7 +25,7 @@ def parts(panel, cuts, by=("node_id",)):
     return made
 
 
-@pytest.mark.parametrize("cuts", [[], [30], [1, 2, 59], [0, 70]])
+@pytest.mark.parametrize("cuts", [[30], [0, 1, 59, 70]])
 @pytest.mark.parametrize("kind, scope, ddof", [("std", "feature", 1), ("std", "global", 0), ("std", "column", 0), ("max01", "feature", 0), ("max11", "global", 0), ("cmax", "column", 0)])
 def test_merged_fit_is_the_fit_of_all(spark, panel, cuts, kind, scope, ddof):
     want = fit(panel, FEATURES, kind, scope, ddof)
