@@ -45,19 +45,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stpanel.llm.batches import small_batches
 from stpanel.llm.bpe import slices
 from stpanel.llm.graph import components
 from stpanel.llm.shingles import shingle_sets
-from stpanel.operators.storage import discard, materialize
+from stpanel.operators.storage import materialize
 
 PERCENT = 80  # least similarity
 WORDS = 5
 LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
-SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
-COUNTED = 0.3  # share of all shingles, by hash, that are counted
+SLOT_BITS = 25  # size of the bit tables: four megabytes, whatever the input
+COUNTED = 0.5  # share of all shingles, by hash, that are counted
 BLOCK = 4096  # classes that enter a tile together,
 SHINGLES = 2_000_000  # with about so many shingles
-DEPTH = 4  # levels of document pivots
+DEPTH = 3  # levels of document pivots
 
 
 _LIMIT = np.uint64(int(COUNTED * 2**64))
@@ -103,7 +104,7 @@ def _shared_levels(docs: DataFrame, k: int) -> list[np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 sets = shingle_sets(part.column("text").to_pylist(), k)
                 heads = [s[: np.searchsorted(s, _LIMIT)] for s in sets]
                 found, n = np.unique(np.concatenate(heads), return_counts=True)
@@ -125,7 +126,7 @@ def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 n, digests, found = [], [], []
                 for s in shingle_sets(part.column("text").to_pylist(), k):
                     level = 2 * sum(_marked(t, s).astype(np.int8) for t in tables)
@@ -153,7 +154,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = np.flatnonzero(_marked(shared.value, batch.column("row").to_numpy().view(np.uint64)))
-            for part in slices(batch.take(pa.array(at)), "text"):
+            for part in slices(batch.take(pa.array(at)), "text", 2 << 20):
                 sets = [s.view(np.int64) for s in shingle_sets(part.column("text").to_pylist(), k)]
                 columns = [part.column("row"), part.column("row2"), pa.array(sets, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "row2", "shingles"])
@@ -192,39 +193,22 @@ def _placed(sets: DataFrame, percent: int) -> DataFrame:
 
     ``near`` is the distance, ``inside`` tells if it is a link, ``common`` and
     ``base`` are the sizes of what they share and of the pivot. Of the set itself
-    only ``differs`` goes on, its symmetric difference with the pivot: within a
-    group that is a small part of the set.
+    go on: ``added``, what the pivot lacks, and ``part``, of the pivot what the set
+    has (``far``) or lacks, whichever is less.
     """
     right = sets.filter(F.col("class") == F.col("pivot")).select("group", F.col("shingles").alias("right"))
-    common = F.size(F.array_intersect("shingles", "right"))
-    n, base = F.size("shingles"), F.size("right")
-    differs = F.concat(F.array_except("shingles", "right"), F.array_except("right", "shingles"))
     rows = sets.join(right, "group").select(
-        "class", "group", "pivot",
-        (1 - common / (n + base - common)).alias("near"), (100 * common >= percent * (n + base - common)).alias("inside"),
-        n.alias("n"), common.alias("common"), base.alias("base"), differs.alias("differs"),
+        "class", "group", "pivot", F.size("shingles").alias("n"), F.size("right").alias("base"),
+        F.array_intersect("shingles", "right").alias("kept"), F.array_except("right", "shingles").alias("missing"),
+        F.array_except("shingles", "right").alias("added"),
     )
-    return materialize(rows, "jaccard-placed")
-
-
-def _placed_again(outside: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Classes outside the ball of one pivot against the pivots of their new groups.
-
-    What two sets share, and differ in, follows from their differences from the
-    old pivot.
-    """
-    rows = outside.drop("group", "pivot", "near", "inside").join(groups, "class")
-    right = rows.filter(F.col("class") == F.col("pivot")).select(
-        "group", F.col("differs").alias("theirs"), F.col("n").alias("size"), F.col("common").alias("own")
-    )
-    common = F.col("common") + F.col("own") - F.col("base") + F.size(F.array_intersect("differs", "theirs"))
-    moved = rows.join(right, "group").withColumn("both", common)
-    union = F.col("n") + F.col("size") - F.col("both")
-    differs = F.concat(F.array_except("differs", "theirs"), F.array_except("theirs", "differs"))
-    return moved.select(
-        "class", "group", "pivot", (1 - F.col("both") / union).alias("near"), (100 * F.col("both") >= percent * union).alias("inside"),
-        "n", F.col("both").alias("common"), F.col("size").alias("base"), differs.alias("differs"),
+    common, far = F.size("kept"), F.size("kept") < F.size("missing")
+    union = F.col("n") + F.col("base") - common
+    rows = rows.select(
+        "class", "group", "pivot", (1 - common / union).alias("near"), (100 * common >= percent * union).alias("inside"),
+        "n", "base", far.alias("far"), F.when(far, F.col("kept")).otherwise(F.col("missing")).alias("part"), "added",
     )
+    return materialize(rows, "jaccard-placed")
 
 
 def _sizes(placed: DataFrame, percent: int, block: int) -> DataFrame:
@@ -232,7 +216,7 @@ def _sizes(placed: DataFrame, percent: int, block: int) -> DataFrame:
     edge = ~F.col("inside") & (F.col("near") <= 2 * _radius(percent))
 
     def blocks(test: Column) -> Column:
-        shingles = F.sum(F.when(test, F.size("differs")).otherwise(0))
+        shingles = F.sum(F.when(test, F.size("added") + F.size("part")).otherwise(0))
         return F.greatest(F.ceil(F.count_if(test) / F.lit(block)), F.ceil(shingles / F.lit(SHINGLES)), F.lit(0)).cast("int")
 
     counts = placed.groupBy("group").agg(
@@ -274,44 +258,42 @@ def _tiles(placed: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     ball = F.transform(upto("edges"), lambda e: tile("edge", block("ins"), e, 1))
     none = F.array().cast("array<struct<kind: string, i: int, j: int, side: int>>")
     where = F.when(F.col("inside"), ball).otherwise(F.concat(out, F.when(F.col("edge"), at_edge).otherwise(none)))
-    return rows.select("group", "class", "near", "n", "common", "base", "differs", F.inline(where))
+    return rows.select("group", "class", "near", "n", "base", "far", "part", "added", F.inline(where))
 
 
 def _tile_links(percent: int):
     """Links between the classes of one tile, as few as tie the linked ones together.
 
-    With a pivot of ``base`` shingles, two sets that share ``c`` and ``d`` shingles
-    with it have ``c + d - base`` plus their common differences in common. The
-    differences are counted from lists of the classes that have each.
+    What two sets share is what both add to the pivot and what both keep of it. The
+    first is counted directly. The second follows from the parts: of two that keep
+    little, the parts' common shingles; of one that lacks little and one that keeps
+    little, the kept ones that are not lacking; of two that lack little, the pivot
+    without both parts.
     """
-    far = _radius(percent)
+    radius = _radius(percent)
 
     def run(table: pa.Table) -> pa.Table:
         names = table["class"].to_pylist()
         m = len(names)
         near, side = table["near"].to_numpy(), table["side"].to_numpy()
-        sizes, own = (table[c].to_numpy().astype(np.int64) for c in ("n", "common"))
+        sizes = table["n"].to_numpy().astype(np.int64)
+        far = table["far"].to_numpy(zero_copy_only=False).astype(bool)
         base, at_edge = int(table["base"][0].as_py()), table["kind"][0].as_py() == "edge"
-        column = table["differs"].combine_chunks()
-        owner = np.repeat(np.arange(m), np.diff(column.offsets.to_numpy()))
-        _, token, n = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
-        shared = n[token] > 1
-        owner, token = owner[shared], token[shared]
-        having = owner[np.argsort(token, kind="stable")]
-        first, count = np.r_[0, np.cumsum(np.bincount(token, minlength=len(n)))], np.bincount(token, minlength=len(n))
-        bounds = np.searchsorted(owner, np.arange(m + 1))
+        added, part = Shared(table["added"]), Shared(table["part"])
         root, found = np.arange(m), []
         asked = np.flatnonzero(side == (0 if (side == 0).sum() <= (side == 1).sum() else 1)) if at_edge else np.arange(m)
         for x in asked:
-            others = (root != root[x]) & (np.abs(near - near[x]) <= far)
+            others = (root != root[x]) & (np.abs(near - near[x]) <= radius)
             if at_edge:
                 others &= side != side[x]
             if not others.any():
                 continue
-            mine = token[bounds[x] : bounds[x + 1]]
-            each = count[mine]
-            at = np.repeat(first[mine] - np.r_[0, np.cumsum(each)[:-1]] if len(mine) else mine, each) + np.arange(each.sum())
-            common = np.bincount(having[at], minlength=m) + own + (own[x] - base)
+            both = part.counts(x)
+            if far[x]:
+                both = np.where(far, both, part.sizes[x] - both)
+            else:
+                both = np.where(far, part.sizes - both, base - part.sizes[x] - part.sizes + both)
+            common = both + added.counts(x)
             linked = np.flatnonzero(others & (100 * common >= percent * (sizes + sizes[x] - common)))
             roots, some = np.unique(root[linked], return_index=True)
             for old, y in zip(roots, linked[some], strict=True):
@@ -322,9 +304,36 @@ def _tile_links(percent: int):
     return run
 
 
-def _joined(placed: DataFrame, members: DataFrame, percent: int, block: int = BLOCK, depth: int = DEPTH) -> DataFrame | None:
+class Shared:
+    """How many shingles each list has in common with one of them."""
+
+    def __init__(self, column: pa.ChunkedArray):
+        lists = column.combine_chunks()
+        self.sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        owner = np.repeat(np.arange(len(lists)), self.sizes)
+        _, token, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        several = times[token] > 1
+        owner, self.token = owner[several], token[several]
+        self.having = owner[np.argsort(self.token, kind="stable")]
+        self.times = np.bincount(self.token, minlength=len(times))
+        self.first = np.r_[0, np.cumsum(self.times)]
+        self.bounds = np.searchsorted(owner, np.arange(len(lists) + 1))
+
+    def counts(self, x: int) -> np.ndarray:
+        mine = self.token[self.bounds[x] : self.bounds[x + 1]]
+        if not len(mine):
+            out = np.zeros(len(self.sizes), np.int64)
+        else:
+            each = self.times[mine]
+            at = np.repeat(self.first[mine] - np.r_[0, np.cumsum(each)[:-1]], each) + np.arange(each.sum())
+            out = np.bincount(self.having[at], minlength=len(self.sizes))
+        out[x] = self.sizes[x]
+        return out
+
+
+def _joined(sets: DataFrame, members: DataFrame, percent: int, block: int = BLOCK, depth: int = DEPTH) -> DataFrame | None:
     """``class, component`` of the classes with links; None if there are none."""
-    found = []
+    found, placed = [], _placed(sets, percent)
     for level in range(depth):
         sizes = materialize(_sizes(placed, percent, block), "jaccard-sizes")
         again = (F.col("outs") > 1) & F.lit(level + 1 < depth)
@@ -335,9 +344,10 @@ def _joined(placed: DataFrame, members: DataFrame, percent: int, block: int = BL
         large = sizes.filter(again).select("group")
         if large.isEmpty():
             break
-        outside = materialize(placed.filter("NOT inside").join(large, "group", "left_semi"), "jaccard-outside")
-        left = members.join(outside.select("class"), "class", "left_semi")
-        placed = materialize(_placed_again(outside, _groups(materialize(left, "jaccard-left"), percent), percent), "jaccard-placed")
+        outside = placed.filter("NOT inside").join(large, "group", "left_semi").select("class")
+        left = materialize(members.join(outside, "class", "left_semi"), "jaccard-left")
+        groups = materialize(_groups(left, percent), "jaccard-regrouped")
+        placed = _placed(sets.select("class", "shingles").join(groups, "class"), percent)
     links = reduce(DataFrame.unionByName, found)
     if links.isEmpty():
         return None
@@ -360,6 +370,7 @@ def link(
     ``component``, the smallest class hash, belongs to one component only. It is
     NULL without words.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), *_row_keys(text, doc_id), F.col(text).alias("text"))
     texts = rows.select("row", "row2", "text")
     stored = materialize(_windows(rows, _shared_levels(texts, k), k, percent), "jaccard-windows")
@@ -368,9 +379,7 @@ def link(
     first = first.agg(F.min(F.struct("row", "row2")).alias("first")).select("class", "first.row", "first.row2")
     wanted = materialize(first.join(_groups(members, percent), "class"), "jaccard-wanted")
     sets = materialize(_sets(texts, wanted, k), "jaccard-sets")
-    placed = _placed(sets, percent)
-    discard(sets)
-    nodes = _joined(placed, members, percent, block, depth)
+    nodes = _joined(sets, members, percent, block, depth)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     if nodes is None:
         classes = classes.withColumn("component", F.col("class"))

@@ -107,16 +107,21 @@ def test_links_of_a_tile_are_counted_from_differences():
     for _ in range(60):
         s = set(r.choice(100, 100 - r.integers(0, 25), replace=False).tolist()) | set(r.integers(200, 260, r.integers(0, 20)).tolist())
         sets.append(s)
+    sets += [set(r.integers(0, 400, 60).tolist()) for _ in range(20)]
+    sets += [s | {500} for s in sets[-5:]]
     near = [1 - len(s & pivot) / len(s | pivot) for s in sets]
+    far = [len(s & pivot) < len(pivot - s) for s in sets]
+    assert 0 < sum(far) < len(sets)
     table = pa.table(
         {
-            "class": pa.array([bytes([i]) for i in range(60)], pa.binary()), "kind": ["out"] * 60, "side": pa.array([0] * 60, pa.int32()),
-            "near": near, "n": [len(s) for s in sets], "common": [len(s & pivot) for s in sets], "base": [100] * 60,
-            "differs": pa.array([sorted(s ^ pivot) for s in sets], pa.list_(pa.int64())),
+            "class": pa.array([bytes([i]) for i in range(len(sets))], pa.binary()), "kind": ["out"] * len(sets),
+            "side": pa.array([0] * len(sets), pa.int32()), "near": near, "n": [len(s) for s in sets], "base": [100] * len(sets), "far": far,
+            "part": pa.array([sorted(s & pivot if f else pivot - s) for s, f in zip(sets, far, strict=True)], pa.list_(pa.int64())),
+            "added": pa.array([sorted(s - pivot) for s in sets], pa.list_(pa.int64())),
         }
     )
     found = jaccard._tile_links(80)(table)
-    parent = list(range(60))
+    parent = list(range(len(sets)))
 
     def root(i):
         return i if parent[i] == i else root(parent[i])
@@ -125,7 +130,7 @@ def test_links_of_a_tile_are_counted_from_differences():
         a, b = sets[u[0]], sets[v[0]]
         assert 100 * len(a & b) >= 80 * len(a | b) and root(u[0]) != root(v[0])
         parent[root(u[0])] = root(v[0])
-    for i in range(60):
+    for i in range(len(sets)):
         for j in range(i):
             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                 assert root(i) == root(j)
