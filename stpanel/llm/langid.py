@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stpanel.llm.batches import small_batches
 from stpanel.llm.bpe import slices
 
 SIZES = (3, 4)  # characters in an n-gram, word edges included
@@ -174,6 +175,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     documents have it, which bounds what reaches the driver: at most
     (n-grams of an average document) / ``SHARE`` per language.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").collect()
@@ -213,6 +215,7 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", keep: Sequenc
 
     The filters (a megabyte per eight languages) are all that the tasks receive.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*keep).alias("kept"), F.col(text).alias("text"))
     schema = T.StructType(
         [rows.schema["kept"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
