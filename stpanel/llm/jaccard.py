@@ -54,11 +54,11 @@ from stpanel.operators.storage import materialize
 PERCENT = 80  # least similarity
 WORDS = 5
 LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
-SLOT_BITS = 25  # size of the bit tables: four megabytes, whatever the input
+SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
 COUNTED = 0.5  # share of all shingles, by hash, that are counted
 BLOCK = 4096  # classes that enter a tile together,
 SHINGLES = 2_000_000  # with about so many shingles
-DEPTH = 3  # levels of document pivots
+DEPTH = 2  # levels of document pivots
 
 
 _LIMIT = np.uint64(int(COUNTED * 2**64))
