@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -56,17 +56,28 @@ def release(spark: SparkSession) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Delete the scratch tables made inside the block when it ends, and no others.
 
-    Write or collect the result inside: what it reads is gone afterwards.
+    Write or collect the result inside, or hand a materialized one to the function
+    that the block is given: it outlives the block. What other results read is gone.
     """
-    before = len(_made)
+    before, kept = len(_made), []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table._scratch_path)
+        return table
+
     try:
-        yield
+        yield keep
     finally:
-        while len(_made) > before:
-            _delete(spark, _made.pop())
+        inside = _made[before:]
+        del _made[before:]
+        for path in inside:
+            if path in kept:
+                _made.append(path)
+            else:
+                _delete(spark, path)
 
 
 def _delete(spark: SparkSession, name: str) -> None:

@@ -248,4 +248,10 @@ def test_scratch_blocks_delete_their_own_tables(spark):
     assert kept.count() == 3
     with pytest.raises(Exception, match="FILE|exist"):
         inner.count()
+    with scratch(spark) as keep:
+        other, result = materialize(spark.range(2), "other"), keep(materialize(spark.range(6), "result"))
+    assert result.count() == 6
+    with pytest.raises(Exception, match="FILE|exist"):
+        other.count()
     discard(kept)
+    discard(result)
