@@ -49,7 +49,7 @@ from stpanel.llm.batches import small_batches
 from stpanel.llm.bpe import slices
 from stpanel.llm.graph import components
 from stpanel.llm.shingles import shingle_sets
-from stpanel.operators.storage import materialize
+from stpanel.operators.storage import materialize, scratch
 
 PERCENT = 80  # least similarity
 WORDS = 5
@@ -404,7 +404,8 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     belong to the component of their text.
     """
     keys = ["row", "row2"]
-    found = materialize(link(docs, text, doc_id, percent, k), "jaccard-links")
+    with scratch(docs.sparkSession) as keep:  # sets and tiles are of no more use then
+        found = keep(materialize(link(docs, text, doc_id, percent, k), "jaccard-links"))
     real = found.filter("n_shingles > 0")
     first = real.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *keys)).alias("first"))
     kept = first.select("first.row", "first.row2").distinct()
