@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stpanel.operators import graph as G
 from stpanel.operators import scoring as S
+from stpanel.operators import skew
 from stpanel.operators.scaling import fit
 from stpanel.operators.skew import hub_blocks, hub_join
 from stpanel.operators.storage import discard, materialize, scratch
@@ -230,6 +231,24 @@ def test_hubs_do_not_change_weights(spark, graph):
     assert one == pytest.approx(two)
 
 
+def test_no_task_groups_many_entries(spark, monkeypatch):
+    """However the shuffle is laid out; with a hub, a self-loop, repeated edges and NULL ends."""
+    monkeypatch.setattr(skew, "GROUPED", 50)
+    pairs = [(0, i) for i in range(500)] + [(i, 1) for i in range(1, 300)] + [(3, 3)] * 4 + [(None, 7), (None, 7)]
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    adjacency = materialize(G.edge_adjacency(edges))
+    lap = G.laplacian(adjacency, spark.createDataFrame([(i,) for i in range(600)], "node_id long"))
+    want = {(i, i): 0.0 for i in range(600)}
+    for s, d in pairs:
+        want[s, s] = want.get((s, s), 0.0) + 1.0
+        want[d, s] = want.get((d, s), 0.0) - 1.0
+    rows = [tuple(r) for r in lap.collect()]
+    assert len(rows) == len(want) and {(i, j): v for i, j, v in rows} == want
+    for table in (G.edge_adjacency(edges), lap):
+        in_task = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(in_task) < 150
+
+
 def test_lookups_must_be_unique(spark):
     cells = spark.createDataFrame([(0,), (1,)], "node_id int")
     for rows, told in (([(0, 1.0)], "1 nodes without w, e.g. 1"), ([(0, 1.0), (1, 2.0), (1, 2.0)], "1 nodes with several rows for w, e.g. 1"), ([(0, 1.0), (1, None)], "without w")):
