@@ -9,8 +9,12 @@ puts shared shingles last. Two linked documents differ in few shingles, so
 replicating each document into the regions of its first ``n - ceil(t n) + 1``
 shingles (its window) makes every linked pair meet in a region.
 
-Second level: overlapping regions form a group, whose pivot is the document
-shared most. The documents in its ball (at most ``1 - t`` away) are linked to it
+Documents that meet in a region are compared by sketches first, bitmaps of the
+parities of their shingles: linked sets differ in few shingles, and so in no more
+bits. What shares a passage only parts here, whatever the size of the corpus.
+
+Second level: documents tied by such meetings form a group, whose pivot is the
+document shared most. The documents in its ball (at most ``1 - t`` away) are linked to it
 and so to each other's component. By the triangle inequality, only documents in
 the boundary, up to twice as far, can be linked to the ball; they are replicated
 to it. The documents outside the ball are joined among themselves: few of them at
@@ -49,7 +53,8 @@ from stpanel.llm.batches import small_batches
 from stpanel.llm.bpe import slices
 from stpanel.llm.graph import components
 from stpanel.llm.shingles import shingle_sets
-from stpanel.operators.storage import materialize, scratch
+from stpanel.operators.skew import hub_blocks
+from stpanel.operators.storage import attach, materialize, scratch
 
 PERCENT = 80  # least similarity
 WORDS = 5
@@ -59,6 +64,7 @@ COUNTED = 0.5  # share of all shingles, by hash, that are counted
 BLOCK = 4096  # classes that enter a tile together,
 SHINGLES = 2_000_000  # with about so many shingles
 DEPTH = 2  # levels of document pivots
+SKETCH = 1024  # bits of a sketch
 
 
 _LIMIT = np.uint64(int(COUNTED * 2**64))
@@ -115,19 +121,19 @@ def _shared_levels(docs: DataFrame, k: int) -> list[np.ndarray]:
 
 
 def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) -> DataFrame:
-    """``doc_id, row, row2, n, class, window``: the class is a hash of the set.
+    """``doc_id, row, row2, n, class, window, sketch``: the class is a hash of the set.
 
     Of the window only the shingles that others may share are kept. The order is
     the same for all documents: counted and unmarked, uncounted, then by level.
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
-    names = ["doc_id", "row", "row2", "n", "class", "window"]
+    names = ["doc_id", "row", "row2", "n", "class", "window", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                n, digests, found = [], [], []
+                n, digests, found, sketches = [], [], [], []
                 for s in shingle_sets(part.column("text").to_pylist(), k):
                     level = 2 * sum(_marked(t, s).astype(np.int8) for t in tables)
                     level[s >= _LIMIT] = 1
@@ -135,12 +141,19 @@ def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) ->
                     n.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                     found.append(s[order][level[order] > 0].view(np.int64))
+                    sketches.append(_sketch(s) if len(found[-1]) else None)
                 columns = [part.column(c) for c in names[:3]]
-                columns += [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
+                columns += [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, row long, row2 long, n long, class binary, window array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, row long, row2 long, n long, class binary, window array<long>, sketch binary")
+
+
+def _sketch(hashes: np.ndarray) -> bytes:
+    """A bit for each slot: whether an odd number of the set's hashes falls into it."""
+    slot = (hashes >> np.uint64(SLOT_BITS)) & np.uint64(SKETCH - 1)
+    return np.packbits(np.bincount(slot.astype(np.int64), minlength=SKETCH) & 1).tobytes()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -171,15 +184,92 @@ def _regions(stored: DataFrame) -> DataFrame:
     return members.join(ends.filter("low <> high").select("region"), "region")
 
 
-def _groups(members: DataFrame, percent: int) -> DataFrame:
-    """``class, group, pivot``: overlapping regions joined, and each group's pivot.
+def _forest(key: np.ndarray, n: np.ndarray, sketch: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Rows of equal keys (which are in order) whose sizes and sketches allow a link, as a spanning forest.
+
+    Linked sets of ``a`` and ``b`` shingles differ in at most
+    ``(a + b) (100 - percent) / (100 + percent)`` of them.
+    """
+    root, found = np.arange(len(key)), []
+    step, at = 1, np.flatnonzero(key[1:] == key[:-1])
+    while len(at):
+        x, y = at, at + step
+        open_ = (root[x] != root[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        x, y = x[open_], y[open_]
+        apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+        near = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
+        for i, j in zip(x[near].tolist(), y[near].tolist(), strict=True):
+            a, b = i, j
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            if a != b:
+                root[b] = a
+                found.append((i, j))
+        while near.any() and (root[root] != root).any():
+            root = root[root]
+        step += 1
+        at = at[at + step < len(key)]
+        at = at[key[at] == key[at + step]]
+    return found
+
+
+def _meetings(members: DataFrame, sketches: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """``u, v``: classes that meet in a region and may be linked, tied together in each region.
+
+    A region of more than ``block`` classes is dealt into blocks; each two meet in a
+    tile. Regions are sorted, not grouped, on their way to Python: most hold two classes.
+    """
+    hubs = hub_blocks(members, "region", block)
+    rows = attach(members, hubs, "region", "left").join(sketches, "class")
+    own = F.pmod(F.xxhash64("class"), F.coalesce("_blocks", F.lit(1))).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1))
+    rows = rows.select("region", "class", "n", "sketch", own.alias("own"), other.alias("other"))
+    tile = [F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+    rows = rows.select("region", *tile, "class", "n", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def ties(table: pa.Table, key: np.ndarray) -> pa.RecordBatch:
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(table.num_rows, -1)
+            names, n = table["class"].to_pylist(), table["n"].to_numpy()
+            found = {(names[i], names[j]) for i, j in _forest(key, n, sketch, percent)}
+            return pa.RecordBatch.from_pydict({"u": pa.array([u for u, _ in found], pa.binary()), "v": pa.array([v for _, v in found], pa.binary())})
+
+        def keys(table: pa.Table) -> np.ndarray:
+            new = np.zeros(table.num_rows, bool)
+            for name in ("region", "i", "j"):
+                column = table[name].to_numpy()
+                new[1:] |= column[1:] != column[:-1]
+            return np.cumsum(new)
+
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count >= 4 * BLOCK:
+                table = pa.Table.from_batches(held)
+                key = keys(table)
+                end = int(np.searchsorted(key, key[-1]))  # the last tile may go on
+                if end:
+                    yield ties(table.slice(0, end), key[:end])
+                    held, count = table.slice(end).combine_chunks().to_batches(), table.num_rows - end
+        if count:
+            table = pa.Table.from_batches(held)
+            yield ties(table, keys(table))
+
+    place = ["region", "i", "j"]
+    return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "u binary, v binary")
+
+
+def _groups(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``class, group, pivot``: classes tied in regions, and each group's pivot.
 
     The pivot is the document whose window is shared most: what others were
     copied from holds little of its own.
     """
-    low = members.groupBy("region").agg(F.min("class").alias("v"))
-    edges = members.join(low, "region").select(F.col("class").alias("u"), "v").distinct()
-    groups = components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
+    groups = components(_meetings(members, sketches, percent).distinct())
+    groups = groups.select(F.col("node").alias("class"), F.col("component").alias("group"))
     shared = members.groupBy("class").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"))
     size = F.expr(f"n - ceil(n * {percent} / 100) + 1")
     placed = shared.join(groups, "class").select("class", "group", (F.col("shared") / size).alias("share"))
@@ -331,7 +421,9 @@ class Shared:
         return out
 
 
-def _joined(sets: DataFrame, members: DataFrame, percent: int, block: int = BLOCK, depth: int = DEPTH) -> DataFrame | None:
+def _joined(
+    sets: DataFrame, members: DataFrame, sketches: DataFrame, percent: int, block: int = BLOCK, depth: int = DEPTH
+) -> DataFrame | None:
     """``class, component`` of the classes with links; None if there are none."""
     found, placed = [], _placed(sets, percent)
     for level in range(depth):
@@ -346,7 +438,7 @@ def _joined(sets: DataFrame, members: DataFrame, percent: int, block: int = BLOC
             break
         outside = placed.filter("NOT inside").join(large, "group", "left_semi").select("class")
         left = materialize(members.join(outside, "class", "left_semi"), "jaccard-left")
-        groups = materialize(_groups(left, percent), "jaccard-regrouped")
+        groups = materialize(_groups(left, sketches, percent), "jaccard-regrouped")
         placed = _placed(sets.select("class", "shingles").join(groups, "class"), percent)
     links = reduce(DataFrame.unionByName, found)
     if links.isEmpty():
@@ -376,10 +468,12 @@ def link(
     stored = materialize(_windows(rows, _shared_levels(texts, k), k, percent), "jaccard-windows")
     members = materialize(_regions(stored), "jaccard-regions")
     first = stored.join(members.select("class").distinct(), "class", "left_semi").groupBy("class")
-    first = first.agg(F.min(F.struct("row", "row2")).alias("first")).select("class", "first.row", "first.row2")
-    wanted = materialize(first.join(_groups(members, percent), "class"), "jaccard-wanted")
+    first = first.agg(F.min(F.struct("row", "row2")).alias("first"), F.first("sketch").alias("sketch"))
+    first = materialize(first.select("class", "first.row", "first.row2", "sketch"), "jaccard-first")
+    sketches = first.select("class", "sketch")
+    wanted = materialize(first.drop("sketch").join(_groups(members, sketches, percent), "class"), "jaccard-wanted")
     sets = materialize(_sets(texts, wanted, k), "jaccard-sets")
-    nodes = _joined(sets, members, percent, block, depth)
+    nodes = _joined(sets, members, sketches, percent, block, depth)
     classes = stored.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     if nodes is None:
         classes = classes.withColumn("component", F.col("class"))
