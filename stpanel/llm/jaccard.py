@@ -64,7 +64,7 @@ COUNTED = 0.5  # share of all shingles, by hash, that are counted
 BLOCK = 4096  # classes that enter a tile together,
 SHINGLES = 2_000_000  # with about so many shingles
 DEPTH = 2  # levels of document pivots
-SKETCH = 1024  # bits of a sketch
+SKETCH = 256, 8192  # least and most bits of a sketch; about one for each shingle between them
 
 
 _LIMIT = np.uint64(int(COUNTED * 2**64))
@@ -152,8 +152,9 @@ def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) ->
 
 def _sketch(hashes: np.ndarray) -> bytes:
     """A bit for each slot: whether an odd number of the set's hashes falls into it."""
-    slot = (hashes >> np.uint64(SLOT_BITS)) & np.uint64(SKETCH - 1)
-    return np.packbits(np.bincount(slot.astype(np.int64), minlength=SKETCH) & 1).tobytes()
+    size = min(max(SKETCH[0], 1 << (len(hashes) - 1).bit_length()), SKETCH[1])
+    slot = (hashes >> np.uint64(SLOT_BITS)) & np.uint64(size - 1)
+    return np.packbits(np.bincount(slot.astype(np.int64), minlength=size) & 1).tobytes()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -184,7 +185,35 @@ def _regions(stored: DataFrame) -> DataFrame:
     return members.join(ends.filter("low <> high").select("region"), "region")
 
 
-def _forest(key: np.ndarray, n: np.ndarray, sketch: np.ndarray, percent: int) -> list[tuple[int, int]]:
+class Sketches:
+    """Sketches of several sizes; the larger one of a pair is folded to the smaller one's size."""
+
+    def __init__(self, sketches: Sequence[bytes]):
+        self.words = np.array([len(s) // 8 for s in sketches], np.int64)
+        self.folded = {}
+        words = int(self.words.max(initial=0))
+        rows, table = np.zeros(0, np.int64), np.zeros((0, words), np.uint64)
+        while words >= max(1, int(self.words.min(initial=1))):
+            own = np.flatnonzero(self.words == words)
+            new = np.frombuffer(b"".join(sketches[i] for i in own), np.uint64).reshape(len(own), words)
+            rows, table = np.r_[rows, own], np.vstack([table, new])
+            place = np.full(len(sketches), -1)
+            place[rows] = np.arange(len(rows))
+            self.folded[words] = place, table
+            words //= 2
+            table = table[:, :words] ^ table[:, words : 2 * words]
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """In how many bits the rows ``x`` and ``y`` differ: at most in as many as in shingles."""
+        least, out = np.minimum(self.words[x], self.words[y]), np.zeros(len(x), np.int64)
+        for words, (place, table) in self.folded.items():
+            at = np.flatnonzero(least == words)
+            if len(at):
+                out[at] = np.bitwise_count(table[place[x[at]]] ^ table[place[y[at]]]).sum(1, dtype=np.int64)
+        return out
+
+
+def _forest(key: np.ndarray, n: np.ndarray, sketches: Sketches, percent: int) -> list[tuple[int, int]]:
     """Rows of equal keys (which are in order) whose sizes and sketches allow a link, as a spanning forest.
 
     Linked sets of ``a`` and ``b`` shingles differ in at most
@@ -196,8 +225,7 @@ def _forest(key: np.ndarray, n: np.ndarray, sketch: np.ndarray, percent: int) ->
         x, y = at, at + step
         open_ = (root[x] != root[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
         x, y = x[open_], y[open_]
-        apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
-        near = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
+        near = (100 + percent) * sketches.apart(x, y) <= (100 - percent) * (n[x] + n[y])
         for i, j in zip(x[near].tolist(), y[near].tolist(), strict=True):
             a, b = i, j
             while root[a] != a:
@@ -231,9 +259,8 @@ def _meetings(members: DataFrame, sketches: DataFrame, percent: int, block: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def ties(table: pa.Table, key: np.ndarray) -> pa.RecordBatch:
-            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(table.num_rows, -1)
             names, n = table["class"].to_pylist(), table["n"].to_numpy()
-            found = {(names[i], names[j]) for i, j in _forest(key, n, sketch, percent)}
+            found = {(names[i], names[j]) for i, j in _forest(key, n, Sketches(table["sketch"].to_pylist()), percent)}
             return pa.RecordBatch.from_pydict({"u": pa.array([u for u, _ in found], pa.binary()), "v": pa.array([v for _, v in found], pa.binary())})
 
         def keys(table: pa.Table) -> np.ndarray:

@@ -197,3 +197,42 @@ def test_components_of_chains(spark):
     df = spark.createDataFrame(edges, "u string, v string")
     got = {x["node"]: x["component"] for x in graph.components(df).collect()}
     assert got == {f"{i:04}": f"{i // 50 * 50:04}" for i in range(300)}
+
+
+def test_sketches_lose_no_link_and_part_passages():
+    """Sets that share a quarter stay apart, also long ones; linked ones of any sizes are tied."""
+    r = np.random.default_rng(5)
+    passage = r.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    sets = []
+    for n in (3, 9, 40, 250, 260, 500, 900, 1030, 2040, 4090, 8200):
+        first = np.r_[passage[: n // 4], r.integers(0, 1 << 63, n - n // 4, dtype=np.uint64)]
+        sets.append(first)
+        sets += [np.r_[first[: n - int(n * 0.09)], r.integers(0, 1 << 63, int(n * 0.09) + extra, dtype=np.uint64)] for extra in (0, n // 40)]
+        if n < 5000:
+            sets += [np.r_[passage[: n // 4], r.integers(0, 1 << 63, n - n // 4, dtype=np.uint64)] for _ in range(3)]
+    sets = [np.unique(x) for x in sets]
+    n = np.array([len(x) for x in sets])
+    found = jaccard._forest(np.zeros(len(sets), int), n, jaccard.Sketches([jaccard._sketch(x) for x in sets]), 80)
+    root = list(range(len(sets)))
+    for i, j in found:
+        root = [root[i] if x == root[j] else x for x in root]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            common = len(np.intersect1d(a, b))
+            share = common / (len(a) + len(b) - common)
+            if share >= 0.8:
+                assert root[i] == root[j]
+            elif share < 0.3 and min(len(a), len(b)) > 200:
+                assert root[i] != root[j]
+
+
+@pytest.mark.parametrize("block", [2, 4096])
+def test_meetings_in_blocks(spark, block):
+    rows = [(region, bytes([i]), 10, bytes([i // 4]) * 32) for region in (1, 2) for i in range(0, 40, region)]
+    members = spark.createDataFrame([r[:3] for r in rows], "region long, class binary, n long")
+    sketches = spark.createDataFrame(list({r[1]: (r[1], r[3]) for r in rows}.values()), "class binary, sketch binary")
+    ties = [(u[0], v[0]) for u, v in jaccard._meetings(members, sketches, 99, block).distinct().collect()]
+    root = list(range(40))
+    for i, j in ties:
+        root = [root[i] if x == root[j] else x for x in root]
+    assert all((root[i] == root[j]) == (i // 4 == j // 4) for i in range(40) for j in range(40))
