@@ -12,6 +12,8 @@ shingles (its window) makes every linked pair meet in a region.
 Documents that meet in a region are compared by sketches first, bitmaps of the
 parities of their shingles: linked sets differ in few shingles, and so in no more
 bits. What shares a passage only parts here, whatever the size of the corpus.
+Regions of the same classes are one, and a task ties classes once, so that the ties
+follow the classes and not the shingles that they share.
 
 Second level: documents tied by such meetings form a group, whose pivot is the
 document shared most. The documents in its ball (at most ``1 - t`` away) are linked to it
@@ -64,6 +66,7 @@ COUNTED = 0.5  # share of all shingles, by hash, that are counted
 BLOCK = 4096  # classes that enter a tile together,
 SHINGLES = 2_000_000  # with about so many shingles
 DEPTH = 2  # levels of document pivots
+KNOWN = 1 << 18  # classes up to which a task remembers what it has tied
 SKETCH = 256, 8192  # least and most bits of a sketch; about one for each shingle between them
 
 
@@ -179,10 +182,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def _regions(stored: DataFrame) -> DataFrame:
-    """``region, class, n``: the first-level regions that hold more than one class."""
+    """``region, class, n, times``: the first-level regions that hold more than one class.
+
+    Copies share many shingles. Regions of the same classes are one, which stands for
+    ``times`` of them: what meets in it would meet in the others again.
+    """
     members = stored.select(F.explode("window").alias("region"), "class", "n").distinct()
-    ends = members.groupBy("region").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    return members.join(ends.filter("low <> high").select("region"), "region")
+    marks = [F.bit_xor(F.xxhash64("class")).alias("mark"), F.bit_xor(F.xxhash64(F.lit("second"), "class")).alias("mark2")]
+    held = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"), *marks).filter("size > 1")
+    kept = held.groupBy("size", "mark", "mark2").agg(F.min("region").alias("region"), F.count(F.lit(1)).alias("times"))
+    return members.join(kept.select("region", "times"), "region")
 
 
 class Sketches:
@@ -213,21 +222,45 @@ class Sketches:
         return out
 
 
-def _forest(key: np.ndarray, n: np.ndarray, sketches: Sketches, percent: int) -> list[tuple[int, int]]:
+class Trees:
+    """The classes a task has met, numbered, and which of them its ties connect."""
+
+    def __init__(self):
+        self.numbers: dict[bytes, int] = {}
+        self.root = np.zeros(0, np.int64)
+
+    def number(self, names: Sequence[bytes]) -> np.ndarray:
+        """Numbers of the classes; new ones are alone. Forgets what it met where that is too much."""
+        if len(self.numbers) > KNOWN:
+            self.__init__()
+        for name in names:
+            self.numbers.setdefault(name, len(self.numbers))
+        self.root = np.r_[self.root, np.arange(len(self.root), len(self.numbers))]
+        return np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))
+
+
+def _forest(
+    key: np.ndarray, n: np.ndarray, sketches: Sketches, percent: int, node: np.ndarray | None = None, root: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Rows of equal keys (which are in order) whose sizes and sketches allow a link, as a spanning forest.
 
     Linked sets of ``a`` and ``b`` shingles differ in at most
-    ``(a + b) (100 - percent) / (100 + percent)`` of them.
+    ``(a + b) (100 - percent) / (100 + percent)`` of them. ``node`` numbers what the rows
+    stand for, each row by itself unless given; nodes with one ``root`` are tied already.
     """
-    root, found = np.arange(len(key)), []
+    if node is None:
+        node = np.arange(len(key))
+    if root is None:
+        root = np.arange(len(key))
+    found = []
     step, at = 1, np.flatnonzero(key[1:] == key[:-1])
     while len(at):
         x, y = at, at + step
-        open_ = (root[x] != root[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        open_ = (root[node[x]] != root[node[y]]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
         x, y = x[open_], y[open_]
         near = (100 + percent) * sketches.apart(x, y) <= (100 - percent) * (n[x] + n[y])
         for i, j in zip(x[near].tolist(), y[near].tolist(), strict=True):
-            a, b = i, j
+            a, b = node[i], node[j]
             while root[a] != a:
                 a = root[a]
             while root[b] != b:
@@ -236,7 +269,7 @@ def _forest(key: np.ndarray, n: np.ndarray, sketches: Sketches, percent: int) ->
                 root[b] = a
                 found.append((i, j))
         while near.any() and (root[root] != root).any():
-            root = root[root]
+            root[:] = root[root]
         step += 1
         at = at[at + step < len(key)]
         at = at[key[at] == key[at + step]]
@@ -244,10 +277,12 @@ def _forest(key: np.ndarray, n: np.ndarray, sketches: Sketches, percent: int) ->
 
 
 def _meetings(members: DataFrame, sketches: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """``u, v``: classes that meet in a region and may be linked, tied together in each region.
+    """``u, v``: classes that meet in a region and may be linked, tied together.
 
     A region of more than ``block`` classes is dealt into blocks; each two meet in a
     tile. Regions are sorted, not grouped, on their way to Python: most hold two classes.
+    Copies meet in each region that they share; a task ties them in one of them only, so it
+    returns fewer ties than it has classes, however many regions and copies there are.
     """
     hubs = hub_blocks(members, "region", block)
     rows = attach(members, hubs, "region", "left").join(sketches, "class")
@@ -258,9 +293,12 @@ def _meetings(members: DataFrame, sketches: DataFrame, percent: int, block: int
     rows = rows.select("region", *tile, "class", "n", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = Trees()
+
         def ties(table: pa.Table, key: np.ndarray) -> pa.RecordBatch:
             names, n = table["class"].to_pylist(), table["n"].to_numpy()
-            found = {(names[i], names[j]) for i, j in _forest(key, n, Sketches(table["sketch"].to_pylist()), percent)}
+            node = trees.number(names)
+            found = [(names[i], names[j]) for i, j in _forest(key, n, Sketches(table["sketch"].to_pylist()), percent, node, trees.root)]
             return pa.RecordBatch.from_pydict({"u": pa.array([u for u, _ in found], pa.binary()), "v": pa.array([v for _, v in found], pa.binary())})
 
         def keys(table: pa.Table) -> np.ndarray:
@@ -295,9 +333,10 @@ def _groups(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     The pivot is the document whose window is shared most: what others were
     copied from holds little of its own.
     """
-    groups = components(_meetings(members, sketches, percent).distinct())
+    ties = materialize(_meetings(members, sketches, percent).distinct(), "jaccard-ties")  # components reads them four times
+    groups = components(ties)
     groups = groups.select(F.col("node").alias("class"), F.col("component").alias("group"))
-    shared = members.groupBy("class").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"))
+    shared = members.groupBy("class").agg(F.sum("times").alias("shared"), F.first("n").alias("n"))
     size = F.expr(f"n - ceil(n * {percent} / 100) + 1")
     placed = shared.join(groups, "class").select("class", "group", (F.col("shared") / size).alias("share"))
     placed = materialize(placed, "jaccard-groups")

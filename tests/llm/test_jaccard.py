@@ -236,3 +236,39 @@ def test_meetings_in_blocks(spark, block):
     for i, j in ties:
         root = [root[i] if x == root[j] else x for x in root]
     assert all((root[i] == root[j]) == (i // 4 == j // 4) for i in range(40) for j in range(40))
+
+
+def test_regions_of_the_same_classes_are_one(spark):
+    """Three copies that share 50 shingles meet once; what only two share is a region of its own."""
+    shared = list(range(50))
+    windows = {b"a": [*shared, 100, 101, 900], b"b": [*shared, 100, 101], b"c": shared, b"d": [901]}
+    rows = [(k, len(w), w) for k, w in windows.items() for _ in range(2)]
+    found = jaccard._regions(spark.createDataFrame(rows, "class binary, n long, window array<long>")).collect()
+    assert len(found) == 5
+    met = defaultdict(set)
+    for r in found:
+        met[r["region"]].add((bytes(r["class"]), r["times"]))
+    assert sorted(map(sorted, met.values())) == [[(b"a", 2), (b"b", 2)], [(b"a", 50), (b"b", 50), (b"c", 50)]]
+
+
+def test_ties_follow_the_classes_and_not_their_regions(spark):
+    """Copies that meet in many regions, in another order in each, are tied once by a task."""
+    r = random.Random(6)
+    rows = [(region, bytes([i]), 10) for region in range(300) for i in r.sample(range(20), 12)]
+    members = spark.createDataFrame(rows, "region long, class binary, n long").coalesce(1)
+    sketches = spark.createDataFrame([(bytes([i]), bytes([i // 10]) * 32) for i in range(20)], "class binary, sketch binary")
+    ties = [(u[0], v[0]) for u, v in jaccard._meetings(members, sketches, 99).collect()]
+    tasks = spark.sparkContext.defaultParallelism
+    assert len(ties) <= 18 * tasks
+    root = list(range(20))
+    for i, j in ties:
+        root = [root[i] if x == root[j] else x for x in root]
+    assert all((root[i] == root[j]) == (i // 10 == j // 10) for i in range(20) for j in range(20))
+
+
+def test_forgetting_classes_loses_no_tie(spark, monkeypatch):
+    trees = jaccard.Trees()
+    monkeypatch.setattr(jaccard, "KNOWN", 3)
+    assert trees.number([b"a", b"b", b"a", b"c", b"d"]).tolist() == [0, 1, 0, 2, 3]
+    trees.root[1] = 0
+    assert trees.number([b"b", b"e"]).tolist() == [0, 1] and trees.root.tolist() == [0, 1]
