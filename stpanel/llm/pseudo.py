@@ -8,7 +8,8 @@ of the word in its class. The logarithms over a document's words add up to its s
 Word classes are the most frequent words of the whole corpus, one class each, and
 hashed classes that share the other words by their endings, which neighbours can
 predict. All words of the corpus are counted; the
-counts stay distributed and are joined to the words of the documents. Words that
+counts stay distributed. The shares of the most frequent words, a bounded number, go
+to every task; the others are joined to the words of the documents. Words that
 were not counted are taken as met once.
 
 The network is trained in numpy on all documents, one byte for each word.
@@ -27,6 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ from stpanel.operators.storage import discard, materialize
 FREQUENT = 191  # words with a class of their own
 HASHED = 64  # classes shared by all other words
 ENDING = 2  # last characters of a word that choose its hashed class
+HEAD = 100_000  # most frequent of these, whose shares every task holds; the shares of the rest are joined
 SPAN = 2  # neighbours to either side
 WIDTH = 16
 SHARD_WORDS = 200_000  # words aimed at in a training shard: fewer do not reach the neighbours' part
@@ -82,9 +85,9 @@ class Network:
         return cls(*(p.reshape(s).astype(np.float32) for p, s in zip(np.split(flat, cuts), shapes, strict=True)))
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.near[0][context[0]]
+        total = self.near[0].take(context[0], axis=0)
         for i in range(1, 2 * SPAN):
-            total = total + self.near[i][context[i]]
+            total += self.near[i].take(context[i], axis=0)
         return np.tanh(total + self.bias)
 
     def scores(self, hidden: np.ndarray) -> np.ndarray:
@@ -129,20 +132,26 @@ class Network:
                 weight -= rate * slope / np.sqrt(total)
 
 
+class Endings(dict):
+    """Hashed classes by ending, remembered: there are far fewer endings than words."""
+
+    def __missing__(self, ending: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        self[ending] = found = FREQUENT + zlib.crc32(ending.encode("utf-8", "replace")) % HASHED
+        return found
+
+
 class Classes:
-    """Word classes; remembers the hashed class of words it met."""
+    """Word classes."""
 
     def __init__(self, frequent: Sequence[str]):
         self.fixed = {w: i for i, w in enumerate(frequent)}
-        self.known = dict(self.fixed)
+        self.ends = Endings()
 
     def number(self, words: Sequence[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > 400_000:
-            known = self.known = dict(self.fixed)
-        for w in set(words).difference(known):
-            known[w] = FREQUENT + zlib.crc32(w[-ENDING:].encode("utf-8", "replace")) % HASHED
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        fixed, ends = self.fixed, self.ends
+        return np.array([fixed[w] if w in fixed else ends[w[-ENDING:]] for w in words], np.int64)
 
 
 def windows(numbered: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -283,15 +292,25 @@ def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: st
     return network
 
 
-def _shares(rare: DataFrame, counts: DataFrame, frequent: Sequence[str]) -> DataFrame:
-    """``row, inner``: the sum of log p(word | class) over the words in hashed classes."""
-    others = counts.filter(~F.col("word").isin(list(frequent))) if frequent else counts
+def _with_shares(words: DataFrame, others: DataFrame) -> DataFrame:
+    """``words`` with the logarithm of each one's share ``inner`` of its class; ``others`` has the counts of all."""
     kind = (F.crc32(F.right("word", F.lit(ENDING)).cast("binary")) % HASHED).alias("class")
     totals = others.groupBy(kind).agg(F.sum("n").alias("total"))
-    words = rare.join(others, "word", "left").select("row", "times", F.coalesce("n", F.lit(1)).alias("n"), kind)
-    known = words.join(F.broadcast(totals), "class", "left")
-    share = F.col("n") / F.greatest(F.col("n"), F.coalesce("total", F.lit(0)))
-    return known.groupBy("row").agg(F.sum(F.col("times") * F.log(share)).alias("inner"))
+    known = words.withColumn("class", kind).join(F.broadcast(totals), "class", "left")
+    return known.withColumn("inner", F.log(F.col("n") / F.greatest(F.col("n"), F.coalesce("total", F.lit(0)))))
+
+
+def _head(others: DataFrame) -> dict[str, float]:
+    """log p(word | class) of the ``HEAD`` most frequent words in hashed classes."""
+    rows = others.orderBy(F.col("n").desc(), "word").limit(HEAD)
+    table = _with_shares(rows, others).filter("word IS NOT NULL AND inner IS NOT NULL").select("word", "inner").toArrow()
+    return dict(zip(table["word"].to_pylist(), table["inner"].to_pylist(), strict=True))
+
+
+def _shares(rare: DataFrame, others: DataFrame) -> DataFrame:
+    """``row, inner``: the sum of log p(word | class) over the rare words."""
+    words = rare.join(others, "word", "left").select("row", "times", "word", F.coalesce("n", F.lit(1)).alias("n"))
+    return _with_shares(words, others).groupBy("row").agg(F.sum(F.col("times") * F.col("inner")).alias("inner"))
 
 
 def score(
@@ -308,16 +327,17 @@ def score(
     without it they are those of word classes.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast((network, list(frequent)))
+    others = counts.filter(~F.col("word").isin(list(frequent))) if counts is not None and frequent else counts
+    head = None if counts is None else _head(others) | dict.fromkeys(frequent, 0.0)
+    shared = docs.sparkSession.sparkContext.broadcast((network, list(frequent), head))
     rare_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("times", T.IntegerType())]))
     schema = T.StructType(
         [*rows.schema.fields[:2], T.StructField("n_words", T.LongType()), T.StructField("classes", T.DoubleType()), T.StructField("rare", rare_type)]
     )
-    inner_words = counts is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, known = shared.value
-        classes, fixed = Classes(known), set(known)
+        net, known, head = shared.value
+        classes = Classes(known)
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 texts = [split(t) for t in part.column("text").to_pylist()]
@@ -325,11 +345,14 @@ def score(
                 words, near = windows(numbered)
                 logs = net.log_probabilities(words, near)
                 n = np.array([len(x) for x in numbered], np.int64)
+                rare = [{} for _ in texts]
+                if head is not None:
+                    inner = np.array([x for t in texts for x in map(head.get, t, repeat(np.nan))])
+                    rare = [Counter([w for w in t if w not in head]) for t in texts]
+                    logs += np.nan_to_num(inner)
                 total = np.bincount(np.repeat(np.arange(len(n)), n), weights=logs, minlength=len(n)).astype(float)
-                met = [Counter(t) if inner_words else {} for t in texts]
-                rare = [[(w, k) for w, k in m.items() if w not in fixed] for m in met]
                 ends = np.cumsum([0, *map(len, rare)])
-                pairs = [pair for m in rare for pair in m]
+                pairs = [pair for m in rare for pair in m.items()]
                 items = pa.StructArray.from_arrays(
                     [pa.array([w for w, _ in pairs], pa.string()), pa.array([k for _, k in pairs], pa.int32())], ["word", "times"]
                 )
@@ -342,7 +365,7 @@ def score(
     log_prob = F.col("classes")
     if counts is not None:
         scored = materialize(scored, "lm-scored")
-        inner = _shares(scored.select("row", F.inline("rare")), counts, frequent)
+        inner = _shares(scored.select("row", F.inline("rare")), others)
         scored = scored.drop("rare").join(inner, "row", "left")
         log_prob = log_prob + F.coalesce("inner", F.lit(0.0))
     scored = scored.select("kept", "n_words", log_prob.alias("log_prob"))

@@ -131,3 +131,18 @@ def test_empty(spark):
     assert pseudo.score(none, network, []).collect() == []
     rows = pseudo.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), network, []).collect()
     assert math.isclose(rows[0]["score"], -math.log(pseudo.CLASSES), rel_tol=1e-5)
+
+
+def test_only_words_beyond_the_head_are_joined(spark, monkeypatch):
+    """Scores are the same with shares at hand, joined, or both; only the rest is handed to the join."""
+    texts = [(1, "the plain words here plain words"), (2, "zxqv the"), (None, "plain " * 50), (None, None), (5, "words " * 9 + "Été")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    network, counts = pseudo.Network.start(), pseudo.word_counts(docs)
+    joined, shares, found = [], pseudo._shares, []
+    monkeypatch.setattr(pseudo, "_shares", lambda rare, others: joined.append(rare.count()) or shares(rare, others))
+    for head in (100, 2, 0):
+        monkeypatch.setattr(pseudo, "HEAD", head)
+        rows = pseudo.score(docs, network, ["the"], counts=counts).collect()
+        found.append(sorted((r["doc_id"] or 0, r["n_words"], round(r["log_prob"], 9)) for r in rows))
+    assert joined == [0, 3, 7]
+    assert found[0] == found[1] == found[2]
