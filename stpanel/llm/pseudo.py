@@ -12,7 +12,10 @@ counts stay distributed. The shares of the most frequent words, a bounded number
 to every task; the others are joined to the words of the documents. Words that
 were not counted are taken as met once.
 
-The network is trained in numpy on all documents, one byte for each word.
+Texts are split into words once more after the counting: training and scoring read
+one byte for each word, its class, stored together with the sum of the shares at hand.
+
+The network is trained in numpy on all documents.
 Documents are dealt into shards of even size; each round, every shard trains from
 the current weights, each task adds up its shards' results, and a tree of bounded
 fan-in averages them. Only one set of weights (about 80 kB) reaches the driver.
@@ -28,7 +31,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -78,58 +80,104 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([w.ravel() for w in (self.near, self.bias, self.out, self.prior)])
 
-    @classmethod
-    def of(cls, flat: np.ndarray) -> Network:
+    @staticmethod
+    def parts(flat: np.ndarray) -> list[np.ndarray]:
+        """Views of the weights in ``flat``."""
         shapes = [(2 * SPAN, CLASSES + 1, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,)]
         cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-        return cls(*(p.reshape(s).astype(np.float32) for p, s in zip(np.split(flat, cuts), shapes, strict=True)))
-
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.near[0].take(context[0], axis=0)
-        for i in range(1, 2 * SPAN):
-            total += self.near[i].take(context[i], axis=0)
-        return np.tanh(total + self.bias)
-
-    def scores(self, hidden: np.ndarray) -> np.ndarray:
-        scores = hidden @ self.out
-        scores += self.prior
-        # Hidden values are at most 1, so weights this small leave nothing to clip.
-        if not (np.abs(self.out).sum(0) + np.abs(self.prior)).max() < 60:
-            np.clip(scores, -60, 60, out=scores)
-        return scores
+        return [p.reshape(s) for p, s in zip(np.split(flat, cuts), shapes, strict=True)]
+
+    @staticmethod
+    def upper(flat: np.ndarray) -> np.ndarray:
+        """View of ``out`` in ``flat``, with ``prior`` as its last row."""
+        return flat[-(WIDTH + 1) * CLASSES :].reshape(WIDTH + 1, CLASSES)
+
+    @classmethod
+    def of(cls, flat: np.ndarray) -> Network:
+        return cls(*(p.astype(np.float32) for p in cls.parts(flat)))
+
+    def room(self) -> float:
+        """How far all scores are from being clipped at least. Hidden values are at most 1."""
+        return 60 - (np.abs(self.out).sum(0) + np.abs(self.prior)).max()
 
     def log_probabilities(self, words: np.ndarray, context: np.ndarray, rows: int = 512) -> np.ndarray:
         """log p(word | neighbours) of each word."""
         out = np.empty(len(words), np.float64)
+        work, clip, upper = Scratch(rows), not self.room() > 0, self.upper(self.flat())
         for s in range(0, len(words), rows):
             e = slice(s, s + rows)
-            scores = self.scores(self.hidden(context[:, e]))
-            own = scores[np.arange(len(scores)), words[e]]
+            scores = work.scores(work.hidden(self, context[:, e] + work.sets), upper, clip)
+            own = scores.reshape(-1)[work.starts[: len(scores)] + words[e]]
             np.exp(scores, out=scores)
-            out[e] = np.minimum(own - np.log(scores.sum(1)), 0.0)
+            out[e] = np.minimum(own - np.log(scores @ work.ones), 0.0)
         return out
 
     def train(self, words: np.ndarray, context: np.ndarray, rate: float, rows: int = 256) -> None:
         """One pass of gradient ascent with momentum-free Adagrad steps, in order."""
-        sums = [np.full_like(w, 1e-2) for w in (self.near, self.bias, self.out, self.prior)]
-        sets = (CLASSES + 1) * np.arange(2 * SPAN)[:, None]
+        weights = self.flat()  # one row of numbers, so that a step takes few operations
+        self.near, self.bias, self.out, self.prior = self.parts(weights)
+        total, slope, root = np.full_like(weights, 1e-2), np.empty_like(weights), np.empty_like(weights)
+        near, bias, _, _ = self.parts(slope)
+        upper, upper_slope = self.upper(weights), self.upper(slope)
+        work, room = Scratch(rows), 0.0
+        cells = np.arange(self.near.size).reshape(-1, WIDTH)
+        places, added = np.empty((2 * SPAN, rows, WIDTH), np.int64), np.empty((2 * SPAN, rows, WIDTH))
         for s in range(0, len(words), rows):
-            w, c = words[s : s + rows], context[:, s : s + rows]
-            h = self.hidden(c)
-            p = self.scores(h)
+            w = words[s : s + rows]
+            c = context[:, s : s + rows] + work.sets
+            n = len(w)
+            if n < rows:
+                places, added = places[:, :n].copy(), added[:, :n].copy()
+            if room <= 0:
+                room = self.room()
+            h = work.hidden(self, c)
+            p = work.scores(h, upper, not room > 0)
             np.exp(p, out=p)
-            p *= 1 / p.sum(1, keepdims=True)
-            p[np.arange(len(w)), w] -= 1.0
-            back = (p @ self.out.T) * (1 - h * h)
-            cells = ((c + sets)[:, :, None] * WIDTH + np.arange(WIDTH)).ravel()
-            added = np.broadcast_to(back, (2 * SPAN, *back.shape)).ravel()
-            near = np.bincount(cells, added, self.near.size).reshape(self.near.shape).astype(np.float32)
-            for weight, total, slope in zip(
-                (self.near, self.bias, self.out, self.prior), sums, (near, back.sum(0), h.T @ p, p.sum(0)), strict=True
-            ):
-                slope = slope / len(w)
-                total += slope * slope
-                weight -= rate * slope / np.sqrt(total)
+            # Rows of p are left unscaled: what is made of them is a sixteenth of their size.
+            each = p @ work.ones
+            p.reshape(-1)[work.starts[:n] + w] -= each
+            back = p @ self.out.T
+            each = 1 / each[:, None]
+            back *= each
+            back *= 1 - np.square(h[:, :WIDTH])
+            cells.take(c, axis=0, out=places, mode="clip")
+            added[:] = back
+            near[:] = np.bincount(places.reshape(-1), added.reshape(-1), near.size).reshape(near.shape)
+            back.sum(0, out=bias)
+            np.matmul((h * each).T, p, out=upper_slope)
+            slope /= n
+            total += np.multiply(slope, slope, out=root)
+            np.sqrt(total, out=root)
+            slope *= rate
+            slope /= root
+            weights -= slope
+            room -= (WIDTH + 1) * rate  # a step moves no weight by more than the rate
+
+
+class Scratch:
+    """Memory for blocks of ``rows`` words, used again for each."""
+
+    def __init__(self, rows: int):
+        self.sets = (CLASSES + 1) * np.arange(2 * SPAN)[:, None]  # added to a neighbour's class: its row of ``near``
+        self.starts = CLASSES * np.arange(rows)
+        self.taken = np.empty((2 * SPAN, rows, WIDTH), np.float32)
+        self.units = np.ones((rows, WIDTH + 1), np.float32)  # the last one, always 1, stands for the prior
+        self.out = np.empty((rows, CLASSES), np.float32)
+        self.ones = np.ones(CLASSES, np.float32)
+
+    def hidden(self, net: Network, cells: np.ndarray) -> np.ndarray:
+        """Hidden values of each word, and a 1."""
+        n = cells.shape[1]
+        taken = self.taken if n == len(self.units) else np.empty((2 * SPAN, n, WIDTH), np.float32)
+        net.near.reshape(-1, WIDTH).take(cells, axis=0, out=taken, mode="clip")
+        total = taken.sum(0)
+        total += net.bias
+        np.tanh(total, out=self.units[:n, :WIDTH])
+        return self.units[:n]
+
+    def scores(self, hidden: np.ndarray, upper: np.ndarray, clip: bool) -> np.ndarray:
+        scores = np.matmul(hidden, upper, out=self.out[: len(hidden)])
+        return np.clip(scores, -60, 60, out=scores) if clip else scores
 
 
 class Endings(dict):
@@ -154,17 +202,43 @@ class Classes:
         return np.array([fixed[w] if w in fixed else ends[w[-ENDING:]] for w in words], np.int64)
 
 
+class Codes(dict):
+    """Word to a small number, whose class and log-share stand in ``kind`` and ``inner``.
+
+    Frequent words have their class, words of ``head`` (``word, inner``) the number of their
+    class and share together. All others are noted in ``rare`` and have their class, with no share.
+    """
+
+    def __init__(self, frequent: Sequence[str], head: pa.Table):
+        self.ends, self.rare = Endings(), []
+        words, inner = head["word"].to_pylist(), head["inner"].to_pylist()
+        # Few numbers for many words: they and their shares stay in the cache.
+        pairs: dict[tuple[int, float], int] = {}
+        for word, share in zip(words, inner, strict=True):
+            pair = self.ends[word[-ENDING:]], share
+            self[word] = pairs.setdefault(pair, CLASSES + len(pairs))
+        self.update((w, i) for i, w in enumerate(frequent))
+        self.kind = np.array([*range(CLASSES), *(k for k, _ in pairs)], np.uint8)
+        self.inner = np.array([0.0] * CLASSES + [x for _, x in pairs])
+
+    def __missing__(self, word: str) -> int:
+        self.rare.append(word)
+        return self.ends[word[-ENDING:]]
+
+    def number(self, words: Sequence[str]) -> tuple[np.ndarray, list[str]]:
+        """The numbers of the words, and those of them that are rare."""
+        self.rare = []
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words)), self.rare
+
+
 def windows(numbered: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All words of the texts, and the classes of their neighbours within each text."""
-    gap = np.full(SPAN, EDGE, np.int64)
-    line = np.concatenate([gap, *(x for n in numbered for x in (n, gap))])
-    places, at = [], SPAN
-    for n in numbered:
-        places.append(np.arange(at, at + len(n)))
-        at += len(n) + SPAN
-    where = np.concatenate(places) if places else np.zeros(0, np.int64)
-    offsets = [o for o in range(-SPAN, SPAN + 1) if o]
-    return line[where], np.stack([line[where + o] for o in offsets])
+    words = np.concatenate(numbered) if numbered else np.zeros(0, np.int64)
+    lengths = np.array([len(n) for n in numbered], np.int64)
+    where = np.arange(len(words)) + np.repeat(SPAN * np.arange(1, len(lengths) + 1), lengths)
+    line = np.full(len(words) + SPAN * (len(lengths) + 1), EDGE, words.dtype)
+    line[where] = words
+    return words, np.stack([line[where + o] for o in range(-SPAN, SPAN + 1) if o])
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -245,7 +319,7 @@ def _trainer(shared, rate: float):
         net = Network.of(shared.value)
         rows = zip(table["id"].to_pylist(), table["classes"].to_pylist(), strict=True)
         texts = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        words, near = windows([np.frombuffer(c, np.uint8).astype(np.int64) for _, c in texts])
+        words, near = windows([np.frombuffer(c, np.uint8) for _, c in texts])
         order = np.random.default_rng(1).permutation(len(words))
         net.train(words[order], near[:, order], rate)
         weights = net.flat().tobytes()
@@ -254,33 +328,85 @@ def _trainer(shared, rate: float):
     return train
 
 
-def _coded(docs: DataFrame, frequent: Sequence[str], text: str, doc_id: str) -> DataFrame:
-    """``id, key, classes`` of all documents with words: one byte for the class of each word."""
-    rows = docs.select(
-        F.col(doc_id).alias("id"), F.xxhash64(F.lit("shard"), F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text")
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(list(frequent))
+def _coded(docs: DataFrame, frequent: Sequence[str], text: str, kept: Column, doc_id: Column, head: pa.Table | None) -> DataFrame:
+    """``row, kept, id, key``, ``classes`` (a byte for each word), ``inner`` and ``rare`` of all documents.
+
+    ``inner`` is the sum of log p(word | class) over the words of ``head``, ``rare`` has the words
+    beyond it and how often each is met; without ``head`` they are 0 and empty.
+    """
+    key = F.xxhash64(F.lit("shard"), doc_id, F.col(text)).alias("key")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), kept.alias("kept"), doc_id.alias("id"), key, F.col(text).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast((list(frequent), head))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(shared.value)
+        frequent, head = shared.value
+        classes = Classes(frequent)
+        codes = None if head is None else Codes(frequent, head)
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                coded = [classes.number(split(t)).astype(np.uint8).tobytes() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(coded, pa.binary())], ["id", "key", "classes"])
+                numbers, ends, pairs = [], [0], []
+                for t in part.column("text").to_pylist():
+                    # Each text is looked up while its words are in the cache.
+                    if codes is None:
+                        numbers.append(classes.number(split(t)))
+                    else:
+                        number, rare = codes.number(split(t))
+                        numbers.append(number)
+                        if rare:
+                            pairs += Counter(rare).items()
+                    ends.append(len(pairs))
+                n = [len(x) for x in numbers]
+                number = np.concatenate(numbers)
+                kind, inner = number.astype(np.uint8), np.zeros(len(n))
+                if codes is not None:
+                    kind, inner = codes.kind[number], np.bincount(np.repeat(np.arange(len(n)), n), codes.inner[number], len(n))
+                cuts = np.cumsum([0, *n]).tolist()
+                coded = [kind[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
+                items = pa.StructArray.from_arrays(
+                    [pa.array([w for w, _ in pairs], pa.string()), pa.array([k for _, k in pairs], pa.int32())], ["word", "times"]
+                )
+                rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in names[:4]), pa.array(coded, pa.binary()), pa.array(inner, pa.float64()), rare], names
+                )
 
-    schema = T.StructType([rows.schema["id"], T.StructField("key", T.LongType()), T.StructField("classes", T.BinaryType())])
-    return rows.mapInArrow(run, schema).filter("octet_length(classes) > 0")
+    word = T.StructType([T.StructField("word", T.StringType()), T.StructField("times", T.IntegerType())])
+    new = [("classes", T.BinaryType()), ("inner", T.DoubleType()), ("rare", T.ArrayType(word))]
+    schema = T.StructType([*rows.schema.fields[:4], *(T.StructField(*c) for c in new)])
+    names = schema.names
+    return rows.mapInArrow(run, schema)
 
 
-def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> Network:
-    """Train on all documents, ``rounds`` times."""
+def coded(
+    docs: DataFrame,
+    frequent: Sequence[str],
+    text: str = "text",
+    doc_id: str = "doc_id",
+    keep: Sequence[str | Column] = ("doc_id",),
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """What ``fit`` and ``score`` read of the documents, stored, so that texts are split once for both."""
+    head = None if counts is None else _head(_others(counts, frequent))
+    return materialize(_coded(docs, frequent, text, F.struct(*keep), F.col(doc_id), head), "lm-classes")
+
+
+def fit(
+    docs: DataFrame,
+    frequent: Sequence[str],
+    text: str = "text",
+    doc_id: str = "doc_id",
+    rounds: int = ROUNDS,
+    known: DataFrame | None = None,
+) -> Network:
+    """Train on all documents, ``rounds`` times. ``known``: their ``coded`` form, if it is at hand."""
     network = Network.start()
-    coded = materialize(_coded(docs, frequent, text, doc_id), "lm-classes")
-    words = coded.agg(F.sum(F.octet_length("classes"))).first()[0]
+    stored = coded(docs, frequent, text, doc_id, (doc_id,)) if known is None else known
+    rows = stored.filter("octet_length(classes) > 0")
+    words = rows.agg(F.sum(F.octet_length("classes"))).first()[0]
     if not words:
         return network
     shards = max(1, round(words / SHARD_WORDS))
-    dealt = coded.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "id", "classes")
+    dealt = rows.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "id", "classes")
     context = docs.sparkSession.sparkContext
     for turn in range(rounds):
         shared = context.broadcast(network.flat())
@@ -288,7 +414,8 @@ def fit(docs: DataFrame, frequent: Sequence[str], text: str = "text", doc_id: st
         mean = _average(dealt.groupBy("shard").applyInArrow(train, "shard int, n long, weights binary"), shards)
         if mean is not None:
             network = Network.of(mean)
-    discard(coded)
+    if known is None:
+        discard(stored)
     return network
 
 
@@ -300,11 +427,15 @@ def _with_shares(words: DataFrame, others: DataFrame) -> DataFrame:
     return known.withColumn("inner", F.log(F.col("n") / F.greatest(F.col("n"), F.coalesce("total", F.lit(0)))))
 
 
-def _head(others: DataFrame) -> dict[str, float]:
-    """log p(word | class) of the ``HEAD`` most frequent words in hashed classes."""
+def _others(counts: DataFrame, frequent: Sequence[str]) -> DataFrame:
+    """The counts of the words in hashed classes."""
+    return counts.filter(~F.col("word").isin(list(frequent))) if frequent else counts
+
+
+def _head(others: DataFrame) -> pa.Table:
+    """``word, inner``: log p(word | class) of the ``HEAD`` most frequent words in hashed classes."""
     rows = others.orderBy(F.col("n").desc(), "word").limit(HEAD)
-    table = _with_shares(rows, others).filter("word IS NOT NULL AND inner IS NOT NULL").select("word", "inner").toArrow()
-    return dict(zip(table["word"].to_pylist(), table["inner"].to_pylist(), strict=True))
+    return _with_shares(rows, others).filter("word IS NOT NULL AND inner IS NOT NULL").select("word", "inner").toArrow()
 
 
 def _shares(rare: DataFrame, others: DataFrame) -> DataFrame:
@@ -320,53 +451,40 @@ def score(
     text: str = "text",
     keep: Sequence[str | Column] = ("doc_id",),
     counts: DataFrame | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """``keep`` columns, ``n_words``, ``log_prob`` (sum over the words) and ``score`` (their mean).
 
     ``counts`` (``word_counts`` of the corpus) makes them probabilities of words;
-    without it they are those of word classes.
+    without it they are those of word classes. ``known``: the documents' ``coded`` form
+    with the same ``keep`` and ``counts``, if it is at hand.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), F.col(text).alias("text"))
-    others = counts.filter(~F.col("word").isin(list(frequent))) if counts is not None and frequent else counts
-    head = None if counts is None else _head(others) | dict.fromkeys(frequent, 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast((network, list(frequent), head))
-    rare_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("times", T.IntegerType())]))
-    schema = T.StructType(
-        [*rows.schema.fields[:2], T.StructField("n_words", T.LongType()), T.StructField("classes", T.DoubleType()), T.StructField("rare", rare_type)]
-    )
+    others = None if counts is None else _others(counts, frequent)
+    if known is None:
+        known = _coded(docs, frequent, text, F.struct(*keep), F.lit(None), None if others is None else _head(others))
+        known = known if others is None else materialize(known, "lm-classes")
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+    rows = known.select("row", "kept", "classes", "inner")
+    schema = T.StructType([*rows.schema.fields[:2], T.StructField("n_words", T.LongType()), T.StructField("log_prob", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, known, head = shared.value
-        classes = Classes(known)
+        net = shared.value
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                texts = [split(t) for t in part.column("text").to_pylist()]
-                numbered = [classes.number(t) for t in texts]
-                words, near = windows(numbered)
-                logs = net.log_probabilities(words, near)
+            for part in slices(batch, "classes", 1 << 18):
+                numbered = [np.frombuffer(c, np.uint8) for c in part.column("classes").to_pylist()]
+                logs = net.log_probabilities(*windows(numbered))
                 n = np.array([len(x) for x in numbered], np.int64)
-                rare = [{} for _ in texts]
-                if head is not None:
-                    inner = np.array([x for t in texts for x in map(head.get, t, repeat(np.nan))])
-                    rare = [Counter([w for w in t if w not in head]) for t in texts]
-                    logs += np.nan_to_num(inner)
                 total = np.bincount(np.repeat(np.arange(len(n)), n), weights=logs, minlength=len(n)).astype(float)
-                ends = np.cumsum([0, *map(len, rare)])
-                pairs = [pair for m in rare for pair in m.items()]
-                items = pa.StructArray.from_arrays(
-                    [pa.array([w for w, _ in pairs], pa.string()), pa.array([k for _, k in pairs], pa.int32())], ["word", "times"]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("kept"), pa.array(n), pa.array(total), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
-                    ["row", "kept", "n_words", "classes", "rare"],
-                )
+                total += part.column("inner").to_numpy()
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("kept"), pa.array(n), pa.array(total)], schema.names)
 
+    small_batches(docs.sparkSession)
     scored = rows.mapInArrow(run, schema)
-    log_prob = F.col("classes")
-    if counts is not None:
+    log_prob = F.col("log_prob")
+    if others is not None:
         scored = materialize(scored, "lm-scored")
-        inner = _shares(scored.select("row", F.inline("rare")), others)
-        scored = scored.drop("rare").join(inner, "row", "left")
+        inner = _shares(known.select("row", F.inline("rare")), others)
+        scored = scored.join(inner, "row", "left")
         log_prob = log_prob + F.coalesce("inner", F.lit(0.0))
     scored = scored.select("kept", "n_words", log_prob.alias("log_prob"))
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))

@@ -186,7 +186,8 @@ def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = pseudo.word_counts(docs)
     frequent = pseudo.most_frequent(counts)
-    return pseudo.score(docs, pseudo.fit(docs, frequent), frequent, counts=counts)
+    known = pseudo.coded(docs, frequent, counts=counts)
+    return pseudo.score(docs, pseudo.fit(docs, frequent, known=known), frequent, counts=counts, known=known)
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,3 +146,57 @@ def test_only_words_beyond_the_head_are_joined(spark, monkeypatch):
         found.append(sorted((r["doc_id"] or 0, r["n_words"], round(r["log_prob"], 9)) for r in rows))
     assert joined == [0, 3, 7]
     assert found[0] == found[1] == found[2]
+
+
+def test_texts_are_split_once_for_training_and_scoring(spark):
+    """With the coded form at hand, neither reads a text again; results are the same."""
+    texts = [(1, "the plain words here plain words"), (2, "zxqv the"), (None, "plain " * 50), (None, None), (5, "words " * 9 + "Été"), (2, "zxqv the")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    counts, frequent = pseudo.word_counts(docs), ["the", "plain"]
+    known = pseudo.coded(docs, frequent, counts=counts)
+    gone = docs.limit(0)
+    network = pseudo.fit(gone, frequent, known=known)
+    assert np.array_equal(network.flat(), pseudo.fit(docs, frequent).flat())
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(map(tuple, pseudo.score(gone, network, frequent, counts=counts, known=known).collect()), key=key)
+    assert got == sorted(map(tuple, pseudo.score(docs, network, frequent, counts=counts).collect()), key=key)
+    assert [r[:2] for r in got] == [(1, 6), (2, 2), (2, 2), (5, 10), (None, 0), (None, 50)]
+
+
+def test_training_against_plain_steps():
+    r = np.random.default_rng(3)
+    words, near = pseudo.windows([r.integers(0, pseudo.CLASSES, n) for n in (300, 0, 1, 400)])
+    network, plain = pseudo.Network.start(), pseudo.Network.start()
+    plain.near, plain.bias, plain.out, plain.prior = weights = [w.astype(float) for w in (plain.near, plain.bias, plain.out, plain.prior)]
+    sums = [np.full_like(w, 1e-2) for w in weights]
+    for s in range(0, len(words), 256):
+        w, c = words[s : s + 256], near[:, s : s + 256]
+        h = np.tanh(sum(plain.near[i][c[i]] for i in range(len(c))) + plain.bias)
+        p = np.exp(h @ plain.out + plain.prior)
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(w)), w] -= 1
+        back = (p @ plain.out.T) * (1 - h * h)
+        slopes = [np.zeros_like(plain.near), back.sum(0), h.T @ p, p.sum(0)]
+        for i in range(len(c)):
+            np.add.at(slopes[0][i], c[i], back)
+        for weight, total, slope in zip(weights, sums, slopes, strict=True):
+            total += (slope / len(w)) ** 2
+            weight -= 0.3 * slope / len(w) / np.sqrt(total)
+    network.train(words.astype(np.uint8), near.astype(np.uint8), 0.3)
+    assert np.allclose(network.flat(), plain.flat(), atol=1e-5)
+
+
+def test_large_weights_are_clipped():
+    network = pseudo.Network.start()
+    network.prior[:2] = 1e4, -1e4
+    words, near = pseudo.windows([np.array([0, 1, 2] * 100)])
+    logs = network.log_probabilities(words, near)
+    assert np.allclose(logs[:3], [0, -120, -60], atol=1e-3)
+    network.train(words, near, 0.3)
+    assert np.isfinite(network.flat()).all()
+
+
+def test_windows_of_nothing():
+    for numbered in ([], [np.zeros(0, np.uint8)]):
+        words, near = pseudo.windows(numbered)
+        assert words.shape == (0,) and near.shape == (2 * pseudo.SPAN, 0)
