@@ -29,10 +29,12 @@ its links, so a dense group never becomes all its pairs. No link is lost.
 Equal sets are one class and never pairs. The order of shingles needs how many
 documents share them. Shingles whose hash is in the lowest ``COUNTED`` of all
 hashes are counted over all documents, and the counts of shared ones become
-levels in bit tables of fixed size; a counted shingle without a mark stands alone
-and opens no region. Shingles above that share are used, and taken for shared,
-where a document has too few others. Levels only steer the work; any level gives
-the same result, and a full table only costs time.
+levels in bit tables, which have ``ROOM`` bits for each of them; a counted shingle
+without a mark stands alone and opens no region. Shingles above that share are used,
+and taken for shared, where a document has too few others; those that several of some
+thousand documents share are counted as well and come later in the order. Levels only
+steer the work; any level gives the same result. A full table would cost time: then
+no shingle stands alone, and every window is full of shingles that nobody shares.
 
 Documents without words are linked with nothing. NULL ids are members without a
 say in the smallest id; a component with no other id has a NULL one. Repeated
@@ -42,7 +44,7 @@ apart by 128 bits, shingles by 64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -56,13 +58,18 @@ from stpanel.llm.bpe import slices
 from stpanel.llm.graph import components
 from stpanel.llm.shingles import shingle_sets
 from stpanel.operators.skew import hub_blocks
-from stpanel.operators.storage import attach, materialize, scratch
+from stpanel.operators.storage import attach, discard, materialize, scratch
 
 PERCENT = 80  # least similarity
 WORDS = 5
 LEVELS = (2, 8, 64, 512)  # documents from which a shingle is put further back in the order
-SLOT_BITS = 24  # size of the bit tables: two megabytes, whatever the input
+SLOT_BITS = 24  # size of the bit table of rows: two megabytes, whatever the input
 COUNTED = 0.5  # share of all shingles, by hash, that are counted
+BUCKETS = 1 << 13  # ranges of hashes that are counted together
+HELD = 1 << 19  # counted shingles that a task combines before it sends them
+ROOM = 2  # bits of a level's table for each of its shingles
+MOST_SLOTS = 1 << 32  # of a table, over all hashes
+FEW = 32  # classes up to which all pairs of a tile are taken at once
 BLOCK = 4096  # classes that enter a tile together,
 SHINGLES = 2_000_000  # with about so many shingles
 DEPTH = 2  # levels of document pivots
@@ -71,6 +78,7 @@ SKETCH = 256, 8192  # least and most bits of a sketch; about one for each shingl
 
 
 _LIMIT = np.uint64(int(COUNTED * 2**64))
+_BOUNDS = np.arange(1, BUCKETS, dtype=np.uint64) * np.uint64((1 << 64) // BUCKETS)
 
 
 def window(n: int, percent: int = PERCENT) -> int:
@@ -78,56 +86,161 @@ def window(n: int, percent: int = PERCENT) -> int:
     return n + (-n * percent // 100) + 1 if n else 0
 
 
-def _bit_tables(rows: DataFrame, column: str, tests: Sequence[Column]) -> list[np.ndarray]:
-    """For each test, a packed bit table of the slots of the rows that pass it."""
+def _bit_table(rows: DataFrame, column: str) -> np.ndarray:
+    """A packed bit table of the slots of the rows."""
     slot = F.col(column).bitwiseAND((1 << SLOT_BITS) - 1)
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    words = (
-        rows.select(slot.alias("slot"), *[t.alias(f"t{i}") for i, t in enumerate(tests)])
-        .groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
-        .agg(*[F.bit_or(F.when(F.col(f"t{i}"), bit).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in range(len(tests))])
-        .toArrow()
-    )
-    tables = []
-    for i in range(len(tests)):
-        table = np.zeros(1 << (SLOT_BITS - 6), np.int64)
-        table[words["word"].to_numpy()] = words[f"b{i}"].to_numpy()
-        tables.append(table.view(np.uint8))
-    return tables
+    words = rows.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
+    words = words.agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (SLOT_BITS - 6), np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return table.view(np.uint8)
 
 
-def _marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the slots of the hashes are set."""
-    slot = (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+def _marked(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Whether the slots are set."""
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
+def _slots(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The slots of the hashes, in their order, in a table of ``size`` slots over all hashes."""
+    return ((hashes >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+
+
 def _row_keys(text: str, doc_id: str) -> list[Column]:
     """Two hashes of id and text, equal only for repeated rows."""
     values = [F.col(doc_id), F.col(text)]
     return [F.xxhash64(*values).alias("row"), F.xxhash64(F.lit("second"), *reversed(values)).alias("row2")]
 
 
-def _shared_levels(docs: DataFrame, k: int) -> list[np.ndarray]:
-    """Bit tables of the counted shingles that at least 2, 8, ... documents share."""
+def _pieces(level: int, hashes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """``level, bucket, shingles, n``: sorted hashes and their counts, cut into buckets."""
+    ends = np.r_[0, np.searchsorted(hashes, _BOUNDS), len(hashes)].astype(np.int32)
+    lists = [
+        pa.Array.from_buffers(pa.binary(), BUCKETS, [None, pa.py_buffer(ends * x.itemsize), pa.py_buffer(np.ascontiguousarray(x))])
+        for x in (hashes, n.astype(np.int32))
+    ]
+    full = pa.array(np.flatnonzero(ends[1:] > ends[:-1]).astype(np.int32))
+    columns = [pa.array(np.full(len(full), level, np.int32)), full, *(x.take(full) for x in lists)]
+    return pa.RecordBatch.from_arrays(columns, ["level", "bucket", "shingles", "n"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                sets = shingle_sets(part.column("text").to_pylist(), k)
-                heads = [s[: np.searchsorted(s, _LIMIT)] for s in sets]
-                found, n = np.unique(np.concatenate(heads), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"shingle": found.view(np.int64), "n": n.astype(np.int32)})
 
-    counts = docs.mapInArrow(count, "shingle long, n int").groupBy("shingle").agg(F.sum("n").alias("n"))
-    return _bit_tables(counts.filter(F.col("n") >= LEVELS[0]), "shingle", [F.col("n") >= t for t in LEVELS])
+def _values(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers in all rows of a binary column, one after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _sums(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, sorted, and the sums of their counts."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+    return hashes[first], np.add.reduceat(n[order].astype(np.int64), first) if len(first) else n[:0].astype(np.int64)
+
+
+_PIECES = "level int, bucket int, shingles binary, n binary"
+
 
+def _shared(docs: DataFrame, k: int) -> DataFrame:
+    """``level, bucket, shingles, n``: the shingles of each level, in ranges of hashes.
 
-def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) -> DataFrame:
+    Level 0 has the counted shingles that two documents share, the others have those of
+    at least 8, 64, ... documents. Shingles above the counted share enter with the
+    documents of a task that share them, and so may come too low, but never to level 0.
+    A task sends its shingles as one list for each range, which a task adds up at once.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, "text", 2 << 20):
+                held += shingle_sets(part.column("text").to_pylist(), k)
+                size += sum(map(len, held[-part.num_rows :]))
+                if size >= HELD / COUNTED:
+                    yield several(held)
+                    held, size = [], 0
+        if size:
+            yield several(held)
+
+    def several(sets: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(sets), return_counts=True)
+        kept = (found < _LIMIT) | (n > 1)
+        return _pieces(0, found[kept], n[kept])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("shingles").nbytes
+            if size >= 8 * HELD:
+                table = pa.Table.from_batches(held)
+                bucket = table["bucket"].to_numpy()
+                end = int(np.searchsorted(bucket, bucket[-1]))  # the last bucket may go on
+                if end:
+                    yield from levels(table.slice(0, end))
+                    held = table.slice(end).combine_chunks().to_batches()
+                    size = sum(x.column("shingles").nbytes for x in held)
+        if held:
+            yield from levels(pa.Table.from_batches(held))
+
+    def levels(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        found, n = _sums(_values(table["shingles"], np.uint64), _values(table["n"], np.int32))
+        for level, least in enumerate(LEVELS):
+            kept = n >= least
+            if not level:
+                kept &= found < _LIMIT
+            yield _pieces(level, found[kept], n[kept])
+
+    parts = docs.mapInArrow(cut, _PIECES)
+    return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, _PIECES)
+
+
+def _shared_levels(docs: DataFrame, k: int) -> list[tuple[int, np.ndarray]]:
+    """For each level the slots of its bit table, over all hashes, and the table: its shingles are marked."""
+    shared = materialize(_shared(docs, k).select("level", "bucket", "shingles"), "jaccard-shared")
+    count = F.sum(F.octet_length("shingles") / 8).cast("long")
+    marks = dict(shared.groupBy("level").agg(count).collect())
+    least, shares = 8 * BUCKETS, [COUNTED, *[1] * (len(LEVELS) - 1)]
+    sizes = [min(MOST_SLOTS, least * max(1, -int(-ROOM * marks.get(i, 0) // (share * least)))) for i, share in enumerate(shares)]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = []
+            for level, bucket, raw in zip(*(batch.column(c).to_pylist() for c in ("level", "bucket", "shingles")), strict=True):
+                each = sizes[level] // BUCKETS
+                bits = np.zeros(each, np.uint8)
+                bits[_slots(np.frombuffer(raw, np.uint64), sizes[level]) - bucket * each] = 1
+                pieces.append(np.packbits(bits, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("level"), batch.column("bucket"), pa.array(pieces, pa.binary())], ["level", "bucket", "bits"])
+
+    found = shared.mapInArrow(mark, "level int, bucket int, bits binary").toArrow()
+    discard(shared)
+    tables = [np.zeros(int(size * share) // 8, np.uint8) for size, share in zip(sizes, shares, strict=True)]
+    for batch in found.to_batches():
+        for level, bucket, bits in zip(*(batch.column(c) for c in ("level", "bucket", "bits")), strict=True):
+            at = bucket.as_py() * (sizes[level.as_py()] // BUCKETS) // 8
+            piece = np.frombuffer(bits.as_buffer(), np.uint8)
+            tables[level.as_py()][at : at + len(piece)] = piece
+    return list(zip(sizes, tables, strict=True))
+
+
+def _levels(hashes: np.ndarray, tables: Sequence[tuple[int, np.ndarray]]) -> np.ndarray:
+    """Places of shingles in the order: 0 stands alone, 1 is not counted, 2, 4, ... are shared by more and more."""
+    out = np.where(hashes < _LIMIT, 0, 1).astype(np.int8)
+    at = np.flatnonzero(out == 0)
+    for i, (size, table) in enumerate(tables):
+        at = at[_marked(table, _slots(hashes[at], size))]
+        out[at] = 2 * i + 2
+        if not i:
+            at = np.r_[at, np.flatnonzero(out == 1)]
+    return out
+
+
+def _windows(docs: DataFrame, levels: list[tuple[int, np.ndarray]], k: int, percent: int) -> DataFrame:
     """``doc_id, row, row2, n, class, window, sketch``: the class is a hash of the set.
 
     Of the window only the shingles that others may share are kept. The order is
-    the same for all documents: counted and unmarked, uncounted, then by level.
+    the same for all documents: counted and unmarked, uncounted and unmarked, then by level.
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     names = ["doc_id", "row", "row2", "n", "class", "window", "sketch"]
@@ -137,14 +250,16 @@ def _windows(docs: DataFrame, levels: list[np.ndarray], k: int, percent: int) ->
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 n, digests, found, sketches = [], [], [], []
-                for s in shingle_sets(part.column("text").to_pylist(), k):
-                    level = 2 * sum(_marked(t, s).astype(np.int8) for t in tables)
-                    level[s >= _LIMIT] = 1
-                    order = np.argsort(level, kind="stable")[: window(len(s), percent)]
+                sets = shingle_sets(part.column("text").to_pylist(), k)
+                places = _levels(np.concatenate(sets), tables)
+                for s, level in zip(sets, np.split(places, np.cumsum([len(s) for s in sets[:-1]])), strict=True):
+                    size = window(len(s), percent)
+                    alone = len(s) - np.count_nonzero(level)
+                    order = np.argsort(level, kind="stable")[alone:size] if alone < size else []
                     n.append(len(s))
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    found.append(s[order][level[order] > 0].view(np.int64))
-                    sketches.append(_sketch(s) if len(found[-1]) else None)
+                    found.append(s[order].view(np.int64) if len(order) else np.zeros(0, np.int64))
+                    sketches.append(_sketch(s) if len(order) else None)
                 columns = [part.column(c) for c in names[:3]]
                 columns += [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -166,11 +281,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     A bit table of fixed size lets most other rows pass by unread; the join
     makes the choice exact.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_bit_tables(wanted, "row", [F.lit(True)])[0])
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_table(wanted, "row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.flatnonzero(_marked(shared.value, batch.column("row").to_numpy().view(np.uint64)))
+            at = np.flatnonzero(_marked(shared.value, batch.column("row").to_numpy() & ((1 << SLOT_BITS) - 1)))
             for part in slices(batch.take(pa.array(at)), "text", 2 << 20):
                 sets = [s.view(np.int64) for s in shingle_sets(part.column("text").to_pylist(), k)]
                 columns = [part.column("row"), part.column("row2"), pa.array(sets, pa.list_(pa.int64()))]
@@ -187,7 +302,8 @@ def _regions(stored: DataFrame) -> DataFrame:
     Copies share many shingles. Regions of the same classes are one, which stands for
     ``times`` of them: what meets in it would meet in the others again.
     """
-    members = stored.select(F.explode("window").alias("region"), "class", "n").distinct()
+    classes = stored.filter(F.size("window") > 0).select("class", "n", "window").dropDuplicates(["class"])
+    members = materialize(classes, "jaccard-classes").select(F.explode("window").alias("region"), "class", "n")
     marks = [F.bit_xor(F.xxhash64("class")).alias("mark"), F.bit_xor(F.xxhash64(F.lit("second"), "class")).alias("mark2")]
     held = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"), *marks).filter("size > 1")
     kept = held.groupBy("size", "mark", "mark2").agg(F.min("region").alias("region"), F.count(F.lit(1)).alias("times"))
@@ -253,13 +369,9 @@ def _forest(
     if root is None:
         root = np.arange(len(key))
     found = []
-    step, at = 1, np.flatnonzero(key[1:] == key[:-1])
-    while len(at):
-        x, y = at, at + step
-        open_ = (root[node[x]] != root[node[y]]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
-        x, y = x[open_], y[open_]
-        near = (100 + percent) * sketches.apart(x, y) <= (100 - percent) * (n[x] + n[y])
-        for i, j in zip(x[near].tolist(), y[near].tolist(), strict=True):
+
+    def tie(pairs: Iterable[tuple[int, int]]) -> None:
+        for i, j in pairs:
             a, b = node[i], node[j]
             while root[a] != a:
                 a = root[a]
@@ -268,6 +380,19 @@ def _forest(
             if a != b:
                 root[b] = a
                 found.append((i, j))
+
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    sizes = np.diff(np.r_[first, len(key)])
+    for start, size in zip(first[sizes > FEW], sizes[sizes > FEW], strict=True):
+        tie(_spread(np.arange(start, start + size), n, sketches, percent, node, root))
+    few = np.repeat(sizes <= FEW, sizes)
+    step, at = 1, np.flatnonzero((key[1:] == key[:-1]) & few[1:])
+    while len(at):
+        x, y = at, at + step
+        open_ = (root[node[x]] != root[node[y]]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        x, y = x[open_], y[open_]
+        near = (100 + percent) * sketches.apart(x, y) <= (100 - percent) * (n[x] + n[y])
+        tie(zip(x[near].tolist(), y[near].tolist(), strict=True))
         while near.any() and (root[root] != root).any():
             root[:] = root[root]
         step += 1
@@ -276,6 +401,54 @@ def _forest(
     return found
 
 
+def _spread(
+    rows: np.ndarray, n: np.ndarray, sketches: Sketches, percent: int, node: np.ndarray, root: np.ndarray
+) -> list[tuple[int, int]]:
+    """Ties between the rows of one large tile, without all its pairs.
+
+    In order of size a row only asks those whose size allows a link, which are not tied
+    to it yet and have not asked themselves; the rows of the largest tree need not ask.
+    So a tile of copies takes a round of each, and less where they are tied already.
+    """
+    tree = node[rows]
+    while (root[tree] != tree).any():
+        tree = root[tree]
+    root[node[rows]] = tree
+    if (tree == tree[0]).all():
+        return []
+    order = np.argsort(n[rows], kind="stable")
+    rows, tree = rows[order], tree[order]
+    size, asked, found = n[rows], np.zeros(len(rows), bool), []
+    low, high = np.searchsorted(100 * size, percent * size), np.searchsorted(percent * size, 100 * size, side="right")
+    again = True
+    while again:
+        again, left = False, np.flatnonzero(~asked)
+        trees, times = np.unique(tree[left], return_counts=True)
+        if len(trees) < 2:
+            break
+        largest = trees[np.argmax(times)]
+        for x in left.tolist():
+            if tree[x] == largest:
+                continue
+            asked[x] = True
+            at = low[x] + np.flatnonzero(~asked[low[x] : high[x]] & (tree[low[x] : high[x]] != tree[x]))
+            if not len(at):
+                continue
+            near = at[(100 + percent) * sketches.apart(np.full(len(at), rows[x]), rows[at]) <= (100 - percent) * (size[x] + size[at])]
+            if not len(near):
+                continue
+            olds, some = np.unique(tree[near], return_index=True)
+            found += [(int(rows[x]), int(rows[y])) for y in near[some]]
+            if (olds == largest).any():
+                tree[np.isin(tree, np.r_[olds, tree[x]])] = largest
+            else:
+                tree[np.isin(tree, olds)] = tree[x]
+            if len(olds) > FEW:  # another tree may be the largest now
+                again = True
+                break
+    return found
+
+
 def _meetings(members: DataFrame, sketches: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """``u, v``: classes that meet in a region and may be linked, tied together.
 

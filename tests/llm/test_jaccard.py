@@ -272,3 +272,64 @@ def test_forgetting_classes_loses_no_tie(spark, monkeypatch):
     assert trees.number([b"a", b"b", b"a", b"c", b"d"]).tolist() == [0, 1, 0, 2, 3]
     trees.root[1] = 0
     assert trees.number([b"b", b"e"]).tolist() == [0, 1] and trees.root.tolist() == [0, 1]
+
+
+def test_bit_tables_follow_the_shared_shingles(spark):
+    """At least half of a table stays free, however many shingles are shared; every shared one has its level."""
+    r = np.random.default_rng(8)
+    base = [f"w{x}" for x in r.integers(0, 1 << 40, 120_000)]
+    texts = [" ".join(base), " ".join(base[:90_000]), *[" ".join(base[:500])] * 7, *[" ".join([*base[:40], f"x{i}"]) for i in range(60)]]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    tables = jaccard._shared_levels(docs, 5)
+    for size, table in tables:
+        assert np.bitwise_count(table).sum() <= len(table) * 8 / jaccard.ROOM and size % (8 * jaccard.BUCKETS) == 0
+    found, n = np.unique(np.concatenate(shingles.shingle_sets(texts)), return_counts=True)
+    counted = found < jaccard._LIMIT
+    assert (counted & (n > 1)).sum() > 40_000
+    level = jaccard._levels(found, tables)
+    least = 2 * np.searchsorted(jaccard.LEVELS, n, side="right")
+    assert (level[counted] >= least[counted]).all() and (level[~counted] >= 1).all()
+    assert (level[counted] == least[counted]).mean() > 0.5
+    assert (level[~counted & (n == 1)] == 1).mean() > 0.9
+
+
+def test_shared_passages_open_no_regions(spark):
+    """Documents with more of their own than the window holds do not meet by a passage, counted or not."""
+    r = np.random.default_rng(9)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*passage, *(f"w{x}" for x in r.integers(0, 1 << 40, 45))]) for _ in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = docs.select("doc_id", *jaccard._row_keys("text", "doc_id"), "text")
+    windows = jaccard._windows(rows, jaccard._shared_levels(rows.select("row", "row2", "text"), 5), 5, 80).collect()
+    shared = set(shingles.shingle_sets([" ".join(passage)])[0].view(np.int64).tolist())
+    assert len(windows) == 200 and not any(shared & set(x["window"]) for x in windows)
+
+
+@pytest.mark.parametrize("spare", [0, 3])
+def test_large_tiles_are_tied_like_small_ones(spare):
+    """More rows than ``FEW`` in a tile: the trees are those of all pairs, also of rows tied before."""
+    r = np.random.default_rng(10 + spare)
+    sets = []
+    for size in (30, 60, 61, 200, 215, 900):
+        center = r.integers(0, 1 << 63, size, dtype=np.uint64)
+        for _ in range(int(r.integers(1, 40))):  # a chain: each is a copy of one before
+            center = np.r_[center[size // 20 :], r.integers(0, 1 << 63, size // 20, dtype=np.uint64)]
+            sets.append(np.unique(center))
+    sets += [np.unique(r.integers(0, 1 << 63, int(x), dtype=np.uint64)) for x in r.integers(20, 300, 60)]
+    sets = [sets[i] for i in r.permutation(len(sets))]
+    assert len(sets) > 2 * jaccard.FEW
+    n, sketches = np.array([len(x) for x in sets]), jaccard.Sketches([jaccard._sketch(x) for x in sets])
+    x, y = (a.ravel() for a in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    near = (180 * sketches.apart(x, y) <= 20 * (n[x] + n[y])) & (100 * np.minimum(n[x], n[y]) >= 80 * np.maximum(n[x], n[y]))
+    wanted = list(range(len(sets)))
+    root = np.arange(len(sets))
+    before = list(zip(x[near].tolist(), y[near].tolist(), strict=True))
+    for i, j in before:
+        wanted = [wanted[i] if v == wanted[j] else v for v in wanted]
+    for i, j in [p for p in before if p[0] < p[1]][:spare]:
+        root[root == root[j]] = root[i]
+    got = root.tolist()
+    for i, j in jaccard._forest(np.zeros(len(sets), int), n, sketches, 80, np.arange(len(sets)), root.copy()):
+        assert got[i] != got[j]  # a forest: no tie is there twice
+        got = [got[i] if v == got[j] else v for v in got]
+    assert len(set(zip(got, wanted, strict=True))) == len(set(got)) == len(set(wanted))
